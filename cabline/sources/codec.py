@@ -25,12 +25,17 @@ from cabline.schemas import LINE_TIME_FORMAT
 CAR_FIELDS = {"car_id": 0, "id": 1, "consumption": 7, "speed": 9, "throttle": 12,
               "engineload": 19, "longitude": 20, "latitude": 21, "time": 22}
 CAR_SPLIT = r"(,|;)\s*"
+CAR_TRAILING = ",; \t"
 CAR_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[XXX][XX]"
 
 
-def _split(value: Column, sep_regex: str) -> Column:
-    stripped = F.regexp_replace(value, f"({sep_regex})+$", "")
-    return F.split(stripped, sep_regex, -1)
+def _split(value: Column, sep_regex: str, trailing: str) -> Column:
+    """Split like Java's ``String.split``: trailing empty fields are dropped.
+
+    ``trailing`` are the characters a run of trailing separators consists of;
+    trimming them is a plain character scan (no regex per row).
+    """
+    return F.split(F.rtrim(value, F.lit(trailing)), sep_regex, -1)
 
 
 def _float(tok: Column) -> Column:
@@ -41,7 +46,22 @@ def _time(tok: Column, fmt: str = LINE_TIME_FORMAT) -> Column:
     return F.try_to_timestamp(tok, F.lit(fmt))
 
 
-def _finish(df: DataFrame, valid: Column, cols: list[str], mode: str, value: str):
+def _tokenised(lines: DataFrame, value: str, sep_regex: str,
+               trailing: str) -> tuple[DataFrame, Column]:
+    """Split every line once (its own projection), so fields reuse the same array."""
+    df = lines.select(F.col(value), _split(F.col(value), sep_regex, trailing).alias("__tok"))
+    return df, F.col("__tok")
+
+
+def _finish(lines: DataFrame, shape: Column, parsed: dict[str, Column], mode: str, value: str):
+    """Parse every field once, then validate on the parsed columns."""
+    df = lines.select(F.col(value), shape.alias("__shape"),
+                      *[c.alias(n) for n, c in parsed.items()])
+    cols = list(parsed)
+    valid = F.col("__shape")
+    for n in cols:
+        valid = valid & F.col(n).isNotNull()
+    valid = F.coalesce(valid, F.lit(False))
     if mode == "fail":
         check = F.when(valid, F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("Invalid record: "), F.col(value))).cast("boolean"))
@@ -54,7 +74,7 @@ def _finish(df: DataFrame, valid: Column, cols: list[str], mode: str, value: str
 
 
 def parse_rides(lines: DataFrame, value: str = "value", mode: str = "fail"):
-    tok = _split(F.col(value), ",")
+    lines, tok = _tokenised(lines, value, ",", ",")
     t = [F.get(tok, i) for i in range(11)]
     is_start = t[1] == F.lit("START")
     t1, t2 = _time(t[2]), _time(t[3])
@@ -69,15 +89,12 @@ def parse_rides(lines: DataFrame, value: str = "value", mode: str = "fail"):
         "taxi_id": t[9].try_cast("long"),
         "driver_id": t[10].try_cast("long"),
     }
-    valid = (F.size(tok) == 11) & t[1].isin("START", "END")
-    for c in parsed.values():
-        valid = valid & c.isNotNull()
-    df = lines.select(F.col(value), *[c.alias(n) for n, c in parsed.items()])
-    return _finish(df, F.coalesce(valid, F.lit(False)), list(parsed), mode, value)
+    shape = (F.size(tok) == 11) & t[1].isin("START", "END")
+    return _finish(lines, shape, parsed, mode, value)
 
 
 def parse_fares(lines: DataFrame, value: str = "value", mode: str = "fail"):
-    tok = _split(F.col(value), ",")
+    lines, tok = _tokenised(lines, value, ",", ",")
     t = [F.get(tok, i) for i in range(8)]
     parsed = {
         "ride_id": t[0].try_cast("long"),
@@ -87,15 +104,11 @@ def parse_fares(lines: DataFrame, value: str = "value", mode: str = "fail"):
         "payment_type": t[4],
         "tip": _float(t[5]), "tolls": _float(t[6]), "total_fare": _float(t[7]),
     }
-    valid = F.size(tok) == 8
-    for c in parsed.values():
-        valid = valid & c.isNotNull()
-    df = lines.select(F.col(value), *[c.alias(n) for n, c in parsed.items()])
-    return _finish(df, F.coalesce(valid, F.lit(False)), list(parsed), mode, value)
+    return _finish(lines, F.size(tok) == 8, parsed, mode, value)
 
 
 def parse_car_events(lines: DataFrame, value: str = "value", mode: str = "fail"):
-    tok = _split(F.col(value), CAR_SPLIT)
+    lines, tok = _tokenised(lines, value, CAR_SPLIT, CAR_TRAILING)
     t = {n: F.get(tok, i) for n, i in CAR_FIELDS.items()}
     parsed = {
         "id": t["id"], "car_id": t["car_id"],
@@ -104,11 +117,7 @@ def parse_car_events(lines: DataFrame, value: str = "value", mode: str = "fail")
         "consumption": _float(t["consumption"]), "speed": _float(t["speed"]),
         "throttle": _float(t["throttle"]), "engineload": _float(t["engineload"]),
     }
-    valid = F.size(tok) == 23
-    for c in parsed.values():
-        valid = valid & c.isNotNull()
-    df = lines.select(F.col(value), *[c.alias(n) for n, c in parsed.items()])
-    return _finish(df, F.coalesce(valid, F.lit(False)), list(parsed), mode, value)
+    return _finish(lines, F.size(tok) == 23, parsed, mode, value)
 
 
 def _fmt_time(c: Column) -> Column:
