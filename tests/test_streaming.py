@@ -1,0 +1,243 @@
+"""Stream = batch: each job fed as several time-ordered files plus a far-future
+sentinel that moves the watermark; the stream must equal the batch result."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from cabline.operators import asof, enrich, rides as R, segments, tips
+from cabline.sources import fixtures as fx
+from cabline.streaming import jobs
+from cabline.streaming.sources import parquet_stream
+from tests.conftest import SF_SMALL
+
+FAR = "2030-01-01 00:00:00"
+
+
+def _split_files(df, path, time_col, n=4):
+    """Write df as n files covering consecutive time ranges (ordered input)."""
+    pdf = df.toPandas().sort_values(time_col).reset_index(drop=True)
+    step = (len(pdf) + n - 1) // n
+    spark = df.sparkSession
+    for i in range(n):
+        part = pdf.iloc[i * step:(i + 1) * step]
+        spark.createDataFrame(part, df.schema).coalesce(1).write.mode("overwrite") \
+            .parquet(os.path.join(path, f"part={i:03d}"))
+    return df.schema
+
+
+def _stream_dir(spark, base, name, df, time_col, sentinel=None, n=4):
+    d = os.path.join(base, name)
+    schema = _split_files(df, d + "_parts", time_col, n)
+    # flatten into one directory of files in time order
+    os.makedirs(d, exist_ok=True)
+    k = 0
+    for i in range(n):
+        sub = os.path.join(d + "_parts", f"part={i:03d}")
+        for f in sorted(os.listdir(sub)):
+            if f.endswith(".parquet"):
+                os.link(os.path.join(sub, f), os.path.join(d, f"{k:05d}.parquet"))
+                k += 1
+    if sentinel is not None:
+        spark.createDataFrame(sentinel, schema).coalesce(1).write.mode("overwrite") \
+            .parquet(d + "_sentinel")
+        sub = d + "_sentinel"
+        for f in sorted(os.listdir(sub)):
+            if f.endswith(".parquet"):
+                os.link(os.path.join(sub, f), os.path.join(d, f"{k:05d}.parquet"))
+                k += 1
+    return d, schema
+
+
+def _run(df, name, ckpt):
+    q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    out = df.sparkSession.sql(f"SELECT * FROM {name}")
+    return out
+
+
+def _rows(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+
+
+def test_hourly_tips_stream_equals_batch(spark, scratch):
+    ev = fx.load_events(spark, SF_SMALL)
+    fares = fx.fares_by_driver(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    sentinel = spark.createDataFrame([(-1, -1, FAR, "0.00")], "a long, b long, c string, d string") \
+        .select(F.col("a").alias("ride_id"), F.col("b").alias("driver_id"),
+                F.col("c").cast("timestamp").alias("start_time"),
+                F.col("d").cast("decimal(18,2)").alias("tip")).toPandas()
+    d, schema = _stream_dir(spark, scratch, "fares", fares, "start_time", sentinel)
+    s = jobs.hourly_max_tips(parquet_stream(spark, d, schema, 1))
+    got = _run(s, "hourly_max_stream", os.path.join(scratch, "ck1"))
+    want = tips.label_with_window_end(tips.hourly_max(tips.hourly_tips(fares)))
+    cols = ["window_end", "driver_id", "tips"]
+    assert _rows(got, cols) == _rows(want, cols)
+    assert got.count() > 100
+
+
+def test_late_tip_is_dropped(spark, scratch):
+    """A tip older than the watermark, arriving after its hour was closed, does not count.
+
+    Spark drops late rows per window: the hour must have been closed by an
+    earlier micro-batch (here: the first run ends with a no-data batch).
+    """
+    rows = [(1, 7, "2024-01-01 00:10:00", "1.00"), (2, 7, "2024-01-01 00:50:00", "2.00"),
+            (3, 8, "2024-01-01 03:00:00", "5.00"),     # watermark moves past the first hour
+            (4, 7, "2024-01-01 00:20:00", "99.00"),    # late: its hour is already closed
+            (5, 9, FAR, "0.00")]
+    src, parts = os.path.join(scratch, "src"), os.path.join(scratch, "parts")
+    os.makedirs(src)
+    schema = "ride_id long, driver_id long, start_time timestamp, tip decimal(18,2)"
+    for i, r in enumerate(rows):
+        spark.createDataFrame([r], "a long, b long, c string, d string") \
+            .select(F.col("a").alias("ride_id"), F.col("b").alias("driver_id"),
+                    F.col("c").cast("timestamp").alias("start_time"),
+                    F.col("d").cast("decimal(18,2)").alias("tip")) \
+            .coalesce(1).write.parquet(os.path.join(parts, str(i)))
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def add(i):
+        sub = os.path.join(parts, str(i))
+        f = [x for x in os.listdir(sub) if x.endswith(".parquet")][0]
+        os.link(os.path.join(sub, f), os.path.join(src, f"{i:03d}.parquet"))
+
+    def run():
+        s = jobs.hourly_tips(parquet_stream(spark, src, schema, 1))
+        q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    for i in range(3):
+        add(i)
+    run()
+    add(3), add(4)
+    run()
+    got = {(r.window_end, r.driver_id): r.tips for r in spark.read.parquet(out).collect()}
+    assert got[("2024-01-01T01:00:00Z", 7)] == 3.0
+    assert got[("2024-01-01T04:00:00Z", 8)] == 5.0
+
+
+def test_rides_with_fares_stream_equals_batch(spark, scratch):
+    ev = fx.load_events(spark, SF_SMALL)
+    r = fx.rides(ev).withColumns({"start_time": F.col("start_time").cast("timestamp"),
+                                  "end_time": F.col("end_time").cast("timestamp")})
+    f = fx.fares_for_rides(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    rd, rs = _stream_dir(spark, scratch, "rides", R.with_event_time(r), "event_time")
+    fd, fs = _stream_dir(spark, scratch, "fares", f, "start_time")
+    rides_s = parquet_stream(spark, rd, rs, 1).drop("event_time")
+    s = jobs.rides_with_fares(rides_s, parquet_stream(spark, fd, fs, 1))
+    got = _run(s, "rwf_stream", os.path.join(scratch, "ck"))
+    want = enrich.rides_with_fares(r, f)
+    cols = ["ride_id", "driver_id", "fare_start_time", "tip"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def _pair_inputs(spark, scratch):
+    ev = fx.load_events(spark, SF_SMALL)
+    r = fx.rides(ev).withColumns({"start_time": F.col("start_time").cast("timestamp"),
+                                  "end_time": F.col("end_time").cast("timestamp")})
+    f = fx.fares_for_rides(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    sr = r.limit(1).toPandas()
+    sr.loc[:, "ride_id"] = 10 ** 9
+    sr.loc[:, "is_start"] = True
+    sr.loc[:, "start_time"] = sr["start_time"].iloc[0].replace(year=2030)
+    sf_ = f.limit(1).toPandas()
+    sf_.loc[:, "ride_id"] = 10 ** 9
+    sf_.loc[:, "start_time"] = sr["start_time"].iloc[0]
+    rw = R.with_event_time(r)
+    srw = spark.createDataFrame(sr, r.schema)
+    rd, rs = _stream_dir(spark, scratch, "rides", rw, "event_time",
+                         R.with_event_time(srw).toPandas())
+    fd, fs = _stream_dir(spark, scratch, "fares", f, "start_time", sf_)
+    return r, f, parquet_stream(spark, rd, rs, 1).drop("event_time"), parquet_stream(spark, fd, fs, 1)
+
+
+def _batch_outcomes(r, f):
+    pairs = enrich.match_with_expiry(R.start_events_with_loss(r, 1000), f, 0)
+    return sorted((row.key_ride_id, row.outcome) for row in pairs.collect())
+
+
+def test_expiring_join_stream_equals_batch(spark, scratch):
+    r, f, rs, fs = _pair_inputs(spark, scratch)
+    got = _run(jobs.expiring_pairs_join(rs, fs), "exp_join", os.path.join(scratch, "ck"))
+    got = sorted((x.ride_id, x.outcome) for x in got.collect() if x.ride_id != 10 ** 9)
+    assert got == _batch_outcomes(r, f)
+
+
+def test_expiring_stateful_equals_batch(spark, scratch):
+    r, f, rs, fs = _pair_inputs(spark, scratch)
+    got = _run(jobs.expiring_pairs_stateful(rs, fs), "exp_state", os.path.join(scratch, "ck"))
+    got = sorted((x.ride_id, x.outcome) for x in got.collect() if x.ride_id != 10 ** 9)
+    want = _batch_outcomes(r, f)
+    assert got == want
+    assert {o for _, o in want} == {"matched", "unmatched_ride", "unmatched_fare"}
+
+
+def test_asof_stream_equals_batch(spark, scratch):
+    ev = fx.load_events(spark, SF_SMALL)
+    t = fx.trades(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    c = fx.customers(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    st = t.limit(1).toPandas()
+    st.loc[:, "customer_id"] = -1
+    st.loc[:, "ts"] = st["ts"].iloc[0].replace(year=2030)
+    sc = c.limit(1).toPandas()
+    sc.loc[:, "customer_id"] = -1
+    sc.loc[:, "ts"] = st["ts"].iloc[0]
+    td, ts_ = _stream_dir(spark, scratch, "trades", t, "ts", st)
+    cd, cs = _stream_dir(spark, scratch, "custs", c, "ts", sc)
+    s = jobs.trades_asof_customers(parquet_stream(spark, td, ts_, 1), parquet_stream(spark, cd, cs, 1))
+    got = _run(s, "asof_stream", os.path.join(scratch, "ck"))
+    got = sorted((x.customer_id, x.trade_info, x.customer_info) for x in got.collect()
+                 if x.customer_id != -1)
+    want = sorted((x.customer_id, x.trade_info, x.customer_info)
+                  for x in asof.asof_enrich(t, c).collect())
+    assert got == want
+
+
+def test_gap_segments_stream_equals_batch(spark, scratch):
+    ev = fx.load_events(spark, SF_SMALL)
+    ce = fx.car_events(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    sn = ce.limit(1).toPandas()
+    sn.loc[:, "car_id"] = -1
+    sn.loc[:, "ts"] = sn["ts"].iloc[0].replace(year=2030)
+    d, sch = _stream_dir(spark, scratch, "cars", ce, "ts", sn)
+    s = jobs.gap_segments(parquet_stream(spark, d, sch, 1), gap="6 hours")
+    got = _run(s, "gap_stream", os.path.join(scratch, "ck"))
+    cols = ["car_id", "start_time", "length", "max_speed", "label"]
+    got_rows = [x for x in _rows(got, cols) if x[0] != -1]
+    want = segments.gap_segments(ce, gap_seconds=6 * 3600)
+    assert got_rows == _rows(want, cols)
+
+
+def test_restart_no_loss_no_duplicates(spark, scratch):
+    """Stop after part of the files, add the rest, restart on the same checkpoint."""
+    ev = fx.load_events(spark, SF_SMALL)
+    f = fx.fares_by_driver(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    parts = os.path.join(scratch, "parts")
+    _split_files(f, parts, "start_time", n=4)
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def add(i):
+        sub = os.path.join(parts, f"part={i:03d}")
+        for x in os.listdir(sub):
+            if x.endswith(".parquet"):
+                os.link(os.path.join(sub, x), os.path.join(src, f"{i:03d}-{x}"))
+
+    def run():
+        q = (parquet_stream(spark, src, f.schema, 1).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    add(0), add(1)
+    run()
+    add(2), add(3)
+    run()
+    got = spark.read.parquet(out)
+    assert got.count() == f.count()
+    assert got.select("ride_id").distinct().count() == f.count()
