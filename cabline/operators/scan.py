@@ -34,26 +34,44 @@ def time_bucket(ts, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(int(seconds) * 1_000_000))
 
 
-def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket: Column,
+def with_bucket(df: DataFrame, keys: list[str], ts, seconds: int = DEFAULT_BUCKET_SECONDS,
+                name: str = BUCKET) -> DataFrame:
+    """Add the bucket column scans split on; rows with a null key share bucket 0.
+
+    Chained scans that pass the same column keep the same partitioning, so
+    the rows are shuffled once for all of them.
+    """
+    any_null_key = F.lit(False)
+    for k in keys:
+        any_null_key = any_null_key | F.col(k).isNull()
+    return df.withColumn(name, F.when(any_null_key, F.lit(0)).otherwise(time_bucket(ts, seconds)))
+
+
+def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
                    sums: dict[str, Column] | None = None,
                    lasts: dict[str, Column] | None = None,
-                   inclusive: bool = True) -> DataFrame:
+                   inclusive: bool = True, keep_bucket: bool = False) -> DataFrame:
     """Running sums and last-non-null values per key, in ``order``.
 
-    ``order`` must start with the column ``bucket`` is computed from and be a
-    total order within a key.  ``inclusive`` decides whether the current row
-    counts.  Rows with a null key go to one bucket (no carry is needed there).
+    ``order`` must start with the instant the bucket is computed from and be
+    a total order within a key.  ``bucket`` is either a Column (added here) or
+    the name of a column made by ``with_bucket``.  ``inclusive`` decides
+    whether the current row counts.
     """
     sums = sums or {}
     lasts = lasts or {}
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    any_null_key = F.lit(False)
-    for k in keys:
-        any_null_key = any_null_key | F.col(k).isNull()
-    d = df.withColumn(BUCKET, F.when(any_null_key, F.lit(0)).otherwise(bucket))
-
-    # (1) local scans inside (key, bucket)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order_cols)
+    if isinstance(bucket, str):
+        b, d = bucket, df
+    else:
+        any_null_key = F.lit(False)
+        for k in keys:
+            any_null_key = any_null_key | F.col(k).isNull()
+        bucket_col = F.when(any_null_key, F.lit(0)).otherwise(bucket)
+        b, d = BUCKET, df.withColumn(BUCKET, bucket_col)
+
+    # (1) local scans inside (key, bucket): the only full shuffle of the rows
+    w = Window.partitionBy(*keys, b).orderBy(*order_cols)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = {}
     for name, value in sums.items():
@@ -62,27 +80,32 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket: Column,
         local[f"__l_{name}"] = F.last(value, ignorenulls=True).over(w)
     d = d.withColumns(local)
 
-    # (2) per-bucket summary and its exclusive prefix over earlier buckets
+    # (2) per-bucket summary from the *input* rows (map-side partial aggregation,
+    #     so only one small row per bucket and task is shuffled; summarising the
+    #     windowed rows instead would re-run and re-shuffle them), then its
+    #     exclusive prefix over earlier buckets
     aggs = [F.sum(v).alias(f"__t_{n}") for n, v in sums.items()]
     if lasts:
         order_struct = F.struct(*order_cols)
         aggs += [F.max_by(v, F.when(v.isNotNull(), order_struct)).alias(f"__t_{n}")
                  for n, v in lasts.items()]
-    summary = df.withColumn(BUCKET, F.when(any_null_key, F.lit(0)).otherwise(bucket)) \
-        .groupBy(*keys, BUCKET).agg(*aggs)
-    ws = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    src = df if isinstance(bucket, str) else df.withColumn(b, bucket_col)
+    summary = src.groupBy(*keys, b).agg(*aggs)
+    ws = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carried = {f"__p_{n}": F.sum(f"__t_{n}").over(ws) for n in sums}
     carried.update({f"__p_{n}": F.last(f"__t_{n}", ignorenulls=True).over(ws) for n in lasts})
-    prefix = summary.select(*keys, BUCKET, *[c.alias(n) for n, c in carried.items()])
+    prefix = summary.select(*keys, b, *[c.alias(n) for n, c in carried.items()])
 
     # (3) join back on (key, bucket); rows are already partitioned that way
-    out = d.join(prefix, on=[*keys, BUCKET], how="left")
+    out = d.join(prefix, on=[*keys, b], how="left")
     final = {}
     for n in sums:
         final[n] = F.coalesce(F.col(f"__l_{n}"), F.lit(0)) + F.coalesce(F.col(f"__p_{n}"), F.lit(0))
     for n in lasts:
         final[n] = F.coalesce(F.col(f"__l_{n}"), F.col(f"__p_{n}"))
     out = out.withColumns(final)
-    drop = [BUCKET] + [f"__l_{n}" for n in list(sums) + list(lasts)] \
+    drop = [f"__l_{n}" for n in list(sums) + list(lasts)] \
         + [f"__p_{n}" for n in list(sums) + list(lasts)]
+    if not keep_bucket:
+        drop.append(b)
     return out.drop(*drop)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabline.functions.labels import erraticness_label
@@ -26,26 +26,38 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
-                 gap_seconds: int = 15, speed: str = "speed", throttle: str = "throttle",
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 gap_seconds: int = 15, speed: str = "speed", throttle: str = "throttle") -> DataFrame:
     """Segments that end where a key has no data for more than ``gap_seconds``.
 
     Same sessions as ``session_window(ts, gap)`` (events exactly one gap apart
-    stay together), but computed with bucketed scans so one busy vehicle is
-    not a single task: (1) previous time per key, (2) start of the current
-    segment per key, (3) one aggregate per (key, segment start).
+    stay together).  Time is cut into buckets one gap wide: two events in one
+    bucket are less than a gap apart, so a segment can only start at the
+    first event of a bucket.  Hence:
+
+    1. per (key, bucket): first and last instant -- a partial aggregate, so a
+       vehicle with a third of all events contributes at most
+       (time span / gap) rows, whatever its event rate;
+    2. per key over those rows: a bucket starts a segment when its first
+       event is more than a gap after the previous bucket's last one; every
+       bucket gets the start of its segment;
+    3. events join their bucket's segment start (rows shuffled once) and are
+       aggregated per (key, segment start).
     """
-    bucket = time_bucket(ts, bucket_seconds)
-    prev = segmented_scan(events, [key], [F.col(ts)], bucket,
-                          lasts={"__prev": F.col(ts)}, inclusive=False)
-    gap = F.lit(int(gap_seconds) * 1_000_000)
-    starts = prev.withColumn(
-        "__start", F.col("__prev").isNull() | ((epoch_micros(ts) - epoch_micros("__prev")) > gap))
-    order = [F.col(ts), F.when(F.col("__start"), 0).otherwise(1)]
-    seg = segmented_scan(starts, [key], order, bucket,
-                         lasts={"__seg": F.when(F.col("__start"), F.col(ts))}, inclusive=True)
-    out = seg.groupBy(key, "__seg").agg(*segment_stats(ts, speed, throttle),
-                                         F.max(ts).alias("end_time"))
+    gap_us = int(gap_seconds) * 1_000_000
+    b = F.floor(epoch_micros(ts) / F.lit(gap_us))
+    e = events.withColumn("__b", b)
+    buckets = e.groupBy(key, "__b").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    w = Window.partitionBy(key).orderBy("__b")
+    prev_last = F.lag("__last").over(w)
+    starts = buckets.withColumn(
+        "__is_start",
+        prev_last.isNull() | ((epoch_micros("__first") - epoch_micros(prev_last)) > F.lit(gap_us)))
+    seg_start = F.last(F.when(F.col("__is_start"), F.col("__first")), ignorenulls=True) \
+        .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    mapping = starts.select(key, "__b", seg_start.alias("__seg"))
+    joined = e.join(mapping, on=[key, "__b"], how="inner")
+    out = joined.groupBy(key, "__seg").agg(*segment_stats(ts, speed, throttle),
+                                           F.max(ts).alias("end_time"))
     return with_label(out.drop("__seg"))
 
 

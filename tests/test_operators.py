@@ -46,10 +46,9 @@ def _cars(spark, rows):
 def test_gap_segments_boundary(spark):
     ev = _cars(spark, [(1, 0, 10.0, 1.0), (1, 15, 20.0, 3.0),      # exactly 15 s: together
                        (1, 31, 30.0, 5.0), (1, 40, 35.9, 5.0)])   # 16 s: new segment
-    for width in (1, 10, 86400):
-        got = sorted((r.length, r.max_speed, round(r.erraticness, 6), r.label)
-                     for r in segments.gap_segments(ev, gap_seconds=15, bucket_seconds=width).collect())
-        assert got == [(2, 20, 1.0, "calm"), (2, 35, 0.0, "calm")]
+    got = sorted((r.length, r.max_speed, round(r.erraticness, 6), r.label)
+                 for r in segments.gap_segments(ev, gap_seconds=15).collect())
+    assert got == [(2, 20, 1.0, "calm"), (2, 35, 0.0, "calm")]
 
 
 def test_stopped_segments_rules(spark):
