@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.operators.rides import event_time
@@ -23,19 +23,27 @@ def _fare_side(fares: DataFrame) -> DataFrame:
                         "payment_type", "tip", "tolls", "total_fare")
 
 
-def latest_per_ride(df: DataFrame, time_col) -> DataFrame:
-    """Keep one row per ride_id: the one with the greatest event time.
+def latest_per_ride(df: DataFrame, time_col: str, key: str = "ride_id") -> DataFrame:
+    """Keep one row per key: the one with the greatest event time (then greatest row).
 
-    Partitioned by ride_id, the key the following join uses, so the join
-    needs no second shuffle of this side.
+    A grouped ``max_by`` rather than a per-key window: it is combined on the
+    map side, so even a key holding a third of the rows is reduced before the
+    shuffle, and its hash partitioning on the key is reused by the join.
     """
-    w = Window.partitionBy("ride_id").orderBy(F.col(time_col).desc() if isinstance(time_col, str)
-                                              else time_col.desc())
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    others = [c for c in df.columns if c != key]
+    best = F.max_by(F.struct(*[F.col(c) for c in others]),
+                    F.struct(F.col(time_col), *[F.col(c) for c in others if c != time_col]))
+    return df.groupBy(key).agg(best.alias("__row")).select(key, *[F.col(f"__row.{c}").alias(c)
+                                                                 for c in others])
 
 
-def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = None) -> DataFrame:
-    """(ride, fare) for every START ride that has a fare with the same ride_id."""
+def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "latest") -> DataFrame:
+    """(ride, fare) for every START ride that has a fare with the same ride_id.
+
+    The original keeps one waiting element per side and id, so one id never
+    pairs many rides with many fares; ``dedupe='latest'`` (default) keeps the
+    latest START ride and fare per id before joining, ``None`` joins as is.
+    """
     r = rides.where(F.col("is_start"))
     f = fares
     if dedupe == "latest":
@@ -50,7 +58,7 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = No
 
 
 def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
-                      dedupe: str | None = None) -> DataFrame:
+                      dedupe: str | None = "latest") -> DataFrame:
     """Full outer pairing with an ``outcome`` column.
 
     A ride and a fare with the same ride_id match when their event times are
@@ -62,8 +70,9 @@ def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int
     f = _fare_side(fares)
     if dedupe == "latest":
         r = latest_per_ride(r, "ride_time")
-        f = latest_per_ride(f.withColumnRenamed("fare_ride_id", "ride_id"), "fare_start_time") \
-            .withColumnRenamed("ride_id", "fare_ride_id")
+        f = latest_per_ride(f, "fare_start_time", key="fare_ride_id")
+    elif dedupe is not None:
+        raise ValueError(f"unknown dedupe mode {dedupe!r} (batch supports 'latest')")
     wait = F.make_dt_interval(secs=F.lit(int(max_wait_seconds)))
     cond = ((r["ride_id"] == f["fare_ride_id"])
             & (r["ride_time"] >= f["fare_start_time"] - wait)
