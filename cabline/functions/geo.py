@@ -13,6 +13,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cabline._shipping import ship_by_value
+
+# Code in this module runs inside Python workers: ship it with the task, so
+# executors need no installed copy of the package.
+ship_by_value(__name__)
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original job's constants for equal results):
 # the NYC bounding box, the grid overlay and the length of one degree.

@@ -12,6 +12,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import (FloatType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from cabline._shipping import ship_by_value
+
+# Code in this module runs inside Python workers: ship it with the task, so
+# executors need no installed copy of the package.
+ship_by_value(__name__)
+
 EXPIRING_OUTPUT = StructType([
     StructField("ride_id", LongType()),
     StructField("outcome", StringType()),
