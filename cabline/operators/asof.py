@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.operators.scan import DEFAULT_BUCKET_SECONDS, segmented_scan, time_bucket
+from cabline.operators.scan import AUTO, scan_bucket, segmented_scan
 
 
 def asof_enrich(trades: DataFrame, customers: DataFrame, key: str = "customer_id",
                 ts: str = "ts", info: str = "customer_info",
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: float | str = AUTO) -> DataFrame:
     """Left as-of join of trades to customers on ``key`` and ``customer.ts <= trade.ts``.
 
     Both inputs are tagged and unioned, then one bucketed scan per key carries
@@ -26,7 +26,7 @@ def asof_enrich(trades: DataFrame, customers: DataFrame, key: str = "customer_id
                          F.lit(0).alias("__side"))
     u = t.unionByName(c, allowMissingColumns=True)
     scanned = segmented_scan(u, [key], [F.col(ts), F.col("__side")],
-                             time_bucket(ts, bucket_seconds),
+                             scan_bucket(u, [key], ts, bucket_seconds),
                              lasts={"__match": F.col("__cust")}, inclusive=True)
     return scanned.where(F.col("__side") == 1).select(
         *trade_cols, F.col("__match.ts").alias("customer_ts"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.functions.geo import in_nyc
-from cabline.operators.scan import DEFAULT_BUCKET_SECONDS, segmented_scan, time_bucket
+from cabline.operators.scan import AUTO, scan_bucket, segmented_scan
 
 
 def cleanse(rides: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def sort_rides(rides: DataFrame) -> DataFrame:
 
 
 def ride_sequence(rides: DataFrame, key: str = "driver_id", name: str = "seq",
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: float | str = AUTO) -> DataFrame:
     """Position (1-based) of each ride record in its key's ride order.
 
     Same numbers as ``row_number()`` over (key) ordered by event time, START
@@ -48,5 +48,5 @@ def ride_sequence(rides: DataFrame, key: str = "driver_id", name: str = "seq",
     """
     r = rides if "event_time" in rides.columns else with_event_time(rides)
     order = [F.col("event_time"), F.when(F.col("is_start"), 0).otherwise(1), F.col("ride_id")]
-    return segmented_scan(r, [key], order, time_bucket("event_time", bucket_seconds),
+    return segmented_scan(r, [key], order, scan_bucket(r, [key], "event_time", bucket_seconds),
                           sums={name: F.lit(1).cast("long")}, inclusive=True)

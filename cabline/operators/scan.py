@@ -13,6 +13,14 @@ work.  ``segmented_scan`` splits every key into time buckets:
 The result is exact: for every row the running value over all earlier rows of
 its key, whatever the bucket width.  The width only trades summary size
 against the size of one (key, bucket) partition.
+
+A fixed width bounds a (key, bucket) partition only by the key's event rate:
+a key with a third of 100 TB puts tens of GB into one day.  ``bucket_seconds
+='auto'`` therefore measures the densest (key, minute) of the input with one
+map-side-combined aggregate (only its maximum, one number, reaches the driver)
+and picks the widest bucket in which no key holds more than
+``TARGET_BUCKET_ROWS`` rows.  Rows of one key at one and the same instant are
+not split (a bucket cannot be narrower than the clock).
 """
 
 from __future__ import annotations
@@ -22,6 +30,11 @@ from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
 DEFAULT_BUCKET_SECONDS = 86400
+AUTO = "auto"
+# Rows one task sorts and scans for one (key, bucket); sized to stay in memory.
+TARGET_BUCKET_ROWS = 2_000_000
+# Granularity at which the input's densest key is measured.
+PROBE_SECONDS = 60
 
 
 def epoch_micros(ts) -> Column:
@@ -29,9 +42,41 @@ def epoch_micros(ts) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def time_bucket(ts, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
+def time_bucket(ts, seconds: float = DEFAULT_BUCKET_SECONDS) -> Column:
     """Bucket number of an instant; monotone in time, so it can split an ordered scan."""
-    return F.floor(epoch_micros(ts) / F.lit(int(seconds) * 1_000_000))
+    width_us = max(1, int(round(float(seconds) * 1_000_000)))
+    return F.floor(epoch_micros(ts) / F.lit(width_us))
+
+
+def densest_bucket_rows(df: DataFrame, keys: list[str], ts, seconds: float = PROBE_SECONDS) -> int:
+    """Largest number of rows one key has in one bucket of ``seconds`` (0 if empty)."""
+    counts = df.groupBy(*[F.col(k) for k in keys], time_bucket(ts, seconds).alias("__probe")).count()
+    top = counts.agg(F.max("count").alias("m")).first()
+    return int(top["m"] or 0)
+
+
+def auto_bucket_seconds(df: DataFrame, keys: list[str], ts,
+                        target_rows: int = TARGET_BUCKET_ROWS,
+                        probe_seconds: int = PROBE_SECONDS,
+                        max_seconds: int = DEFAULT_BUCKET_SECONDS) -> float:
+    """Widest bucket (at most ``max_seconds``) holding about ``target_rows`` rows of any key.
+
+    Widths of whole probe intervals are aligned with them, so the bound is
+    exact there; below one probe interval the rate inside it is taken as even.
+    """
+    densest = densest_bucket_rows(df, keys, ts, probe_seconds)
+    if densest <= 0:
+        return float(max_seconds)
+    if densest <= target_rows:
+        return float(min(max_seconds, probe_seconds * (target_rows // densest)))
+    return max(1e-6, probe_seconds * target_rows / densest)
+
+
+def scan_bucket(df: DataFrame, keys: list[str], ts, seconds) -> Column:
+    """Bucket column for ``segmented_scan``; ``seconds='auto'`` sizes it from the data."""
+    if seconds == AUTO:
+        seconds = auto_bucket_seconds(df, keys, ts)
+    return time_bucket(ts, seconds)
 
 
 def with_bucket(df: DataFrame, keys: list[str], ts, seconds: int = DEFAULT_BUCKET_SECONDS,

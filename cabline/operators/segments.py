@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabline.functions.labels import erraticness_label
-from cabline.operators.scan import DEFAULT_BUCKET_SECONDS, epoch_micros, segmented_scan, time_bucket
+from cabline.operators.scan import AUTO, epoch_micros, scan_bucket, segmented_scan
 
 
 def segment_stats(ts: str = "ts", speed: str = "speed", throttle: str = "throttle") -> list[Column]:
@@ -63,7 +63,7 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
 
 def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
                      speed: str = "speed", throttle: str = "throttle",
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     bucket_seconds: float | str = AUTO) -> DataFrame:
     """Segments cut at every stop (speed == 0.0).
 
     A segment holds the events strictly after one stop and strictly before the
@@ -73,7 +73,7 @@ def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     stop = (F.col(speed) == F.lit(0.0)).cast("int")
     order = [F.col(ts), F.lit(1) - stop]   # stops first among equal times
     scanned = segmented_scan(events.withColumn("__stop", stop), [key], order,
-                             time_bucket(ts, bucket_seconds),
+                             scan_bucket(events, [key], ts, bucket_seconds),
                              sums={"__seg": F.col("__stop").cast("long")},
                              lasts={"__last_stop": F.when(F.col("__stop") == 1, F.col(ts))},
                              inclusive=True)

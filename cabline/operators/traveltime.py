@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.functions.geo import direction, direction_bucket, distance
-from cabline.operators.scan import DEFAULT_BUCKET_SECONDS, epoch_micros, segmented_scan, time_bucket
+from cabline.operators.scan import AUTO, epoch_micros, scan_bucket, segmented_scan
 
 # Fixed value: a slope needs at least two points and sum(x*x) >= 10 * Double.MIN_VALUE.
 MIN_POINTS = 2
@@ -51,7 +51,7 @@ def predict(model: DataFrame, rides: DataFrame, bucket: str = "bucket",
 
 
 def running_predictions(samples: DataFrame,
-                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                        bucket_seconds: float | str = AUTO) -> DataFrame:
     """Predict each ride from the rides of its bucket finished before it, then refine.
 
     Only 8 direction buckets exist, so a per-bucket window would use 8 tasks;
@@ -59,7 +59,7 @@ def running_predictions(samples: DataFrame,
     """
     x, y = F.col("distance"), F.col("travel_minutes")
     s = segmented_scan(samples, ["bucket"], [F.col("end_time"), F.col("ride_id")],
-                       time_bucket("end_time", bucket_seconds),
+                       scan_bucket(samples, ["bucket"], "end_time", bucket_seconds),
                        sums={"__n": F.lit(1).cast("long"), "__sxy": x * y, "__sxx": x * x},
                        inclusive=False)
     slope = _slope(F.col("__n"), F.col("__sxy"), F.col("__sxx"))

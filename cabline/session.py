@@ -60,14 +60,21 @@ def get_spark(master: str | None = None, app: str = "cabline",
 def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and must be a shared file system;
-    we only create a scratch folder when nothing is configured (local tests).
+    On a cluster this must be set by whoever runs it, on a file system every
+    executor reaches; we never fall back to a machine-local folder there.
+    Only a local-mode session (tests, one machine) gets a scratch folder when
+    nothing is configured.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(e.g. on HDFS or an object store) for checkpoints")
         base = tempfile.mkdtemp(prefix="cabline-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
+    base = sc.getCheckpointDir()
     if sub:
         return base.rstrip("/") + "/" + sub
     return base

@@ -7,6 +7,8 @@ reaches an element's deadline, so state never outlives the watermark.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (FloatType, LongType, StringType, StructField, StructType,
@@ -36,6 +38,12 @@ def _us(ts) -> int:
     return int(pd.Timestamp(ts).value // 1000)
 
 
+def _us_series(ts: pd.Series) -> list[int]:
+    """Epoch microseconds of a timestamp column (naive or UTC-aware, any unit)."""
+    t = pd.to_datetime(ts, utc=True)
+    return ((t - pd.Timestamp(0, tz="UTC")) // pd.Timedelta(1, "us")).tolist()
+
+
 def _ts(us: int | None):
     return None if us is None else pd.Timestamp(int(us) * 1000)
 
@@ -145,8 +153,10 @@ class AsofProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = pd.concat(list(rows), ignore_index=True)
-        custs = [(_us(r.ts), r.info) for r in batch.itertuples(index=False) if r.side == 0]
-        trades = [(_us(r.ts), r.info) for r in batch.itertuples(index=False) if r.side == 1]
+        t_us = _us_series(batch["ts"])
+        sides, infos = batch["side"].tolist(), batch["info"].tolist()
+        custs = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 0]
+        trades = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 1]
         if custs:
             self.customers.appendList(custs)
         if trades:
@@ -165,14 +175,11 @@ class AsofProcessor(StatefulProcessor):
         custs = sorted(self.customers.get()) if self.customers.exists() else []
         ready = [p for p in pending if p[0] <= due_us]
         waiting = [p for p in pending if p[0] > due_us]
+        times = [c[0] for c in custs]
         out = []
         for t_us, info in ready:
-            best = None
-            for c in custs:
-                if c[0] <= t_us:
-                    best = c
-                else:
-                    break
+            i = bisect_right(times, t_us)      # customers at or before the trade
+            best = custs[i - 1] if i else None
             out.append({"customer_id": cid, "trade_ts": _ts(t_us), "trade_info": info,
                         "customer_ts": _ts(best[0]) if best else None,
                         "customer_info": best[1] if best else None})

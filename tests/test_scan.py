@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cabline.operators.scan import segmented_scan, time_bucket
+from cabline.operators.scan import (PROBE_SECONDS, auto_bucket_seconds, densest_bucket_rows,
+                                    segmented_scan, time_bucket)
 from cabline.sources import fixtures as fx
 from tests.conftest import SF_CHECK
 
@@ -19,7 +20,7 @@ def hot(spark):
                      "ts", "event_id", "value", "event_type")
 
 
-@pytest.mark.parametrize("width", [600, 86400, 30 * 86400])
+@pytest.mark.parametrize("width", [7.5, 600, 86400, 30 * 86400])
 def test_running_sum_and_last_match_window(spark, hot, width):
     order = [F.col("ts"), F.col("event_id")]
     got = segmented_scan(hot, ["k"], order, time_bucket("ts", width),
@@ -44,3 +45,19 @@ def test_hot_key_is_split_over_partitions(spark, hot):
     """The per-(key, bucket) window spreads the hot key over many partitions."""
     b = hot.where("k = 0").select(time_bucket("ts", 86400).alias("b")).distinct().count()
     assert b >= 28
+
+
+def test_auto_width_bounds_every_key_bucket(spark, hot):
+    """The chosen width keeps every (key, bucket) at or below the target, hot key included."""
+    densest = densest_bucket_rows(hot, ["k"], "ts")
+    assert densest >= 1
+    target = densest * 3
+    width = auto_bucket_seconds(hot, ["k"], "ts", target_rows=target)
+    assert width == 3 * PROBE_SECONDS
+    top = hot.groupBy("k", time_bucket("ts", width).alias("b")).count() \
+        .agg(F.max("count")).first()[0]
+    assert top <= target
+    # a target below the densest minute gives a sub-minute width
+    assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=1) <= PROBE_SECONDS / densest
+    # sparse input: capped at one day
+    assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=10**9) == 86400
