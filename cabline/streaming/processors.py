@@ -161,8 +161,11 @@ class AsofProcessor(StatefulProcessor):
             self.customers.appendList(custs)
         if trades:
             self.pending.appendList(trades)
-            for t_us in sorted({t for t, _ in trades}):
-                self.handle.registerTimer(_ceil_ms(t_us))
+        # trades are released, and superseded customer records pruned, when the
+        # watermark passes them; a key that only ever gets customer records
+        # would otherwise keep all of them
+        for t in sorted({_ceil_ms(t) for t, _ in custs + trades}):
+            self.handle.registerTimer(t)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
