@@ -169,6 +169,31 @@ def _cells_on_way_udf(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series
     return pd.Series(walk_cells(x1.to_numpy(), y1.to_numpy(), x2.to_numpy(), y2.to_numpy()))
 
 
+def walk_deltas(dx, dy) -> list[np.ndarray]:
+    """Cell-id steps ``ox + 250*oy`` of the walk from a cell to the cell (dx, dy) away, dx >= 0.
+
+    The step rule only looks at offsets from the start, so the walk from
+    (x, y) to (x+dx, y+dy) is the cells ``x + 250*y + delta`` (checked against
+    the absolute walk over every offset of the grid).  Inside the NYC box
+    there are at most 250 x 801 offsets, so walking each once bounds the
+    Python work by the grid, not by the number of rides.
+    """
+    dx = np.asarray(dx, dtype=np.int64)
+    dy = np.asarray(dy, dtype=np.int64)
+    zero = np.zeros_like(dx)
+    return walk_cells(zero, zero, dx, dy)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _walk_deltas_udf(dx: pd.Series, dy: pd.Series) -> pd.Series:
+    return pd.Series(walk_deltas(dx.to_numpy(), dy.to_numpy()))
+
+
+def walk_deltas_of(dx, dy) -> Column:
+    """Steps of the walk over an offset (array<int>), Arrow-batched."""
+    return _walk_deltas_udf(_c(dx), _c(dy))
+
+
 def cells_on_way(lon1, lat1, lon2, lat2) -> Column:
     """Cell ids on the way between two points (array<int>), Arrow-batched."""
     return _cells_on_way_udf(cell_x(lon1), cell_y(lat1), cell_x(lon2), cell_y(lat2))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.functions.geo import (cell_center_lat, cell_center_lon, cell_x, cell_y,
-                                   cells_on_way_xy, in_nyc, to_cell)
+from cabline.functions.geo import (GRID_X, cell_center_lat, cell_center_lon, cell_x, cell_y,
+                                   in_nyc, to_cell, walk_deltas_of)
+from cabline.operators.joins import bound_rows, join_with_bound
 from cabline.operators.rides import event_time
 
+# Bytes of one (dx, dy, step) row in a broadcast hash table, with overhead.
+STEP_ROW_BYTES = 64
+
 
 def rides_per_cell(rides: DataFrame, size: str = "1 hour") -> DataFrame:
     """Ride starts and ends per grid cell and window, with the cell centre."""
@@ -27,14 +31,30 @@ def rides_per_cell(rides: DataFrame, size: str = "1 hour") -> DataFrame:
 def cell_traffic(pairs: DataFrame) -> DataFrame:
     """Number of rides whose straight path crosses each cell.
 
-    Rides are first counted per (start cell, end cell) -- map-side combined --
-    so every distinct path is walked once, in Arrow batches, whatever the
-    number of rides on it; the walk's cells are then weighted and summed.
+    1. Rides become paths: start cell and offset (dx >= 0, ends swapped as
+       the walk does), counted per path with map-side combine.
+    2. The distinct offsets -- at most 250 x 801 inside the box, whatever the
+       data size -- are walked once each, in Arrow batches, into cell-id steps.
+    3. Paths join their offset's steps, and ``start cell + step`` is summed
+       per cell, again combined map-side.  The steps are broadcast only when
+       their proven row bound fits the broadcast threshold (Spark's estimate
+       of an exploded Python result is far too small), else sort-merge joined.
     """
     p = pairs.where(in_nyc("start_lon", "start_lat") & in_nyc("end_lon", "end_lat"))
-    p = p.select(cell_x("start_lon").alias("x1"), cell_y("start_lat").alias("y1"),
-                 cell_x("end_lon").alias("x2"), cell_y("end_lat").alias("y2"))
-    paths = p.groupBy("x1", "y1", "x2", "y2").agg(F.count(F.lit(1)).alias("weight"))
-    cells = paths.select(F.explode(cells_on_way_xy("x1", "y1", "x2", "y2")).alias("cell_id"),
+    x1, y1 = cell_x("start_lon"), cell_y("start_lat")
+    x2, y2 = cell_x("end_lon"), cell_y("end_lat")
+    swap = x1 > x2
+    sx, sy = F.when(swap, x2).otherwise(x1), F.when(swap, y2).otherwise(y1)
+    paths = (p.select((sx + F.lit(GRID_X) * sy).cast("long").alias("start_cell"),
+                      F.abs(x2 - x1).cast("long").alias("dx"),
+                      F.when(swap, y1 - y2).otherwise(y2 - y1).cast("long").alias("dy"))
+             .groupBy("start_cell", "dx", "dy").agg(F.count(F.lit(1)).alias("weight")))
+    shapes = paths.select("dx", "dy").distinct()
+    steps = shapes.select("dx", "dy", F.explode(walk_deltas_of("dx", "dy")).alias("step"))
+    # a walk has at most dx + |dy| + 1 cells: an exact bound on the steps
+    # table, from one aggregate over the shapes (no walk needed)
+    max_steps = bound_rows(shapes, F.sum(F.col("dx") + F.abs("dy") + F.lit(1)))
+    cells = join_with_bound(paths, steps, ["dx", "dy"], "inner", max_steps, STEP_ROW_BYTES)
+    cells = cells.select((F.col("start_cell") + F.col("step")).cast("int").alias("cell_id"),
                          "weight")
     return cells.groupBy("cell_id").agg(F.sum("weight").alias("rides"))

@@ -102,3 +102,16 @@ def test_sql_functions(spark):
     plan = spark.sql("SELECT is_in_nyc(CAST(-73.8 AS FLOAT), CAST(40.7 AS FLOAT))") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_walk_depends_only_on_the_offset():
+    """Shifting a walk's start shifts every cell: walk = start cell + steps of its offset."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    dx, dy = rng.integers(0, 250, 3000), rng.integers(-400, 401, 3000)
+    sx, sy = rng.integers(0, 250, 3000), rng.integers(0, 401, 3000)
+    absolute = geo.walk_cells(sx, sy, sx + dx, sy + dy)
+    steps = geo.walk_deltas(dx, dy)
+    for i in range(3000):
+        assert list(absolute[i]) == list(steps[i] + sx[i] + geo.GRID_X * sy[i])
+        assert len(steps[i]) <= dx[i] + abs(dy[i]) + 1

@@ -1,0 +1,44 @@
+"""Broadcast only behind a proven size bound; beyond it, a sort-merge join."""
+
+import pytest
+
+from cabline.operators import cells
+from cabline.operators.joins import broadcast_threshold, fits_broadcast, join_with_bound
+from cabline.plans.queries import QUERIES
+from tests.conftest import SF_SMALL
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def threshold(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    yield lambda v: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", v)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_threshold_parsing(spark, threshold):
+    threshold("10MB")
+    assert broadcast_threshold(spark) == 10 << 20
+    threshold("-1")
+    assert broadcast_threshold(spark) == -1
+    assert not fits_broadcast(spark, 1, 1)
+
+
+def test_join_broadcasts_only_within_the_bound(spark, threshold):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    threshold("1MB")
+    assert "BroadcastHashJoin" in _plan(join_with_bound(big, small, "k", "inner", 10, 64))
+    # the same small table with a bound beyond the threshold is shuffled instead
+    p = _plan(join_with_bound(big, small, "k", "inner", 10**9, 64))
+    assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+
+
+def test_cell_traffic_walk_steps_are_not_broadcast_on_the_estimate(spark, threshold):
+    # below one step row, the walk steps (estimated small by Spark) must be shuffled
+    threshold(f"{cells.STEP_ROW_BYTES - 1}b")
+    p = _plan(QUERIES["cell_traffic"](spark, SF_SMALL))
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
