@@ -197,7 +197,3 @@ def walk_deltas_of(dx, dy) -> Column:
 def cells_on_way(lon1, lat1, lon2, lat2) -> Column:
     """Cell ids on the way between two points (array<int>), Arrow-batched."""
     return _cells_on_way_udf(cell_x(lon1), cell_y(lat1), cell_x(lon2), cell_y(lat2))
-
-
-def cells_on_way_xy(x1, y1, x2, y2) -> Column:
-    return _cells_on_way_udf(_c(x1), _c(y1), _c(x2), _c(y2))

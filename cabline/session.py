@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small shuffles are still coalesced, but not below 256 KB per task, so a
+    # CPU-heavy stage after a small shuffle (parsing, path expansion) keeps
+    # several tasks; large inputs are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # Fall back from whole-stage codegen when a generated method is larger than
