@@ -35,16 +35,24 @@ def hourly_max_tips(fares: DataFrame, delay: str = HOURLY_TIPS_DELAY) -> DataFra
     return tips.label_with_window_end(tips.hourly_max(tips.hourly_tips(f)))
 
 
+def _dedupe_stream(df: DataFrame, dedupe: str | None, key: str = "ride_id") -> DataFrame:
+    """One element per id, like the original's single waiting element per key.
+
+    ``'first'`` keeps the first arrival (state bounded by the watermark), so a
+    duplicated id never pairs every copy with every partner; ``None`` keeps all.
+    """
+    if dedupe == "first":
+        return df.dropDuplicatesWithinWatermark([key])
+    if dedupe is not None:
+        raise ValueError("streaming supports dedupe='first' or None")
+    return df
+
+
 def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_FARES_DELAY,
-                     max_gap: str = "1 hour", dedupe: str | None = None) -> DataFrame:
+                     max_gap: str = "1 hour", dedupe: str | None = "first") -> DataFrame:
     """Stream-stream inner join on ride_id, bounded in time so join state is dropped."""
-    r = with_watermark(R.start_events(rides), "start_time", delay)
-    f = with_watermark(fares, "start_time", delay)
-    if dedupe == "first":
-        r = r.dropDuplicatesWithinWatermark(["ride_id"])
-        f = f.dropDuplicatesWithinWatermark(["ride_id"])
-    elif dedupe is not None:
-        raise ValueError("streaming supports dedupe='first' only")
+    r = _dedupe_stream(with_watermark(R.start_events(rides), "start_time", delay), dedupe)
+    f = _dedupe_stream(with_watermark(fares, "start_time", delay), dedupe)
     fs = enrich._fare_side(f)
     gap = F.expr(f"INTERVAL {max_gap}")
     cond = ((r["ride_id"] == fs["fare_ride_id"])
@@ -56,16 +64,18 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_
 
 
 def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
-                        delay: str = "0 seconds", loss_modulus: int | None = 1000) -> DataFrame:
+                        delay: str = "0 seconds", loss_modulus: int | None = 1000,
+                        dedupe: str | None = "first") -> DataFrame:
     """Variant (a): full outer stream-stream join with a time bound.
 
     Unmatched rows come out once the watermark passes them, with the same
     ``outcome`` column as the batch job.
     """
     r = rides if loss_modulus is None else R.start_events_with_loss(rides, loss_modulus)
-    r = with_watermark(R.with_event_time(r).withColumnRenamed("event_time", "ride_time"),
-                       "ride_time", delay)
-    f = with_watermark(fares, "start_time", delay)
+    r = _dedupe_stream(with_watermark(
+        R.with_event_time(r).withColumnRenamed("event_time", "ride_time"), "ride_time", delay),
+        dedupe)
+    f = _dedupe_stream(with_watermark(fares, "start_time", delay), dedupe)
     fs = enrich._fare_side(f)
     wait = F.expr(f"INTERVAL {int(max_wait_seconds)} SECONDS")
     cond = ((r["ride_id"] == fs["fare_ride_id"])

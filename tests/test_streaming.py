@@ -135,6 +135,24 @@ def test_rides_with_fares_stream_equals_batch(spark, scratch):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+def test_stream_pairs_once_per_duplicated_id(spark, scratch):
+    """Duplicated START rides and fares still give one pair per id (first arrival kept)."""
+    ev = fx.load_events(spark, SF_SMALL)
+    r = fx.rides(ev).withColumns({"start_time": F.col("start_time").cast("timestamp"),
+                                  "end_time": F.col("end_time").cast("timestamp")})
+    f = fx.fares_for_rides(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    r2 = r.unionByName(r.where("is_start AND ride_id % 5 = 1"))
+    f2 = f.unionByName(f.where("ride_id % 5 = 1"))
+    rd, rs = _stream_dir(spark, scratch, "rides", R.with_event_time(r2), "event_time")
+    fd, fs = _stream_dir(spark, scratch, "fares", f2, "start_time")
+    s = jobs.rides_with_fares(parquet_stream(spark, rd, rs, 1).drop("event_time"),
+                              parquet_stream(spark, fd, fs, 1))
+    got = _run(s, "rwf_dups", os.path.join(scratch, "ck"))
+    per_id = got.groupBy("ride_id").count()
+    assert per_id.where("count > 1").count() == 0
+    assert per_id.count() == enrich.rides_with_fares(r, f).count()
+
+
 def _pair_inputs(spark, scratch):
     ev = fx.load_events(spark, SF_SMALL)
     r = fx.rides(ev).withColumns({"start_time": F.col("start_time").cast("timestamp"),
