@@ -93,17 +93,22 @@ def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: in
 
 
 def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
-                            delay: str = "0 seconds", loss_modulus: int | None = 1000) -> DataFrame:
-    """Variant (b): keyed state + event-time timers (transformWithState)."""
+                            delay: str = "0 seconds", loss_modulus: int | None = 1000,
+                            dedupe: str | None = "first") -> DataFrame:
+    """Variant (b): keyed state + event-time timers (transformWithState).
+
+    With ``dedupe='first'`` a key's group holds at most one ride and one fare
+    per micro-batch, whatever the number of copies of an id.
+    """
     r = rides if loss_modulus is None else R.start_events_with_loss(rides, loss_modulus)
     r = R.with_event_time(r)
-    rt = with_watermark(r.select(
+    rt = _dedupe_stream(with_watermark(r.select(
         "ride_id", F.lit("R").alias("side"), F.col("event_time").alias("t"), "driver_id",
         F.lit(None).cast("float").alias("tip"), F.lit(None).cast("string").alias("payment_type")),
-        "t", delay)
-    ft = with_watermark(fares.select(
+        "t", delay), dedupe)
+    ft = _dedupe_stream(with_watermark(fares.select(
         "ride_id", F.lit("F").alias("side"), F.col("start_time").alias("t"), "driver_id", "tip",
-        "payment_type"), "t", delay)
+        "payment_type"), "t", delay), dedupe)
     u = rt.unionByName(ft)
     return u.groupBy("ride_id").transformWithStateInPandas(
         statefulProcessor=processors.ExpiringPairProcessor(max_wait_seconds),

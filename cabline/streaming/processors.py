@@ -152,20 +152,25 @@ class AsofProcessor(StatefulProcessor):
         self.pending = handle.getListState("pending", _RECORD)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True)
-        t_us = _us_series(batch["ts"])
-        sides, infos = batch["side"].tolist(), batch["info"].tolist()
-        custs = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 0]
-        trades = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 1]
-        if custs:
-            self.customers.appendList(custs)
-        if trades:
-            self.pending.appendList(trades)
-        # trades are released, and superseded customer records pruned, when the
-        # watermark passes them; a key that only ever gets customer records
-        # would otherwise keep all of them
-        for t in sorted({_ceil_ms(t) for t, _ in custs + trades}):
-            self.handle.registerTimer(t)
+        # one Arrow chunk at a time: a hot customer's rows are never all in memory
+        earliest = None
+        for chunk in rows:
+            t_us = _us_series(chunk["ts"])
+            sides, infos = chunk["side"].tolist(), chunk["info"].tolist()
+            custs = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 0]
+            trades = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 1]
+            if custs:
+                self.customers.appendList(custs)
+            if trades:
+                self.pending.appendList(trades)
+            if t_us:
+                earliest = min(t_us) if earliest is None else min(earliest, min(t_us))
+        # One timer at the earliest new time (re-armed when it fires) releases
+        # trades and prunes superseded customer records once the watermark
+        # passes them -- also for keys that only ever get customer records --
+        # without one timer per distinct instant of a hot key.
+        if earliest is not None:
+            self.handle.registerTimer(_ceil_ms(earliest))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -196,6 +201,9 @@ class AsofProcessor(StatefulProcessor):
             self.customers.put(keep)
         else:
             self.customers.clear()
+        later = [t for t, _ in waiting] + [c[0] for c in keep if c[0] > wm_us]
+        if later:
+            self.handle.registerTimer(_ceil_ms(min(later)))
         if out:
             yield _frame(out, ASOF_OUTPUT.names)
 

@@ -63,9 +63,12 @@ def test_customer_only_key_is_pruned_by_timer():
     h = _Handle()
     p.init(h)
     list(p.handleInputRows((0,), iter(_rows(0, [100, 200, 300], ["a", "b", "c"])), None))
-    assert h.timers == {100, 200, 300}
+    assert h.timers == {100}                 # one timer per key, at the earliest time
     assert _fire(p, 250) == []
     assert [i for _, i in h.states["customers"].items] == ["b", "c"]
+    assert 300 in h.timers                   # re-armed for the record still ahead
+    _fire(p, 300)
+    assert [i for _, i in h.states["customers"].items] == ["c"]
 
 
 def test_trades_get_latest_customer_at_or_before():
@@ -82,3 +85,18 @@ def test_trades_get_latest_customer_at_or_before():
                    "t6": "@1600"}
     assert not h.states["pending"].exists()
     assert [i for _, i in h.states["customers"].items] == ["@1600", "@2100"]
+
+
+def test_rows_arrive_in_several_chunks():
+    p = AsofProcessor()
+    h = _Handle()
+    p.init(h)
+    chunks = _rows(0, [0, 500], ["@0", "@500"]) + _rows(1, [400, 900], ["t1", "t2"])
+    list(p.handleInputRows((0,), iter(chunks), None))
+    assert h.timers == {0}
+    assert _fire(p, 450) == [{"customer_id": 0, "trade_ts": pd.Timestamp(400 * 10**6),
+                              "trade_info": "t1", "customer_ts": pd.Timestamp(0),
+                              "customer_info": "@0"}]
+    assert 500 in h.timers
+    out = _fire(p, 1000)
+    assert [(r["trade_info"], r["customer_info"]) for r in out] == [("t2", "@500")]
