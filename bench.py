@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from cabline.plans.queries import QUERIES

@@ -54,3 +54,14 @@ def test_no_pairwise_joins(spark):
 def test_asof_is_one_window_scan_not_a_range_join(spark):
     p = _optimized(QUERIES["trades_asof_customers"](spark, SF_SMALL))
     assert "Window" in p and "Union" in p
+
+
+def test_no_query_funnels_rows_into_one_task(spark):
+    """No plan moves all rows into one task.
+
+    An unpartitioned window, a global sort-free aggregate over raw rows or a
+    global limit all show up as a single-partition exchange.
+    """
+    for name in QUERIES:
+        p = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "SinglePartition" not in p, name
