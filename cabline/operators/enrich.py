@@ -37,12 +37,15 @@ def latest_per_ride(df: DataFrame, time_col: str, key: str = "ride_id") -> DataF
                                                                  for c in others])
 
 
-def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "latest") -> DataFrame:
+def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "latest",
+                     keep_fare_ids: bool = False) -> DataFrame:
     """(ride, fare) for every START ride that has a fare with the same ride_id.
 
     The original keeps one waiting element per side and id, so one id never
     pairs many rides with many fares; ``dedupe='latest'`` (default) keeps the
     latest START ride and fare per id before joining, ``None`` joins as is.
+    ``keep_fare_ids`` also returns the fare's own ``fare_taxi_id`` and
+    ``fare_driver_id`` (to print the whole fare record).
     """
     r = rides.where(F.col("is_start"))
     f = fares
@@ -53,7 +56,8 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "l
         raise ValueError(f"unknown dedupe mode {dedupe!r} (batch supports 'latest')")
     fs = _fare_side(f)
     j = r.join(fs, r["ride_id"] == fs["fare_ride_id"], "inner")
-    return j.select(*[r[c] for c in RIDE_COLS], "fare_start_time", "payment_type", "tip",
+    ids = ["fare_taxi_id", "fare_driver_id"] if keep_fare_ids else []
+    return j.select(*[r[c] for c in RIDE_COLS], *ids, "fare_start_time", "payment_type", "tip",
                     "tolls", "total_fare")
 
 

@@ -71,3 +71,12 @@ def keyed_points(df: DataFrame) -> DataFrame:
 
 def points(df: DataFrame) -> DataFrame:
     return _out(df, F.format_string(DATA_POINT_FORMAT, _str(epoch_ms("ts")), _str("value")))
+
+
+def ride_fare_pairs(df: DataFrame) -> DataFrame:
+    """``(ride,fare)`` lines of joined pairs (needs the fare's ``fare_taxi_id``/``fare_driver_id``)."""
+    p = df.select(ride_line(df).alias("__ride"), "ride_id",
+                  F.col("fare_taxi_id").alias("taxi_id"), F.col("fare_driver_id").alias("driver_id"),
+                  F.col("fare_start_time").alias("start_time"), "payment_type", "tip", "tolls",
+                  "total_fare")
+    return _out(p, F.concat(F.lit("("), F.col("__ride"), F.lit(","), fare_line(p), F.lit(")")))

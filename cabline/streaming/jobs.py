@@ -49,7 +49,8 @@ def _dedupe_stream(df: DataFrame, dedupe: str | None, key: str = "ride_id") -> D
 
 
 def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_FARES_DELAY,
-                     max_gap: str = "1 hour", dedupe: str | None = "first") -> DataFrame:
+                     max_gap: str = "1 hour", dedupe: str | None = "first",
+                     keep_fare_ids: bool = False) -> DataFrame:
     """Stream-stream inner join on ride_id, bounded in time so join state is dropped."""
     r = _dedupe_stream(with_watermark(R.start_events(rides), "start_time", delay), dedupe)
     f = _dedupe_stream(with_watermark(fares, "start_time", delay), dedupe)
@@ -59,8 +60,9 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_
             & (fs["fare_start_time"] >= r["start_time"] - gap)
             & (fs["fare_start_time"] <= r["start_time"] + gap))
     j = r.join(fs, cond, "inner")
-    return j.select(*[r[c] for c in enrich.RIDE_COLS], "fare_start_time", "payment_type", "tip",
-                    "tolls", "total_fare")
+    ids = ["fare_taxi_id", "fare_driver_id"] if keep_fare_ids else []
+    return j.select(*[r[c] for c in enrich.RIDE_COLS], *ids, "fare_start_time", "payment_type",
+                    "tip", "tolls", "total_fare")
 
 
 def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
