@@ -95,13 +95,16 @@ def with_bucket(df: DataFrame, keys: list[str], ts, seconds: int = DEFAULT_BUCKE
 def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
                    sums: dict[str, Column] | None = None,
                    lasts: dict[str, Column] | None = None,
-                   inclusive: bool = True, keep_bucket: bool = False) -> DataFrame:
+                   inclusive: bool = True, keep_bucket: bool = False,
+                   order_key: Column | None = None) -> DataFrame:
     """Running sums and last-non-null values per key, in ``order``.
 
     ``order`` must start with the instant the bucket is computed from and be
     a total order within a key.  ``bucket`` is either a Column (added here) or
     the name of a column made by ``with_bucket``.  ``inclusive`` decides
-    whether the current row counts.
+    whether the current row counts.  ``order_key``, one numeric column that
+    increases with ``order``, lets the per-bucket summary of ``lasts`` with
+    fixed-width values run as a hash aggregate instead of sorting its input.
     """
     sums = sums or {}
     lasts = lasts or {}
@@ -131,8 +134,8 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
     #     exclusive prefix over earlier buckets
     aggs = [F.sum(v).alias(f"__t_{n}") for n, v in sums.items()]
     if lasts:
-        order_struct = F.struct(*order_cols)
-        aggs += [F.max_by(v, F.when(v.isNotNull(), order_struct)).alias(f"__t_{n}")
+        rank = order_key if order_key is not None else F.struct(*order_cols)
+        aggs += [F.max_by(v, F.when(v.isNotNull(), rank)).alias(f"__t_{n}")
                  for n, v in lasts.items()]
     src = df if isinstance(bucket, str) else df.withColumn(b, bucket_col)
     summary = src.groupBy(*keys, b).agg(*aggs)

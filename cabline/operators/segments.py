@@ -76,7 +76,8 @@ def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
                              scan_bucket(events, [key], ts, bucket_seconds),
                              sums={"__seg": F.col("__stop").cast("long")},
                              lasts={"__last_stop": F.when(F.col("__stop") == 1, F.col(ts))},
-                             inclusive=True)
+                             inclusive=True,
+                             order_key=epoch_micros(ts) * F.lit(2) + (F.lit(1) - stop))
     kept = scanned.where((F.col("__stop") == 0)
                          & (F.col("__last_stop").isNull() | (F.col("__last_stop") != F.col(ts))))
     out = kept.groupBy(key, F.col("__seg").alias("segment")).agg(*segment_stats(ts, speed, throttle))

@@ -61,3 +61,16 @@ def test_auto_width_bounds_every_key_bucket(spark, hot):
     assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=1) <= PROBE_SECONDS / densest
     # sparse input: capped at one day
     assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=10**9) == 86400
+
+
+def test_order_key_gives_the_same_result_with_a_hash_summary(spark, hot):
+    order = [F.col("ts"), F.col("event_id")]
+    lasts = {"last_view": F.when(F.col("event_type") == "view", F.col("event_id"))}
+    key = F.col("event_id")      # ts never decreases in event_id order (FIXTURES.md §4)
+    a = segmented_scan(hot, ["k"], order, time_bucket("ts", 3600), lasts=lasts, inclusive=False)
+    b = segmented_scan(hot, ["k"], order, time_bucket("ts", 3600), lasts=lasts, inclusive=False,
+                       order_key=key)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    diff = a.select("event_id", "last_view").exceptAll(b.select("event_id", "last_view"))
+    assert diff.count() == 0 and b.count() == hot.count()
