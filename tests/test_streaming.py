@@ -78,6 +78,28 @@ def test_hourly_tips_stream_equals_batch(spark, scratch):
     assert got.count() > 100
 
 
+def test_hourly_tips_out_of_order_within_the_delay(spark, scratch):
+    """Rows arrive out of order, each at most ``delay`` after its event time (the
+    original source's bounded disorder): none is late, so stream = batch."""
+    ev = fx.load_events(spark, SF_SMALL)
+    fares = fx.fares_by_driver(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    jitter = (F.col("ride_id") * F.lit(7919)) % F.lit(7200)          # 0 .. 2 h, deterministic
+    arriving = fares.withColumn("emitted", F.col("start_time") + F.make_dt_interval(secs=jitter))
+    sentinel = spark.createDataFrame([(-1, -1, FAR, "0.00")], "a long, b long, c string, d string") \
+        .select(F.col("a").alias("ride_id"), F.col("b").alias("driver_id"),
+                F.col("c").cast("timestamp").alias("start_time"),
+                F.col("d").cast("decimal(18,2)").alias("tip"),
+                F.col("c").cast("timestamp").alias("emitted")).toPandas()
+    d, schema = _stream_dir(spark, scratch, "fares", arriving, "emitted", sentinel, n=8)
+    pdf = arriving.toPandas()
+    assert not pdf.sort_values("emitted")["start_time"].is_monotonic_increasing   # really shuffled
+    s = jobs.hourly_tips(parquet_stream(spark, d, schema, 1), delay="2 hours")
+    got = _run(s, "hourly_disorder", os.path.join(scratch, "ck"))
+    want = tips.label_with_window_end(tips.hourly_tips(fares))
+    cols = ["window_end", "driver_id", "tips"]
+    assert [r for r in _rows(got, cols) if r[1] != -1] == _rows(want, cols)
+
+
 def test_late_tip_is_dropped(spark, scratch):
     """A tip older than the watermark, arriving after its hour was closed, does not count.
 
