@@ -21,12 +21,17 @@ map-side-combined aggregate (only its maximum, one number, reaches the driver)
 and picks the widest bucket in which no key holds more than
 ``TARGET_BUCKET_ROWS`` rows.  Rows of one key at one and the same instant are
 not split (a bucket cannot be narrower than the clock).
+
+Rows with a null key form one group, as in a plain window; a non-null stand-in
+(value with nulls replaced, plus an is-null flag) lets that group be split by
+time and joined back like any other key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "__bucket"
 DEFAULT_BUCKET_SECONDS = 86400
@@ -79,17 +84,34 @@ def scan_bucket(df: DataFrame, keys: list[str], ts, seconds) -> Column:
     return time_bucket(ts, seconds)
 
 
-def with_bucket(df: DataFrame, keys: list[str], ts, seconds: int = DEFAULT_BUCKET_SECONDS,
+def with_bucket(df: DataFrame, ts, seconds: float = DEFAULT_BUCKET_SECONDS,
                 name: str = BUCKET) -> DataFrame:
-    """Add the bucket column scans split on; rows with a null key share bucket 0.
+    """Add the bucket column scans split on.
 
     Chained scans that pass the same column keep the same partitioning, so
     the rows are shuffled once for all of them.
     """
-    any_null_key = F.lit(False)
-    for k in keys:
-        any_null_key = any_null_key | F.col(k).isNull()
-    return df.withColumn(name, F.when(any_null_key, F.lit(0)).otherwise(time_bucket(ts, seconds)))
+    return df.withColumn(name, time_bucket(ts, seconds))
+
+
+_ZERO = {T.StringType: "", T.BooleanType: False, T.DateType: "1970-01-01",
+         T.TimestampType: "1970-01-01 00:00:00", T.TimestampNTZType: "1970-01-01 00:00:00"}
+
+
+def _non_null_key(df: DataFrame, key: str) -> tuple[Column, Column]:
+    """(key with nulls replaced, is-null flag): together a non-null stand-in for the key.
+
+    Null keys stay one group, as in a plain window, but can take part in
+    equi-joins and be split by time like any other key.
+    """
+    dtype = df.schema[key].dataType
+    if isinstance(dtype, T.NumericType):
+        zero = F.lit(0).cast(dtype)
+    elif type(dtype) in _ZERO:
+        zero = F.lit(_ZERO[type(dtype)]).cast(dtype)
+    else:
+        raise TypeError(f"unsupported key type {dtype.simpleString()} for {key}")
+    return F.coalesce(F.col(key), zero), F.col(key).isNull()
 
 
 def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
@@ -112,21 +134,25 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
     if isinstance(bucket, str):
         b, d = bucket, df
     else:
-        any_null_key = F.lit(False)
-        for k in keys:
-            any_null_key = any_null_key | F.col(k).isNull()
-        bucket_col = F.when(any_null_key, F.lit(0)).otherwise(bucket)
-        b, d = BUCKET, df.withColumn(BUCKET, bucket_col)
+        b, d = BUCKET, df.withColumn(BUCKET, bucket)
+    # non-null stand-ins for the keys: plain equi-joins on the partitioning the
+    # rows get once, and a null key is split by time like any other key
+    stand_in = {}
+    for i, k in enumerate(keys):
+        value, is_null = _non_null_key(df, k)
+        stand_in[f"__kv{i}"], stand_in[f"__kn{i}"] = value, is_null
+    part = [*stand_in, b]
+    d = d.withColumns(stand_in)
 
     # (1) local scans inside (key, bucket): the only full shuffle of the rows
-    w = Window.partitionBy(*keys, b).orderBy(*order_cols)
+    w = Window.partitionBy(*part).orderBy(*order_cols)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = {}
     for name, value in sums.items():
         local[f"__l_{name}"] = F.sum(value).over(w)
     for name, value in lasts.items():
         local[f"__l_{name}"] = F.last(value, ignorenulls=True).over(w)
-    d = d.withColumns(local)
+    rows = d.withColumns(local)
 
     # (2) per-bucket summary from the *input* rows (map-side partial aggregation,
     #     so only one small row per bucket and task is shuffled; summarising the
@@ -137,15 +163,14 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
         rank = order_key if order_key is not None else F.struct(*order_cols)
         aggs += [F.max_by(v, F.when(v.isNotNull(), rank)).alias(f"__t_{n}")
                  for n, v in lasts.items()]
-    src = df if isinstance(bucket, str) else df.withColumn(b, bucket_col)
-    summary = src.groupBy(*keys, b).agg(*aggs)
-    ws = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    summary = d.groupBy(*part).agg(*aggs)
+    ws = Window.partitionBy(*stand_in).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carried = {f"__p_{n}": F.sum(f"__t_{n}").over(ws) for n in sums}
     carried.update({f"__p_{n}": F.last(f"__t_{n}", ignorenulls=True).over(ws) for n in lasts})
-    prefix = summary.select(*keys, b, *[c.alias(n) for n, c in carried.items()])
+    prefix = summary.select(*part, *[c.alias(n) for n, c in carried.items()])
 
     # (3) join back on (key, bucket); rows are already partitioned that way
-    out = d.join(prefix, on=[*keys, b], how="left")
+    out = rows.join(prefix, on=part, how="left")
     final = {}
     for n in sums:
         final[n] = F.coalesce(F.col(f"__l_{n}"), F.lit(0)) + F.coalesce(F.col(f"__p_{n}"), F.lit(0))
@@ -153,7 +178,7 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
         final[n] = F.coalesce(F.col(f"__l_{n}"), F.col(f"__p_{n}"))
     out = out.withColumns(final)
     drop = [f"__l_{n}" for n in list(sums) + list(lasts)] \
-        + [f"__p_{n}" for n in list(sums) + list(lasts)]
+        + [f"__p_{n}" for n in list(sums) + list(lasts)] + list(stand_in)
     if not keep_bucket:
         drop.append(b)
     return out.drop(*drop)

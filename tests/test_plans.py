@@ -65,3 +65,22 @@ def test_no_query_funnels_rows_into_one_task(spark):
     for name in QUERIES:
         p = _plan(QUERIES[name](spark, SF_SMALL))
         assert "SinglePartition" not in p, name
+
+
+def test_scan_join_back_reuses_the_row_partitioning(spark):
+    """Without broadcasts the summary joins back on the rows' own partitioning: the
+    rows are shuffled once, never again on rewritten (null-safe) keys."""
+    old = {k: spark.conf.get(k) for k in ["spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled"]}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(QUERIES["ride_event_order"](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    assert "SortMergeJoin" in p
+    assert not any("coalesce(" in line or "isnull(" in line for line in exchanges)
+    row_side = [line for line in exchanges if "__bucket" in line]
+    assert len(row_side) == 3   # rows once; summary aggregate; prefix to the join
