@@ -11,6 +11,8 @@ RIDE_COLS = ["ride_id", "is_start", "start_time", "end_time", "start_lon", "star
              "end_lon", "end_lat", "passenger_cnt", "taxi_id", "driver_id"]
 FARE_COLS = ["ride_id", "taxi_id", "driver_id", "start_time", "payment_type", "tip", "tolls",
              "total_fare"]
+FARE_SIDE_COLS = ["fare_ride_id", "fare_taxi_id", "fare_driver_id", "fare_start_time",
+                  "payment_type", "tip", "tolls", "total_fare"]
 MATCHED, UNMATCHED_RIDE, UNMATCHED_FARE = "matched", "unmatched_ride", "unmatched_fare"
 
 
@@ -24,17 +26,19 @@ def _fare_side(fares: DataFrame) -> DataFrame:
 
 
 def latest_per_ride(df: DataFrame, time_col: str, key: str = "ride_id") -> DataFrame:
-    """Keep one row per key: the one with the greatest event time (then greatest row).
+    """One row per non-null key: the one with the greatest event time (then greatest row).
 
     A grouped ``max_by`` rather than a per-key window: it is combined on the
     map side, so even a key holding a third of the rows is reduced before the
     shuffle, and its hash partitioning on the key is reused by the join.
+    Rows with a null key are not returned (a null id is no id, and no join
+    pairs it); callers that must keep them add them back themselves.
     """
     others = [c for c in df.columns if c != key]
     best = F.max_by(F.struct(*[F.col(c) for c in others]),
                     F.struct(F.col(time_col), *[F.col(c) for c in others if c != time_col]))
-    return df.groupBy(key).agg(best.alias("__row")).select(key, *[F.col(f"__row.{c}").alias(c)
-                                                                 for c in others])
+    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(best.alias("__row"))
+            .select(key, *[F.col(f"__row.{c}").alias(c) for c in others]))
 
 
 def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "latest",
@@ -72,7 +76,16 @@ def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int
     """
     r = rides.withColumn("ride_time", event_time())
     f = _fare_side(fares)
+    no_id = []
     if dedupe == "latest":
+        # rows without an id can match nothing: they go out unmatched, added
+        # after the join so that the join keeps the dedupe's partitioning
+        no_id = [r.where(F.col("ride_id").isNull()).select(
+                     F.lit(None).cast("long").alias("key_ride_id"),
+                     F.lit(UNMATCHED_RIDE).alias("outcome"), *RIDE_COLS, "ride_time"),
+                 f.where(F.col("fare_ride_id").isNull()).select(
+                     F.lit(None).cast("long").alias("key_ride_id"),
+                     F.lit(UNMATCHED_FARE).alias("outcome"), *FARE_SIDE_COLS)]
         r = latest_per_ride(r, "ride_time")
         f = latest_per_ride(f, "fare_start_time", key="fare_ride_id")
     elif dedupe is not None:
@@ -86,12 +99,12 @@ def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int
     has_fare = f["fare_ride_id"].isNotNull()
     outcome = (F.when(has_ride & has_fare, F.lit(MATCHED))
                .when(has_ride, F.lit(UNMATCHED_RIDE)).otherwise(F.lit(UNMATCHED_FARE)))
-    return j.select(F.coalesce(r["ride_id"], f["fare_ride_id"]).alias("key_ride_id"),
-                    outcome.alias("outcome"),
-                    *[r[c] for c in RIDE_COLS], r["ride_time"],
-                    *[f[c] for c in ["fare_ride_id", "fare_taxi_id", "fare_driver_id",
-                                     "fare_start_time", "payment_type", "tip", "tolls",
-                                     "total_fare"]])
+    out = j.select(F.coalesce(r["ride_id"], f["fare_ride_id"]).alias("key_ride_id"),
+                   outcome.alias("outcome"),
+                   *[r[c] for c in RIDE_COLS], r["ride_time"], *[f[c] for c in FARE_SIDE_COLS])
+    for extra in no_id:
+        out = out.unionByName(extra, allowMissingColumns=True)
+    return out
 
 
 def matched(pairs: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ _ZERO = {T.StringType: "", T.BooleanType: False, T.DateType: "1970-01-01",
          T.TimestampType: "1970-01-01 00:00:00", T.TimestampNTZType: "1970-01-01 00:00:00"}
 
 
-def _non_null_key(df: DataFrame, key: str) -> tuple[Column, Column]:
+def non_null_key(df: DataFrame, key: str) -> tuple[Column, Column]:
     """(key with nulls replaced, is-null flag): together a non-null stand-in for the key.
 
     Null keys stay one group, as in a plain window, but can take part in
@@ -139,7 +139,7 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
     # rows get once, and a null key is split by time like any other key
     stand_in = {}
     for i, k in enumerate(keys):
-        value, is_null = _non_null_key(df, k)
+        value, is_null = non_null_key(df, k)
         stand_in[f"__kv{i}"], stand_in[f"__kn{i}"] = value, is_null
     part = [*stand_in, b]
     d = d.withColumns(stand_in)

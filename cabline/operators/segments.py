@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabline.functions.labels import erraticness_label
-from cabline.operators.scan import AUTO, epoch_micros, scan_bucket, segmented_scan
+from cabline.operators.scan import AUTO, epoch_micros, non_null_key, scan_bucket, segmented_scan
 
 
 def segment_stats(ts: str = "ts", speed: str = "speed", throttle: str = "throttle") -> list[Column]:
@@ -45,20 +45,24 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     """
     gap_us = int(gap_seconds) * 1_000_000
     b = F.floor(epoch_micros(ts) / F.lit(gap_us))
-    e = events.withColumn("__b", b)
-    buckets = e.groupBy(key, "__b").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
-    w = Window.partitionBy(key).orderBy("__b")
+    # a null key is one vehicle, as in a session window; its non-null stand-in
+    # keeps it in the equi-join below
+    kv, kn = non_null_key(events, key)
+    e = events.withColumns({"__kv": kv, "__kn": kn, "__b": b})
+    part = ["__kv", "__kn"]
+    buckets = e.groupBy(*part, "__b").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    w = Window.partitionBy(*part).orderBy("__b")
     prev_last = F.lag("__last").over(w)
     starts = buckets.withColumn(
         "__is_start",
         prev_last.isNull() | ((epoch_micros("__first") - epoch_micros(prev_last)) > F.lit(gap_us)))
     seg_start = F.last(F.when(F.col("__is_start"), F.col("__first")), ignorenulls=True) \
         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    mapping = starts.select(key, "__b", seg_start.alias("__seg"))
-    joined = e.join(mapping, on=[key, "__b"], how="inner")
-    out = joined.groupBy(key, "__seg").agg(*segment_stats(ts, speed, throttle),
-                                           F.max(ts).alias("end_time"))
-    return with_label(out.drop("__seg"))
+    mapping = starts.select(*part, "__b", seg_start.alias("__seg"))
+    joined = e.join(mapping, on=[*part, "__b"], how="inner")
+    out = joined.groupBy(key, "__kn", "__seg").agg(*segment_stats(ts, speed, throttle),
+                                                   F.max(ts).alias("end_time"))
+    return with_label(out.drop("__kn", "__seg"))
 
 
 def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",

@@ -147,3 +147,29 @@ def test_dedupe_latest_keeps_one_ride(spark):
     dup = r.union(r.where("ride_id = 1 AND is_start").withColumn("driver_id", F.lit(99)))
     got = enrich.rides_with_fares(dup, f, dedupe="latest").where("ride_id = 1").count()
     assert got == 1
+
+
+def test_null_vehicle_is_one_vehicle(spark):
+    """Rows with a null vehicle id are one vehicle, as in a plain window: nothing is dropped."""
+    trace = [(0, 10.0, 1.0), (15, 20.0, 3.0), (31, 0.0, 5.0), (40, 35.9, 5.0)]
+    ev = _cars(spark, [(c, s, v, t) for c in (1, None) for s, v, t in trace])
+    for job in (lambda e: segments.gap_segments(e, gap_seconds=15), segments.stopped_segments):
+        got = {}
+        for r in job(ev).collect():
+            got.setdefault(r.car_id, []).append((r.length, r.max_speed, r.label))
+        assert set(got) == {1, None}
+        assert sorted(got[None]) == sorted(got[1])
+
+
+def test_rows_without_an_id_are_kept_unmatched(spark):
+    r, f = _pairs_fixture(spark)
+    started = R.start_events_with_loss(r, 1000)
+    r2 = started.unionByName(started.limit(2).withColumn("ride_id", F.lit(None).cast("long")))
+    f2 = f.unionByName(f.limit(1).withColumn("ride_id", F.lit(None).cast("long")))
+    pairs = enrich.match_with_expiry(r2, f2, max_wait_seconds=0)
+    assert enrich.matched(pairs).count() + enrich.unmatched_rides(pairs).count() == r2.count()
+    assert enrich.matched(pairs).count() + enrich.unmatched_fares(pairs).count() == f2.count()
+    assert enrich.unmatched_rides(pairs).where("ride_id IS NULL").count() == 2
+    assert enrich.unmatched_fares(pairs).where("ride_id IS NULL").count() == 1
+    # the inner pairing never pairs a missing id
+    assert enrich.rides_with_fares(r2, f2).where("ride_id IS NULL").count() == 0
