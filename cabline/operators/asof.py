@@ -21,7 +21,9 @@ def asof_enrich(trades: DataFrame, customers: DataFrame, key: str = "customer_id
     """
     trade_cols = [c for c in trades.columns]
     t = trades.withColumn("__side", F.lit(1))
-    c = customers.select(F.col(key), F.col(ts),
+    # as in any join, a null key or time matches nothing: such customer records
+    # can never be chosen (trades with them are kept, with no customer)
+    c = customers.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key), F.col(ts),
                          F.struct(F.col(ts).alias("ts"), F.col(info).alias("info")).alias("__cust"),
                          F.lit(0).alias("__side"))
     u = t.unionByName(c, allowMissingColumns=True)

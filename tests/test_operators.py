@@ -173,3 +173,33 @@ def test_rows_without_an_id_are_kept_unmatched(spark):
     assert enrich.unmatched_fares(pairs).where("ride_id IS NULL").count() == 1
     # the inner pairing never pairs a missing id
     assert enrich.rides_with_fares(r2, f2).where("ride_id IS NULL").count() == 0
+
+
+def test_asof_equals_duckdb_asof_join_with_nulls(spark):
+    """Random trades and customers (hot key, null keys and times) against DuckDB's ASOF JOIN."""
+    import random
+
+    import duckdb
+    import pandas as pd
+    rnd = random.Random(5)
+    key = lambda: rnd.choice([0, 0, 0, 1, 2, None])              # noqa: E731
+    sec = lambda: rnd.choice([None] + list(range(0, 4000, 7)))   # noqa: E731, unique-ish times
+    custs = pd.DataFrame([(key(), sec(), f"c{i}") for i in range(150)],
+                         columns=["customer_id", "s", "customer_info"])
+    custs = custs.drop_duplicates(["customer_id", "s"])            # one record per key and time
+    trades = pd.DataFrame([(key(), sec(), f"t{i}") for i in range(200)],
+                          columns=["customer_id", "s", "trade_info"])
+    to_ts = lambda df: df.assign(ts=pd.to_datetime(df["s"], unit="s")).drop(columns="s")
+    c_pd, t_pd = to_ts(custs), to_ts(trades)
+    c = spark.createDataFrame(c_pd.astype(object).where(c_pd.notna(), None),
+                              "customer_id long, customer_info string, ts timestamp")
+    t = spark.createDataFrame(t_pd.astype(object).where(t_pd.notna(), None),
+                              "customer_id long, trade_info string, ts timestamp")
+    got = sorted((r.trade_info, r.customer_info) for r in asof.asof_enrich(t, c).collect())
+    con = duckdb.connect()
+    con.register("c", c_pd)
+    con.register("t", t_pd)
+    want = sorted(con.execute(
+        "SELECT t.trade_info, c.customer_info FROM t ASOF LEFT JOIN c "
+        "ON t.customer_id = c.customer_id AND t.ts >= c.ts").fetchall())
+    assert got == want
