@@ -74,7 +74,8 @@ def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     next (events at the time of a stop belong to no segment); events after the
     last stop form the last segment.  Empty segments are not emitted.
     """
-    stop = (F.col(speed) == F.lit(0.0)).cast("int")
+    # an unknown (null) speed is not a stop
+    stop = F.coalesce(F.col(speed) == F.lit(0.0), F.lit(False)).cast("int")
     order = [F.col(ts), F.lit(1) - stop]   # stops first among equal times
     scanned = segmented_scan(events.withColumn("__stop", stop), [key], order,
                              scan_bucket(events, [key], ts, bucket_seconds),

@@ -203,3 +203,50 @@ def test_asof_equals_duckdb_asof_join_with_nulls(spark):
         "SELECT t.trade_info, c.customer_info FROM t ASOF LEFT JOIN c "
         "ON t.customer_id = c.customer_id AND t.ts >= c.ts").fetchall())
     assert got == want
+
+
+def test_segments_equal_duckdb_windows_with_nulls(spark):
+    """Random traces (null vehicle ids and speeds, tied times) against the SQL definitions."""
+    import random
+
+    import duckdb
+    import pandas as pd
+    rnd = random.Random(11)
+    rows = []
+    for i in range(300):
+        car = rnd.choice([1, 1, 2, 3, None])
+        rows.append((car, i, rnd.choice(range(0, 3000, 3)),
+                     rnd.choice([0.0, 0.0, 5.0, 12.5, 40.0, None]), float(rnd.randint(0, 9))))
+    pdf = pd.DataFrame(rows, columns=["car_id", "id", "s", "speed", "throttle"])
+    pdf["ts"] = pd.to_datetime(pdf["s"], unit="s")
+    ev = spark.createDataFrame(pdf.drop(columns="s").astype(object).where(pdf.drop(columns="s").notna(), None),
+                               "car_id long, id long, speed double, throttle double, ts timestamp")
+    con = duckdb.connect()
+    con.register("ev", pdf)
+    stats = ("count(*) AS length, CAST(trunc(max(speed)) AS INTEGER) AS max_speed, "
+             "round(stddev_pop(throttle), 6) AS e")
+    stopped_sql = f"""
+      WITH s AS (SELECT *, sum(CASE WHEN speed = 0.0 THEN 1 ELSE 0 END) OVER (PARTITION BY car_id
+                    ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg,
+                  max(CASE WHEN speed = 0.0 THEN 1 ELSE 0 END) OVER (PARTITION BY car_id, ts) AS st
+                 FROM ev)
+      SELECT car_id, {stats} FROM s WHERE st = 0 GROUP BY car_id, seg"""
+    gap_sql = f"""
+      WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL
+                   OR epoch(ts) - epoch(lag(ts) OVER w) > 60 THEN 1 ELSE 0 END AS st
+                 FROM ev WINDOW w AS (PARTITION BY car_id ORDER BY ts)),
+           s AS (SELECT *, sum(st) OVER (PARTITION BY car_id ORDER BY ts
+                   ROWS UNBOUNDED PRECEDING) AS seg FROM g)
+      SELECT car_id, {stats} FROM s GROUP BY car_id, seg"""
+
+    def spark_rows(df):
+        return sorted((-1 if r.car_id is None else r.car_id, r.length,
+                       -999 if r.max_speed is None else r.max_speed, round(r.erraticness, 6))
+                      for r in df.collect())
+
+    def duck_rows(sql):
+        return sorted((-1 if pd.isna(c) else int(c), n, -999 if pd.isna(m) else int(m), e)
+                      for c, n, m, e in con.execute(sql).fetchall())
+
+    assert spark_rows(segments.stopped_segments(ev)) == duck_rows(stopped_sql)
+    assert spark_rows(segments.gap_segments(ev, gap_seconds=60)) == duck_rows(gap_sql)
