@@ -61,14 +61,16 @@ def densest_bucket_rows(df: DataFrame, keys: list[str], ts, seconds: float = PRO
 
 
 def auto_bucket_seconds(df: DataFrame, keys: list[str], ts,
-                        target_rows: int = TARGET_BUCKET_ROWS,
+                        target_rows: int | None = None,
                         probe_seconds: int = PROBE_SECONDS,
                         max_seconds: int = DEFAULT_BUCKET_SECONDS) -> float:
     """Widest bucket (at most ``max_seconds``) holding about ``target_rows`` rows of any key.
 
     Widths of whole probe intervals are aligned with them, so the bound is
     exact there; below one probe interval the rate inside it is taken as even.
+    ``target_rows`` defaults to ``TARGET_BUCKET_ROWS``.
     """
+    target_rows = TARGET_BUCKET_ROWS if target_rows is None else int(target_rows)
     densest = densest_bucket_rows(df, keys, ts, probe_seconds)
     if densest <= 0:
         return float(max_seconds)
