@@ -41,23 +41,26 @@ def latest_per_ride(df: DataFrame, time_col: str, key: str = "ride_id") -> DataF
             .select(key, *[F.col(f"__row.{c}").alias(c) for c in others]))
 
 
-def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "latest",
+def _check_dedupe(dedupe: str) -> None:
+    if dedupe != "latest":
+        raise ValueError(f"unknown dedupe mode {dedupe!r}: batch pairing keeps one ride and one "
+                         "fare per id ('latest'); joining duplicated ids as they are would pair "
+                         "every copy with every other")
+
+
+def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str = "latest",
                      keep_fare_ids: bool = False) -> DataFrame:
     """(ride, fare) for every START ride that has a fare with the same ride_id.
 
     The original keeps one waiting element per side and id, so one id never
-    pairs many rides with many fares; ``dedupe='latest'`` (default) keeps the
-    latest START ride and fare per id before joining, ``None`` joins as is.
+    pairs many rides with many fares; ``dedupe='latest'`` (the only mode)
+    keeps the latest START ride and fare per id before joining.
     ``keep_fare_ids`` also returns the fare's own ``fare_taxi_id`` and
     ``fare_driver_id`` (to print the whole fare record).
     """
-    r = rides.where(F.col("is_start"))
-    f = fares
-    if dedupe == "latest":
-        r = latest_per_ride(r, "start_time")
-        f = latest_per_ride(f, "start_time")
-    elif dedupe is not None:
-        raise ValueError(f"unknown dedupe mode {dedupe!r} (batch supports 'latest')")
+    _check_dedupe(dedupe)
+    r = latest_per_ride(rides.where(F.col("is_start")), "start_time")
+    f = latest_per_ride(fares, "start_time")
     fs = _fare_side(f)
     j = r.join(fs, r["ride_id"] == fs["fare_ride_id"], "inner")
     ids = ["fare_taxi_id", "fare_driver_id"] if keep_fare_ids else []
@@ -66,7 +69,7 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, dedupe: str | None = "l
 
 
 def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
-                      dedupe: str | None = "latest") -> DataFrame:
+                      dedupe: str = "latest") -> DataFrame:
     """Full outer pairing with an ``outcome`` column.
 
     A ride and a fare with the same ride_id match when their event times are
@@ -76,20 +79,17 @@ def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int
     """
     r = rides.withColumn("ride_time", event_time())
     f = _fare_side(fares)
-    no_id = []
-    if dedupe == "latest":
-        # rows without an id can match nothing: they go out unmatched, added
-        # after the join so that the join keeps the dedupe's partitioning
-        no_id = [r.where(F.col("ride_id").isNull()).select(
-                     F.lit(None).cast("long").alias("key_ride_id"),
-                     F.lit(UNMATCHED_RIDE).alias("outcome"), *RIDE_COLS, "ride_time"),
-                 f.where(F.col("fare_ride_id").isNull()).select(
-                     F.lit(None).cast("long").alias("key_ride_id"),
-                     F.lit(UNMATCHED_FARE).alias("outcome"), *FARE_SIDE_COLS)]
-        r = latest_per_ride(r, "ride_time")
-        f = latest_per_ride(f, "fare_start_time", key="fare_ride_id")
-    elif dedupe is not None:
-        raise ValueError(f"unknown dedupe mode {dedupe!r} (batch supports 'latest')")
+    _check_dedupe(dedupe)
+    # rows without an id can match nothing: they go out unmatched, added after
+    # the join so that the join keeps the dedupe's partitioning
+    no_id = [r.where(F.col("ride_id").isNull()).select(
+                 F.lit(None).cast("long").alias("key_ride_id"),
+                 F.lit(UNMATCHED_RIDE).alias("outcome"), *RIDE_COLS, "ride_time"),
+             f.where(F.col("fare_ride_id").isNull()).select(
+                 F.lit(None).cast("long").alias("key_ride_id"),
+                 F.lit(UNMATCHED_FARE).alias("outcome"), *FARE_SIDE_COLS)]
+    r = latest_per_ride(r, "ride_time")
+    f = latest_per_ride(f, "fare_start_time", key="fare_ride_id")
     wait = F.make_dt_interval(secs=F.lit(int(max_wait_seconds)))
     cond = ((r["ride_id"] == f["fare_ride_id"])
             & (r["ride_time"] >= f["fare_start_time"] - wait)

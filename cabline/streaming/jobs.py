@@ -35,21 +35,20 @@ def hourly_max_tips(fares: DataFrame, delay: str = HOURLY_TIPS_DELAY) -> DataFra
     return tips.label_with_window_end(tips.hourly_max(tips.hourly_tips(f)))
 
 
-def _dedupe_stream(df: DataFrame, dedupe: str | None, key: str = "ride_id") -> DataFrame:
+def _dedupe_stream(df: DataFrame, dedupe: str, key: str = "ride_id") -> DataFrame:
     """One element per id, like the original's single waiting element per key.
 
-    ``'first'`` keeps the first arrival (state bounded by the watermark), so a
-    duplicated id never pairs every copy with every partner; ``None`` keeps all.
+    ``'first'`` (the only mode) keeps the first arrival, with state bounded by
+    the watermark, so a duplicated id never pairs every copy with every partner.
     """
-    if dedupe == "first":
-        return df.dropDuplicatesWithinWatermark([key])
-    if dedupe is not None:
-        raise ValueError("streaming supports dedupe='first' or None")
-    return df
+    if dedupe != "first":
+        raise ValueError(f"unknown dedupe mode {dedupe!r}: streams keep the first ride and "
+                         "fare per id ('first')")
+    return df.dropDuplicatesWithinWatermark([key])
 
 
 def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_FARES_DELAY,
-                     max_gap: str = "1 hour", dedupe: str | None = "first",
+                     max_gap: str = "1 hour", dedupe: str = "first",
                      keep_fare_ids: bool = False) -> DataFrame:
     """Stream-stream inner join on ride_id, bounded in time so join state is dropped."""
     r = _dedupe_stream(with_watermark(R.start_events(rides), "start_time", delay), dedupe)
@@ -67,7 +66,7 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_
 
 def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
                         delay: str = "0 seconds", loss_modulus: int | None = 1000,
-                        dedupe: str | None = "first") -> DataFrame:
+                        dedupe: str = "first") -> DataFrame:
     """Variant (a): full outer stream-stream join with a time bound.
 
     Unmatched rows come out once the watermark passes them, with the same
@@ -96,7 +95,7 @@ def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: in
 
 def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
                             delay: str = "0 seconds", loss_modulus: int | None = 1000,
-                            dedupe: str | None = "first") -> DataFrame:
+                            dedupe: str = "first") -> DataFrame:
     """Variant (b): keyed state + event-time timers (transformWithState).
 
     With ``dedupe='first'`` a key's group holds at most one ride and one fare
