@@ -136,6 +136,7 @@ ASOF_OUTPUT = StructType([
 ])
 
 _RECORD = StructType([StructField("t_us", LongType()), StructField("info", StringType())])
+OUTPUT_CHUNK_ROWS = 10_000
 
 
 class AsofProcessor(StatefulProcessor):
@@ -191,6 +192,9 @@ class AsofProcessor(StatefulProcessor):
             out.append({"customer_id": cid, "trade_ts": _ts(t_us), "trade_info": info,
                         "customer_ts": _ts(best[0]) if best else None,
                         "customer_info": best[1] if best else None})
+            if len(out) == OUTPUT_CHUNK_ROWS:  # a hot customer's output leaves in pieces
+                yield _frame(out, ASOF_OUTPUT.names)
+                out = []
         if waiting:
             self.pending.put(waiting)
         else:

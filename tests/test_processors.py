@@ -100,3 +100,16 @@ def test_rows_arrive_in_several_chunks():
     assert 500 in h.timers
     out = _fire(p, 1000)
     assert [(r["trade_info"], r["customer_info"]) for r in out] == [("t2", "@500")]
+
+
+def test_released_trades_leave_in_chunks(monkeypatch):
+    import cabline.streaming.processors as P
+    monkeypatch.setattr(P, "OUTPUT_CHUNK_ROWS", 2)
+    p = AsofProcessor()
+    h = _Handle()
+    p.init(h)
+    list(p.handleInputRows((0,), iter(_rows(0, [0], ["@0"]) + _rows(1, [1, 2, 3, 4, 5],
+                                                                      list("abcde"))), None))
+    frames = list(p.handleExpiredTimer((0,), _Watermark(10), _Watermark(10)))
+    assert [len(f) for f in frames] == [2, 2, 1]
+    assert sorted(r for f in frames for r in f["trade_info"]) == list("abcde")
