@@ -1,6 +1,5 @@
 """Golden tests of the geography rules."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from cabline.functions import geo

@@ -3,7 +3,6 @@ sentinel that moves the watermark; the stream must equal the batch result."""
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from cabline.operators import asof, enrich, rides as R, segments, tips
