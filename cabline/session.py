@@ -17,7 +17,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Settings that make the plans scale; applied only when building our own session.
+# Settings that make the plans scale (runtime SQL settings), applied to sessions
+# built here, and only where the submitter (spark-defaults.conf, --conf) has not
+# set them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,7 +29,6 @@ DEFAULT_CONF = {
     # several tasks; large inputs are unaffected.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
     # Fall back from whole-stage codegen when a generated method is larger than
     # the JVM will JIT-compile (8000 bytes); otherwise it runs interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -35,6 +36,11 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Fixed at start-up: no web UI (no port is opened by the library's sessions).
+STARTUP_CONF = {
+    "spark.ui.enabled": "false",
+}
+
 
 def ensure_required_conf(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
@@ -46,18 +52,25 @@ def ensure_required_conf(spark: SparkSession) -> SparkSession:
 def get_spark(master: str | None = None, app: str = "cabline",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Build (or fetch) a session with the settings the jobs expect."""
+    """Build (or fetch) a session with the settings the jobs expect.
+
+    Explicit arguments win; ``DEFAULT_CONF`` fills in only what the submitter
+    left unset.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in {**STARTUP_CONF, **explicit}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    submitted = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key not in explicit and not submitted.contains(key):
+            spark.conf.set(key, value)
     return ensure_required_conf(spark)
 
 
