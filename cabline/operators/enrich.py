@@ -81,13 +81,17 @@ def match_with_expiry(rides: DataFrame, fares: DataFrame, max_wait_seconds: int
     f = _fare_side(fares)
     _check_dedupe(dedupe)
     # rows without an id can match nothing: they go out unmatched, added after
-    # the join so that the join keeps the dedupe's partitioning
-    no_id = [r.where(F.col("ride_id").isNull()).select(
-                 F.lit(None).cast("long").alias("key_ride_id"),
-                 F.lit(UNMATCHED_RIDE).alias("outcome"), *RIDE_COLS, "ride_time"),
-             f.where(F.col("fare_ride_id").isNull()).select(
-                 F.lit(None).cast("long").alias("key_ride_id"),
-                 F.lit(UNMATCHED_FARE).alias("outcome"), *FARE_SIDE_COLS)]
+    # the join so that the join keeps the dedupe's partitioning (no branch for
+    # inputs whose schema rules out a missing id)
+    no_id = []
+    if r.schema["ride_id"].nullable:
+        no_id.append(r.where(F.col("ride_id").isNull()).select(
+            F.lit(None).cast("long").alias("key_ride_id"),
+            F.lit(UNMATCHED_RIDE).alias("outcome"), *RIDE_COLS, "ride_time"))
+    if f.schema["fare_ride_id"].nullable:
+        no_id.append(f.where(F.col("fare_ride_id").isNull()).select(
+            F.lit(None).cast("long").alias("key_ride_id"),
+            F.lit(UNMATCHED_FARE).alias("outcome"), *FARE_SIDE_COLS))
     r = latest_per_ride(r, "ride_time")
     f = latest_per_ride(f, "fare_start_time", key="fare_ride_id")
     wait = F.make_dt_interval(secs=F.lit(int(max_wait_seconds)))

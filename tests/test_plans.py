@@ -84,3 +84,16 @@ def test_scan_join_back_reuses_the_row_partitioning(spark):
     assert not any("coalesce(" in line or "isnull(" in line for line in exchanges)
     row_side = [line for line in exchanges if "__bucket" in line]
     assert len(row_side) == 3   # rows once; summary aggregate; prefix to the join
+
+
+def test_no_null_id_branch_for_non_nullable_ids(spark):
+    from pyspark.sql import functions as F
+
+    from cabline.operators import enrich, rides as R
+    ev = fx.load_events(spark, SF_SMALL)
+    r, f = fx.rides(ev), fx.fares_for_rides(ev)
+    nn = lambda df: df.withColumn("ride_id", F.coalesce("ride_id", F.lit(-1)))
+    scans = lambda df: _plan(df).count("FileScan parquet")                      # noqa: E731
+    with_branch = enrich.unmatched_rides(enrich.match_with_expiry(R.start_events(r), f))
+    without = enrich.unmatched_rides(enrich.match_with_expiry(R.start_events(nn(r)), nn(f)))
+    assert scans(without) < scans(with_branch)
