@@ -24,3 +24,19 @@ def test_entry_and_udf_query_from_foreign_cwd(tmp_path):
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "CONTRACT-OK" in out.stdout, out.stderr[-3000:]
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    env.update({"BENCH_SF_DIR": "/root/testdata/sf0.001", "BENCH_CPUS": "2", "BENCH_REPEAT": "1",
+                "BENCH_QUERIES": "measurement_points,hourly_max_tips",
+                "BENCH_DRIVER_MEMORY": "2g"})
+    out = subprocess.run([sys.executable, os.path.join(REPO, "bench.py")], cwd=str(tmp_path),
+                         env=env, capture_output=True, text=True, timeout=600)
+    lines = [x for x in out.stdout.splitlines() if x.strip()]
+    assert len(lines) == 1, out.stdout + out.stderr[-2000:]
+    result = json.loads(lines[0])
+    assert result["unit"] == "sec" and result["sf"] == "0.001"
+    assert set(result["queries"]) == {"measurement_points", "hourly_max_tips"}
+    assert result["value"] == round(sum(result["queries"].values()), 3)
