@@ -74,3 +74,17 @@ def test_hourly_tips_batch_and_stream(spark, inputs):
     stream = _lines(str(d / "tips_stream"))
     # the stream withholds the hours its watermark has not closed yet
     assert stream and set(stream) <= set(batch)
+
+
+def test_streaming_jobs_write_their_outputs(spark, inputs):
+    rides, fares, d = inputs
+    cli.main(["expiring-state", "--rides", rides, "--fares", fares, "--save", str(d / "exp_s"),
+              "--stream", "--available-now", "--checkpoint", str(d / "ck_exp")])
+    matched = glob.glob(str(d / "exp_s" / "matched" / "batch=*" / "part-*"))
+    assert matched
+    lines = [x for f in matched for x in open(f).read().splitlines()]
+    assert lines and all(x.count(",") == 4 for x in lines)   # id, ride time, fare time, driver, tip
+    cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs_s"),
+              "--stream", "--available-now", "--checkpoint", str(d / "ck_pairs")])
+    got = _lines(str(d / "pairs_s"))
+    assert got and set(got) <= set(_lines(str(d / "pairs")))   # same lines as the batch job
