@@ -34,6 +34,9 @@ from cabline.streaming.sources import fare_stream, ride_stream
 JOBS = ["ride-cleansing", "hourly-tips", "rides-and-fares", "expiring-state"]
 # Fixed value: START rides with ride_id % 1000 == 0 are dropped in the expiring-state job.
 LOSS_MODULUS = 1000
+# Folders of the expiring-state outputs below --save (batch and stream alike).
+OUTPUT_FOLDERS = {enrich.MATCHED: "matched", enrich.UNMATCHED_RIDE: "unmatched_rides",
+                  enrich.UNMATCHED_FARE: "unmatched_fares"}
 
 
 def _need(args, *names):
@@ -55,9 +58,9 @@ def _batch_outputs(spark, args) -> dict[str, DataFrame]:
         return {"": render.ride_fare_pairs(enrich.rides_with_fares(r, f, keep_fare_ids=True))}
     pairs = enrich.match_with_expiry(R.start_events_with_loss(r, LOSS_MODULUS), f,
                                      max_wait_seconds=args.max_wait)
-    return {"matched": render.ride_fare_pairs(enrich.matched(pairs)),
-            "unmatched_rides": render.rides(enrich.unmatched_rides(pairs)),
-            "unmatched_fares": render.fares(enrich.unmatched_fares(pairs))}
+    return {OUTPUT_FOLDERS[enrich.MATCHED]: render.ride_fare_pairs(enrich.matched(pairs)),
+            OUTPUT_FOLDERS[enrich.UNMATCHED_RIDE]: render.rides(enrich.unmatched_rides(pairs)),
+            OUTPUT_FOLDERS[enrich.UNMATCHED_FARE]: render.fares(enrich.unmatched_fares(pairs))}
 
 
 def _run_batch(spark, args) -> None:
@@ -99,9 +102,8 @@ def _run_stream(spark, args) -> None:
             sinks.write_text(batch.select("value"),
                              os.path.join(args.save, outcome, f"batch={batch_id}"),
                              mode="overwrite")
-        router = sinks.route_outcomes({o: (lambda b, i, o=o: write(b, i, o))
-                                       for o in (enrich.MATCHED, enrich.UNMATCHED_RIDE,
-                                                 enrich.UNMATCHED_FARE)})
+        router = sinks.route_outcomes({o: (lambda b, i, name=name: write(b, i, name))
+                                       for o, name in OUTPUT_FOLDERS.items()})
         w = df.writeStream.foreachBatch(router).option("checkpointLocation", ckpt)
         if trigger:
             w = w.trigger(**trigger)

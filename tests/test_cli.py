@@ -80,6 +80,7 @@ def test_streaming_jobs_write_their_outputs(spark, inputs):
     rides, fares, d = inputs
     cli.main(["expiring-state", "--rides", rides, "--fares", fares, "--save", str(d / "exp_s"),
               "--stream", "--available-now", "--checkpoint", str(d / "ck_exp")])
+    assert set(os.listdir(str(d / "exp_s"))) == {"matched", "unmatched_rides", "unmatched_fares"}
     matched = glob.glob(str(d / "exp_s" / "matched" / "batch=*" / "part-*"))
     assert matched
     lines = [x for f in matched for x in open(f).read().splitlines()]
