@@ -280,3 +280,47 @@ def test_restart_no_loss_no_duplicates(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == f.count()
     assert got.select("ride_id").distinct().count() == f.count()
+
+
+def test_asof_stream_restart_keeps_state_and_timers(spark, scratch):
+    """The as-of processor's waiting trades, customer records and timer survive a restart."""
+    ev = fx.load_events(spark, SF_SMALL)
+    t = fx.trades(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    c = fx.customers(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    sentinel_t = t.limit(1).withColumns({"customer_id": F.lit(-1).cast("long"),
+                                         "ts": F.lit(FAR).cast("timestamp")})
+    sentinel_c = c.limit(1).withColumns({"customer_id": F.lit(-1).cast("long"),
+                                         "ts": F.lit(FAR).cast("timestamp")})
+    srcs = {}
+    for name, df, extra in [("trades", t, sentinel_t), ("custs", c, sentinel_c)]:
+        parts = os.path.join(scratch, name + "_parts")
+        _split_files(df, parts, "ts", n=4)
+        extra.coalesce(1).write.parquet(os.path.join(parts, "part=999"))
+        srcs[name] = (parts, os.path.join(scratch, name), df.schema)
+        os.makedirs(srcs[name][1])
+
+    def add(i):
+        for parts, src, _ in srcs.values():
+            sub = os.path.join(parts, f"part={i:03d}")
+            for x in sorted(os.listdir(sub)):
+                if x.endswith(".parquet"):
+                    os.link(os.path.join(sub, x), os.path.join(src, f"{i:03d}-{x}"))
+
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def run():
+        s = jobs.trades_asof_customers(parquet_stream(spark, srcs["trades"][1], srcs["trades"][2], 1),
+                                       parquet_stream(spark, srcs["custs"][1], srcs["custs"][2], 1))
+        q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    add(0), add(1)
+    run()
+    add(2), add(3), add(999)
+    run()
+    got = sorted((r.customer_id, r.trade_info, r.customer_info)
+                 for r in spark.read.parquet(out).collect() if r.customer_id != -1)
+    want = sorted((r.customer_id, r.trade_info, r.customer_info)
+                  for r in asof.asof_enrich(t, c).collect())
+    assert got == want
