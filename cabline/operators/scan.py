@@ -86,16 +86,6 @@ def scan_bucket(df: DataFrame, keys: list[str], ts, seconds) -> Column:
     return time_bucket(ts, seconds)
 
 
-def with_bucket(df: DataFrame, ts, seconds: float = DEFAULT_BUCKET_SECONDS,
-                name: str = BUCKET) -> DataFrame:
-    """Add the bucket column scans split on.
-
-    Chained scans that pass the same column keep the same partitioning, so
-    the rows are shuffled once for all of them.
-    """
-    return df.withColumn(name, time_bucket(ts, seconds))
-
-
 _ZERO = {T.StringType: "", T.BooleanType: False, T.DateType: "1970-01-01",
          T.TimestampType: "1970-01-01 00:00:00", T.TimestampNTZType: "1970-01-01 00:00:00"}
 
@@ -125,7 +115,8 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list, bucket,
 
     ``order`` must start with the instant the bucket is computed from and be
     a total order within a key.  ``bucket`` is either a Column (added here) or
-    the name of a column made by ``with_bucket``.  ``inclusive`` decides
+    the name of a column holding a bucket number (from ``time_bucket`` or
+    ``scan_bucket``, monotone in ``order``).  ``inclusive`` decides
     whether the current row counts.  ``order_key``, one numeric column that
     increases with ``order``, lets the per-bucket summary of ``lasts`` with
     fixed-width values run as a hash aggregate instead of sorting its input.
