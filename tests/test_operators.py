@@ -250,3 +250,44 @@ def test_segments_equal_duckdb_windows_with_nulls(spark):
 
     assert spark_rows(segments.stopped_segments(ev)) == duck_rows(stopped_sql)
     assert spark_rows(segments.gap_segments(ev, gap_seconds=60)) == duck_rows(gap_sql)
+
+
+def test_expiring_join_equals_duckdb_with_wait_duplicates_and_nulls(spark):
+    """Random START rides and fares (duplicated ids keep their latest row, missing ids,
+    times a few seconds apart) against the SQL definition with a 5 s wait."""
+    import datetime as dt
+    import random
+
+    import duckdb
+    import pandas as pd
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rides, fares = [], []
+    for i in range(400):
+        rid = rnd.choice(list(range(60)) + [None])
+        rides.append((rid, True, t0 + dt.timedelta(seconds=rnd.randint(0, 40) * 3 + i % 3),
+                      t0, -73.9, 40.7, -73.8, 40.7, 1, 1, i))        # driver_id = row number
+    for i in range(300):
+        rid = rnd.choice(list(range(70)) + [None])
+        fares.append((rid, 1, i, t0 + dt.timedelta(seconds=rnd.randint(0, 40) * 3 + i % 3),
+                      "CSH", float(i), 0.0, 1.0))
+    r, f = spark.createDataFrame(rides, RIDE), spark.createDataFrame(fares, FARE)
+    got = enrich.match_with_expiry(r, f, max_wait_seconds=5)
+    got = sorted((x.outcome, x.driver_id if x.outcome != "unmatched_fare" else None,
+                  x.fare_driver_id) for x in got.collect())
+    con = duckdb.connect()
+    con.register("r", pd.DataFrame([(x[0], x[2], x[10]) for x in rides], columns=["id", "t", "drv"]))
+    con.register("f", pd.DataFrame([(x[0], x[3], x[2]) for x in fares], columns=["id", "t", "drv"]))
+    want = con.execute("""
+      WITH lr AS (SELECT * FROM r WHERE id IS NULL UNION ALL SELECT * FROM r WHERE id IS NOT NULL
+                  QUALIFY row_number() OVER (PARTITION BY id ORDER BY t DESC, drv DESC) = 1),
+           lf AS (SELECT * FROM f WHERE id IS NULL UNION ALL SELECT * FROM f WHERE id IS NOT NULL
+                  QUALIFY row_number() OVER (PARTITION BY id ORDER BY t DESC, drv DESC) = 1)
+      SELECT CASE WHEN lr.drv IS NOT NULL AND lf.drv IS NOT NULL THEN 'matched'
+                  WHEN lr.drv IS NOT NULL THEN 'unmatched_ride' ELSE 'unmatched_fare' END,
+             lr.drv, lf.drv
+      FROM lr FULL JOIN lf ON lr.id = lf.id AND abs(epoch(lr.t) - epoch(lf.t)) <= 5""").fetchall()
+    norm = lambda v: None if v is None or pd.isna(v) else int(v)
+    want = sorted((o, norm(a), norm(b)) for o, a, b in want)
+    assert got == want
+    assert {o for o, _, _ in got} == {"matched", "unmatched_ride", "unmatched_fare"}
