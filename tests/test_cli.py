@@ -87,5 +87,6 @@ def test_streaming_jobs_write_their_outputs(spark, inputs):
     assert lines and all(x.count(",") == 4 for x in lines)   # id, ride time, fare time, driver, tip
     cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs_s"),
               "--stream", "--available-now", "--checkpoint", str(d / "ck_pairs")])
+    cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs_b")])
     got = _lines(str(d / "pairs_s"))
-    assert got and set(got) <= set(_lines(str(d / "pairs")))   # same lines as the batch job
+    assert got and set(got) <= set(_lines(str(d / "pairs_b")))   # same lines as the batch job
