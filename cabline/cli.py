@@ -125,6 +125,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--checkpoint")
     ap.add_argument("--max-wait", type=int, default=0, help="expiring-state: seconds")
+    ap.add_argument("--shuffle-partitions", type=int,
+                    help="tasks per shuffle (the session's or AQE's choice when unset)")
     args = ap.parse_args(argv)
     if args.job == "ride-cleansing":
         _need(args, "rides")
@@ -133,6 +135,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         _need(args, "rides", "fares")
     spark = get_spark(app=f"cabline-{args.job}")
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.stream:
         _run_stream(spark, args)
     else:

@@ -46,7 +46,13 @@ def test_ride_cleansing(spark, inputs):
 
 def test_rides_and_fares(spark, inputs):
     rides, fares, d = inputs
-    cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs"),
+                  "--shuffle-partitions", "4"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     got = _lines(str(d / "pairs"))
     want = enrich.rides_with_fares(files.read_rides(spark, rides), files.read_fares(spark, fares))
     assert len(got) == want.count() > 0
