@@ -65,12 +65,14 @@ def get_spark(master: str | None = None, app: str = "cabline",
         explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**STARTUP_CONF, **explicit}.items():
         builder = builder.config(key, value)
+    existing = SparkSession.getActiveSession()
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    submitted = spark.sparkContext.getConf()
-    for key, value in DEFAULT_CONF.items():
-        if key not in explicit and not submitted.contains(key):
-            spark.conf.set(key, value)
+    if existing is None:               # a session someone else built keeps its settings
+        submitted = spark.sparkContext.getConf()
+        for key, value in DEFAULT_CONF.items():
+            if key not in explicit and not submitted.contains(key):
+                spark.conf.set(key, value)
     return ensure_required_conf(spark)
 
 
