@@ -17,9 +17,9 @@ against the size of one (key, bucket) partition.
 A fixed width bounds a (key, bucket) partition only by the key's event rate:
 a key with a third of 100 TB puts tens of GB into one day.  ``bucket_seconds
 ='auto'`` therefore measures the densest (key, minute) of the input with one
-map-side-combined aggregate (only its maximum, one number, reaches the driver)
-and picks the widest bucket in which no key holds more than
-``TARGET_BUCKET_ROWS`` rows.  Rows of one key at one and the same instant are
+map-side-combined aggregate over a 1% sample (only its maximum, one number,
+reaches the driver) and picks the widest bucket in which no key holds more
+than about ``TARGET_BUCKET_ROWS`` rows.  Rows of one key at one and the same instant are
 not split (a bucket cannot be narrower than the clock).
 
 Rows with a null key form one group, as in a plain window; a non-null stand-in
@@ -40,6 +40,10 @@ AUTO = "auto"
 TARGET_BUCKET_ROWS = 2_000_000
 # Granularity at which the input's densest key is measured.
 PROBE_SECONDS = 60
+# Share of rows the width probe looks at.  The width only matters once a key has
+# more than TARGET_BUCKET_ROWS / (buckets per day) ~ 1,400 rows in a minute;
+# a 1% sample still holds ~14 of them, and its shuffle is 1% of the full probe's.
+PROBE_FRACTION = 0.01
 
 
 def epoch_micros(ts) -> Column:
@@ -53,29 +57,39 @@ def time_bucket(ts, seconds: float = DEFAULT_BUCKET_SECONDS) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(width_us))
 
 
-def densest_bucket_rows(df: DataFrame, keys: list[str], ts, seconds: float = PROBE_SECONDS) -> int:
-    """Largest number of rows one key has in one bucket of ``seconds`` (0 if empty)."""
-    counts = df.groupBy(*[F.col(k) for k in keys], time_bucket(ts, seconds).alias("__probe")).count()
+def densest_bucket_rows(df: DataFrame, keys: list[str], ts, seconds: float = PROBE_SECONDS,
+                        fraction: float = 1.0) -> float:
+    """Largest number of rows one key has in one bucket of ``seconds`` (0 if empty).
+
+    With ``fraction`` < 1 it is estimated from a sample of the rows (scaled
+    up); the sample only sizes buckets, every row is still scanned.
+    """
+    src = df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction, seed=7)
+    counts = src.groupBy(*[F.col(k) for k in keys],
+                         time_bucket(ts, seconds).alias("__probe")).count()
     top = counts.agg(F.max("count").alias("m")).first()
-    return int(top["m"] or 0)
+    return float(top["m"] or 0) / min(1.0, fraction)
 
 
 def auto_bucket_seconds(df: DataFrame, keys: list[str], ts,
                         target_rows: int | None = None,
                         probe_seconds: int = PROBE_SECONDS,
-                        max_seconds: int = DEFAULT_BUCKET_SECONDS) -> float:
+                        max_seconds: int = DEFAULT_BUCKET_SECONDS,
+                        fraction: float | None = None) -> float:
     """Widest bucket (at most ``max_seconds``) holding about ``target_rows`` rows of any key.
 
-    Widths of whole probe intervals are aligned with them, so the bound is
-    exact there; below one probe interval the rate inside it is taken as even.
-    ``target_rows`` defaults to ``TARGET_BUCKET_ROWS``.
+    Widths of whole probe intervals are aligned with them, so with an exact
+    probe (``fraction=1``) the bound is exact there; below one probe interval
+    the rate inside it is taken as even.  ``target_rows`` defaults to
+    ``TARGET_BUCKET_ROWS`` and ``fraction`` to ``PROBE_FRACTION``.
     """
     target_rows = TARGET_BUCKET_ROWS if target_rows is None else int(target_rows)
-    densest = densest_bucket_rows(df, keys, ts, probe_seconds)
+    fraction = PROBE_FRACTION if fraction is None else float(fraction)
+    densest = densest_bucket_rows(df, keys, ts, probe_seconds, fraction)
     if densest <= 0:
         return float(max_seconds)
     if densest <= target_rows:
-        return float(min(max_seconds, probe_seconds * (target_rows // densest)))
+        return float(min(max_seconds, probe_seconds * int(target_rows // densest)))
     return max(1e-6, probe_seconds * target_rows / densest)
 
 

@@ -49,20 +49,32 @@ def test_hot_key_is_split_over_partitions(spark, hot):
 
 def test_auto_width_bounds_every_key_bucket(spark, hot):
     """The chosen width keeps every (key, bucket) at or below the target, hot key included."""
-    densest = densest_bucket_rows(hot, ["k"], "ts")
+    densest = int(densest_bucket_rows(hot, ["k"], "ts"))
     assert densest >= 1
     target = densest * 3
-    width = auto_bucket_seconds(hot, ["k"], "ts", target_rows=target)
+    width = auto_bucket_seconds(hot, ["k"], "ts", target_rows=target, fraction=1.0)
     assert width == 3 * PROBE_SECONDS
     top = hot.groupBy("k", time_bucket("ts", width).alias("b")).count() \
         .agg(F.max("count")).first()[0]
     assert top <= target
     # a target below the densest minute gives a sub-minute width
-    assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=1) <= PROBE_SECONDS / densest
-    # sparse input: capped at one day
+    assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=1, fraction=1.0) \
+        <= PROBE_SECONDS / densest
+    # sparse input: capped at one day (sampled probe, the default)
     assert auto_bucket_seconds(hot, ["k"], "ts", target_rows=10**9) == 86400
 
 
+def test_sampled_probe_finds_a_dense_key(spark):
+    """A key with far more rows per minute than the rest is found by the 1% probe."""
+    from cabline.operators.scan import PROBE_FRACTION
+    dense = spark.range(200_000).select((F.col("id") % 7).alias("k"),
+                                        F.timestamp_seconds(F.col("id") % 60).alias("ts"))
+    exact = densest_bucket_rows(dense, ["k"], "ts")
+    sampled = densest_bucket_rows(dense, ["k"], "ts", fraction=PROBE_FRACTION)
+    assert exact == 28572
+    assert 0.7 * exact < sampled < 1.3 * exact
+
+
 def test_order_key_gives_the_same_result_with_a_hash_summary(spark, hot):
     order = [F.col("ts"), F.col("event_id")]
     lasts = {"last_view": F.when(F.col("event_type") == "view", F.col("event_id"))}
