@@ -97,3 +97,10 @@ def test_no_null_id_branch_for_non_nullable_ids(spark):
     with_branch = enrich.unmatched_rides(enrich.match_with_expiry(R.start_events(r), f))
     without = enrich.unmatched_rides(enrich.match_with_expiry(R.start_events(nn(r)), nn(f)))
     assert scans(without) < scans(with_branch)
+
+
+def test_walk_steps_are_never_broadcast(spark):
+    """Spark's estimate of the exploded walk steps is far too small: they are shuffled."""
+    p = _plan(QUERIES["cell_traffic"](spark, SF_SMALL))
+    assert "SortMergeJoin" in p
+    assert p.count("BroadcastExchange") == 0
