@@ -291,3 +291,31 @@ def test_expiring_join_equals_duckdb_with_wait_duplicates_and_nulls(spark):
     want = sorted((o, norm(a), norm(b)) for o, a, b in want)
     assert got == want
     assert {o for o, _, _ in got} == {"matched", "unmatched_ride", "unmatched_fare"}
+
+
+def test_ride_order_start_before_end_on_ties(spark):
+    """W1: rides in event-time order; at equal times START comes before END, then by id."""
+    import datetime as dt
+    t = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=k)
+    rows = [(5, False, t(0), t(10), -73.9, 40.7, -73.8, 40.7, 1, 1, 1),    # END at 10
+            (7, True, t(10), t(20), -73.9, 40.7, -73.8, 40.7, 1, 1, 1),    # START at 10
+            (6, True, t(10), t(30), -73.9, 40.7, -73.8, 40.7, 1, 1, 1),    # START at 10
+            (8, True, t(2), t(12), -73.9, 40.7, -73.8, 40.7, 1, 1, 1)]     # START at 2
+    r = spark.createDataFrame(rows, RIDE)
+    got = [(x.ride_id, x.is_start) for x in R.sort_rides(r).collect()]
+    assert got == [(8, True), (6, True), (7, True), (5, False)]
+    seq = {(x.ride_id, x.is_start): x.seq for x in R.ride_sequence(r, bucket_seconds=5).collect()}
+    assert seq == {(8, True): 1, (6, True): 2, (7, True): 3, (5, False): 4}
+
+
+def test_distance_to_point_uses_the_ride_end_of_its_kind(spark):
+    """G8: START rides measure from their start point, END rides from their end point."""
+    from cabline.functions import geo
+    r = spark.createDataFrame([(True, -73.9, 40.7, -73.8, 40.8), (False, -73.9, 40.7, -73.8, 40.8)],
+                              "is_start boolean, slon float, slat float, elon float, elat float")
+    p = F.lit(-73.85).cast("float"), F.lit(40.75).cast("float")
+    got = r.select(geo.distance_to_point("is_start", "slon", "slat", "elon", "elat", *p).alias("d"),
+                   geo.distance(*p, "slon", "slat").alias("to_start"),
+                   geo.distance(*p, "elon", "elat").alias("to_end")).collect()
+    assert got[0].d == got[0].to_start and got[1].d == got[1].to_end
+    assert got[0].d != got[1].d

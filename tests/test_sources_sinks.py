@@ -128,3 +128,17 @@ def test_hourly_tips_text_stream(spark, scratch):
     q.awaitTermination(120)
     lines = [r.value for r in spark.read.text(out).collect()]
     assert lines and all(x.startswith("(2024-01-") and x.endswith(")") for x in lines)
+
+
+def test_read_car_event_files(spark, scratch):
+    fields = [str(i) for i in range(23)]
+    fields[0], fields[9], fields[12] = "car-1", "0.0", "4.0"
+    fields[22] = "2016-05-01T10:00:00Z"
+    a = ",".join(fields)
+    fields[22], fields[9] = "2016-05-01T10:00:10+00:00", "30.0"
+    b = ";".join(fields)
+    p = os.path.join(scratch, "cars", "cars.gz")
+    _gz(p, [a, b])
+    ev = files.read_car_events(spark, p)
+    got = sorted((str(r.ts), r.speed) for r in ev.collect())
+    assert got == [("2016-05-01 10:00:00", 0.0), ("2016-05-01 10:00:10", 30.0)]
