@@ -324,3 +324,23 @@ def test_asof_stream_restart_keeps_state_and_timers(spark, scratch):
     want = sorted((r.customer_id, r.trade_info, r.customer_info)
                   for r in asof.asof_enrich(t, c).collect())
     assert got == want
+
+
+def test_gap_segments_out_of_order_within_the_delay(spark, scratch):
+    """Car events arrive out of order within the watermark delay; sessions still merge
+    exactly as in the batch job."""
+    ev = fx.load_events(spark, SF_SMALL)
+    ce = fx.car_events(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    jitter = (F.col("id") * F.lit(7919)) % F.lit(7200)              # 0 .. 2 h, deterministic
+    arriving = ce.withColumn("emitted", F.col("ts") + F.make_dt_interval(secs=jitter))
+    sn = arriving.limit(1).toPandas()
+    sn.loc[:, "car_id"] = -1
+    sn.loc[:, "ts"] = sn["ts"].iloc[0].replace(year=2030)
+    sn.loc[:, "emitted"] = sn["ts"].iloc[0]
+    d, schema = _stream_dir(spark, scratch, "cars", arriving, "emitted", sn, n=8)
+    assert not arriving.toPandas().sort_values("emitted")["ts"].is_monotonic_increasing
+    s = jobs.gap_segments(parquet_stream(spark, d, schema, 1), gap="6 hours", delay="2 hours")
+    got = _run(s, "gap_disorder", os.path.join(scratch, "ck"))
+    cols = ["car_id", "start_time", "length", "max_speed", "label"]
+    got_rows = [x for x in _rows(got, cols) if x[0] != -1]
+    assert got_rows == _rows(segments.gap_segments(ce, gap_seconds=6 * 3600), cols)
