@@ -344,3 +344,24 @@ def test_gap_segments_out_of_order_within_the_delay(spark, scratch):
     cols = ["car_id", "start_time", "length", "max_speed", "label"]
     got_rows = [x for x in _rows(got, cols) if x[0] != -1]
     assert got_rows == _rows(segments.gap_segments(ce, gap_seconds=6 * 3600), cols)
+
+
+def test_rides_with_fares_out_of_order_within_the_delay(spark, scratch):
+    """Rides and fares arrive out of order within the delay: the time-bounded stream join
+    still pairs exactly what the batch join pairs."""
+    ev = fx.load_events(spark, SF_SMALL)
+    r = fx.rides(ev).withColumns({"start_time": F.col("start_time").cast("timestamp"),
+                                  "end_time": F.col("end_time").cast("timestamp")})
+    f = fx.fares_for_rides(ev).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    jit = lambda c: F.col(c) + F.make_dt_interval(                  # noqa: E731
+        secs=(F.col("ride_id") * F.lit(7919)) % F.lit(7200))
+    rw = R.with_event_time(r)
+    rd, rs = _stream_dir(spark, scratch, "rides", rw.withColumn("emitted", jit("event_time")),
+                         "emitted", n=6)
+    fd, fs = _stream_dir(spark, scratch, "fares", f.withColumn("emitted", jit("start_time")),
+                         "emitted", n=6)
+    s = jobs.rides_with_fares(parquet_stream(spark, rd, rs, 1).drop("event_time", "emitted"),
+                              parquet_stream(spark, fd, fs, 1).drop("emitted"), delay="2 hours")
+    got = _run(s, "rwf_disorder", os.path.join(scratch, "ck"))
+    cols = ["ride_id", "driver_id", "fare_start_time", "tip"]
+    assert _rows(got, cols) == _rows(enrich.rides_with_fares(r, f), cols)
