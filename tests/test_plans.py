@@ -104,3 +104,12 @@ def test_walk_steps_are_never_broadcast(spark):
     p = _plan(QUERIES["cell_traffic"](spark, SF_SMALL))
     assert "SortMergeJoin" in p
     assert p.count("BroadcastExchange") == 0
+
+
+def test_queries_read_whole_tables(spark):
+    """No registered query caps or samples its rows (the bucket-width probe's sample is
+    a separate job that only sizes buckets)."""
+    for name in QUERIES:
+        p = _optimized(QUERIES[name](spark, SF_SMALL))
+        for node in ("Sample", "GlobalLimit", "LocalLimit", "Tail"):
+            assert node not in p, (name, node)
