@@ -96,3 +96,11 @@ def test_streaming_jobs_write_their_outputs(spark, inputs):
     cli.main(["rides-and-fares", "--rides", rides, "--fares", fares, "--save", str(d / "pairs_b")])
     got = _lines(str(d / "pairs_s"))
     assert got and set(got) <= set(_lines(str(d / "pairs_b")))   # same lines as the batch job
+
+
+def test_ride_cleansing_stream_equals_batch(spark, inputs):
+    rides, _, d = inputs
+    cli.main(["ride-cleansing", "--rides", rides, "--save", str(d / "clean_b")])
+    cli.main(["ride-cleansing", "--rides", rides, "--save", str(d / "clean_s"), "--stream",
+              "--available-now", "--checkpoint", str(d / "ck_clean")])
+    assert _lines(str(d / "clean_s")) == _lines(str(d / "clean_b"))
