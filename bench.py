@@ -1,8 +1,9 @@
 """Benchmark: run every driver query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed completely (``write.format('noop')``: every row is
-produced, nothing is collected).  One warm-up pass, then the median of
-$BENCH_REPEAT timed runs per query.  Prints ONE JSON line.
+produced, nothing is collected).  One warm-up pass over all queries, then
+$BENCH_REPEAT timed rounds over all queries in turn; the median per query.
+Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -29,16 +30,19 @@ def main() -> None:
                       shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     names = only or list(QUERIES)
-    times = {}
-    for name in names:
-        fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
-        runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+
+    def run(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    for name in names:                      # warm-up: every query once, JIT included
+        run(name)
+    runs = {name: [] for name in names}
+    for _ in range(repeat):                 # timed rounds over all queries in turn
+        for name in names:
+            runs[name].append(run(name))
+    times = {name: round(statistics.median(r), 3) for name, r in runs.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_median_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus),

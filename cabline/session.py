@@ -39,6 +39,10 @@ DEFAULT_CONF = {
 # Fixed at start-up: no web UI (no port is opened by the library's sessions).
 STARTUP_CONF = {
     "spark.ui.enabled": "false",
+    # compiled query code is cached by its source; the default 100 entries hold
+    # only a handful of these plans, so a session running many different jobs
+    # would compile the same code again and again
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
