@@ -40,3 +40,16 @@ def test_bench_prints_one_json_line(tmp_path):
     assert result["unit"] == "sec" and result["sf"] == "0.001"
     assert set(result["queries"]) == {"measurement_points", "hourly_max_tips"}
     assert result["value"] == round(sum(result["queries"].values()), 3)
+
+
+def test_shuffle_report_reads_its_event_log(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, os.path.join(REPO, "tools", "shuffle_report.py"),
+                          "--sf", "/root/testdata/sf0.001", "hourly_tips", "measurement_points"],
+                         cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=600)
+    rows = {line.split()[0]: line.split() for line in out.stdout.splitlines()
+            if line.startswith(("hourly_tips", "measurement_points"))}
+    assert set(rows) == {"hourly_tips", "measurement_points"}, out.stdout + out.stderr[-2000:]
+    assert int(rows["hourly_tips"][3]) == 1000          # input rows of events at sf0.001
+    assert int(rows["hourly_tips"][4]) > 0               # it shuffles
+    assert int(rows["measurement_points"][4]) == 0       # map-only
