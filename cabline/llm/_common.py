@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -34,10 +35,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     A lost executor costs the tasks it ran, never a recomputation of what
-    stands before the cut."""
-    path = scratch(df.sparkSession, name)
+    stands before the cut; shuffle files from before the cut can go."""
+    spark = df.sparkSession
+    path, schema = scratch(spark, name), df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def per_process(key: str, make):
