@@ -1,23 +1,84 @@
-"""The registered queries of the numbered operators: ``(spark, sf_dir) -> DataFrame``."""
+"""The registered queries of the numbered operators: ``(spark, sf_dir) -> DataFrame``.
+
+Each applies its operator to the whole table and derives the contract's columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabline.llm import packing, tokens, varbyte
+from cabline.llm import (bwt_dedup, decontam, hamming, html_blocks, lbl, packing, quality,
+                         surrogates, tokens, url_reputation, varbyte)
 from cabline.llm._common import scratch, table
 
+#: (verdict, host, path)
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+#: the key of the surrogates; a deployment passes its own secret
+PII_KEY = "surrogates-1"
+TOKEN_FILE_END, PACKING_END = 2, 1
+
 
 def op1_token_files(spark, sf_dir):
     path = scratch(spark, "token-files")
-    varbyte.write_token_files(table(spark, sf_dir, "documents"), path, tokens.word_bpe_path(), 2)
+    varbyte.write_token_files(table(spark, sf_dir, "documents"), path, tokens.word_bpe_path(),
+                              TOKEN_FILE_END)
     return varbyte.read_token_files(spark, path, digest=True)
 
 
-def op2_harmonic_packing(spark, sf_dir):
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokens.word_bpe_path(), 1)
+def packed(docs):
+    pieces = packing.pack_documents(docs, tokens.word_bpe_path(), PACKING_END)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {"op1_token_files": op1_token_files, "op2_harmonic_packing": op2_harmonic_packing}
+def op2_harmonic_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark, sf_dir):
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_html_blocks(spark, sf_dir):
+    return html_blocks.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op5_lbl_scores(spark, sf_dir):
+    return lbl.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op6_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_pii(docs, PII_KEY, count_col="n_replaced")
+
+
+def op7_decontamination(spark, sf_dir):
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        "contaminated")
+
+
+def op8_near_duplicates(spark, sf_dir):
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_repeated_passages(spark, sf_dir):
+    return bwt_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op10_url_reputation(spark, sf_dir):
+    # a page's labels are those of its id: bad is low quality or toxic
+    outcome = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"),
+                                                   outcome.alias("bad"))
+    judged = url_reputation.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_harmonic_packing, op3_quality_rules, op4_html_blocks, op5_lbl_scores,
+    op6_surrogates, op7_decontamination, op8_near_duplicates, op9_repeated_passages,
+    op10_url_reputation)}
 ORACLE_SQL: dict[str, str] = {}
