@@ -2,8 +2,10 @@
 
 The word BPE drops white space and never joins across it, so a text's ids are
 the ids of its white-space separated words in order.  Each worker process keeps
-the ids of words it has met; unknown words of a batch go to the tokenizer in
-one call.  Texts with special-token strings go to the tokenizer whole.
+the ids of words it has met.  A new word of Latin-1 letters, with or without
+signs after it, is what the tokenizer's normaliser and splitter leave alone (but
+for case): its two parts go straight to the tokenizer's model; any other word
+goes through the whole tokenizer, and so do texts with special-token strings.
 """
 
 from __future__ import annotations
@@ -16,77 +18,68 @@ import numpy as np
 
 from cabline.llm._common import per_process
 
-CACHED_WORDS = 1_200_000
-# letters, then signs that the pre-tokenizer always splits off the letters
-_LETTERS_SIGNS = re.compile(rb"([a-z]+)([.,!?;:%#$*&]+)")
+CACHED_WORDS = 700_000
+_LETTERS_SIGNS = re.compile("([a-zß-öø-ÿ]+)([.,!?;:%#$*&|]*)")
+_LATIN_1 = "\u0100"
 
 
-class WordIds:
+def byte_signs() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for
+    the code points from 256 in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class WordIds(dict):
     """word -> its ids as little-endian 32-bit integers, for one tokenizer file."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {b"": b""}
-
-    def learn(self, words: set[bytes]) -> None:
-        unknown = words.difference(self.known)
-        if not unknown:
-            return
-        whole, split = set(), []
-        for w in unknown:
-            m = _LETTERS_SIGNS.fullmatch(w)
-            if m:
-                split.append((w, m[1], m[2]))
-                whole.update(m.groups())
-            else:
-                whole.add(w)
-        whole = list(whole.difference(self.known))
-        if whole:
-            found = self.tokenizer.encode([w.decode() for w in whole], is_pretokenized=True,
-                                          add_special_tokens=False)
-            raw = np.array(found.ids, "<u4").tobytes()
-            n = np.bincount(np.array(found.word_ids, np.int64), minlength=len(whole))
-            ends = (4 * np.cumsum(n)).tolist()
-            start = 0
-            for w, end in zip(whole, ends):
-                self.known[w] = raw[start:end]
-                start = end
-        for w, letters, signs in split:
-            self.known[w] = self.known[letters] + self.known[signs]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        lists: list[list[bytes] | None] = []
-        words: set[bytes] = set()
-        for text in texts:
-            lists.append(None if b"<|" in text else text.lower().split())
-            if lists[-1]:
-                words.update(lists[-1])
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {b"": b""}
-        self.learn(words)
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else
-                np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids,
-                         "<u4").tobytes()
-                for text, ws in zip(texts, lists)]
-
-
-def encode_texts(path: str, texts: Iterable[bytes | None], end_id: int,
-                 chunk_bytes: int = 4 << 20) -> Iterator[bytes]:
+        self.model = self.tokenizer.model
+        signs = byte_signs()
+        self.spelled = {c: "".join(signs[b] for b in chr(c).encode()) for c in range(256)}
+
+    def _part(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.translate(self.spelled)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        text = word.decode()
+        plain = _LETTERS_SIGNS.fullmatch(text.lower()) if max(text) < _LATIN_1 else None
+        if plain:
+            letters, signs = plain.groups()
+            ids = self._part(letters)
+            if signs:
+                # signs recur: looked up as a word of their own
+                ids += self[signs.encode()]
+        else:
+            ids = self.whole(text)
+        self[word] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: bytes) -> bytes:
+        if b"<|" in text:
+            return self.whole(text.decode())
+        return b"".join(map(self.__getitem__, text.lower().split()))
+
+
+def encode_texts(path: str, texts: Iterable[bytes | None], end_id: int) -> Iterator[bytes]:
     """Per text its ids and ``end_id`` as little-endian 32-bit integers; null is empty."""
-    coder = per_process(f"word_ids:{path}", lambda: WordIds(path))
+    words = per_process(f"word_ids:{path}", lambda: WordIds(path))
     end = np.array([end_id], "<u4").tobytes()
-    chunk, size = [], 0
     for text in texts:
-        chunk.append(text or b"")
-        size += len(chunk[-1])
-        if size >= chunk_bytes:
-            yield from (ids + end for ids in coder.encode(chunk))
-            chunk, size = [], 0
-    yield from (ids + end for ids in coder.encode(chunk))
+        yield words.encode(text or b"") + end
 
 
 def word_bpe_path() -> str:
