@@ -31,14 +31,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return checkpoint_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     A lost executor costs the tasks it ran, never a recomputation of what
     stands before the cut; shuffle files from before the cut can go."""
     spark = df.sparkSession
     path, schema = scratch(spark, name), df.schema
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cabline.llm._common import id_and_text
+from cabline.llm._common import cut, id_and_text, release
 from cabline.llm.tokens import encode_texts
 
 BLOCK_IDS = 1 << 18
@@ -65,54 +65,21 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(id, n): each task sends at most one row per id of the vocabulary."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            for ids in encode_texts(tokenizer, b.column("text").to_pylist(), end_id):
-                part = np.bincount(np.frombuffer(ids, "<u4")) if len(ids) > 4 else \
-                    np.bincount(np.frombuffer(ids, "<u4").astype(np.int64))
-                if len(part) > len(total):
-                    part[:len(total)] += total
-                    total = part
-                else:
-                    total[:len(part)] += part
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()),
-                                          pa.array(total[found], pa.int64())], ["id", "n"])
-
-    return (docs.select("text").mapInArrow(count, "id long, n long")
-            .groupBy("id").agg(F.sum("n").alias("n")))
-
-
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
-                      id_col: str = "doc_id", text_col: str = "text",
-                      shards: int | None = None) -> None:
-    """Write the token files of ``docs`` to folder ``path`` in ascending doc_id order."""
-    spark = docs.sparkSession
-    docs = id_and_text(docs, id_col, text_col)
-    counted = id_counts(docs, tokenizer, end_id)
-    ranked = counted.orderBy(F.desc("n"), "id").toPandas()      # bounded by the vocabulary
-    ids = ranked["id"].to_numpy(np.int64)
-    (spark.createDataFrame([(ids.astype("<u4").tobytes(),)], "ids binary").coalesce(1)
-     .write.parquet(f"{path}/ranks"))
-    rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
-    rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
-    ranks = spark.sparkContext.broadcast(rank_of)               # at most the vocabulary
-
+def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, shards: int) -> DataFrame:
+    """The blocks with their ids as they are, in ascending doc_id order."""
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, start = TaskContext.get().partitionId(), 0
         doc_ids, lengths, parts, size = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            control, data = pack(ranks.value[np.frombuffer(b"".join(parts), "<u4")])
+            ids = np.frombuffer(b"".join(parts), "<u4")
+            small = ids.max() <= 0xFFFF
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([start], pa.int64()),
                  pa.array([size], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([control], pa.binary()),
-                 pa.array([data], pa.binary())],
-                ["shard", "start", "n_ids", "doc_ids", "lengths", "control", "data"])
+                 pa.array([lengths], pa.list_(pa.int64())),
+                 pa.array([(ids.astype("<u2") if small else ids).tobytes()], pa.binary())],
+                ["shard", "start", "n_ids", "doc_ids", "lengths", "ids"])
 
         for b in batches:
             texts = encode_texts(tokenizer, b.column("text").to_pylist(), end_id)
@@ -128,11 +95,64 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         if doc_ids:
             yield block()
 
+    return (docs.withColumn("tie", F.xxhash64("text"))
+            .repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+            .drop("tie").mapInArrow(blocks, "shard int, start long, n_ids long, "
+                                    "doc_ids array<bigint>, lengths array<bigint>, ids binary"))
+
+
+def _ids(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
+
+
+def id_counts(blocks: DataFrame) -> DataFrame:
+    """(id, n): each task sends at most one row per id of the vocabulary."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for b in batches:
+            for raw, n in zip(b.column("ids").to_pylist(), b.column("n_ids").to_pylist()):
+                part = np.bincount(_ids(raw, n), minlength=len(total))
+                part[:len(total)] += total
+                total = part
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()),
+                                          pa.array(total[found], pa.int64())], ["id", "n"])
+
+    return (blocks.select("ids", "n_ids").mapInArrow(count, "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("n")))
+
+
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
+                      id_col: str = "doc_id", text_col: str = "text",
+                      shards: int | None = None) -> None:
+    """Write the token files of ``docs`` to folder ``path`` in ascending doc_id order."""
+    spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (docs.withColumn("tie", F.xxhash64("text"))
-     .repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .drop("tie").mapInArrow(blocks, _BLOCKS)
-     .write.option("compression", "zstd").parquet(f"{path}/shards"))
+    # texts are sorted and tokenised once; ranks need all counts first
+    blocks = cut(_raw_blocks(id_and_text(docs, id_col, text_col), tokenizer, end_id, shards),
+                 "token-blocks", compression="zstd")
+    release(spark)
+    ranked = id_counts(blocks).orderBy(F.desc("n"), "id").toPandas()    # at most the vocabulary
+    ids = ranked["id"].to_numpy(np.int64)
+    (spark.createDataFrame([(ids.astype("<u4").tobytes(),)], "ids binary").coalesce(1)
+     .write.parquet(f"{path}/ranks"))
+    rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
+    rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
+    ranks = spark.sparkContext.broadcast(rank_of)                       # at most the vocabulary
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                one = b.slice(i, 1)
+                raw, n = one.column("ids")[0].as_py(), one.column("n_ids")[0].as_py()
+                control, data = pack(ranks.value[_ids(raw, n)])
+                yield pa.RecordBatch.from_arrays(
+                    [*(one.column(c) for c in ("shard", "start", "n_ids", "doc_ids", "lengths")),
+                     pa.array([control], pa.binary()), pa.array([data], pa.binary())],
+                    ["shard", "start", "n_ids", "doc_ids", "lengths", "control", "data"])
+
+    (blocks.mapInArrow(coded, _BLOCKS).write.option("compression", "zstd")
+     .parquet(f"{path}/shards"))
 
 
 def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
