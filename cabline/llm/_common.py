@@ -39,7 +39,16 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path, schema = scratch(spark, name), df.schema
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Drop the table of a :func:`cut` that no later plan reads."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, release
+from cabline.llm._common import cut, discard, id_and_text, mix64, release
 
 LENGTH = 200
 ANCHOR = 32             # bytes, a power of two
@@ -207,8 +207,11 @@ def _judge_groups(length: int):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]
         for b in batches:
-            for x, c in zip(held, ("key", "content", "many", "before", "string")):
-                x += b.column(c).to_pylist()
+            for row in zip(*(b.column(c).to_pylist() for c in
+                             ("key", "content", "many", "before", "string"))):
+                if not held[0] or row[0] != held[0][-1] or row[1] != held[1][-1]:
+                    for x, value in zip(held, row):
+                        x.append(value)
             while len(held[0]) >= BATCH_STRINGS:
                 n = BATCH_STRINGS           # up to the end of the group that crosses the edge
                 while n < len(held[0]) and held[0][n] == held[0][n - 1]:
@@ -247,23 +250,11 @@ def _split_groups(strings: DataFrame, length: int) -> DataFrame:
                 "at", lambda i: F.array(i, i + 1))).alias("ranges")))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
-    """(doc_id, row, spans) of ``docs(doc_id, row, text)`` rows with repeats; spans is
-    [from, to, ...] of covered bytes, neither ordered nor merged."""
-    spark = docs.sparkSession
-    rows = cut(_segment_rows(docs, length), "segments")
-    several = rows.groupBy("key").count().where("count > 1").select("key")
-    rows = cut(rows.join(several, "key"), "shared-segments")
-    release(spark)
-    distinct = (rows.groupBy("key", "content")
-                .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("at")))
-    group = distinct.groupBy("key").agg(F.count("*").alias("strings"))
-    distinct = (distinct.join(group, "key")
-                .select("key", "content", (F.col("n") > 1).alias("many"), "at.doc_id", "at.place",
-                        (F.col("strings") > max_group).alias("large")))
-    wanted = (distinct.select("key", "content", "many", "large", "doc_id", *_unpacked())
-              .groupBy("doc_id", "row").agg(F.collect_list(F.struct(
-                  "key", "content", "many", "large", "first", "windows", "before")).alias("of")))
+def _strings(docs: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
+    """The ``distinct`` segments with their bytes, read from one of their texts; a text
+    whose row is repeated gives them as often."""
+    wanted = distinct.groupBy("doc_id", "row").agg(F.collect_list(F.struct(
+        "key", "content", "many", "first", "windows", "before")).alias("of"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -272,21 +263,41 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
                 spans = zip(part.column("first").to_pylist(), part.column("windows").to_pylist())
                 strings = [text[i:i + n + length - 1] for i, n in spans]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("key", "content", "many", "large", "before")),
+                    [*(part.column(c) for c in ("key", "content", "many", "before")),
                      pa.array(strings, pa.binary())],
-                    ["key", "content", "many", "large", "before", "string"])
+                    ["key", "content", "many", "before", "string"])
 
     same_row = [docs["doc_id"].eqNullSafe(wanted["doc_id"]), docs["row"] == wanted["row"]]
-    # repeated rows hold the same text: one of them gives the strings
-    strings = docs.join(wanted, same_row).select("text", "of").mapInArrow(
-        _gathered(extract), "key long, content long, many boolean, large boolean, before int, "
-                            "string binary").dropDuplicates(["key", "content"])
-    strings = cut(strings, "strings")
+    return docs.join(wanted, same_row).select("text", "of").mapInArrow(
+        _gathered(extract), "key long, content long, many boolean, before int, string binary")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
+    """(doc_id, row, spans) of ``docs(doc_id, row, text)`` rows with repeats; spans is
+    [from, to, ...] of covered bytes, neither ordered nor merged."""
+    spark = docs.sparkSession
+    every = cut(_segment_rows(docs, length), "segments")
+    several = every.groupBy("key").count().where("count > 1").select("key")
+    rows = cut(every.join(several, "key"), "shared-segments")
+    discard(every)
+    release(spark)
+    distinct = (rows.groupBy("key", "content")
+                .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("at")))
+    group = distinct.groupBy("key").agg(F.count("*").alias("strings"))
+    distinct = (distinct.join(group, "key")
+                .select("key", "content", (F.col("n") > 1).alias("many"), "at.doc_id",
+                        *_unpacked("at.place"), (F.col("strings") > max_group).alias("large")))
+    distinct = cut(distinct, "distinct-segments")
+    release(spark)
+    strings = _strings(docs, distinct.where("not large"), length)
+    judged = cut(strings.repartition("key").sortWithinPartitions("key", "content")
+                 .mapInArrow(_judge_groups(length), "key long, content long, ranges array<int>")
+                 .where("size(ranges) > 0"), "repeats")
     release(spark)
-    judged = (strings.where("not large").repartition("key").sortWithinPartitions("key", "content")
-              .mapInArrow(_judge_groups(length), "key long, content long, ranges array<int>"))
-    judged = judged.unionByName(_split_groups(strings.where("large"), length))
-    judged = cut(judged.where("size(ranges) > 0"), "repeats")
+    if distinct.where("large").limit(1).count():
+        strings = _strings(docs, distinct.where("large"), length).dropDuplicates(["key", "content"])
+        judged = judged.unionByName(cut(_split_groups(strings, length), "split-repeats"))
+        release(spark)
     # from windows of a segment to bytes of a text
     spans = rows.join(judged, ["key", "content"]).select("doc_id", *_unpacked(), "ranges")
     to_bytes = F.transform("ranges", lambda x, i: x + F.col("first")
