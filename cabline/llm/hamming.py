@@ -13,12 +13,15 @@ with probability 0.15, so a true pair is over the threshold about once in
 20,000; more similar pairs practically never.
 
 Links are wanted up to connectivity, so buckets needn't be expanded into pairs:
-1. every member of a bucket is compared with the bucket's smallest one (a
+1. every member of a bucket has the bucket's smallest one as its leader (a
    combinable minimum, joined back: a hot bucket is split by the skew join);
-2. components of the confirmed links;
+   each document is compared with the leader it shares most buckets with;
+2. after components of the confirmed links, members are compared with those of
+   their other leaders that are in another component;
 3. in buckets of three or more that still hold several components, members
    outside the bucket's most frequent component are compared with every member
-   of another component.  Afterwards no two members of a bucket under the
+   of another component, each pair in the first bucket it shares and only under
+   the signature distance.  Afterwards no two members of a bucket under the
    threshold are untested unless they are connected already.
 Candidates over the signature distance or whose set sizes rule the similarity
 out are dropped; the others are confirmed on the full sets.
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, word_hashes
+from cabline.llm._common import cut, id_and_text, mix64, release, word_hashes
 from cabline.llm.graph import components
 
 SHINGLE = 5
@@ -107,24 +110,83 @@ def _summaries(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _bucket_rows(reps: DataFrame) -> DataFrame:
-    """(key, id, sketch): a row for each key of each representative; ``sketch`` has a
-    bit of each of the first 64 lanes."""
+    """(key, id): a row for each key of each representative."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 2048):
                 part = b.slice(i, 2048)
                 raw = b"".join(part.column("signature").to_pylist())
-                lanes = np.frombuffer(raw, "<u2").reshape(-1, CHUNKS * LANES)
-                keys = bucket_keys(lanes)
-                bits = np.packbits((lanes[:, :64] & 1).astype(np.uint8), axis=1)
-                per = CHUNKS * LANES
+                keys = bucket_keys(np.frombuffer(raw, "<u2").reshape(-1, CHUNKS * LANES))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.reshape(-1)),
-                     pa.array(np.repeat(part.column("id").to_numpy(), per)),
-                     pa.array(np.repeat(bits.view(np.int64).reshape(-1), per))],
-                    ["key", "id", "sketch"])
+                     pa.array(np.repeat(part.column("id").to_numpy(), CHUNKS * LANES))],
+                    ["key", "id"])
 
-    return reps.select("id", "signature").mapInArrow(rows, "key long, id long, sketch long")
+    return reps.select("id", "signature").mapInArrow(rows, "key long, id long")
+
+
+def _words_of(members: DataFrame) -> DataFrame:
+    """``members(key, id, signature, ...)`` with the signature as longs of three lanes
+    (``s``, two a chunk), and the place of the key: its chunk and the lane left out."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lanes = np.frombuffer(b"".join(b.column("signature").to_pylist()), "<u2")
+            lanes = lanes.reshape(-1, CHUNKS * LANES)
+            place = (bucket_keys(lanes) == b.column("key").to_numpy()[:, None]).argmax(1)
+            three = lanes.reshape(len(lanes), -1, 3).astype(np.int64)
+            packed = three[:, :, 0] | three[:, :, 1] << 16 | three[:, :, 2] << 32
+            width = packed.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in ("key", "id", "part", "main")),
+                 pa.array(place // LANES, pa.int32()), pa.array(place % LANES, pa.int32()),
+                 *(pa.array(packed[:, i]) for i in range(width))],
+                ["key", "id", "part", "main", "chunk", "left_out",
+                 *(f"s{i}" for i in range(width))])
+
+    longs = ", ".join(f"s{i} long" for i in range(CHUNKS * LANES // 3))
+    return members.select("key", "id", "signature", "part", "main").mapInArrow(
+        words, f"key long, id long, part long, main long, chunk int, left_out int, {longs}")
+
+
+def _differing(i: int):
+    """Lanes of chunk ``i`` that differ between ``s*`` and ``x_s*`` (bit arithmetic)."""
+    low, high = F.lit(0x7FFF7FFF7FFF), F.lit(0x800080008000)
+
+    def of(n: int):
+        x = F.col(f"s{n}").bitwiseXOR(F.col(f"x_s{n}"))
+        return F.bit_count(((x.bitwiseAND(low) + low).bitwiseOR(x)).bitwiseAND(high))
+
+    return of(2 * i) + of(2 * i + 1)
+
+
+def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b) under the signature distance that share a bucket of three or more and
+    aren't connected, each once; pairs with a bucket's leader are among them."""
+    members = (buckets.where("size > 2").join(part, "id", "left")
+               .select("key", "id", F.coalesce("component", "id").alias("part")))
+    by_part = members.groupBy("key", "part").count()
+    mixed = (by_part.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"),
+                                        F.count("*").alias("parts")).where("parts > 1"))
+    members = members.join(mixed.select("key", "main"), "key").join(
+        reps.select("id", "signature"), "id")
+    members = cut(_words_of(members), "mixed-buckets")
+    x = members.where("part <> main")
+    x = x.select("key", *[F.col(c).alias(f"x_{c}") for c in x.columns
+                          if c not in ("key", "main", "chunk", "left_out")])
+    chunks = [_differing(i) for i in range(CHUNKS)]
+    first = (F.when(F.col("left_out") == 0, True)
+             .otherwise(sum(F.when(F.col("chunk") == i, chunks[i]).otherwise(0)
+                            for i in range(CHUNKS)) > 0))
+    for i in range(CHUNKS):
+        first = first & ((F.col("chunk") <= i) | (chunks[i] > ERRORS))
+    # a pair of two members outside the main component meets both ways round
+    once = (F.col("part") == F.col("main")) | (F.col("id") < F.col("x_id"))
+    return (members.join(x, "key")
+            .where((F.col("part") != F.col("x_part")) & once
+                   & (sum(chunks[1:], chunks[0]) <= MAX_DISTANCE) & first)
+            .select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")))
 
 
 def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -190,27 +252,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     least = (rows.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("size"))
              .where("size > 1"))
     buckets = cut(rows.join(least, "key"), "buckets")
-    star = (buckets.where("id <> leader").select(F.col("leader").alias("a"),
-                                                 F.col("id").alias("b")).distinct())
-    links = cut(_confirmed(cut(_close(star, reps, percent), "pairs"), docs, percent, shingle),
-                "links")
+    release(docs.sparkSession)
+    star = cut(buckets.where("id <> leader").groupBy("leader", "id").count(), "stars")
+    best = star.groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        near = cut(_close(pairs, reps, percent), "pairs")
+        out = cut(_confirmed(near, docs, percent, shingle), "links")
+        release(docs.sparkSession)
+        return out
 
+    links = confirmed(best.select("a", F.col("id").alias("b")))
     part = components(links)
-    members = (buckets.where("size > 2").join(part, "id", "left")
-               .select("key", "id", "sketch", F.coalesce("component", "id").alias("part")))
-    by_part = members.groupBy("key", "part").count()
-    mixed = (by_part.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"),
-                                        F.count("*").alias("parts")).where("parts > 1"))
-    members = cut(members.join(mixed.select("key", "main"), "key"), "mixed-buckets")
-    x = members.where("part <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in
-                                                      ("id", "sketch", "part")])
-    rest = (members.join(x, "key")
-            .where((F.col("part") != F.col("x_part"))
-                   & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("x_sketch"))) <= MAX_DISTANCE))
-            .select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b"))
-            .distinct().join(star, ["a", "b"], "left_anti"))
-    more = _confirmed(cut(_close(rest, reps, percent), "pairs"), docs, percent, shingle)
-    part = components(links.unionByName(more))
+    a, b = (part.select(F.col("id").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
+    rest = (star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+            .join(best.select("a", F.col("id").alias("b")), ["a", "b"], "left_anti")
+            .join(a, "a", "left").join(b, "b", "left")
+            .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b"))
+    links = links.unionByName(confirmed(rest))
+    part = components(links)
+    tested = star.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
+    rest = _untested(buckets, part, reps).join(tested, ["a", "b"], "left_anti")
+    part = components(links.unionByName(confirmed(rest)))
 
     of_set = reps.join(part, "id", "left").select(
         "set_hash", F.coalesce("component", "id").alias("component_id"))
