@@ -27,6 +27,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ from cabline.llm._common import cut, id_and_text, per_process, release
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 ROUNDS, STRIDE, BATCH, NOISE, RATE = 2, 16, 512, 64, 0.1
 MAX_COUNTER = 250_000
 _BLOCK = 1024           # tokens normalised at once
@@ -65,6 +66,20 @@ def rare_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
+class _RareOutputs(dict):
+    """word -> output of its rare class; emptied when large."""
+
+    def __init__(self, first: int, classes: int) -> None:
+        super().__init__()
+        self.first, self.classes = first, classes
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        value = self[word] = self.first + rare_class(word, self.classes)
+        return value
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over the training documents; the end is the empty word."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,20 +116,26 @@ class Vocabulary:
         self.start = self.outputs
         self.share = (counts + 0.5) / (counts + 0.5).sum()      # of outputs, the noise
 
-    def outputs_of(self, words: list[bytes]) -> np.ndarray:
-        cache = per_process("lbl_rare", dict)
-        if len(cache) > 400_000:
-            cache.clear()
-        get, out = self.index.get, []
-        for w in words:
-            i = get(w)
-            if i is None:
-                i = cache.get(w)
-                if i is None:
-                    i = cache[w] = self.first_rare + rare_class(w, self.rare_classes)
-            out.append(i)
-        out.append(self.end)
-        return np.array(out, np.int64)
+    def rare(self) -> _RareOutputs:
+        return per_process(f"lbl_rare:{self.first_rare}:{self.rare_classes}",
+                           lambda: _RareOutputs(self.first_rare, self.rare_classes))
+
+    def outputs_of(self, words: list[bytes], only: np.ndarray | None = None) -> np.ndarray:
+        """The outputs of a text's tokens; with ``only``, those of other positions are
+        left undefined."""
+        out = np.empty(len(words) + 1, np.int64)
+        out[-1] = self.end
+        if only is None:
+            out[:-1] = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64,
+                                   len(words))
+            only = np.flatnonzero(out == -1)
+        else:
+            only = only[only < len(words)]
+            out[only] = [self.index.get(words[i], -1) for i in only.tolist()]
+            only = only[out[only] == -1]
+        rare = self.rare()
+        out[only] = [rare[words[i]] for i in only.tolist()]
+        return out
 
     def contexts(self, outputs: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
         """(len(at), n) outputs before each position, the nearest first."""
@@ -149,12 +170,16 @@ class Model:
 
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logs, normalised over all outputs."""
-        scores = self.predicted(contexts) @ self.t.T
-        scores += self.b
-        scores -= scores.max(1, keepdims=True)
-        of = scores[np.arange(len(targets)), targets].astype(np.float64)
+        q = np.concatenate([self.predicted(contexts), np.ones((len(targets), 1), np.float32)], 1)
+        outputs = np.concatenate([self.t, self.b[:, None]], 1)      # the bias as one more factor
+        scores = q @ outputs.T
+        of = np.einsum("ij,ij->i", q, outputs[targets]).astype(np.float64)
+        if scores.max() > 60:                   # far from normalised: keep exp in range
+            top = scores.max(1, keepdims=True)
+            scores -= top
+            of -= top[:, 0]
         np.exp(scores, out=scores)
-        return of - np.log(scores.sum(1, dtype=np.float64))
+        return of - np.log(scores @ np.ones(len(outputs), np.float32)).astype(np.float64)
 
 
 class Trainer:
@@ -222,11 +247,13 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if fold(doc_id) == HELD_OUT_FOLD:
                     continue
-                outputs = words.outputs_of(words_of(text))
-                first = (zlib.crc32(b"%d" % len(outputs)) + (doc_id or 0)
+                tokens = words_of(text)
+                first = (zlib.crc32(b"%d" % len(tokens)) + (doc_id or 0)
                          + round_ * (stride // ROUNDS)) % stride
-                at = np.arange(first, len(outputs), stride)
+                at = np.arange(first, len(tokens) + 1, stride)
                 if len(at):
+                    needed = (at[:, None] - np.arange(context + 1)).reshape(-1)
+                    outputs = words.outputs_of(tokens, needed[needed >= 0])
                     held.append((words.contexts(outputs, at, context), outputs[at]))
                     n += len(at)
                 while n >= BATCH:
@@ -271,8 +298,18 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
     counts = cut(word_counts(docs), "word-counts")
     release(spark)
     n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = (counts.where("length(word) > 0").orderBy(F.desc("n"), "word").limit(known_words)
-           .collect())                          # bounded by known_words
+    # the smallest count that at most known_words words reach, to a sixteenth of an octave
+    level = F.floor(16 * F.log2("n")).cast("int")
+    words = counts.where("length(word) > 0").withColumn("level", level)
+    levels = sorted(words.groupBy("level").count().collect(), reverse=True)     # 1024 at most
+    enough, least = 0, 1024
+    for r in levels:
+        enough += r["count"]
+        if enough > known_words:
+            break
+        least = r["level"]
+    top = sorted(words.where(F.col("level") >= least).select("word", "n").collect(),
+                 key=lambda r: (-r["n"], r["word"]))
     known = {r["word"]: r["n"] for r in top}
     hot = [r["word"] for r in top[:hot_words]]
     ends = counts.where("length(word) = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -318,9 +355,9 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
                     at = np.arange(i, min(i + _BLOCK, len(outputs)))
                     total += m.log_probabilities(words.contexts(outputs, at, context),
                                                  outputs[at]).sum()
-                found = [get(w) for w in tokens]
-                rest = Counter(word_hash(w) for w, n in zip(tokens, found) if n is None)
-                of = np.array([0 if n is None else n for n in found] + [ends], np.float64)
+                of = np.fromiter(map(get, tokens, itertools.repeat(0)), np.float64, len(tokens))
+                rest = Counter(word_hash(tokens[i]) for i in np.flatnonzero(of == 0).tolist())
+                of = np.append(of, ends)
                 logs = np.log10(of + 1)
                 rare = outputs >= words.first_rare
                 rows.append((place, fold(doc_id) == HELD_OUT_FOLD, len(outputs),
@@ -341,8 +378,7 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
                                         "n_known long, base_score double, score double, "
                                         "rare array<bigint>, times array<bigint>"), "scores")
     # the words that weren't sent: their counts join by hash, then sum per document
-    least = top[-1]["n"] if len(top) == known_words else 0
-    others = hashed.where(F.col("n") <= least).select("hash", "n")
+    others = hashed.where(level < least).select("hash", "n")
     met = scored.select("place", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "place", F.col("x.rare").alias("hash"), F.col("x.times").alias("times"))
     added = (met.join(others, "hash").groupBy("place")
