@@ -25,6 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .where("a <> b").distinct(), "components")
+    if not edges.limit(1).count():
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     for _ in range(MAX_ROUNDS):
         near = _both_ways(edges)
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -48,3 +50,27 @@ def components(edges: DataFrame) -> DataFrame:
         raise RuntimeError("components didn't settle")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(id, component) of every id in ``parents(id, component)``, where each id occurs
+    once and its parent is smaller: pointer doubling, a join a round."""
+    parents = cut(parents, "roots")
+    for _ in range(MAX_ROUNDS):
+        above = parents.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        step = parents.join(above, "component", "left")
+        moved = cut(step.select("id", F.coalesce("above", "component").alias("component"),
+                                F.col("above").isNotNull().alias("moved")), "roots")
+        parents = moved.select("id", "component")
+        if not moved.where("moved").limit(1).count():
+            return parents
+    raise RuntimeError("parents didn't settle")
+
+
+def joined(part: DataFrame, of_roots: DataFrame) -> DataFrame:
+    """``part(id, component)`` after its components were grouped by ``of_roots(id,
+    component)``; roots that ``part`` doesn't have come in as they are."""
+    top = of_roots.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    below = part.join(top, "component", "left").select(
+        "id", F.coalesce("top", "component").alias("component"))
+    return below.unionByName(of_roots.join(part.select("id"), "id", "left_anti"))

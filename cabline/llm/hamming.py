@@ -16,13 +16,14 @@ Links are wanted up to connectivity, so buckets needn't be expanded into pairs:
 1. every member of a bucket has the bucket's smallest one as its leader (a
    combinable minimum, joined back: a hot bucket is split by the skew join);
    each document is compared with the leader it shares most buckets with;
-2. after components of the confirmed links, members are compared with those of
-   their other leaders that are in another component;
-3. in buckets of three or more that still hold several components, members
-   outside the bucket's most frequent component are compared with every member
-   of another component, each pair in the first bucket it shares and only under
-   the signature distance.  Afterwards no two members of a bucket under the
-   threshold are untested unless they are connected already.
+2. the confirmed links are a forest (a leader is smaller), whose roots are found
+   by pointer doubling; then members are compared with those of their other
+   leaders that are in another tree, and in buckets of three or more that hold
+   several trees, members outside the bucket's most frequent tree with every
+   member of another tree, each pair in the first bucket it shares and only
+   under the signature distance.  Afterwards no two members of a bucket under
+   the threshold are untested unless they are connected already;
+3. the links found join the trees to components.
 Candidates over the signature distance or whose set sizes rule the similarity
 out are dropped; the others are confirmed on the full sets.
 
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.llm._common import cut, id_and_text, mix64, release, word_hashes
-from cabline.llm.graph import components
+from cabline.llm.graph import components, joined, roots
 
 SHINGLE = 5
 CHUNKS, LANES, ERRORS = 12, 6, 1
@@ -262,18 +263,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         release(docs.sparkSession)
         return out
 
-    links = confirmed(best.select("a", F.col("id").alias("b")))
-    part = components(links)
+    # each links to one smaller id at most: a forest, whose roots are its components
+    part = roots(confirmed(best.select("a", F.col("id").alias("b")))
+                 .select(F.col("b").alias("id"), F.col("a").alias("component")))
     a, b = (part.select(F.col("id").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
     rest = (star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+            .unionByName(_untested(buckets, part, reps))
             .join(best.select("a", F.col("id").alias("b")), ["a", "b"], "left_anti")
             .join(a, "a", "left").join(b, "b", "left")
-            .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b"))
-    links = links.unionByName(confirmed(rest))
-    part = components(links)
-    tested = star.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
-    rest = _untested(buckets, part, reps).join(tested, ["a", "b"], "left_anti")
-    part = components(links.unionByName(confirmed(rest)))
+            .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
+            .groupBy("a", "b").agg(F.first(F.coalesce("part_a", "a")).alias("root_a"),
+                                   F.first(F.coalesce("part_b", "b")).alias("root_b")))
+    rest = cut(rest, "untested")
+    more = confirmed(rest.select("a", "b")).join(rest, ["a", "b"])
+    part = joined(part, components(more.select(F.col("root_a").alias("a"),
+                                               F.col("root_b").alias("b"))))
 
     of_set = reps.join(part, "id", "left").select(
         "set_hash", F.coalesce("component", "id").alias("component_id"))
