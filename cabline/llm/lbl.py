@@ -45,7 +45,7 @@ HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
 KNOWN_WORDS = 150_000
 ROUNDS, STRIDE, BATCH, NOISE, RATE = 2, 16, 512, 64, 0.1
 MAX_COUNTER = 250_000
-_BLOCK = 1024           # tokens normalised at once
+_BLOCK = 256            # tokens normalised at once
 
 
 def fold(doc_id: int | None) -> int:
@@ -340,28 +340,36 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
     sent = spark.sparkContext.broadcast((vocabulary, model, known))     # known_words words
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, m, count_of = sent.value
+        words, m, known = sent.value
         place = TaskContext.get().partitionId() << 40
         # per output: 0, or what a rare word's class subtracts
         minus = np.concatenate([np.zeros(words.first_rare), log_class])
-        get = count_of.get
+        # one look-up a token: the place among the sent words gives output and count
+        index = {w: i for i, w in enumerate(known)}
+        output_of = words.outputs_of(list(known))       # the end comes last, at place -1
+        logs_of = np.log10(np.array([*known.values(), ends], np.float64) + 1)
+        rare_outputs, get = words.rare(), index.get
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 tokens = words_of(text)
-                outputs = words.outputs_of(tokens)
+                at = np.fromiter(map(get, tokens, itertools.repeat(-1)), np.int64, len(tokens))
+                unknown = np.flatnonzero(at < 0)
+                others = [tokens[i] for i in unknown.tolist()]
+                at = np.append(at, -1)
+                outputs, logs = output_of[at], logs_of[at]
+                outputs[unknown] = [rare_outputs[w] for w in others]
+                logs[unknown] = 0
                 total = 0.0
                 for i in range(0, len(outputs), _BLOCK):
-                    at = np.arange(i, min(i + _BLOCK, len(outputs)))
-                    total += m.log_probabilities(words.contexts(outputs, at, context),
-                                                 outputs[at]).sum()
-                of = np.fromiter(map(get, tokens, itertools.repeat(0)), np.float64, len(tokens))
-                rest = Counter(word_hash(tokens[i]) for i in np.flatnonzero(of == 0).tolist())
-                of = np.append(of, ends)
-                logs = np.log10(of + 1)
+                    part = np.arange(i, min(i + _BLOCK, len(outputs)))
+                    total += m.log_probabilities(words.contexts(outputs, part, context),
+                                                 outputs[part]).sum()
+                rest = Counter(map(word_hash, others))
+                n_known = len(tokens) - len(others) + (ends > 0)
                 rare = outputs >= words.first_rare
                 rows.append((place, fold(doc_id) == HELD_OUT_FOLD, len(outputs),
-                             int((of > 0).sum()), float(logs.sum()) - log_all * len(outputs),
+                             n_known, float(logs.sum()) - log_all * len(outputs),
                              float(total / np.log(10) + logs[rare].sum()
                                    - minus[outputs[rare]].sum()),
                              list(rest), list(rest.values())))
