@@ -81,4 +81,3 @@ QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_harmonic_packing, op3_quality_rules, op4_html_blocks, op5_lbl_scores,
     op6_surrogates, op7_decontamination, op8_near_duplicates, op9_repeated_passages,
     op10_url_reputation)}
-ORACLE_SQL: dict[str, str] = {}
