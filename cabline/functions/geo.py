@@ -61,7 +61,8 @@ def cell_y(lat) -> Column:
 
 def to_cell(lon, lat) -> Column:
     """Grid cell id x + 250*y (no bounds check); null where the id leaves int range."""
-    return (cell_x(lon) + F.lit(GRID_X) * cell_y(lat)).try_cast("int")
+    row = F.try_multiply(F.lit(GRID_X).cast("long"), cell_y(lat))
+    return F.try_add(cell_x(lon), row).try_cast("int")
 
 
 def cell_center_lon(cell) -> Column:
@@ -84,11 +85,14 @@ def distance(lon1, lat1, lon2, lat2) -> Column:
 
 
 def direction(start_lon, start_lat, dest_lon, dest_lat) -> Column:
-    """Angle from start to destination, truncated toward zero, plus 179 (range -1..359)."""
+    """Angle from start to destination, truncated toward zero, plus 179 (range -1..359).
+
+    An angle that is no number counts as 0, as in the jobs; null stays null.
+    """
     start_lon, start_lat, dest_lon, dest_lat = map(_c, (start_lon, start_lat, dest_lon, dest_lat))
     x = (dest_lat - start_lat).cast("double")
     y = (dest_lon - start_lon).cast("double") * F.cos(start_lat.cast("double"))
-    return F.degrees(F.atan2(x, y)).cast("int") + F.lit(179)
+    return F.nanvl(F.degrees(F.atan2(x, y)), F.lit(0.0)).cast("int") + F.lit(179)
 
 
 def direction_bucket(direction_col) -> Column:
@@ -164,9 +168,21 @@ def walk_cells(x1, y1, x2, y2) -> list[np.ndarray]:
     return [mat[: lengths[i], i].astype(np.int32) for i in range(n)]
 
 
+# Rows whose walks are computed together.
+WALK_ROWS = 1024
+
+
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _cells_on_way_udf(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
-    return pd.Series(walk_cells(x1.to_numpy(), y1.to_numpy(), x2.to_numpy(), y2.to_numpy()))
+    ends = [s.to_numpy(dtype=np.float64, na_value=np.nan) for s in (x1, y1, x2, y2)]
+    known = np.flatnonzero(~np.isnan(np.stack(ends)).any(0))
+    out = np.full(len(x1), None, dtype=object)
+    # blocks of rows: a block's walks are at most WALK_ROWS x the grid's longest walk
+    for i in range(0, len(known), WALK_ROWS):
+        part = known[i:i + WALK_ROWS]
+        for row, cells in zip(part, walk_cells(*(e[part].astype(np.int64) for e in ends))):
+            out[row] = cells
+    return pd.Series(out)
 
 
 def walk_deltas(dx, dy) -> list[np.ndarray]:
@@ -195,5 +211,11 @@ def walk_deltas_of(dx, dy) -> Column:
 
 
 def cells_on_way(lon1, lat1, lon2, lat2) -> Column:
-    """Cell ids on the way between two points (array<int>), Arrow-batched."""
-    return _cells_on_way_udf(cell_x(lon1), cell_y(lat1), cell_x(lon2), cell_y(lat2))
+    """Cell ids on the way between two points (array<int>), Arrow-batched.
+
+    Null where a point is outside the NYC box (an empty coordinate reads as 0.0,
+    tens of thousands of cells away).
+    """
+    inside = in_nyc(lon1, lat1) & in_nyc(lon2, lat2)
+    return _cells_on_way_udf(*(F.when(inside, c) for c in (cell_x(lon1), cell_y(lat1),
+                                                           cell_x(lon2), cell_y(lat2))))

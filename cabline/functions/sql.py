@@ -12,7 +12,8 @@ _FUNCTIONS = {
         "NOT (lon > -73.7D OR lon < -74.05D) AND NOT (lat > 41.0D OR lat < 40.5D)"),
     "to_cell_id": (
         "(lon FLOAT, lat FLOAT) RETURNS INT RETURN "
-        "try_cast(floor((74.05D - abs(lon)) / 0.0014D) + 250 * floor((41.0D - lat) / 0.00125D) AS INT)"),
+        "try_cast(try_add(floor((74.05D - abs(lon)) / 0.0014D), "
+        "try_multiply(250L, floor((41.0D - lat) / 0.00125D))) AS INT)"),
     "to_coords": (
         "(cell INT) RETURNS STRUCT<lon: FLOAT, lat: FLOAT> RETURN named_struct("
         "'lon', CAST(-(74.05D - (cell % 250) * 0.0014D - 0.0007D) AS FLOAT), "

@@ -27,12 +27,24 @@ def _escape(c: Column, chars: str) -> Column:
 
 
 def line_protocol(points: DataFrame, measurement: str, field: str = "value",
-                  key: str | None = "key", ts: str = "ts") -> DataFrame:
+                  key: str | None = "key", ts: str = "ts", mode: str = "fail"):
     """One measurement line per point: ``m[,key=K] field=V <epoch ms>``.
 
-    Measurement names escape commas and blanks, tag values escape commas,
-    equals signs and blanks.  A null key writes no tag.
+    Measurement names escape commas and blanks, field names and tag values
+    commas, equals signs and blanks.  A null key writes no tag.  A value (or
+    time) that is null, NaN or infinite has no line: ``mode='fail'`` ends the
+    job, ``'quarantine'`` returns ``(lines, rejected points)``.
     """
+    value = F.col("value").cast("double")
+    valid = F.coalesce(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), F.lit(False)) \
+        & F.col(ts).isNotNull()
+    if mode == "quarantine":
+        return (line_protocol(points.where(valid), measurement, field, key, ts),
+                points.where(~valid))
+    if mode != "fail":
+        raise ValueError(f"unknown mode {mode!r}")
+    points = points.where(F.when(valid, F.lit(True)).otherwise(
+        F.raise_error(F.lit("Invalid measurement value")).cast("boolean")))
     m = _escape(F.lit(measurement), ", ")
     us = epoch_micros(ts)
     ts_ms = ((us - F.pmod(us, F.lit(1000))) / F.lit(1000)).cast("long").alias("ts_ms")
@@ -40,7 +52,7 @@ def line_protocol(points: DataFrame, measurement: str, field: str = "value",
     if key is not None and key in points.columns:
         tag = F.when(F.col(key).isNull(), F.lit("")).otherwise(
             F.concat(F.lit(",key="), _escape(F.col(key), ",= ")))
-    line = F.concat(m, tag, F.lit(" " + field + "="), F.col("value").cast("string"),
+    line = F.concat(m, tag, F.lit(" "), _escape(F.lit(field), ",= "), F.lit("="), F.col("value").cast("string"),
                     F.lit(" "), ts_ms.cast("string"))
     cols = [ts_ms]
     if key is not None and key in points.columns:

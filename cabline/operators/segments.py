@@ -40,8 +40,9 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     2. per key over those rows: a bucket starts a segment when its first
        event is more than a gap after the previous bucket's last one; every
        bucket gets the start of its segment;
-    3. events join their bucket's segment start (rows shuffled once) and are
-       aggregated per (key, segment start).
+    3. the buckets of a segment are combined: counts, extremes, and the throttle's
+       mean and squared deviations, which move by n * (mean - segment mean)^2.
+       Rows are read once and never shuffled themselves.
     """
     gap_us = int(gap_seconds) * 1_000_000
     b = F.floor(epoch_micros(ts) / F.lit(gap_us))
@@ -50,7 +51,12 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     kv, kn = non_null_key(events, key)
     e = events.withColumns({"__kv": kv, "__kn": kn, "__b": b})
     part = ["__kv", "__kn"]
-    buckets = e.groupBy(*part, "__b").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    x = F.col(throttle)
+    buckets = e.groupBy(*part, "__b").agg(
+        F.first(key, ignorenulls=True).alias("__key"), F.min(ts).alias("__first"),
+        F.max(ts).alias("__last"), F.count(F.lit(1)).alias("__rows"),
+        F.max(speed).alias("__speed"), F.count(x).alias("__n"), F.avg(x).alias("__mean"),
+        (F.var_pop(x) * F.count(x)).alias("__dev"))
     w = Window.partitionBy(*part).orderBy("__b")
     prev_last = F.lag("__last").over(w)
     starts = buckets.withColumn(
@@ -58,11 +64,18 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
         prev_last.isNull() | ((epoch_micros("__first") - epoch_micros(prev_last)) > F.lit(gap_us)))
     seg_start = F.last(F.when(F.col("__is_start"), F.col("__first")), ignorenulls=True) \
         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    mapping = starts.select(*part, "__b", seg_start.alias("__seg"))
-    joined = e.join(mapping, on=[*part, "__b"], how="inner")
-    out = joined.groupBy(key, "__kn", "__seg").agg(*segment_stats(ts, speed, throttle),
-                                                   F.max(ts).alias("end_time"))
-    return with_label(out.drop("__kn", "__seg"))
+    s = starts.withColumn("__seg", seg_start)
+    whole = Window.partitionBy(*part, "__seg")
+    n, mean = F.col("__n"), F.col("__mean")
+    s = s.withColumn("__center", F.sum(n * mean).over(whole)
+                     / F.nullif(F.sum(n).over(whole), F.lit(0)))
+    shifted = F.sum(F.col("__dev") + n * (mean - F.col("__center")) * (mean - F.col("__center")))
+    out = s.groupBy(*part, "__seg").agg(
+        F.first("__key", ignorenulls=True).alias(key), F.sum("__rows").alias("length"),
+        F.min("__first").alias("start_time"), F.max("__speed").try_cast("int").alias("max_speed"),
+        F.when(F.sum(n) > 0, F.sqrt(shifted / F.sum(n))).alias("erraticness"),
+        F.max("__last").alias("end_time"))
+    return with_label(out.drop(*part, "__seg"))
 
 
 def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",

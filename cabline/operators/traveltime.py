@@ -41,10 +41,11 @@ def predict(model: DataFrame, rides: DataFrame, bucket: str = "bucket",
             dist: str = "distance") -> DataFrame:
     """Predicted minutes, -1 when the bucket has no slope.
 
-    The model has one row per direction bucket (at most 8), a proven bound,
-    so it is broadcast.
+    Only direction buckets 0-7 exist; the model is cut to them and to one slope
+    each, a proven bound, so it is broadcast.
     """
-    m = F.broadcast(model.select(F.col("bucket").alias("__b"), "slope"))
+    m = F.broadcast(model.where(F.col("bucket").between(0, 7)).groupBy(F.col("bucket").alias("__b"))
+                    .agg(F.max("slope").alias("slope")))
     j = rides.join(m, F.col(bucket) == F.col("__b"), "left")
     pred = F.coalesce((F.col("slope") * F.col(dist)).try_cast("int"), F.lit(-1))
     return j.withColumn("predicted", pred).drop("__b", "slope")

@@ -53,6 +53,8 @@ FARES_FOR_RIDES = """fares_for_rides AS (
          CAST(value AS FLOAT) AS total_fare
   FROM events WHERE event_id % 2 = 0 AND (event_id // 2) % 7 <> 0)"""
 
+ALL_FARES = FARES_FOR_RIDES.replace(" AND (event_id // 2) % 7 <> 0", "")
+
 FARES_BY_DRIVER = """fares_by_driver AS (
   SELECT event_id AS ride_id, user_id AS driver_id, ts AS start_time,
          CAST(value AS DECIMAL(18,2)) AS tip FROM events)"""
@@ -125,31 +127,43 @@ def _walk_step():
     return nx, ny
 
 
-def _cell_traffic_sql():
+def _walk_sql(columns, paths, last):
+    """The walk over ``paths``: end points per row and ``columns`` that are carried along."""
     nx, ny = _walk_step()
-    xs = f"CAST(floor(({D(74.05)} - abs({{}})) / {D(0.0014)}) AS BIGINT)"
-    ys = f"CAST(floor(({D(41.0)} - {{}}) / {D(0.00125)}) AS BIGINT)"
-    return (
-        "WITH RECURSIVE " + RIDE_PAIRS + ",\n"
-        f"""paths AS (
-  SELECT x1, y1, x2, y2, count(*) AS weight FROM (
-    SELECT {xs.format('start_lon')} AS x1, {ys.format('start_lat')} AS y1,
-           {xs.format('end_lon')} AS x2, {ys.format('end_lat')} AS y2
-    FROM ride_pairs WHERE end_time IS NOT NULL
-      AND {_in_nyc('start_lon', 'start_lat')} AND {_in_nyc('end_lon', 'end_lat')}) p
-  GROUP BY x1, y1, x2, y2),
+    return ("WITH RECURSIVE " + RIDE_PAIRS + ",\n" + f"""{paths},
 norm AS (
   SELECT CASE WHEN x1 <= x2 THEN x1 ELSE x2 END AS sx, CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS sy,
          CASE WHEN x1 <= x2 THEN x2 ELSE x1 END AS ex, CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS ey,
-         weight FROM paths),
-walk(sx, sy, ex, ey, slope, weight, cx, cy) AS (
+         {columns} FROM paths),
+walk(sx, sy, ex, ey, slope, {columns}, cx, cy) AS (
   SELECT sx, sy, ex, ey, CAST(ey - sy AS DOUBLE) / (CAST(ex - sx AS DOUBLE) + {D(0.00000001)}),
-         weight, sx, sy FROM norm
+         {columns}, sx, sy FROM norm
   UNION ALL
-  SELECT sx, sy, ex, ey, slope, weight, {nx}, {ny} FROM walk
+  SELECT sx, sy, ex, ey, slope, {columns}, {nx}, {ny} FROM walk
   WHERE (cx < ex OR cy <> ey) AND NOT (slope > 0 AND cy > ey) AND NOT (slope <= 0 AND cy < ey))
-SELECT CAST(cx + cy * 250 AS INTEGER) AS cell_id, CAST(sum(weight) AS BIGINT) AS rides
-FROM walk GROUP BY 1""")
+{last}""")
+
+
+def _ends():
+    xs = f"CAST(floor(({D(74.05)} - abs({{}})) / {D(0.0014)}) AS BIGINT)"
+    ys = f"CAST(floor(({D(41.0)} - {{}}) / {D(0.00125)}) AS BIGINT)"
+    return f"""SELECT ride_id, {xs.format('start_lon')} AS x1, {ys.format('start_lat')} AS y1,
+           {xs.format('end_lon')} AS x2, {ys.format('end_lat')} AS y2
+    FROM ride_pairs WHERE end_time IS NOT NULL
+      AND {_in_nyc('start_lon', 'start_lat')} AND {_in_nyc('end_lon', 'end_lat')}"""
+
+
+def _cell_traffic_sql():
+    paths = f"""paths AS (
+  SELECT x1, y1, x2, y2, count(*) AS weight FROM ({_ends()}) p
+  GROUP BY x1, y1, x2, y2)"""
+    return _walk_sql("weight", paths, "SELECT CAST(cx + cy * 250 AS INTEGER) AS cell_id, "
+                     "CAST(sum(weight) AS BIGINT) AS rides FROM walk GROUP BY 1")
+
+
+def _ride_cells_sql():
+    return _walk_sql("ride_id", f"paths AS ({_ends()})",
+                     "SELECT ride_id, CAST(cx + cy * 250 AS INTEGER) AS cell_id FROM walk")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -167,7 +181,7 @@ def oracle_sql() -> dict[str, str]:
     q["hourly_max_tips"] = _with(FARES_BY_DRIVER, HOURLY) + (
         "SELECT window_end, driver_id, CAST(tips_dec AS DOUBLE) AS tips FROM hourly "
         "QUALIFY row_number() OVER (PARTITION BY window_end ORDER BY tips_dec DESC, driver_id) = 1")
-    q["rides_with_fares"] = _with(RIDE_PAIRS, RIDES, FARES_FOR_RIDES) + (
+    q["rides_with_fares"] = _with(RIDE_PAIRS, RIDES, ALL_FARES) + (
         "SELECT r.ride_id, r.is_start, r.start_time, r.end_time, r.start_lon, r.start_lat, "
         "r.end_lon, r.end_lat, r.passenger_cnt, r.taxi_id, r.driver_id, "
         "f.start_time AS fare_start_time, f.payment_type, f.tip, f.tolls, f.total_fare "
@@ -241,4 +255,35 @@ WINDOW w AS (PARTITION BY bucket ORDER BY end_time, ride_id
         "SELECT ride_id, is_start, date_trunc('second', start_time) AS start_time, "
         "date_trunc('second', end_time) AS end_time, start_lon, start_lat, end_lon, end_lat, "
         "passenger_cnt, taxi_id, driver_id FROM rides")
+    q["sql_functions"] = _with(RIDE_PAIRS) + (
+        f"SELECT ride_id, in_nyc, cell_id, "
+        f"CAST(-({D(74.05)} - (cell_id % 250) * {D(0.0014)} - {D(0.0007)}) AS FLOAT) AS lon, "
+        f"CAST({D(41.0)} - ((cell_id - cell_id % 250) // 250) * {D(0.00125)} - {D(0.000625)} "
+        f"AS FLOAT) AS lat FROM (SELECT ride_id, {_in_nyc('start_lon', 'start_lat')} AS in_nyc, "
+        f"{_cell('start_lon', 'start_lat')} AS cell_id FROM ride_pairs) c")
+    q["travel_time_scored"] = _with(RIDE_PAIRS, SAMPLES, f"""model AS (
+  SELECT bucket, round(CASE WHEN count(*) >= 2 AND sum(distance * distance) >= {MIN_SUM_XX}
+                            THEN sum(distance * travel_minutes) / sum(distance * distance) END, 6)
+           AS slope FROM samples GROUP BY bucket)""") + (
+        "SELECT ride_id, s.bucket, COALESCE(TRY_CAST(trunc(slope * distance) AS INTEGER), -1) "
+        "AS predicted FROM samples s LEFT JOIN model m ON s.bucket = m.bucket")
+    q["fare_lines_roundtrip"] = _with(ALL_FARES) + (
+        "SELECT ride_id, taxi_id, driver_id, date_trunc('second', start_time) AS start_time, "
+        "payment_type, tip, tolls, total_fare FROM fares_for_rides")
+    q["line_rejects"] = _with(ALL_FARES) + (
+        "SELECT ride_id, CAST(CASE WHEN ride_id % 5 = 0 THEN 6 ELSE 8 END AS INTEGER) AS fields "
+        "FROM fares_for_rides WHERE ride_id % 5 = 0 OR ride_id % 7 = 0")
+    place = "CASE WHEN is_start THEN start_{0} ELSE end_{0} END"
+    q["ride_distance_to_point"] = base + (
+        f"SELECT ride_id, is_start, round({D(110.25)} * sqrt(dx * dx + dy * dy), 6) AS distance "
+        f"FROM (SELECT ride_id, is_start, CAST(CAST(40.75 AS FLOAT) - lat AS DOUBLE) AS dx, "
+        f"CAST(CAST(-73.9 AS FLOAT) - lon AS DOUBLE) * cos(CAST(lat AS DOUBLE)) AS dy "
+        f"FROM (SELECT ride_id, is_start, {place.format('lon')} AS lon, "
+        f"{place.format('lat')} AS lat FROM rides) p) d")
+    q["ride_cells_on_way"] = _ride_cells_sql()
+    q["record_lines"] = (
+        "SELECT CASE WHEN event_type = 'view' THEN 'Customer(' ELSE 'Trade(' END "
+        "|| CAST(epoch_us(ts) // 1000 AS VARCHAR) || ') ' || CAST(event_id AS VARCHAR) AS value "
+        "FROM events WHERE event_type IN ('view', 'purchase')")
+    q["point_projections"] = "SELECT ts, upper(event_type) AS key, value * 2 AS value FROM events"
     return q

@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabline.functions.geo import direction, distance
+from cabline.functions.geo import cells_on_way, direction, distance, distance_to_point
+from cabline.functions.sql import register_functions
 from cabline.operators import asof, cells, enrich, points, rides, segments, tips, traveltime
+from cabline.sinks import render
 from cabline.sources import codec, fixtures as fx
 
 ROUND = 6
@@ -46,7 +48,7 @@ def q_hourly_max_tips(spark, sf_dir):
 
 def q_rides_with_fares(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    return enrich.rides_with_fares(fx.rides(ev), fx.fares_for_rides(ev))
+    return enrich.rides_with_fares(fx.rides(ev), fx.fares_for_rides(ev, some_missing=False))
 
 
 def _expiring(spark, sf_dir):
@@ -135,6 +137,64 @@ def q_ride_messages_roundtrip(spark, sf_dir):
                                 "end_time": F.col("end_time").cast("timestamp_ntz")})
 
 
+def q_sql_functions(spark, sf_dir):
+    register_functions(spark)
+    return spark.sql(
+        "SELECT ride_id, in_nyc, cell_id, to_coords(cell_id).lon AS lon, "
+        "to_coords(cell_id).lat AS lat FROM (SELECT ride_id, is_in_nyc(start_lon, start_lat) "
+        "AS in_nyc, to_cell_id(start_lon, start_lat) AS cell_id FROM {pairs})",
+        pairs=fx.ride_pairs(_events(spark, sf_dir)))
+
+
+def q_travel_time_scored(spark, sf_dir):
+    samples = _samples(spark, sf_dir)
+    model = traveltime.fit_model(samples).withColumn("slope", F.round("slope", ROUND))
+    return traveltime.predict(model, samples).select("ride_id", "bucket", "predicted")
+
+
+def _fare_lines(spark, sf_dir):
+    return render.fares(fx.fares_for_rides(_events(spark, sf_dir), some_missing=False))
+
+
+def q_fare_lines_roundtrip(spark, sf_dir):
+    parsed = codec.parse_fares(_fare_lines(spark, sf_dir))
+    return parsed.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
+
+
+def q_line_rejects(spark, sf_dir):
+    """Every fifth fare line is cut short, every seventh has an unreadable tip."""
+    line, ride = F.col("value"), F.substring_index("value", ",", 1).cast("long")
+    broken = F.when(ride % 5 == 0, F.substring_index(line, ",", 6)).when(
+        ride % 7 == 0, F.concat(F.substring_index(line, ",", 5), F.lit(",?,0.0,1.0"))).otherwise(line)
+    _, bad = codec.parse_fares(_fare_lines(spark, sf_dir).select(broken.alias("value")),
+                               mode="quarantine")
+    return bad.select(F.substring_index("line", ",", 1).cast("long").alias("ride_id"),
+                      F.size(F.split("line", ",")).alias("fields"))
+
+
+def q_ride_distance_to_point(spark, sf_dir):
+    r = fx.rides(_events(spark, sf_dir))
+    d = distance_to_point("is_start", "start_lon", "start_lat", "end_lon", "end_lat",
+                          F.lit(-73.9), F.lit(40.75))
+    return r.select("ride_id", "is_start", F.round(d, ROUND).alias("distance"))
+
+
+def q_ride_cells_on_way(spark, sf_dir):
+    p = fx.ride_pairs(_events(spark, sf_dir)).where(F.col("end_time").isNotNull())
+    cells_ = cells_on_way("start_lon", "start_lat", "end_lon", "end_lat")
+    return p.select("ride_id", F.explode(cells_).alias("cell_id"))
+
+
+def q_record_lines(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return render.trades(fx.trades(ev)).unionByName(render.customers(fx.customers(ev)))
+
+
+def q_point_projections(spark, sf_dir):
+    p = fx.points(_events(spark, sf_dir))
+    return points.with_key_and_value(p, F.upper("key"), F.col("value") * 2)
+
+
 QUERIES = {
     "ride_cleansing": q_ride_cleansing,
     "ride_event_order": q_ride_event_order,
@@ -154,6 +214,14 @@ QUERIES = {
     "travel_time_predictions": q_travel_time_predictions,
     "measurement_points": q_measurement_points,
     "ride_messages_roundtrip": q_ride_messages_roundtrip,
+    "sql_functions": q_sql_functions,
+    "travel_time_scored": q_travel_time_scored,
+    "fare_lines_roundtrip": q_fare_lines_roundtrip,
+    "line_rejects": q_line_rejects,
+    "ride_distance_to_point": q_ride_distance_to_point,
+    "ride_cells_on_way": q_ride_cells_on_way,
+    "record_lines": q_record_lines,
+    "point_projections": q_point_projections,
 }
 
 

@@ -57,3 +57,10 @@ def write_points(points: DataFrame, base_path: str, measurement: str,
     """Measurement lines into ``<base_path>/<db>/`` (one directory per database)."""
     lines = line_protocol(points, measurement, field=field)
     lines.select("line").write.mode(mode).text(f"{base_path.rstrip('/')}/{db}")
+
+
+def points_stream(points: DataFrame, base_path: str, measurement: str, checkpoint: str,
+                  db: str = DEFAULT_DATABASE, field: str = "value", trigger: dict | None = None):
+    """Streaming form of :func:`write_points`, exactly-once like :func:`text_stream`."""
+    lines = line_protocol(points, measurement, field=field).select("line")
+    return text_stream(lines, f"{base_path.rstrip('/')}/{db}", checkpoint, trigger)

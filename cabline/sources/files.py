@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cabline.schemas import CUSTOMER, TRADE
 from cabline.session import ensure_required_conf
@@ -31,12 +32,41 @@ def read_car_events(spark: SparkSession, path: str, mode: str = "fail"):
     return codec.parse_car_events(_lines(spark, path), mode=mode)
 
 
-def read_keyed_events(spark: SparkSession, path: str, kind: str, fmt: str = "csv") -> DataFrame:
-    """Customer or trade tables ``(timestamp ms, customer_id, info)``; event time as ``ts``."""
+def read_keyed_events(spark: SparkSession, path: str, kind: str, fmt: str = "csv",
+                      mode: str = "fail"):
+    """Customer or trade tables ``(timestamp ms, customer_id, info)``; event time as ``ts``.
+
+    A record without a readable timestamp and customer_id, or with another
+    number of fields, is bad: ``mode='fail'`` ends the job, ``'quarantine'``
+    returns ``(records, bad)`` with the bad CSV lines as ``line`` (other formats:
+    the bad rows).  CSV records are one line each; blank lines are no records.
+    """
     schema = {"customers": CUSTOMER, "trades": TRADE}[kind]
     ensure_required_conf(spark)
-    df = spark.read.schema(schema).format(fmt).load(path)
-    return df.withColumn("ts", F.timestamp_millis("timestamp"))
+    fields = schema.fieldNames()
+    keyed = F.col("timestamp").isNotNull() & F.col("customer_id").isNotNull()
+    if fmt == "csv":
+        layout = StructType([*schema.fields, StructField("__bad", StringType())])
+        record = F.from_csv("value", layout.simpleString().removeprefix("struct<")
+                            .removesuffix(">").replace(":", " "),
+                            {"columnNameOfCorruptRecord": "__bad", "mode": "PERMISSIVE"})
+        df = (spark.read.text(path).where(F.length(F.trim("value")) > 0)
+              .select(F.col("value").alias("line"), record.alias("__r")).select("line", "__r.*"))
+        valid, shown = keyed & F.col("__bad").isNull(), ["line"]
+    else:
+        df = spark.read.schema(schema).format(fmt).load(path)
+        valid, shown = keyed, fields
+
+    def records(rows: DataFrame) -> DataFrame:
+        return rows.select(*fields).withColumn("ts", F.timestamp_millis("timestamp"))
+
+    if mode == "quarantine":
+        return records(df.where(valid)), df.where(~valid).select(*shown)
+    if mode != "fail":
+        raise ValueError(f"unknown mode {mode!r}")
+    text = F.to_json(F.struct(*shown))
+    return records(df.where(F.when(valid, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("Invalid record: "), text)).cast("boolean"))))
 
 
 def to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:

@@ -40,24 +40,32 @@ def _dedupe_stream(df: DataFrame, dedupe: str, key: str = "ride_id") -> DataFram
 
     ``'first'`` (the only mode) keeps the first arrival, with state bounded by
     the watermark, so a duplicated id never pairs every copy with every partner.
+    A null id is no id: its rows pass unchanged, as in the batch jobs.
     """
     if dedupe != "first":
         raise ValueError(f"unknown dedupe mode {dedupe!r}: streams keep the first ride and "
                          "fare per id ('first')")
-    return df.dropDuplicatesWithinWatermark([key])
+    known = df.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return known.unionByName(df.where(F.col(key).isNull()))
 
 
 def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_FARES_DELAY,
-                     max_gap: str = "1 hour", dedupe: str = "first",
+                     max_gap: str | None = None, dedupe: str = "first",
                      keep_fare_ids: bool = False) -> DataFrame:
-    """Stream-stream inner join on ride_id, bounded in time so join state is dropped."""
+    """Stream-stream inner join on ride_id: every pair, however far apart in time.
+
+    Waiting rows stay in state, as in the original job.  Where ride and fare are
+    known to be close, ``max_gap`` (an interval) lets their state go; pairs
+    further apart than that are then never joined.
+    """
     r = _dedupe_stream(with_watermark(R.start_events(rides), "start_time", delay), dedupe)
     f = _dedupe_stream(with_watermark(fares, "start_time", delay), dedupe)
     fs = enrich._fare_side(f)
-    gap = F.expr(f"INTERVAL {max_gap}")
-    cond = ((r["ride_id"] == fs["fare_ride_id"])
-            & (fs["fare_start_time"] >= r["start_time"] - gap)
-            & (fs["fare_start_time"] <= r["start_time"] + gap))
+    cond = r["ride_id"] == fs["fare_ride_id"]
+    if max_gap:
+        gap = F.expr(f"INTERVAL {max_gap}")
+        cond = (cond & (fs["fare_start_time"] >= r["start_time"] - gap)
+                & (fs["fare_start_time"] <= r["start_time"] + gap))
     j = r.join(fs, cond, "inner")
     ids = ["fare_taxi_id", "fare_driver_id"] if keep_fare_ids else []
     return j.select(*[r[c] for c in enrich.RIDE_COLS], *ids, "fare_start_time", "payment_type",
@@ -111,9 +119,16 @@ def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds
         "ride_id", F.lit("F").alias("side"), F.col("start_time").alias("t"), "driver_id", "tip",
         "payment_type"), "t", delay), dedupe)
     u = rt.unionByName(ft)
-    return u.groupBy("ride_id").transformWithStateInPandas(
+    # rows without an id have no partner: they don't wait
+    lone = u.where(F.col("ride_id").isNull()).select(
+        "ride_id", F.when(F.col("side") == "R", F.lit(enrich.UNMATCHED_RIDE))
+        .otherwise(F.lit(enrich.UNMATCHED_FARE)).alias("outcome"),
+        F.when(F.col("side") == "R", F.col("t")).alias("ride_time"),
+        F.when(F.col("side") == "F", F.col("t")).alias("fare_time"), "driver_id", "tip")
+    return u.where(F.col("ride_id").isNotNull()).groupBy("ride_id").transformWithStateInPandas(
         statefulProcessor=processors.ExpiringPairProcessor(max_wait_seconds),
-        outputStructType=processors.EXPIRING_OUTPUT, outputMode="Append", timeMode="EventTime")
+        outputStructType=processors.EXPIRING_OUTPUT, outputMode="Append",
+        timeMode="EventTime").unionByName(lone)
 
 
 def trades_asof_customers(trades: DataFrame, customers: DataFrame, key: str = "customer_id",

@@ -41,19 +41,20 @@ def parquet_stream(spark: SparkSession, path: str, schema: StructType | str,
 
 
 def ride_stream(spark: SparkSession, path: str, mode: str = "fail",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Ride lines (gzip is read transparently) parsed into ride rows."""
-    out = codec.parse_rides(line_stream(spark, path, max_files_per_trigger), mode=mode)
-    return out[0] if mode == "quarantine" else out
+                max_files_per_trigger: int | None = None):
+    """Ride lines (gzip is read transparently) parsed into ride rows.
+
+    As with the batch readers, ``mode='quarantine'`` returns ``(rows, rejects)``:
+    two streams over the same files, each with its own sink.
+    """
+    return codec.parse_rides(line_stream(spark, path, max_files_per_trigger), mode=mode)
 
 
 def fare_stream(spark: SparkSession, path: str, mode: str = "fail",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    out = codec.parse_fares(line_stream(spark, path, max_files_per_trigger), mode=mode)
-    return out[0] if mode == "quarantine" else out
+                max_files_per_trigger: int | None = None):
+    return codec.parse_fares(line_stream(spark, path, max_files_per_trigger), mode=mode)
 
 
 def car_event_stream(spark: SparkSession, path: str, mode: str = "fail",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    out = codec.parse_car_events(line_stream(spark, path, max_files_per_trigger), mode=mode)
-    return out[0] if mode == "quarantine" else out
+                     max_files_per_trigger: int | None = None):
+    return codec.parse_car_events(line_stream(spark, path, max_files_per_trigger), mode=mode)
