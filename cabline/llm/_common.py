@@ -58,11 +58,16 @@ def release(spark: SparkSession) -> None:
 
 
 def per_process(key: str, make):
-    """An object kept for the life of the Python worker process (caches)."""
+    """A cache that the Python worker process keeps over its tasks: the two asked for
+    last, so that a worker doesn't hold those of earlier stages."""
     home = sys.modules.setdefault("_cabline_llm_worker", types.ModuleType("_cabline_llm_worker"))
-    found = home.__dict__.get(key)
+    kept = home.__dict__.setdefault("kept", {})
+    found = kept.pop(key, None)
     if found is None:
-        found = home.__dict__[key] = make()
+        found = make()
+        while len(kept) > 1:
+            del kept[next(iter(kept))]
+    kept[key] = found
     return found
 
 
@@ -80,7 +85,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; emptied when it has ``limit`` words."""
 
-    limit = 700_000
+    limit = 400_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

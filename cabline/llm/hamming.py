@@ -219,7 +219,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) ->
                                                b.column("text").to_pylist()], pa.binary())],
                 ["id", "found"])
 
-    of = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "id long, found binary")
+    # ids grow with the documents: one plan at every size
+    of = docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "id long, found binary")
     of = cut(of, "shingle-sets")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

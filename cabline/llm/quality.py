@@ -135,23 +135,29 @@ def best_threshold(cells: list[tuple[bool, int, int]]) -> float:
 
 def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
                   smoothing: float = SMOOTHING, id_col: str = "doc_id", text_col: str = "text",
-                  label_id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+                  label_id_col: str = "doc_id", label_col: str = "quality",
+                  carry: str | None = None) -> DataFrame:
     """Per document: doc_id, the base statistics, ``score``, ``base_failed``, ``kept``.
 
-    ``labels``: label 1 marks a trusted document, 0 a bad one.
+    ``labels``: label 1 marks a trusted document, 0 a bad one.  ``carry``: also
+    a struct of this name with the row's own columns, so that a filter needs no join.
     """
     spark = docs.sparkSession
+    rows = docs
     docs = id_and_text(docs, id_col, text_col)
     trust = (labels.select(F.col(label_id_col).cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("good"))
              .where("doc_id is not null and good in (0, 1)")
-             .groupBy("doc_id").agg(F.min("good").alias("good")))
+             .groupBy("doc_id").agg(F.min("good").alias("good"))
+             .hint("merge"))        # labels grow with the documents: one plan at every size
     marked = docs.join(trust, "doc_id", "left")
     counts = feature_counts(
         marked.select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("trusted")),
         buckets)
     ratio = spark.sparkContext.broadcast(log_ratio(counts, buckets, smoothing))
 
+    carried = [carry] if carry else []
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
@@ -163,12 +169,18 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
             found = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *(pa.array(c, pa.int64()) for c in found[:5]),
-                 pa.array(found[5], pa.float64())],
+                 pa.array(found[5], pa.float64()), *(b.column(c) for c in carried)],
                 ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                 "score"])
-
-    scored = docs.mapInArrow(judge, "doc_id long, n_words long, word_chars long, n_symbols long, "
-                                    "n_dup_lines long, n_repeat_words long, score double")
+                 "score", *carried])
+
+    kinds = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+             "n_repeat_words long, score double")
+    if carry:
+        whole = F.struct(*rows.columns).alias(carry)
+        judged = rows.select(F.col(id_col).cast("long").alias("doc_id"),
+                             F.col(text_col).cast("string").cast("binary").alias("text"), whole)
+        kinds += f", `{carry}` {judged.schema[carry].dataType.simpleString()}"
+    scored = (judged if carry else docs).mapInArrow(judge, kinds)
     cell = F.least(F.lit(CELLS - 1), F.greatest(F.lit(0), F.floor(
         (F.col("score") + SCORE_RANGE) / (2 * SCORE_RANGE) * CELLS))).cast("int")
     scored = cut(scored, "quality-scores")

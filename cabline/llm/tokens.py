@@ -18,7 +18,7 @@ import numpy as np
 
 from cabline.llm._common import per_process
 
-CACHED_WORDS = 700_000
+CACHED_WORDS = 600_000
 _LETTERS_SIGNS = re.compile("([a-zß-öø-ÿ]+)([.,!?;:%#$*&|]*)")
 _LATIN_1 = "\u0100"
 
