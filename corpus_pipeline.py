@@ -3,7 +3,7 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``; all but the last
 return the columns of ``documents``.  Rows that repeat a doc_id stand or fall
-together; a null doc_id is an id like any other; empty tables pass through.
+together from the second stage on; a null doc_id is an id like any other; empty tables pass through.
 """
 
 from __future__ import annotations
@@ -16,14 +16,15 @@ from cabline.llm._common import cut, table
 
 
 def _of(docs: DataFrame, judged: DataFrame, how: str) -> DataFrame:
-    ids = judged.select(F.col("doc_id").alias("__judged")).distinct()
+    # as many ids as documents: one plan at every size
+    ids = judged.select(F.col("doc_id").alias("__judged")).distinct().hint("merge")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__judged"]), how)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the likelihood ratio go."""
-    judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return _of(docs, judged.where("kept"), "left_semi")
+    judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"), carry="row")
+    return judged.where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
