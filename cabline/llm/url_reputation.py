@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabline.llm._common import cut
+
 MAX_RULES = 500
 #: suffixes of more than one label (fixed values); extend by the parameter
 LONG_SUFFIXES = ("ac.uk", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au",
@@ -91,6 +93,8 @@ def host_reputation(outcomes: DataFrame, z: float,
                                             F.sum("bad").cast("double").alias("k"))
     per_host = per_host.select("host", domain_of(F.col("host"), long_suffixes).alias("domain"),
                                suffix_of(F.col("host"), long_suffixes).alias("suffix"), "n", "k")
+    # each level is read twice by the next: cut, or plans double level by level
+    per_host = cut(per_host, "host-outcomes")
     total = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     per_domain = per_host.groupBy("domain", "suffix").agg(*total)
     per_suffix = per_domain.groupBy("suffix").agg(*total)
@@ -102,10 +106,11 @@ def host_reputation(outcomes: DataFrame, z: float,
         return units.join(F.broadcast(_weight(units)))      # one row
 
     suffixes = shrunk(per_suffix.join(F.broadcast(whole)))
-    suffixes = suffixes.select("suffix", posterior.alias("p_suffix"))
+    suffixes = cut(suffixes.select("suffix", posterior.alias("p_suffix")), "suffix-rates")
     domains = shrunk(per_domain.join(suffixes, "suffix").withColumnRenamed("p_suffix", "p"))
-    domains = domains.select("domain", posterior.alias("p_domain"))
-    hosts = shrunk(per_host.join(domains, "domain").withColumnRenamed("p_domain", "p"))
+    domains = cut(domains.select("domain", posterior.alias("p_domain")), "domain-rates")
+    hosts = cut(shrunk(per_host.join(domains, "domain").withColumnRenamed("p_domain", "p")),
+                "host-rates")
     return hosts, domains, suffixes, whole, posterior
 
 
