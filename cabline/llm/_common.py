@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import sys
 import types
@@ -44,6 +45,20 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return out
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the jobs run inside, put back afterwards."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def discard(df: DataFrame) -> None:
     """Drop the table of a :func:`cut` that no later plan reads."""
     spark = df.sparkSession

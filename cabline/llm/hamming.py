@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, release, word_hashes
+from cabline.llm._common import cut, id_and_text, mix64, release, setting, word_hashes
 from cabline.llm.graph import components, joined, roots
 
 SHINGLE = 5
@@ -128,7 +128,8 @@ def _bucket_rows(reps: DataFrame) -> DataFrame:
 
 def _words_of(members: DataFrame) -> DataFrame:
     """``members(key, id, signature, ...)`` with the signature as longs of three lanes
-    (``s``, two a chunk), and the place of the key: its chunk and the lane left out."""
+    (``s``, two a chunk), and the place of the key: its chunk (the longs ``own``) and the
+    lane left out."""
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -142,13 +143,15 @@ def _words_of(members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("key", "id", "part", "main")),
                  pa.array(place // LANES, pa.int32()), pa.array(place % LANES, pa.int32()),
+                 *(pa.array(packed[np.arange(len(place)), place // LANES * 2 + i]) for i in (0, 1)),
                  *(pa.array(packed[:, i]) for i in range(width))],
-                ["key", "id", "part", "main", "chunk", "left_out",
+                ["key", "id", "part", "main", "chunk", "left_out", "own0", "own1",
                  *(f"s{i}" for i in range(width))])
 
     longs = ", ".join(f"s{i} long" for i in range(CHUNKS * LANES // 3))
     return members.select("key", "id", "signature", "part", "main").mapInArrow(
-        words, f"key long, id long, part long, main long, chunk int, left_out int, {longs}")
+        words, f"key long, id long, part long, main long, chunk int, left_out int, "
+               f"own0 long, own1 long, {longs}")
 
 
 def _differing(i: int):
@@ -177,16 +180,17 @@ def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame) -> DataFrame
     x = x.select("key", *[F.col(c).alias(f"x_{c}") for c in x.columns
                           if c not in ("key", "main", "chunk", "left_out")])
     chunks = [_differing(i) for i in range(CHUNKS)]
-    first = (F.when(F.col("left_out") == 0, True)
-             .otherwise(sum(F.when(F.col("chunk") == i, chunks[i]).otherwise(0)
-                            for i in range(CHUNKS)) > 0))
-    for i in range(CHUNKS):
+    # the first key that a pair shares: an equal chunk is met under all its lanes, and any
+    # earlier chunk with few errors too; cheap tests come first, most pairs end there
+    first = ((F.col("left_out") == 0) | (F.col("own0") != F.col("x_own0"))
+             | (F.col("own1") != F.col("x_own1")))
+    for i in range(CHUNKS - 1):
         first = first & ((F.col("chunk") <= i) | (chunks[i] > ERRORS))
     # a pair of two members outside the main component meets both ways round
     once = (F.col("part") == F.col("main")) | (F.col("id") < F.col("x_id"))
     return (members.join(x, "key")
-            .where((F.col("part") != F.col("x_part")) & once
-                   & (sum(chunks[1:], chunks[0]) <= MAX_DISTANCE) & first)
+            .where((F.col("part") != F.col("x_part")) & once & first
+                   & (sum(chunks[1:], chunks[0]) <= MAX_DISTANCE))
             .select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")))
 
 
@@ -275,7 +279,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
             .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
             .groupBy("a", "b").agg(F.first(F.coalesce("part_a", "a")).alias("root_a"),
                                    F.first(F.coalesce("part_b", "b")).alias("root_b")))
-    rest = cut(rest, "untested")
+    # the pairs' test is longer than the JVM compiles as one method: not fused with the join
+    with setting(docs.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        rest = cut(rest, "untested")
     more = confirmed(rest.select("a", "b")).join(rest, ["a", "b"])
     part = joined(part, components(more.select(F.col("root_a").alias("a"),
                                                F.col("root_b").alias("b"))))
