@@ -21,7 +21,6 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cabline import sinks
 from cabline.operators import enrich, rides as R, tips
@@ -87,9 +86,7 @@ def _stream(spark, args) -> DataFrame:
         return render.ride_fare_pairs(stream_jobs.rides_with_fares(r, f, keep_fare_ids=True))
     out = stream_jobs.expiring_pairs_join(r, f, max_wait_seconds=args.max_wait,
                                           loss_modulus=LOSS_MODULUS)
-    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                              for c in ["ride_id", "ride_time", "fare_time", "driver_id", "tip"]])
-    return out.select("outcome", line.alias("value"))
+    return render.expiring_lines(out)
 
 
 def _run_stream(spark, args) -> None:

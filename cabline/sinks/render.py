@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabline.operators.enrich import MATCHED, UNMATCHED_RIDE
 from cabline.operators.scan import epoch_micros
 from cabline.sources.codec import fare_line, ride_line
 
@@ -73,10 +74,28 @@ def points(df: DataFrame) -> DataFrame:
     return _out(df, F.format_string(DATA_POINT_FORMAT, _str(epoch_ms("ts")), _str("value")))
 
 
+def _pair_sides(df: DataFrame, *keep: str) -> DataFrame:
+    """The ride's line as ``__ride`` beside the fare's columns under their own names."""
+    fare = {"fare_ride_id": "ride_id", "fare_taxi_id": "taxi_id", "fare_driver_id": "driver_id",
+            "fare_start_time": "start_time"}
+    return df.select(*keep, ride_line(df).alias("__ride"),
+                     *[F.col(c).alias(n) for c, n in fare.items()],
+                     "payment_type", "tip", "tolls", "total_fare")
+
+
+def _pair_line(p: DataFrame) -> Column:
+    return F.concat(F.lit("("), F.col("__ride"), F.lit(","), fare_line(p), F.lit(")"))
+
+
+def expiring_lines(df: DataFrame) -> DataFrame:
+    """(outcome, value): the pair's, the ride's or the fare's whole line, by ``outcome``."""
+    p = _pair_sides(df, "outcome")
+    line = (F.when(F.col("outcome") == MATCHED, _pair_line(p))
+            .when(F.col("outcome") == UNMATCHED_RIDE, F.col("__ride")).otherwise(fare_line(p)))
+    return p.select("outcome", line.alias("value"))
+
+
 def ride_fare_pairs(df: DataFrame) -> DataFrame:
     """``(ride,fare)`` lines of joined pairs (needs the fare's ``fare_taxi_id``/``fare_driver_id``)."""
-    p = df.select(ride_line(df).alias("__ride"), "ride_id",
-                  F.col("fare_taxi_id").alias("taxi_id"), F.col("fare_driver_id").alias("driver_id"),
-                  F.col("fare_start_time").alias("start_time"), "payment_type", "tip", "tolls",
-                  "total_fare")
-    return _out(p, F.concat(F.lit("("), F.col("__ride"), F.lit(","), fare_line(p), F.lit(")")))
+    p = _pair_sides(df.withColumn("fare_ride_id", F.col("ride_id")))
+    return _out(p, _pair_line(p))

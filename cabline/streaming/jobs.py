@@ -78,27 +78,30 @@ def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: in
     """Variant (a): full outer stream-stream join with a time bound.
 
     Unmatched rows come out once the watermark passes them, with the same
-    ``outcome`` column as the batch job.
+    ``outcome`` column and the same whole ride and fare columns as the batch job;
+    ``fare_time`` repeats ``fare_start_time``.
     """
     r = rides if loss_modulus is None else R.start_events_with_loss(rides, loss_modulus)
     r = _dedupe_stream(with_watermark(
         R.with_event_time(r).withColumnRenamed("event_time", "ride_time"), "ride_time", delay),
         dedupe)
     f = _dedupe_stream(with_watermark(fares, "start_time", delay), dedupe)
-    fs = enrich._fare_side(f)
+    # marks of presence: a row without an id is still a ride or a fare
+    r = r.withColumn("__ride", F.lit(True))
+    fs = enrich._fare_side(f).withColumn("__fare", F.lit(True))
     wait = F.expr(f"INTERVAL {int(max_wait_seconds)} SECONDS")
     cond = ((r["ride_id"] == fs["fare_ride_id"])
             & (r["ride_time"] >= fs["fare_start_time"] - wait)
             & (r["ride_time"] <= fs["fare_start_time"] + wait))
     j = r.join(fs, cond, "full_outer")
-    has_ride, has_fare = r["ride_id"].isNotNull(), fs["fare_ride_id"].isNotNull()
+    has_ride, has_fare = F.col("__ride").isNotNull(), F.col("__fare").isNotNull()
     outcome = (F.when(has_ride & has_fare, F.lit(enrich.MATCHED))
                .when(has_ride, F.lit(enrich.UNMATCHED_RIDE)).otherwise(F.lit(enrich.UNMATCHED_FARE)))
-    return j.select(F.coalesce(r["ride_id"], fs["fare_ride_id"]).alias("ride_id"),
-                    outcome.alias("outcome"), r["ride_time"],
+    shared = {"ride_id": "fare_ride_id", "driver_id": "fare_driver_id"}
+    return j.select(outcome.alias("outcome"), r["ride_time"],
                     fs["fare_start_time"].alias("fare_time"),
-                    F.coalesce(r["driver_id"], fs["fare_driver_id"]).alias("driver_id"),
-                    fs["tip"])
+                    *[F.when(has_ride, r[c]).otherwise(fs[shared[c]]).alias(c) if c in shared
+                      else r[c] for c in enrich.RIDE_COLS], *[fs[c] for c in enrich.FARE_SIDE_COLS])
 
 
 def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
