@@ -1,8 +1,8 @@
 """PII: keyed, type-consistent surrogates for detected entities, in DataFrame functions only.
 
 Entities: e-mail and IP addresses, phone, card and social-security numbers,
-IBANs, access keys, assigned secrets (password, token, ...) and names after a
-title or a known given name.  Every entity has a canonical form (lower-cased
+IBANs, access keys, assigned secrets (password, token, ..., of any length, up to
+white space or a quote) and names after a title or a known given name.  Every entity has a canonical form (lower-cased
 address, digits of a number, the name without its title); its surrogate is a
 function of key, type, canonical form and an attempt number, so all mentions in
 all documents, in any notation, get the same one (coreference).
@@ -74,7 +74,7 @@ _ALL_TITLES = "|".join(t for titles in TITLES.values() for t in titles)
 _GIVEN = "|".join(n for names in NAMES.values() for n in names)
 PATTERNS = {
     "secret": r"(?=[pPtTsSaA])(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}"
-              r"[\"']?[^\s\"']{6,512}",
+              r"[\"']?[^\s\"']{6,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}"
              r"[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",

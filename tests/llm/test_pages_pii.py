@@ -157,6 +157,17 @@ def test_planted_entities_are_gone_and_distinct(spark, small):
     assert pairs and len(set(pairs.values())) == len(pairs)
 
 
+def test_long_secrets_are_whole_and_distinct(spark):
+    """Secrets of several thousand signs that differ only after sign 512."""
+    stem = "ey" + "Ab3dE_" * 700
+    secrets = [stem + "x1", stem + "x2", stem[:3000], stem + "x1"]
+    out = replaced(spark, [f"a token={x} b" for x in secrets])
+    new = [re.fullmatch(r"a token=(\S+) b", x)[1] for x in out]
+    assert [len(x) for x in new] == [len(x) for x in secrets]
+    assert new[0] == new[3] and len(set(new)) == 3
+    assert not any(stem[i:i + 12] in x for x in new for i in range(0, 6 * 600, 6))
+
+
 def test_collisions_get_another_attempt(spark, monkeypatch):
     """With a draw of two values, equal surrogates and real entities are drawn again."""
     real = surrogates.surrogate
