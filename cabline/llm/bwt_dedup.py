@@ -26,8 +26,9 @@ strings (a passage in very many surroundings) is split by the 128-bit hash of
 each window, under which only equal windows meet.
 
 Cases: a null text is empty; texts under ``length`` bytes lose nothing; matches
-never cross documents; repeated rows repeat each other; a null doc_id is an
-ordinary row; an empty table gives no rows.
+never cross documents; repeated rows repeat each other; a null or repeated
+doc_id is ordinary, as rows are told apart by 80 bits of hashes of id and text;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -86,25 +87,25 @@ def segments(text: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ..
 
 
 def _segment_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(key, content, doc_id, place): ``content`` is a hash of the segment's bytes;
-    place packs the row's 16 bits, first window, windows and anchor distance."""
+    """(key, content, row, place): ``content`` is a hash of the segment's bytes; place
+    packs the row's ``more`` bits, first window, windows and anchor distance."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
-            for doc_id, row, text in zip(*(b.column(c).to_pylist() for c in
-                                           ("doc_id", "row", "text"))):
+            for row, more, text in zip(*(b.column(c).to_pylist() for c in
+                                         ("row", "more", "text"))):
                 for key, first, windows, before in segments(text or b"", length):
                     content = [xxhash.xxh3_64_intdigest(text[i:j]) for i, j in zip(
                         first.tolist(), (first + windows + length - 1).tolist())]
-                    place = (np.int64(row) << 48) | (first << 16) | (windows << 8) | before
+                    place = (np.int64(more) << 48) | (first << 16) | (windows << 8) | before
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key), pa.array(np.array(content, np.uint64).view(np.int64)),
-                         pa.array([doc_id] * len(key), pa.int64()),
+                         pa.array([row] * len(key), pa.int64()),
                          pa.array(place.astype(np.int64))],
-                        ["key", "content", "doc_id", "place"])
+                        ["key", "content", "row", "place"])
 
-    return docs.mapInArrow(_gathered(rows), "key long, content long, doc_id long, place long")
+    return docs.mapInArrow(_gathered(rows), "key long, content long, row long, place long")
 
 
 def _gathered(rows, size: int = 20_000):
@@ -125,7 +126,7 @@ def _gathered(rows, size: int = 20_000):
 
 def _unpacked(place: str = "place") -> list:
     p = F.col(place)
-    return [F.shiftright(p, 48).bitwiseAND(0xFFFF).cast("int").alias("row"),
+    return [F.shiftright(p, 48).bitwiseAND(0xFFFF).cast("int").alias("more"),
             F.shiftright(p, 16).bitwiseAND(0xFFFFFFFF).alias("first"),
             F.shiftright(p, 8).bitwiseAND(0xFF).cast("int").alias("windows"),
             p.bitwiseAND(0xFF).cast("int").alias("before")]
@@ -253,7 +254,7 @@ def _split_groups(strings: DataFrame, length: int) -> DataFrame:
 def _strings(docs: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
     """The ``distinct`` segments with their bytes, read from one of their texts; a text
     whose row is repeated gives them as often."""
-    wanted = distinct.groupBy("doc_id", "row").agg(F.collect_list(F.struct(
+    wanted = distinct.groupBy("row", "more").agg(F.collect_list(F.struct(
         "key", "content", "many", "first", "windows", "before")).alias("of"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,13 +268,12 @@ def _strings(docs: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
                      pa.array(strings, pa.binary())],
                     ["key", "content", "many", "before", "string"])
 
-    same_row = [docs["doc_id"].eqNullSafe(wanted["doc_id"]), docs["row"] == wanted["row"]]
-    return docs.join(wanted, same_row).select("text", "of").mapInArrow(
+    return docs.join(wanted, ["row", "more"]).select("text", "of").mapInArrow(
         _gathered(extract), "key long, content long, many boolean, before int, string binary")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
-    """(doc_id, row, spans) of ``docs(doc_id, row, text)`` rows with repeats; spans is
+    """(row, more, spans) of ``docs(row, more, text)`` rows with repeats; spans is
     [from, to, ...] of covered bytes, neither ordered nor merged."""
     spark = docs.sparkSession
     every = cut(_segment_rows(docs, length), "segments")
@@ -282,10 +282,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     discard(every)
     release(spark)
     distinct = (rows.groupBy("key", "content")
-                .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("at")))
+                .agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("at")))
     group = distinct.groupBy("key").agg(F.count("*").alias("strings"))
     distinct = (distinct.join(group, "key")
-                .select("key", "content", (F.col("n") > 1).alias("many"), "at.doc_id",
+                .select("key", "content", (F.col("n") > 1).alias("many"), "at.row",
                         *_unpacked("at.place"), (F.col("strings") > max_group).alias("large")))
     distinct = cut(distinct, "distinct-segments")
     release(spark)
@@ -299,10 +299,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
         judged = judged.unionByName(cut(_split_groups(strings, length), "split-repeats"))
         release(spark)
     # from windows of a segment to bytes of a text
-    spans = rows.join(judged, ["key", "content"]).select("doc_id", *_unpacked(), "ranges")
+    spans = rows.join(judged, ["key", "content"]).select("row", *_unpacked(), "ranges")
     to_bytes = F.transform("ranges", lambda x, i: x + F.col("first")
                            + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(F.lit(0)))
-    return cut(spans.groupBy("doc_id", "row").agg(
+    return cut(spans.groupBy("row", "more").agg(
         F.flatten(F.collect_list(to_bytes)).alias("spans")), "spans")
 
 
@@ -322,8 +322,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
                    digest: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and ``kept`` (the remaining
     bytes) or, with ``digest``, ``kept_sha256``."""
-    docs = id_and_text(docs, id_col, text_col).withColumn(
-        "row", F.coalesce(F.xxhash64("text").bitwiseAND(0xFFFF).cast("int"), F.lit(0)))
+    # a row is known by 80 bits of two hashes of its id and text: ids may be null or repeat
+    docs = id_and_text(docs, id_col, text_col).withColumns({
+        "row": F.xxhash64("doc_id", "text"),
+        "more": F.hash("text", "doc_id").bitwiseAND(0xFFFF)})
     spans = repeated_spans(docs, length, max_group)
     last, kind = ("kept_sha256", "string") if digest else ("kept", "binary")
 
@@ -345,7 +347,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
                  pa.array(cols[3], pa.string() if digest else pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", last])
 
-    same_row = [docs["doc_id"].eqNullSafe(spans["doc_id"]), docs["row"] == spans["row"]]
-    return (docs.join(spans, same_row, "left").select(docs["doc_id"], "text", "spans")
+    return (docs.join(spans, ["row", "more"], "left").select("doc_id", "text", "spans")
             .mapInArrow(removed, f"doc_id long, n_bytes long, n_removed long, n_spans long, "
                                  f"{last} {kind}"))

@@ -298,6 +298,17 @@ def test_repeated_passages_periodic_shifted_and_repeated_rows(spark, max_group):
     assert sorted(got, key=str) == repeats(texts)
 
 
+def test_repeats_of_many_rows_without_an_id(spark):
+    """Different texts under a null id, or under one id, are different rows."""
+    passages = [" ".join(f"{k}p{j}" for j in range(60)) for k in range(40)]
+    texts = [(None if i % 3 else 5, f"{i} a " * (i % 7) + passages[i % 40][i % 50:] + f" {i} z" * 9
+              if i % 2 else f"{i} b" * 60) for i in range(6000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = bwt_dedup.remove_repeats(docs, digest=True).collect()
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows]
+    assert sorted(got, key=str) == repeats(texts)
+
+
 def test_repeats_across_pieces_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(bwt_dedup, "PIECE", 300)
     text = " ".join(f"q{i * i}" for i in range(400))
