@@ -8,9 +8,10 @@ principle, two signatures at distance ``chunks * (errors + 1) - 1`` or less have
 a chunk with at most ``errors`` (1) differing lanes, so both own the key made
 of that chunk without some lane: each representative enumerates its chunks
 without each lane, ``chunks * lanes`` keys, and *every* pair under the distance
-threshold (23 of 72 lanes) meets in a bucket.  At similarity 0.85 a lane differs
-with probability 0.15, so a true pair is over the threshold about once in
-20,000; more similar pairs practically never.
+threshold meets in a bucket.  At similarity s a lane differs with probability
+1 - s; chunks and lanes follow from ``percent`` so that a pair just similar enough
+is over the threshold at most once in 12,000 (``shape_of``: 23 of 72 lanes at
+0.85, 29 of 75 at 0.80); more similar pairs practically never.
 
 Links are wanted up to connectivity, so buckets needn't be expanded into pairs:
 1. every member of a bucket has the bucket's smallest one as its leader (a
@@ -36,6 +37,9 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +50,52 @@ from cabline.llm._common import cut, id_and_text, mix64, release, setting, word_
 from cabline.llm.graph import components, joined, roots
 
 SHINGLE = 5
-CHUNKS, LANES, ERRORS = 12, 6, 1
-MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
-PERCENT = 85
+PERCENT = 80            # of five-word shingles; op8's contract has 85
+ERRORS = 1
+MISS = 1 / 12_000       # of the pairs that are just similar enough, at most
+MAX_LANES, MAX_KEYS = 6, 80     # of a chunk, which is packed in two longs; a representative's
 _ONE_PASS = 2048        # shingles whose minima are computed at once
 
 
+class Shape(NamedTuple):
+    """Of a signature: chunks, and lanes of a chunk."""
+
+    chunks: int
+    lanes: int
+
+    @property
+    def size(self) -> int:
+        return self.chunks * self.lanes
+
+    @property
+    def distance(self) -> int:
+        return self.chunks * (ERRORS + 1) - 1
+
+    def miss(self, percent: int) -> float:
+        """The probability that a pair of this similarity is over the distance."""
+        n, s = self.size, percent / 100
+        return sum(comb(n, k) * (1 - s) ** k * s ** (n - k)
+                   for k in range(self.distance + 1, n + 1))
+
+
+@lru_cache
+def shape_of(percent: int) -> Shape:
+    """The shape with the longest (most selective) keys, then the fewest, that misses few
+    enough pairs; with two lanes a chunk there may be any number of keys."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be over 0 and at most 100")
+    for lanes in range(MAX_LANES, 1, -1):
+        chunks = 1
+        while lanes == 2 or chunks * lanes <= MAX_KEYS:
+            if Shape(chunks, lanes).miss(percent) <= MISS:
+                return Shape(chunks, lanes)
+            chunks += 1
+
+
+CHUNKS, LANES = shape_of(PERCENT)
+MAX_DISTANCE = shape_of(PERCENT).distance
+
+
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted distinct 64-bit shingle hashes of a text."""
     words = (text or b"").lower().split()
@@ -65,31 +109,33 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64(key))
 
 
-_SEEDS = mix64(np.arange(1, 2 * CHUNKS * LANES + 1, dtype=np.uint64))
-_MULTIPLY = _SEEDS[:CHUNKS * LANES] | np.uint64(1)
-_ADD = _SEEDS[CHUNKS * LANES:]
+@lru_cache
+def _factors(size: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = mix64(np.arange(1, 2 * size + 1, dtype=np.uint64))
+    return seeds[:size] | np.uint64(1), seeds[size:]
 
 
-def signature(found: np.ndarray) -> bytes:
+def signature(found: np.ndarray, size: int = CHUNKS * LANES) -> bytes:
     """The 16-bit minima of a set that isn't empty."""
-    least = np.full(CHUNKS * LANES, np.iinfo(np.uint64).max, np.uint64)
+    multiply, add = _factors(size)
+    least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(found), _ONE_PASS):
-        part = found[i:i + _ONE_PASS, None] * _MULTIPLY + _ADD
+        part = found[i:i + _ONE_PASS, None] * multiply + add
         np.minimum(least, part.min(0), out=least)
     return (mix64(least) >> np.uint64(48)).astype("<u2").tobytes()
 
 
-def bucket_keys(signatures: np.ndarray) -> np.ndarray:
-    """(n, CHUNKS * LANES) keys: each chunk without each of its lanes."""
-    lanes = signatures.reshape(-1, CHUNKS, LANES).astype(np.uint64)
-    place = np.arange(LANES, dtype=np.uint64) << np.uint64(16)
+def bucket_keys(signatures: np.ndarray, shape: Shape = shape_of(PERCENT)) -> np.ndarray:
+    """(n, shape.size) keys: each chunk without each of its lanes."""
+    lanes = signatures.reshape(-1, *shape).astype(np.uint64)
+    place = np.arange(shape.lanes, dtype=np.uint64) << np.uint64(16)
     mixed = mix64(lanes + place + np.uint64(1 << 32))
-    salt = mix64(np.arange(CHUNKS * LANES, dtype=np.uint64) + np.uint64(1 << 40))
+    salt = mix64(np.arange(shape.size, dtype=np.uint64) + np.uint64(1 << 40))
     whole = mixed.sum(2, keepdims=True, dtype=np.uint64)
     return mix64((whole - mixed).reshape(len(lanes), -1) + salt).view(np.int64)
 
 
-def _summaries(docs: DataFrame, shingle: int) -> DataFrame:
+def _summaries(docs: DataFrame, shingle: int, shape: Shape) -> DataFrame:
     """doc_id, n_shingles, set_hash (null for empty sets), signature."""
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -100,7 +146,7 @@ def _summaries(docs: DataFrame, shingle: int) -> DataFrame:
                 found = shingle_set(text, shingle)
                 n.append(len(found))
                 hashes.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                signatures.append(signature(found) if len(found) else None)
+                signatures.append(signature(found, shape.size) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()),
                  pa.array(signatures, pa.binary())],
@@ -110,45 +156,49 @@ def _summaries(docs: DataFrame, shingle: int) -> DataFrame:
                                       "signature binary")
 
 
-def _bucket_rows(reps: DataFrame) -> DataFrame:
+def _bucket_rows(reps: DataFrame, shape: Shape) -> DataFrame:
     """(key, id): a row for each key of each representative."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 2048):
                 part = b.slice(i, 2048)
                 raw = b"".join(part.column("signature").to_pylist())
-                keys = bucket_keys(np.frombuffer(raw, "<u2").reshape(-1, CHUNKS * LANES))
+                keys = bucket_keys(np.frombuffer(raw, "<u2"), shape)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.reshape(-1)),
-                     pa.array(np.repeat(part.column("id").to_numpy(), CHUNKS * LANES))],
+                     pa.array(np.repeat(part.column("id").to_numpy(), shape.size))],
                     ["key", "id"])
 
     return reps.select("id", "signature").mapInArrow(rows, "key long, id long")
 
 
-def _words_of(members: DataFrame) -> DataFrame:
+def _words_of(members: DataFrame, shape: Shape) -> DataFrame:
     """``members(key, id, signature, ...)`` with the signature as longs of three lanes
-    (``s``, two a chunk), and the place of the key: its chunk (the longs ``own``) and the
+    (``s``, two a chunk; lanes that the shape doesn't have are 0), and the place of the key: its chunk (the longs ``own``) and the
     lane left out."""
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             lanes = np.frombuffer(b"".join(b.column("signature").to_pylist()), "<u2")
-            lanes = lanes.reshape(-1, CHUNKS * LANES)
-            place = (bucket_keys(lanes) == b.column("key").to_numpy()[:, None]).argmax(1)
-            three = lanes.reshape(len(lanes), -1, 3).astype(np.int64)
+            lanes = lanes.reshape(-1, *shape)
+            place = (bucket_keys(lanes, shape) == b.column("key").to_numpy()[:, None]).argmax(1)
+            three = np.zeros((len(lanes), shape.chunks, MAX_LANES), np.int64)
+            three[:, :, :shape.lanes] = lanes
+            three = three.reshape(len(lanes), -1, 3)
             packed = three[:, :, 0] | three[:, :, 1] << 16 | three[:, :, 2] << 32
             width = packed.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("key", "id", "part", "main")),
-                 pa.array(place // LANES, pa.int32()), pa.array(place % LANES, pa.int32()),
-                 *(pa.array(packed[np.arange(len(place)), place // LANES * 2 + i]) for i in (0, 1)),
+                 pa.array(place // shape.lanes, pa.int32()),
+                 pa.array(place % shape.lanes, pa.int32()),
+                 *(pa.array(packed[np.arange(len(place)), place // shape.lanes * 2 + i])
+                   for i in (0, 1)),
                  *(pa.array(packed[:, i]) for i in range(width))],
                 ["key", "id", "part", "main", "chunk", "left_out", "own0", "own1",
                  *(f"s{i}" for i in range(width))])
 
-    longs = ", ".join(f"s{i} long" for i in range(CHUNKS * LANES // 3))
+    longs = ", ".join(f"s{i} long" for i in range(2 * shape.chunks))
     return members.select("key", "id", "signature", "part", "main").mapInArrow(
         words, f"key long, id long, part long, main long, chunk int, left_out int, "
                f"own0 long, own1 long, {longs}")
@@ -165,7 +215,7 @@ def _differing(i: int):
     return of(2 * i) + of(2 * i + 1)
 
 
-def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame) -> DataFrame:
+def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame, shape: Shape) -> DataFrame:
     """Pairs (a, b) under the signature distance that share a bucket of three or more and
     aren't connected, each once; pairs with a bucket's leader are among them."""
     members = (buckets.where("size > 2").join(part, "id", "left")
@@ -175,33 +225,33 @@ def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame) -> DataFrame
                                         F.count("*").alias("parts")).where("parts > 1"))
     members = members.join(mixed.select("key", "main"), "key").join(
         reps.select("id", "signature"), "id")
-    members = cut(_words_of(members), "mixed-buckets")
+    members = cut(_words_of(members, shape), "mixed-buckets")
     x = members.where("part <> main")
     x = x.select("key", *[F.col(c).alias(f"x_{c}") for c in x.columns
                           if c not in ("key", "main", "chunk", "left_out")])
-    chunks = [_differing(i) for i in range(CHUNKS)]
+    chunks = [_differing(i) for i in range(shape.chunks)]
     # the first key that a pair shares: an equal chunk is met under all its lanes, and any
     # earlier chunk with few errors too; cheap tests come first, most pairs end there
     first = ((F.col("left_out") == 0) | (F.col("own0") != F.col("x_own0"))
              | (F.col("own1") != F.col("x_own1")))
-    for i in range(CHUNKS - 1):
+    for i in range(shape.chunks - 1):
         first = first & ((F.col("chunk") <= i) | (chunks[i] > ERRORS))
     # a pair of two members outside the main component meets both ways round
     once = (F.col("part") == F.col("main")) | (F.col("id") < F.col("x_id"))
     return (members.join(x, "key")
             .where((F.col("part") != F.col("x_part")) & once & first
-                   & (sum(chunks[1:], chunks[0]) <= MAX_DISTANCE))
+                   & (sum(chunks[1:], chunks[0]) <= shape.distance))
             .select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")))
 
 
-def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _close(pairs: DataFrame, reps: DataFrame, percent: int, shape: Shape) -> DataFrame:
     """The ``pairs(a, b)`` under the signature distance whose set sizes allow a link."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 sides = [np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2")
-                         .reshape(-1, CHUNKS * LANES) for c in ("sig_a", "sig_b")]
-                keep = pa.array((sides[0] != sides[1]).sum(1) <= MAX_DISTANCE)
+                         .reshape(-1, shape.size) for c in ("sig_a", "sig_b")]
+                keep = pa.array((sides[0] != sides[1]).sum(1) <= shape.distance)
                 yield b.select(["a", "b"]).filter(keep)
 
     a, b = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"),
@@ -247,14 +297,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
 
     Linked: ``100 * |A & B| >= percent * |A | B|``; component_id is the smallest
     doc_id reachable; kept where that is the document itself."""
-    docs = id_and_text(docs, id_col, text_col)
-    found = cut(_summaries(docs, shingle), "signatures")
+    docs, shape = id_and_text(docs, id_col, text_col), shape_of(percent)
+    found = cut(_summaries(docs, shingle, shape), "signatures")
     # one representative a set; equal sets are linked without comparison
     reps = cut(found.where("set_hash is not null").groupBy("set_hash", "signature")
                .agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"))
                .where("id is not null"), "representatives")
 
-    rows = _bucket_rows(reps)
+    rows = _bucket_rows(reps, shape)
     least = (rows.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("size"))
              .where("size > 1"))
     buckets = cut(rows.join(least, "key"), "buckets")
@@ -263,7 +313,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     best = star.groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        near = cut(_close(pairs, reps, percent), "pairs")
+        near = cut(_close(pairs, reps, percent, shape), "pairs")
         out = cut(_confirmed(near, docs, percent, shingle), "links")
         release(docs.sparkSession)
         return out
@@ -273,7 +323,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
                  .select(F.col("b").alias("id"), F.col("a").alias("component")))
     a, b = (part.select(F.col("id").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
     rest = (star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
-            .unionByName(_untested(buckets, part, reps))
+            .unionByName(_untested(buckets, part, reps, shape))
             .join(best.select("a", F.col("id").alias("b")), ["a", "b"], "left_anti")
             .join(a, "a", "left").join(b, "b", "left")
             .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))

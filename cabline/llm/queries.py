@@ -17,6 +17,8 @@ URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
 #: the key of the surrogates; a deployment passes its own secret
 PII_KEY = "surrogates-1"
 TOKEN_FILE_END, PACKING_END = 2, 1
+#: op8's contract; stages on five-word shingles take hamming.PERCENT
+NEAR_PERCENT = 85
 
 
 def op1_token_files(spark, sf_dir):
@@ -61,7 +63,7 @@ def op7_decontamination(spark, sf_dir):
 
 
 def op8_near_duplicates(spark, sf_dir):
-    return hamming.near_duplicates(table(spark, sf_dir, "documents"))
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"), NEAR_PERCENT)
 
 
 def op9_repeated_passages(spark, sf_dir):

@@ -28,7 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group of near-duplicates stays."""
+    """One document (the smallest id) of each group of near-duplicates, of similarity
+    0.8 or more, stays."""
     return _of(docs, hamming.near_duplicates(docs).where("kept"), "left_semi")
 
 

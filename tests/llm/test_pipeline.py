@@ -2,6 +2,7 @@ import corpus_pipeline
 from cabline.llm import hamming, queries
 from cabline.llm._common import cut
 from tests.conftest import SF_SMALL
+from tests.llm.test_text_operators import near_duplicates
 
 
 def test_stages_and_run(spark, small):
@@ -36,3 +37,19 @@ def test_stages_on_odd_and_empty(spark, small):
             assert stage(spark, docs, SF_SMALL).columns == docs.columns
             assert stage(spark, docs, SF_SMALL).count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= docs.count()
+
+
+def test_near_duplicates_from_four_fifths_on(spark, small):
+    """Copies whose similarity is 0.80 to 0.85, and one under it, against brute force."""
+    texts = {}
+    for i in range(80):
+        words = [f"t{i}_{j}" for j in range(150)]
+        texts[2 * i] = " ".join(words)
+        for at in ((20, 70, 120) if i % 4 else (20, 50, 80, 110)):      # 0.81, 0.76
+            words[at] = f"edit{at}"
+        texts[2 * i + 1] = " ".join(words)
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts.items()],
+                                 small("documents").schema).repartition(3)
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()}
+    assert got == {d for d, (_, _, kept) in near_duplicates(texts, 80).items() if kept}
+    assert len(got) == 100

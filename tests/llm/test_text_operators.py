@@ -240,6 +240,20 @@ def test_every_pair_under_the_distance_shares_a_key():
         assert set(x.tolist()) & set(y.tolist())
 
 
+@pytest.mark.parametrize("percent", [85, 80, 60, 30])
+def test_signatures_fit_the_percentage(percent):
+    """Few true pairs are over the distance, and all under it share a key."""
+    import numpy as np
+    rng, shape = np.random.default_rng(3), hamming.shape_of(percent)
+    assert shape.miss(percent) <= 1 / 12_000
+    for _ in range(20):
+        a = rng.integers(0, 1 << 16, shape.size).astype("<u2")
+        b = a.copy()
+        b[rng.permutation(shape.size)[:shape.distance]] ^= 1
+        x, y = hamming.bucket_keys(np.stack([a, b]), shape)
+        assert set(x.tolist()) & set(y.tolist())
+
+
 def test_near_duplicates_odd_and_empty(odd, none):
     rows = hamming.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
