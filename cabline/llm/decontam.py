@@ -151,11 +151,15 @@ def _counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
     return out
 
 
-def _search(found: DataFrame, block, last: bool) -> DataFrame:
-    """Adds a block's hits to ``found(doc_id, text, spans, items)``; the last block's pass
-    gives doc_id, n_words, n_hit, items."""
+def _search(found: DataFrame, block, last: bool, carry: str | None = None) -> DataFrame:
+    """Adds a block's hits to ``found(doc_id, text, spans, items[, carry])``; the last
+    block's pass gives doc_id, n_words, n_hit, items[, carry]."""
+    names = ["doc_id", *(["n_words", "n_hit"] if last else ["text", "spans"]), "items"]
     schema = "doc_id long, n_words long, n_hit long, items array<string>" if last else \
         "doc_id long, text binary, spans array<bigint>, items array<string>"
+    carried = [carry] if carry else []
+    if carry:
+        schema += f", `{carry}` {found.schema[carry].dataType.simpleString()}"
 
     def judged(ids: np.ndarray, spans: list[int]) -> tuple[int, int]:
         hit = np.zeros(len(ids), bool)
@@ -181,8 +185,8 @@ def _search(found: DataFrame, block, last: bool) -> DataFrame:
             else:
                 middle = [b.column("text"), pa.array(spans, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *middle, pa.array(items, pa.list_(pa.string()))],
-                [x.split()[0] for x in schema.split(", ")])
+                [b.column("doc_id"), *middle, pa.array(items, pa.list_(pa.string())),
+                 *(b.column(c) for c in carried)], [*names, *carried])
 
     return found.mapInArrow(search, schema)
 
@@ -190,16 +194,25 @@ def _search(found: DataFrame, block, last: bool) -> DataFrame:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        shingle: int = SHINGLE, block_words: int = BLOCK_WORDS,
                        id_col: str = "doc_id", text_col: str = "text",
-                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items (sorted ids), contaminated."""
+                       item_id_col: str = "item_id", item_text_col: str = "text",
+                       carry: str | None = None) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items (sorted ids), contaminated.
+
+    ``carry``: also a struct of this name with the row's own columns, so that a filter
+    needs no join."""
     spark = docs.sparkSession
-    docs = id_and_text(docs, id_col, text_col)
+    rows, docs = docs, id_and_text(docs, id_col, text_col)
+    judged = docs
+    if carry:
+        judged = rows.select(F.col(id_col).cast("long").alias("doc_id"),
+                             F.col(text_col).cast("string").cast("binary").alias("text"),
+                             F.struct(*rows.columns).alias(carry))
     items = benchmark.select(
         F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("item"),
         F.col(item_text_col).cast("string").cast("binary").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // (2 * block_words)))      # a word takes two bytes at least
-    found = docs.withColumns({"spans": F.array().cast("array<bigint>"),
+    found = judged.withColumns({"spans": F.array().cast("array<bigint>"),
                               "items": F.array().cast("array<string>")})
     for n in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == n).collect()
@@ -207,12 +220,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         sent = spark.sparkContext.broadcast(windows)
         windows.order(_counts(docs, sent))
         last = n == blocks - 1
-        found = _search(found, spark.sparkContext.broadcast(windows), last)
+        found = _search(found, spark.sparkContext.broadcast(windows), last, carry)
         if not last:
             found = cut(found, "decontamination")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       "items", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-                      .alias("contaminated"))
+                      .alias("contaminated"), *([carry] if carry else []))
 
 
 def items_digest(items: list[str]) -> str:

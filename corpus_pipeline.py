@@ -2,8 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``; all but the last
-return the columns of ``documents``.  Rows that repeat a doc_id stand or fall
-together from the second stage on; a null doc_id is an id like any other; empty tables pass through.
+return the columns of ``documents``.  Each row is judged by its own text, whether
+its doc_id is null, repeated or unique; empty tables pass through.
 """
 
 from __future__ import annotations
@@ -15,12 +15,6 @@ from cabline.llm import decontam, hamming, quality, queries, surrogates
 from cabline.llm._common import cut, table
 
 
-def _of(docs: DataFrame, judged: DataFrame, how: str) -> DataFrame:
-    # as many ids as documents: one plan at every size
-    ids = judged.select(F.col("doc_id").alias("__judged")).distinct().hint("merge")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__judged"]), how)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the likelihood ratio go."""
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"), carry="row")
@@ -28,15 +22,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group of near-duplicates, of similarity
-    0.8 or more, stays."""
-    return _of(docs, hamming.near_duplicates(docs).where("kept"), "left_semi")
+    """One row of each group of near-duplicates, of similarity 0.8 or more, stays: the one
+    with the smallest id, a row without an id only if all are.  Rows without words are in
+    no group and stay."""
+    # numbered in a table of their own: no later reading can number them otherwise
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    linked = hamming.near_duplicates(rows, id_col="__row").select(
+        F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    # as many groups as documents: one plan at every size
+    first = (rows.select("__row", "doc_id").join(linked.hint("merge"), "__row")
+             .groupBy("component_id").agg(F.min_by("__row", order).alias("__row")))
+    return (rows.join(first.select("__row").hint("merge"), "__row", "left_semi")
+            .select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold enough of benchmark items go."""
-    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _of(docs, found.where("contaminated"), "left_anti")
+    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry="row")
+    return found.where("not contaminated").select("row.*")
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,23 @@ def test_near_duplicates_from_four_fifths_on(spark, small):
     got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()}
     assert got == {d for d, (_, _, kept) in near_duplicates(texts, 80).items() if kept}
     assert len(got) == 100
+
+
+def test_rows_without_an_id_and_repeated_rows(spark, small):
+    """Each row is judged by its own text, and one row of a group of copies stays."""
+    schema = small("documents").schema
+    item = next(r.text for r in small("benchmark").collect() if len((r.text or "").split()) > 15)
+    texts = [" ".join(f"u{i}_{j}" for j in range(60)) for i in range(5)]
+    rows = [(None, item), (None, texts[0]), (7, item), (7, texts[1])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], schema)
+    out = corpus_pipeline.decontaminate(spark, docs, SF_SMALL)
+    assert sorted(r.text for r in out.collect()) == sorted(texts[:2])
+    rows = [(None, texts[0]), (None, texts[0]), (3, texts[0]), (None, texts[1]), (None, texts[1]),
+            (4, texts[2]), (4, texts[2]), (4, texts[3]), (6, texts[4]), (5, texts[4]),
+            (None, None), (8, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows],
+                                 schema).repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(3, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (5, texts[4]),
+         (None, None), (8, "")], key=str)
