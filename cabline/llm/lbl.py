@@ -14,9 +14,8 @@ per class sum to 1.
 Training counts are taken over all training documents (combined per task, then
 by word).  The vectors are trained in numpy by noise-contrastive estimation:
 each round every task runs AdaGrad over its own documents, from the model so
-far, on every ``stride``-th position of each text (the next round takes others),
-and the models are averaged by their number of examples; what is
-learnt from grows with the input, the model doesn't.  The ``known_words`` most
+far, on every position of each text, and the models are averaged by their number
+of examples; what is learnt from grows with the input, the model doesn't.  The ``known_words`` most
 frequent words' counts are sent to the tasks, the others join by a 64-bit hash.
 
 Cases: a null or empty text is its end alone; a null doc_id counts as the empty
@@ -43,7 +42,7 @@ from cabline.llm._common import cut, id_and_text, per_process, release
 FOLDS, HELD_OUT_FOLD = 7, 2
 HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
 KNOWN_WORDS = 150_000
-ROUNDS, STRIDE, BATCH, NOISE, RATE = 2, 16, 512, 64, 0.1
+ROUNDS, BATCH, NOISE, RATE = 2, 4096, 64, 0.1
 MAX_COUNTER = 250_000
 _BLOCK = 256            # tokens normalised at once
 
@@ -120,21 +119,14 @@ class Vocabulary:
         return per_process(f"lbl_rare:{self.first_rare}:{self.rare_classes}",
                            lambda: _RareOutputs(self.first_rare, self.rare_classes))
 
-    def outputs_of(self, words: list[bytes], only: np.ndarray | None = None) -> np.ndarray:
-        """The outputs of a text's tokens; with ``only``, those of other positions are
-        left undefined."""
+    def outputs_of(self, words: list[bytes]) -> np.ndarray:
+        """The outputs of a text's tokens."""
         out = np.empty(len(words) + 1, np.int64)
         out[-1] = self.end
-        if only is None:
-            out[:-1] = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64,
-                                   len(words))
-            only = np.flatnonzero(out == -1)
-        else:
-            only = only[only < len(words)]
-            out[only] = [self.index.get(words[i], -1) for i in only.tolist()]
-            only = only[out[only] == -1]
-        rare = self.rare()
-        out[only] = [rare[words[i]] for i in only.tolist()]
+        out[:-1] = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64,
+                               len(words))
+        others, rare = np.flatnonzero(out == -1), self.rare()
+        out[others] = [rare[words[i]] for i in others.tolist()]
         return out
 
     def contexts(self, outputs: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -198,11 +190,12 @@ class Trainer:
             squares += gradient * gradient
             value += RATE * gradient / np.sqrt(squares)
         else:
-            rows, back = np.unique(rows, return_inverse=True)
-            total = np.zeros((len(rows), *gradient.shape[1:]), np.float32)
-            np.add.at(total, back, gradient)
-            squares[rows] += total * total
-            value[rows] += RATE * total / np.sqrt(squares[rows])
+            # as few rows as outputs: those without a gradient are added nothing
+            n, columns = len(value), gradient.reshape(len(gradient), -1).T
+            total = np.stack([np.bincount(rows, x, n) for x in columns], 1)
+            total = total.reshape(value.shape).astype(np.float32)
+            squares += total * total
+            value += RATE * total / np.sqrt(squares)
 
     def train(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         m, n = self.m, len(targets)
@@ -229,8 +222,28 @@ class Trainer:
         self.examples += n
 
 
-def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int, round_: int,
-             stride: int) -> Model:
+def examples(texts: Iterator[bytes | None], words: Vocabulary,
+             context: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(contexts, targets) of every position of the texts, BATCH at a time."""
+    held: list = []
+    n = 0
+    for text in texts:
+        outputs = words.outputs_of(words_of(text))
+        for i in range(0, len(outputs), BATCH):
+            at = np.arange(i, min(i + BATCH, len(outputs)))
+            held.append((words.contexts(outputs, at, context), outputs[at]))
+            n += len(at)
+            if n >= BATCH:
+                c, t = (np.concatenate(x) for x in zip(*held))
+                yield c[:BATCH], t[:BATCH]
+                held, n = [(c[BATCH:], t[BATCH:])], n - BATCH
+    if n:
+        c, t = (np.concatenate(x) for x in zip(*held))
+        yield c, t
+
+
+def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int,
+             round_: int) -> Model:
     """The average of the models that the tasks reach from ``model`` in one pass."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((vocabulary, model))        # of fixed size
@@ -241,27 +254,11 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
         own.set_flat(start.flat())
         task = TaskContext.get().partitionId()
         trainer = Trainer(own, words, 1000 * round_ + task)
-        held: list = []
-        n = 0
-        for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                if fold(doc_id) == HELD_OUT_FOLD:
-                    continue
-                tokens = words_of(text)
-                first = (zlib.crc32(b"%d" % len(tokens)) + (doc_id or 0)
-                         + round_ * (stride // ROUNDS)) % stride
-                at = np.arange(first, len(tokens) + 1, stride)
-                if len(at):
-                    needed = (at[:, None] - np.arange(context + 1)).reshape(-1)
-                    outputs = words.outputs_of(tokens, needed[needed >= 0])
-                    held.append((words.contexts(outputs, at, context), outputs[at]))
-                    n += len(at)
-                while n >= BATCH:
-                    c, t = (np.concatenate(x) for x in zip(*held))
-                    trainer.train(c[:BATCH], t[:BATCH])
-                    held, n = [(c[BATCH:], t[BATCH:])], n - BATCH
-        if n:
-            trainer.train(*(np.concatenate(x) for x in zip(*held)))
+        texts = (text for b in batches for doc_id, text in zip(
+            b.column("doc_id").to_pylist(), b.column("text").to_pylist())
+            if fold(doc_id) != HELD_OUT_FOLD)
+        for contexts, targets in examples(texts, words, context):
+            trainer.train(contexts, targets)
         if trainer.examples:
             values = own.flat().astype(np.float64) * trainer.examples
             yield pa.RecordBatch.from_arrays(
@@ -290,7 +287,7 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
 
 def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int = RARE_CLASSES,
                 dimensions: int = DIMENSIONS, context: int = CONTEXT, rounds: int = ROUNDS,
-                stride: int = STRIDE, known_words: int = KNOWN_WORDS, id_col: str = "doc_id",
+                known_words: int = KNOWN_WORDS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -333,7 +330,7 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
                             rare_classes)
     model = Model(vocabulary, dimensions, context)
     for k in range(rounds):
-        model = _trained(docs, vocabulary, model, context, k, stride)
+        model = _trained(docs, vocabulary, model, context, k)
 
     log_all = float(np.log10(n_all + v_all + 1))
     log_class = np.log10(totals[1] + 1)

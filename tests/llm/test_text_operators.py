@@ -113,6 +113,19 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-5)
 
 
+def test_every_position_is_an_example(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(lbl, "BATCH", 64)
+    words = lbl.Vocabulary([b"a", b"b"], np.array([5, 3, 2, 1, 1]), 2)
+    texts = [b"a", None, b"b a c", b"", b"a b c d " * 100, b"a b"]
+    batches = list(lbl.examples(iter(texts), words, 2))
+    assert {len(t) for _, t in batches[:-1]} == {64}
+    wanted = [words.outputs_of(lbl.words_of(t)) for t in texts]
+    assert np.concatenate([t for _, t in batches]).tolist() == np.concatenate(wanted).tolist()
+    before = [words.contexts(x, np.arange(len(x)), 2) for x in wanted]
+    assert np.array_equal(np.concatenate([c for c, _ in batches]), np.concatenate(before))
+
+
 def test_lbl_odd_and_empty(odd, none):
     rows = lbl.score_texts(odd).collect()
     assert len(rows) == odd.count()
