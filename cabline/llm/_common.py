@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import pickle
 import sys
 import types
 import uuid
+from collections.abc import Callable
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +89,19 @@ def per_process(key: str, make):
     return found
 
 
+def shared(spark: SparkSession, value) -> Callable:
+    """A broadcast of ``value``, of bounded size; call the result inside a task.
+
+    A plain broadcast pickles objects of this package's classes by reference, which
+    needs the package in the workers; these bytes are pickled by value."""
+    sent, key = spark.sparkContext.broadcast(cloudpickle.dumps(value)), uuid.uuid4().hex
+
+    def get():
+        return per_process(f"shared:{key}", lambda: pickle.loads(sent.value))
+
+    return get
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over 64 bits (murmur3)."""
     x = x.astype(np.uint64, copy=True)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64
+from cabline.llm._common import cut, id_and_text, mix64, shared
 
 WINDOW = 13
 SHINGLE = 5
@@ -129,7 +129,7 @@ class Windows:
 def _counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
     """Per shingle length the corpus counts of the block's shingles."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = block.value
+        windows = block()
         total = {k: np.zeros(len(x[1]), np.int64) for k, x in windows.by_length.items()}
         for b in batches:
             for text in b.column("text").to_pylist():
@@ -144,7 +144,7 @@ def _counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
 
     rows = (docs.select("text").mapInArrow(count, "k int, place long, n long")
             .groupBy("k", "place").agg(F.sum("n").alias("n")).toPandas())   # one per shingle
-    out = {k: np.zeros(len(x[1]), np.int64) for k, x in block.value.by_length.items()}
+    out = {k: np.zeros(len(x[1]), np.int64) for k, x in block().by_length.items()}
     for k in out:
         of = rows[rows["k"] == k]
         out[k][of["place"].to_numpy()] = of["n"].to_numpy()
@@ -168,7 +168,7 @@ def _search(found: DataFrame, block, last: bool, carry: str | None = None) -> Da
         return len(ids), int(hit.sum())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = block.value
+        windows = block()
         for b in batches:
             spans, items, counts = [], [], []
             for text, s, i in zip(*(b.column(c).to_pylist() for c in ("text", "spans", "items"))):
@@ -217,10 +217,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for n in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == n).collect()
         windows = Windows([(r["item"], r["text"]) for r in rows], window, shingle)
-        sent = spark.sparkContext.broadcast(windows)
+        sent = shared(spark, windows)
         windows.order(_counts(docs, sent))
         last = n == blocks - 1
-        found = _search(found, spark.sparkContext.broadcast(windows), last, carry)
+        found = _search(found, shared(spark, windows), last, carry)
         if not last:
             found = cut(found, "decontamination")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -109,15 +109,14 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64(key))
 
 
-@lru_cache
 def _factors(size: int) -> tuple[np.ndarray, np.ndarray]:
     seeds = mix64(np.arange(1, 2 * size + 1, dtype=np.uint64))
     return seeds[:size] | np.uint64(1), seeds[size:]
 
 
-def signature(found: np.ndarray, size: int = CHUNKS * LANES) -> bytes:
+def signature(found: np.ndarray, size: int = CHUNKS * LANES, factors=None) -> bytes:
     """The 16-bit minima of a set that isn't empty."""
-    multiply, add = _factors(size)
+    multiply, add = factors or _factors(size)
     least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(found), _ONE_PASS):
         part = found[i:i + _ONE_PASS, None] * multiply + add
@@ -140,13 +139,14 @@ def _summaries(docs: DataFrame, shingle: int, shape: Shape) -> DataFrame:
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        factors = _factors(shape.size)
         for b in batches:
             n, hashes, signatures = [], [], []
             for text in b.column("text").to_pylist():
                 found = shingle_set(text, shingle)
                 n.append(len(found))
                 hashes.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                signatures.append(signature(found, shape.size) if len(found) else None)
+                signatures.append(signature(found, shape.size, factors) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()),
                  pa.array(signatures, pa.binary())],

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import per_process
+from cabline.llm._common import per_process, shared
 
 TRAIN_PAGES = 300
 TRAIN_BLOCKS = 60           # blocks of a training page, from its middle out
@@ -375,15 +375,16 @@ def extract_main_text(pages: DataFrame, train_pages: int = TRAIN_PAGES, id_col:
         sample = (pages.where("length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id")
                   .select("html").limit(train_pages).collect())      # bounded by train_pages
         model = train_labeller([r["html"] for r in sample])
-    sent = spark.sparkContext.broadcast(model)
+    sent = shared(spark, model)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = sent()
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 found = [blocks_of(x) for x in part.column("html").to_pylist()]
                 texts = ["\n".join(x.text for x, keep in zip(blocks, flags) if keep)
-                         for blocks, flags in zip(found, sent.value.label(found))]
+                         for blocks, flags in zip(found, labeller.label(found))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
                     ["page_id", "url", "text"])

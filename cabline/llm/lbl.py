@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, per_process, release
+from cabline.llm._common import cut, id_and_text, per_process, release, shared
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
@@ -246,10 +246,10 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
              round_: int) -> Model:
     """The average of the models that the tasks reach from ``model`` in one pass."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((vocabulary, model))        # of fixed size
+    sent = shared(spark, (vocabulary, model))       # of fixed size
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, start = sent.value
+        words, start = sent()
         own = Model(words, start.r.shape[1], context)
         own.set_flat(start.flat())
         task = TaskContext.get().partitionId()
@@ -334,10 +334,10 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
 
     log_all = float(np.log10(n_all + v_all + 1))
     log_class = np.log10(totals[1] + 1)
-    sent = spark.sparkContext.broadcast((vocabulary, model, known))     # known_words words
+    sent = shared(spark, (vocabulary, model, known))        # known_words words
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, m, known = sent.value
+        words, m, known = sent()
         place = TaskContext.get().partitionId() << 40
         # per output: 0, or what a rare word's class subtracts
         minus = np.concatenate([np.zeros(words.first_rare), log_class])

@@ -108,5 +108,45 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM p JOIN bounds USING (host)"""
 
 
+def _filter_audit() -> str:
+    words = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+    return rf"""WITH t AS (
+  SELECT doc_id, coalesce(CAST(lang AS VARCHAR), '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {words} AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+failed AS (SELECT doc_id, part, concat(
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN first < doc_id THEN 'E' ELSE '' END) AS fails FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+kinds AS (SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+          FROM failed LEFT JOIN l USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c,
+             letters d, letters e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, step, substr(o, step, 1) AS f, substr(o, 1, step - 1) AS before
+          FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
+judged AS (SELECT k.*, o, step, f, contains(fails, f) AS mine,
+             len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AS gone
+           FROM kinds k, steps),
+counted AS (SELECT part, o, step, f,
+    sum(CASE WHEN NOT gone AND NOT mine THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND mine THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND mine THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND mine THEN n * good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND mine THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM judged GROUP BY ALL)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""
+
+
 ORACLE_SQL = {"op7_decontamination": _decontamination(), "op8_near_duplicates": _near_duplicates(),
-              "op10_url_reputation": _url_reputation()}
+              "op10_url_reputation": _url_reputation(), "op13_filter_audit": _filter_audit()}

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabline.llm import (bwt_dedup, decontam, hamming, html_blocks, lbl, packing, quality,
-                         surrogates, tokens, url_reputation, varbyte)
+from cabline.llm import (alignment, bwt_dedup, decontam, feistel, filter_audit, hamming,
+                         html_blocks, lbl, packing, quality, surrogates, tokens,
+                         url_reputation, varbyte)
 from cabline.llm._common import scratch, table
 
 #: (verdict, host, path)
@@ -17,6 +18,8 @@ URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
 #: the key of the surrogates; a deployment passes its own secret
 PII_KEY = "surrogates-1"
 TOKEN_FILE_END, PACKING_END = 2, 1
+#: fixes the shuffle of op11
+SHUFFLE_KEY, SHARDS = "shuffle-1", 8
 #: op8's contract; stages on five-word shingles take hamming.PERCENT
 NEAR_PERCENT = 85
 
@@ -79,7 +82,26 @@ def op10_url_reputation(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_feistel_shards(spark, sf_dir):
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    placed = feistel.shard_rows(rows, SHARDS, SHUFFLE_KEY)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"),
+                                      tokens.byte_bpe_path(), tokens.piece_bpe_path(), digest=True)
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_harmonic_packing, op3_quality_rules, op4_html_blocks, op5_lbl_scores,
     op6_surrogates, op7_decontamination, op8_near_duplicates, op9_repeated_passages,
-    op10_url_reputation)}
+    op10_url_reputation, op11_feistel_shards, op12_token_alignment, op13_filter_audit)}
