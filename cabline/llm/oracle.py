@@ -130,7 +130,8 @@ orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b
 steps AS (SELECT o, step, substr(o, step, 1) AS f, substr(o, 1, step - 1) AS before
           FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
 judged AS (SELECT k.*, o, step, f, contains(fails, f) AS mine,
-             len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AS gone
+             before <> '' AND fails <> ''
+               AND len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AS gone
            FROM kinds k, steps),
 counted AS (SELECT part, o, step, f,
     sum(CASE WHEN NOT gone AND NOT mine THEN n ELSE 0 END) AS kept,
