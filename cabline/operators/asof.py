@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.operators.scan import AUTO, scan_bucket, segmented_scan
+from cabline.operators.scan import AUTO, BUCKET, segmented_scan, with_buckets
 
 
 def asof_enrich(trades: DataFrame, customers: DataFrame, key: str = "customer_id",
@@ -27,8 +27,10 @@ def asof_enrich(trades: DataFrame, customers: DataFrame, key: str = "customer_id
                          F.struct(F.col(ts).alias("ts"), F.col(info).alias("info")).alias("__cust"),
                          F.lit(0).alias("__side"))
     u = t.unionByName(c, allowMissingColumns=True)
-    scanned = segmented_scan(u, [key], [F.col(ts), F.col("__side")],
-                             scan_bucket(u, [key], ts, bucket_seconds),
+    # ties: of customer records at one instant the greatest info counts; trades at one
+    # instant are told apart by a hash only so that they can be split
+    order = [F.col(ts), F.col("__side"), F.col("__cust.info"), F.xxhash64(*trade_cols)]
+    scanned = segmented_scan(with_buckets(u, [key], order, bucket_seconds), [key], order, BUCKET,
                              lasts={"__match": F.col("__cust")}, inclusive=True)
     return scanned.where(F.col("__side") == 1).select(
         *trade_cols, F.col("__match.ts").alias("customer_ts"),

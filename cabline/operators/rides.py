@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.functions.geo import in_nyc
-from cabline.operators.scan import AUTO, scan_bucket, segmented_scan
+from cabline.operators.scan import AUTO, BUCKET, segmented_scan, with_buckets
 
 
 def cleanse(rides: DataFrame) -> DataFrame:
@@ -19,8 +19,11 @@ def start_events(rides: DataFrame) -> DataFrame:
 
 
 def start_events_with_loss(rides: DataFrame, modulus: int = 1000) -> DataFrame:
-    """START events, dropping ride_id % modulus == 0 (simulated data loss)."""
-    return rides.where(F.col("is_start") & (F.col("ride_id") % F.lit(modulus) != 0))
+    """START events, dropping ride_id % modulus == 0 (simulated data loss).
+
+    A ride without an id is not lost: it comes out unmatched."""
+    lost = F.coalesce(F.col("ride_id") % F.lit(modulus) == 0, F.lit(False))
+    return rides.where(F.col("is_start") & ~lost)
 
 
 def event_time(is_start="is_start", start_time="start_time", end_time="end_time"):
@@ -48,5 +51,5 @@ def ride_sequence(rides: DataFrame, key: str = "driver_id", name: str = "seq",
     """
     r = rides if "event_time" in rides.columns else with_event_time(rides)
     order = [F.col("event_time"), F.when(F.col("is_start"), 0).otherwise(1), F.col("ride_id")]
-    return segmented_scan(r, [key], order, scan_bucket(r, [key], "event_time", bucket_seconds),
+    return segmented_scan(with_buckets(r, [key], order, bucket_seconds), [key], order, BUCKET,
                           sums={name: F.lit(1).cast("long")}, inclusive=True)

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabline.functions.labels import erraticness_label
-from cabline.operators.scan import AUTO, epoch_micros, non_null_key, scan_bucket, segmented_scan
+from cabline.operators.scan import (AUTO, BUCKET, epoch_micros, non_null_key, segmented_scan,
+                                    with_buckets)
 
 
 def segment_stats(ts: str = "ts", speed: str = "speed", throttle: str = "throttle") -> list[Column]:
@@ -43,7 +44,10 @@ def gap_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
     3. the buckets of a segment are combined: counts, extremes, and the throttle's
        mean and squared deviations, which move by n * (mean - segment mean)^2.
        Rows are read once and never shuffled themselves.
+
+    An event without a time belongs to no segment, as in a session window.
     """
+    events = events.where(F.col(ts).isNotNull())
     gap_us = int(gap_seconds) * 1_000_000
     b = F.floor(epoch_micros(ts) / F.lit(gap_us))
     # a null key is one vehicle, as in a session window; its non-null stand-in
@@ -85,13 +89,16 @@ def stopped_segments(events: DataFrame, key: str = "car_id", ts: str = "ts",
 
     A segment holds the events strictly after one stop and strictly before the
     next (events at the time of a stop belong to no segment); events after the
-    last stop form the last segment.  Empty segments are not emitted.
+    last stop form the last segment.  Empty segments are not emitted.  An event
+    without a time belongs to no segment and stops none.
     """
+    events = events.where(F.col(ts).isNotNull())
     # an unknown (null) speed is not a stop
     stop = F.coalesce(F.col(speed) == F.lit(0.0), F.lit(False)).cast("int")
-    order = [F.col(ts), F.lit(1) - stop]   # stops first among equal times
-    scanned = segmented_scan(events.withColumn("__stop", stop), [key], order,
-                             scan_bucket(events, [key], ts, bucket_seconds),
+    # stops first among equal times; the hash only lets equal times be split
+    order = [F.col(ts), F.lit(1) - stop, F.xxhash64(*events.columns)]
+    rows = with_buckets(events.withColumn("__stop", stop), [key], order, bucket_seconds)
+    scanned = segmented_scan(rows, [key], order, BUCKET,
                              sums={"__seg": F.col("__stop").cast("long")},
                              lasts={"__last_stop": F.when(F.col("__stop") == 1, F.col(ts))},
                              inclusive=True,

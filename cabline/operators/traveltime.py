@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.functions.geo import direction, direction_bucket, distance
-from cabline.operators.scan import AUTO, epoch_micros, scan_bucket, segmented_scan
+from cabline.operators.scan import (AUTO, BUCKET, epoch_micros, exact, segmented_scan,
+                                    with_buckets)
 
 # Fixed value: a slope needs at least two points and sum(x*x) >= 10 * Double.MIN_VALUE.
 MIN_POINTS = 2
@@ -56,14 +57,15 @@ def running_predictions(samples: DataFrame,
     """Predict each ride from the rides of its bucket finished before it, then refine.
 
     Only 8 direction buckets exist, so a per-bucket window would use 8 tasks;
-    the bucketed scan splits every direction by time as well.
+    the scan splits every direction into ranges of the order as well.  The sums are of
+    decimals, so a truncated prediction can't depend on where the ranges end.
     """
     x, y = F.col("distance"), F.col("travel_minutes")
-    s = segmented_scan(samples, ["bucket"], [F.col("end_time"), F.col("ride_id")],
-                       scan_bucket(samples, ["bucket"], "end_time", bucket_seconds),
-                       sums={"__n": F.lit(1).cast("long"), "__sxy": x * y, "__sxx": x * x},
-                       inclusive=False)
-    slope = _slope(F.col("__n"), F.col("__sxy"), F.col("__sxx"))
+    order = [F.col("end_time"), F.col("ride_id")]
+    s = segmented_scan(with_buckets(samples, ["bucket"], order, bucket_seconds), ["bucket"], order,
+                       BUCKET, sums={"__n": F.lit(1).cast("long"), "__sxy": exact(x * y),
+                                     "__sxx": exact(x * x)}, inclusive=False)
+    slope = _slope(F.col("__n"), F.col("__sxy").cast("double"), F.col("__sxx").cast("double"))
     pred = F.coalesce((slope * x).try_cast("int"), F.lit(-1))
     return s.withColumn("predicted", pred).withColumnRenamed("__n", "samples_before") \
         .drop("__sxy", "__sxx")

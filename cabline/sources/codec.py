@@ -124,29 +124,53 @@ def _fmt_time(c: Column) -> Column:
     return F.date_format(c, LINE_TIME_FORMAT)
 
 
+def _line(parts: list[Column]) -> Column:
+    """Comma-joined fields; a null is an empty field, so that no later field moves."""
+    return F.concat_ws(",", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+
+
 def ride_line(rides: DataFrame) -> Column:
-    """Text line of a ride in the input layout (END rows write end, start)."""
+    """Text line of a ride in the input layout (END rows write end, start).
+
+    Nulls are empty fields: an empty coordinate reads as 0.0, a line with any other
+    empty field is rejected when read."""
     s = F.col("is_start")
     first = F.when(s, F.col("start_time")).otherwise(F.col("end_time"))
     second = F.when(s, F.col("end_time")).otherwise(F.col("start_time"))
-    parts = [F.col("ride_id").cast("string"), F.when(s, F.lit("START")).otherwise(F.lit("END")),
-             _fmt_time(first), _fmt_time(second)]
-    parts += [F.col(c).cast("string") for c in ["start_lon", "start_lat", "end_lon", "end_lat",
-                                                 "passenger_cnt", "taxi_id", "driver_id"]]
-    return F.concat_ws(",", *parts)
+    tag = F.when(s, F.lit("START")).when(~s, F.lit("END"))
+    return _line([F.col("ride_id"), tag, _fmt_time(first), _fmt_time(second),
+                  *[F.col(c) for c in ["start_lon", "start_lat", "end_lon", "end_lat",
+                                       "passenger_cnt", "taxi_id", "driver_id"]]])
 
 
 def fare_line(fares: DataFrame) -> Column:
-    parts = [F.col("ride_id").cast("string"), F.col("taxi_id").cast("string"),
-             F.col("driver_id").cast("string"), _fmt_time(F.col("start_time")),
-             F.col("payment_type")]
-    parts += [F.col(c).cast("string") for c in ["tip", "tolls", "total_fare"]]
-    return F.concat_ws(",", *parts)
+    """Text line of a fare; nulls as in :func:`ride_line`."""
+    return _line([F.col("ride_id"), F.col("taxi_id"), F.col("driver_id"),
+                  _fmt_time(F.col("start_time")),
+                  *[F.col(c) for c in ["payment_type", "tip", "tolls", "total_fare"]]])
+
+
+# Columns of a ride whose nulls no line can carry (an empty coordinate would read as 0.0).
+RIDE_REQUIRED = ["ride_id", "is_start", "start_time", "end_time", "start_lon", "start_lat",
+                 "end_lon", "end_lat", "passenger_cnt", "taxi_id", "driver_id"]
 
 
-def encode_rides(rides: DataFrame) -> DataFrame:
-    """Message values (binary UTF-8 lines) for a message bus sink."""
-    return rides.select(ride_line(rides).cast("binary").alias("value"))
+def encode_rides(rides: DataFrame, mode: str = "fail"):
+    """Message values (binary UTF-8 lines) for a message bus sink.
+
+    A message has no null: ``mode='fail'`` raises on a ride with a null field,
+    ``mode='quarantine'`` returns ``(messages, rides with a null field)``."""
+    message = ride_line(rides).cast("binary").alias("value")
+    whole = F.lit(True)
+    for c in RIDE_REQUIRED:
+        whole = whole & F.col(c).isNotNull()
+    if mode == "fail":
+        check = F.when(whole, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("Ride with a null field: "), ride_line(rides))).cast("boolean"))
+        return rides.where(check).select(message)
+    if mode == "quarantine":
+        return rides.where(whole).select(message), rides.where(~whole)
+    raise ValueError(f"unknown mode {mode!r}")
 
 
 def decode_rides(messages: DataFrame, value: str = "value", mode: str = "fail"):

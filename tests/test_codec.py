@@ -68,3 +68,31 @@ def test_message_roundtrip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, src.collect()))
     lines = sorted(r.value.decode() for r in codec.encode_rides(src).collect())
     assert lines[0].startswith("7,END,2013-01-01 00:10:00,2013-01-01 00:00:00,-73.9,40.7")
+
+
+def test_nulls_keep_every_field_in_its_place(spark):
+    import datetime as dt
+
+    from cabline.sinks import render
+    t = dt.datetime(2024, 1, 1)
+    schema = ("ride_id long, is_start boolean, start_time timestamp, end_time timestamp, start_lon float, "
+              "start_lat float, end_lon float, end_lat float, passenger_cnt short, taxi_id long, "
+              "driver_id long")
+    whole = (1, True, t, t, 1.5, 2.5, 3.5, 4.5, 1, 7, 8)
+    rows = [whole] + [tuple(None if i == j else v for j, v in enumerate(whole)) for i in range(11)]
+    rides = spark.createDataFrame(rows, schema)
+    lines = [r.value for r in render.rides(rides).collect()]
+    assert all(x.count(",") == 10 for x in lines)
+    assert lines[1].startswith(",START,2024-01-01") and ",,2024" not in lines[1]
+    good, bad = codec.parse_rides(render.rides(rides), mode="quarantine")
+    # an empty coordinate reads as 0.0; any other empty field is a reject
+    assert good.count() == 5 and bad.count() == 7
+    messages, left = codec.encode_rides(rides, mode="quarantine")
+    assert [tuple(r) for r in codec.decode_rides(messages).collect()] == [whole]
+    assert left.count() == 11
+    with pytest.raises(Exception, match="null field"):
+        codec.encode_rides(rides).collect()
+    fares = spark.createDataFrame([(1, None, 3, t, None, 1.0, None, 2.0)],
+                                  "ride_id long, taxi_id long, driver_id long, start_time timestamp, "
+                                  "payment_type string, tip float, tolls float, total_fare float")
+    assert render.fares(fares).first().value == "1,,3,2024-01-01 00:00:00,,1.0,,2.0"

@@ -1,5 +1,9 @@
 """Golden tests of the jobs on hand-made rows (FIXTURES.md §2-3)."""
 
+import datetime as dt
+
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from cabline.operators import asof, enrich, rides as R, segments, tips, traveltime
@@ -319,3 +323,28 @@ def test_distance_to_point_uses_the_ride_end_of_its_kind(spark):
                    geo.distance(*p, "elon", "elat").alias("to_end")).collect()
     assert got[0].d == got[0].to_start and got[1].d == got[1].to_end
     assert got[0].d != got[1].d
+
+
+def test_rows_without_id_or_time(spark):
+    """A ride without an id is not lost and comes out unmatched; events without a time belong
+    to no segment."""
+    t = dt.datetime(2024, 1, 1)
+    cols = ("ride_id long, is_start boolean, start_time timestamp, end_time timestamp, start_lon float, "
+            "start_lat float, end_lon float, end_lat float, passenger_cnt short, taxi_id long, driver_id long")
+    r = spark.createDataFrame([(None, True, t, t, -73.9, 40.7, -73.9, 40.7, 1, 1, 1),
+                               (1000, True, t, t, -73.9, 40.7, -73.9, 40.7, 1, 1, 1),
+                               (1, True, t, t, -73.9, 40.7, -73.9, 40.7, 1, 1, 1),
+                               (2, False, t, t, -73.9, 40.7, -73.9, 40.7, 1, 1, 1)], cols)
+    f = spark.createDataFrame([(1, 1, 1, t, "CSH", 1.0, 0.0, 2.0)],
+                              "ride_id long, taxi_id long, driver_id long, start_time timestamp, "
+                              "payment_type string, tip float, tolls float, total_fare float")
+    started = R.start_events_with_loss(r, 1000)
+    assert sorted(str(x.ride_id) for x in started.collect()) == ["1", "None"]
+    pairs = enrich.match_with_expiry(started, f)
+    assert [x.ride_id for x in enrich.unmatched_rides(pairs).collect()] == [None]
+    events = spark.createDataFrame(
+        [(1, t, 5.0, 1.0), (1, t + dt.timedelta(seconds=5), 6.0, 3.0), (1, None, 50.0, 90.0),
+         (1, None, 0.0, 0.0)], "car_id long, ts timestamp, speed double, throttle double")
+    for out in (segments.gap_segments(events), segments.stopped_segments(events)):
+        (one,) = out.collect()
+        assert (one.start_time, one.length, one.max_speed, one.erraticness) == (t, 2, 6, 1.0)

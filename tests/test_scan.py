@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cabline.operators.scan import (PROBE_SECONDS, auto_bucket_seconds, densest_bucket_rows,
+from cabline.operators.scan import (BUCKET, PROBE_SECONDS, auto_bucket_seconds,
+                                    densest_bucket_rows, exact, ranked_buckets,
                                     segmented_scan, time_bucket)
 from cabline.sources import fixtures as fx
 from tests.conftest import SF_CHECK
@@ -86,3 +87,77 @@ def test_order_key_gives_the_same_result_with_a_hash_summary(spark, hot):
     assert "SortAggregate" not in plan
     diff = a.select("event_id", "last_view").exceptAll(b.select("event_id", "last_view"))
     assert diff.count() == 0 and b.count() == hot.count()
+
+
+def _two_seconds(spark, n=300_000):
+    """One key with all its rows in two seconds, half of them at one instant."""
+    at = F.when(F.col("id") % 2 == 0, F.lit(1_700_000_000.0)).otherwise(
+        1_700_000_000.0 + (F.col("id") % 2000) / 1000.0)
+    return spark.range(n).select("id", F.lit(7).cast("long").alias("k"),
+                                 F.timestamp_micros((at * 1_000_000).cast("long")).alias("ts"),
+                                 ((F.col("id") * 7919) % 1000 / 7.0).alias("v"))
+
+
+def test_ties_of_one_instant_are_split(spark):
+    df, order = _two_seconds(spark), [F.col("ts"), F.col("id")]
+    sizes = [r["count"] for r in ranked_buckets(df, ["k"], order, range_rows=2000)
+             .groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 300_000 and len(sizes) > 80
+    assert max(sizes) < 2000 * 12
+    one = ranked_buckets(df.where("id % 2 = 0"), ["k"], order, range_rows=2000)
+    assert one.select(BUCKET).distinct().count() > 40
+
+
+def test_ranges_follow_the_order(spark):
+    df, order = _two_seconds(spark, 20_000), [F.col("ts"), F.col("id")]
+    b = ranked_buckets(df, ["k"], order, range_rows=100)
+    w = Window.partitionBy("k").orderBy(*order)
+    before = b.withColumn("prev", F.lag(BUCKET).over(w))
+    assert before.where(F.col("prev") > F.col(BUCKET)).count() == 0
+    got = segmented_scan(b, ["k"], order, BUCKET, sums={"n": F.lit(1).cast("long")})
+    assert got.join(df.withColumn("want", F.row_number().over(w)), "id").where(
+        "n <> want").count() == 0
+
+
+def test_building_a_scan_runs_no_job(spark):
+    from cabline.plans.queries import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-scan", "build only")
+    try:
+        for name in ["ride_event_order", "trades_asof_customers", "stopped_segments",
+                     "travel_time_predictions"]:
+            QUERIES[name](spark, SF_CHECK)
+        # reading a Parquet file's schema is the only job of a build
+        built = len(tracker.getJobIdsForGroup("lazy-scan"))
+        spark.sparkContext.setJobGroup("lazy-scan-read", "schemas only")
+        for _ in range(4):
+            fx.load_events(spark, SF_CHECK)
+        assert built <= len(tracker.getJobIdsForGroup("lazy-scan-read"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_exact_sums_do_not_depend_on_the_split(spark):
+    df, order = _two_seconds(spark, 20_000), [F.col("ts"), F.col("id")]
+    v = F.col("v") * F.lit(0.1) + F.lit(1e-7)
+
+    def sums(bucketed):
+        out = segmented_scan(bucketed, ["k"], order, BUCKET, sums={"s": exact(v)}, inclusive=False)
+        return sorted((r.id, r.s) for r in out.select("id", F.col("s").cast("double")).collect())
+
+    whole = sums(df.withColumn(BUCKET, F.lit(0).cast("long")))
+    for rows in (1, 37, 4000):
+        assert sums(ranked_buckets(df, ["k"], order, range_rows=rows)) == whole
+
+
+def test_ranges_with_null_keys_and_instants(spark):
+    rows = [(i, None if i % 3 == 0 else i % 2, None if i % 5 == 0 else i % 7) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k long, s long").select(
+        "id", "k", F.timestamp_seconds("s").alias("ts"))
+    order = [F.col("ts"), F.col("id")]
+    w = Window.partitionBy("k").orderBy(*order)
+    want = {r.id: r.n for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    for n in (1, 10, 10**6):
+        got = segmented_scan(ranked_buckets(df, ["k"], order, range_rows=n), ["k"], order, BUCKET,
+                             sums={"n": F.lit(1).cast("long")})
+        assert {r.id: r.n for r in got.collect()} == want
