@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.operators import enrich, rides as R, segments, tips
-from cabline.streaming import processors
+from cabline.operators import enrich, rides as R, segments, tips, traveltime
+from cabline.operators.scan import exact
+from cabline.streaming import ordered, processors
 from cabline.streaming.sources import (CAR_EVENT_DELAY, HOURLY_TIPS_DELAY, RIDE_CLEANSING_DELAY,
                                        RIDES_AND_FARES_DELAY, with_watermark)
 
@@ -134,23 +135,122 @@ def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds
         timeMode="EventTime").unionByName(lone)
 
 
+def _micros(col: str):
+    return F.unix_micros(F.col(col).cast("timestamp")).alias("t_us")
+
+
 def trades_asof_customers(trades: DataFrame, customers: DataFrame, key: str = "customer_id",
-                          delay: str = "0 seconds") -> DataFrame:
-    """As-of enrichment: a trade waits for the watermark to pass its time, then gets
-    the latest customer record at or before it (pending trades released by timer)."""
-    t = with_watermark(trades.select(F.col(key).alias("customer_id"), F.lit(1).alias("side"), "ts",
-                                     F.col("trade_info").alias("info")), "ts", delay)
-    c = with_watermark(customers.select(F.col(key).alias("customer_id"), F.lit(0).alias("side"),
-                                        "ts", F.col("customer_info").alias("info")), "ts", delay)
-    return t.unionByName(c).groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=processors.AsofProcessor(),
-        outputStructType=processors.ASOF_OUTPUT, outputMode="Append", timeMode="EventTime")
+                          delay: str = "0 seconds",
+                          bucket_seconds: float = ordered.BUCKET_SECONDS) -> DataFrame:
+    """As-of enrichment: a trade waits for the watermark to pass its time bucket, then gets
+    the latest customer record at or before it.
+
+    As in the batch job, records without an id or a time match nothing, and a trade without
+    a time has no customer; it doesn't wait."""
+    t = trades.select(F.col(key).cast("long").alias("customer_id"), F.lit(1).alias("side"), "ts",
+                      F.col("trade_info").alias("info"))
+    c = customers.select(F.col(key).cast("long").alias("customer_id"), F.lit(0).alias("side"), "ts",
+                         F.col("customer_info").alias("info")).where(F.col(key).isNotNull())
+    t, c = (with_watermark(x, "ts", delay) for x in (t, c))
+    u = t.unionByName(c).where(F.col("ts").isNotNull()).withColumn("t_us", _micros("ts"))
+    none = F.lit(None)
+    lone = t.where(F.col("ts").isNull()).select(
+        "customer_id", F.col("ts").alias("trade_ts"), F.col("info").alias("trade_info"),
+        none.cast("timestamp").alias("customer_ts"), none.cast("string").alias("customer_info"))
+    return u.groupBy("customer_id").transformWithStateInPandas(
+        statefulProcessor=ordered.AsofProcessor(bucket_seconds),
+        outputStructType=ordered.ASOF_OUTPUT, outputMode="Append",
+        timeMode="EventTime").unionByName(lone)
+
+
+def ride_sequence(rides: DataFrame, delay: str = RIDE_CLEANSING_DELAY, key: str = "driver_id",
+                  bucket_seconds: float = ordered.BUCKET_SECONDS) -> DataFrame:
+    """Position of each ride record in its driver's ride order, as the batch ``ride_sequence``:
+    rows wait until the watermark has passed their bucket.  Rows without an event time have
+    no place in a stream's order and are left out."""
+    r = with_watermark(R.with_event_time(rides), "event_time", delay)
+    r = r.where(F.col("event_time").isNotNull()).select(
+        F.col(key).cast("long").alias("driver_id"), "ride_id", "event_time", _micros("event_time"),
+        F.when(F.col("is_start"), 0).otherwise(1).alias("end"))
+    return r.groupBy("driver_id").transformWithStateInPandas(
+        statefulProcessor=ordered.RideOrderProcessor(bucket_seconds),
+        outputStructType=ordered.RIDE_ORDER_OUTPUT, outputMode="Append", timeMode="EventTime")
+
+
+def interval_micros(interval: str) -> int:
+    """``'15 seconds'``, ``'6 hours'`` ... as microseconds."""
+    units = {"millisecond": 1000, "second": 10 ** 6, "minute": 60 * 10 ** 6,
+             "hour": 3600 * 10 ** 6, "day": 86400 * 10 ** 6}
+    try:
+        number, unit = interval.split()
+        return int(number) * units[unit.rstrip("s")]
+    except (KeyError, ValueError):
+        raise ValueError(f"not a '<number> <unit>' interval: {interval!r}") from None
+
+
+def _segment_rows(out: DataFrame, key: str) -> DataFrame:
+    return segments.with_label(out.withColumnRenamed("key", key))
 
 
 def gap_segments(car_events: DataFrame, gap: str = "15 seconds", key: str = "car_id",
                  delay: str = CAR_EVENT_DELAY) -> DataFrame:
-    """Session windows per vehicle; a segment is emitted when the watermark closes it."""
+    """Gap segments per vehicle; a segment is emitted when the watermark closes it.
+
+    Events are first combined per (vehicle, gap-wide window), in part before the shuffle, so
+    a vehicle with a third of all events sends one row per task and window; then each
+    vehicle's partials are merged in a state that holds its open segment alone."""
+    micros = interval_micros(gap)
     e = with_watermark(car_events, "ts", delay)
-    out = e.groupBy(F.col(key), F.session_window("ts", gap).alias("session")) \
-        .agg(*segments.segment_stats("ts", "speed", "throttle"))
-    return segments.with_label(out.select(key, "start_time", "length", "max_speed", "erraticness"))
+    x = F.col("throttle").cast("double")
+    parts = e.groupBy(F.col(key).alias("key"), F.window("ts", gap).alias("window")).agg(
+        F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"),
+        F.count(F.lit(1)).alias("rows"), F.max("speed").cast("double").alias("speed"),
+        F.count(x).alias("n"), F.avg(x).alias("mean"),
+        (F.var_pop(x) * F.count(x)).alias("dev"))
+    parts = parts.withColumn("closed", F.window_time("window")).drop("window")
+    out = parts.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=ordered.GapSegmentProcessor(micros),
+        outputStructType=ordered.segment_output(car_events.schema[key].dataType),
+        outputMode="Append", timeMode="EventTime")
+    return _segment_rows(out, key)
+
+
+def stopped_segments(car_events: DataFrame, key: str = "car_id", delay: str = CAR_EVENT_DELAY,
+                     bucket_seconds: float = ordered.BUCKET_SECONDS) -> DataFrame:
+    """Segments between stops, emitted when the stop that ends them is released.  Disorder
+    within ``delay`` is put right; the segment after a vehicle's last stop stays open (the
+    batch job, which knows the end of its input, returns it too)."""
+    e = with_watermark(car_events, "ts", delay).where(F.col("ts").isNotNull())
+    stop = F.coalesce(F.col("speed") == F.lit(0.0), F.lit(False))
+    rows = e.select(F.col(key).alias("key"), "ts", _micros("ts"),
+                    F.when(stop, 0).otherwise(1).alias("moving"),
+                    F.col("speed").cast("double").alias("speed"),
+                    F.col("throttle").cast("double").alias("throttle"))
+    out = rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=ordered.StoppedSegmentProcessor(bucket_seconds),
+        outputStructType=ordered.segment_output(car_events.schema[key].dataType),
+        outputMode="Append", timeMode="EventTime")
+    return _segment_rows(out, key)
+
+
+def running_predictions(samples: DataFrame, delay: str = RIDES_AND_FARES_DELAY,
+                        bucket_seconds: float = ordered.BUCKET_SECONDS) -> DataFrame:
+    """Predict each finished ride from its direction's rides that finished before it, then
+    learn from it: the batch ``running_predictions`` over a stream of travel samples.
+
+    The order of a direction is inherently sequential, so its rows pass one task; rows of a
+    direction wait in buckets and only three numbers per direction stay."""
+    s = with_watermark(samples, "end_time", delay).where(F.col("end_time").isNotNull())
+    x, y = F.col("distance"), F.col("travel_minutes")
+
+    def whole(v):           # a decimal of 18 places as a whole number
+        units = F.lit(ordered.UNIT).cast("decimal(19,0)")
+        return (exact(v) * units).cast("decimal(38,0)").cast("string")
+
+    rows = s.select(F.col("bucket").cast("int").alias("bucket"), "ride_id", "end_time",
+                    _micros("end_time"), "distance", whole(x * y).alias("xy"),
+                    whole(x * x).alias("xx"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=ordered.PredictionProcessor(traveltime.MIN_POINTS,
+                                                      traveltime.MIN_SUM_XX, bucket_seconds),
+        outputStructType=ordered.PREDICTION_OUTPUT, outputMode="Append", timeMode="EventTime")

@@ -1,14 +1,12 @@
 """Stateful processors for ``transformWithStateInPandas`` (event-time mode).
 
-State per key is one waiting element per side (pairs) or a short list of
-customer records and pending trades (as-of); timers fire when the watermark
-reaches an element's deadline, so state never outlives the watermark.
+State per key is one waiting element per side; timers fire when the watermark
+reaches an element's deadline, so state never outlives the watermark.  Processors that
+need a key's rows in order are in ``ordered.py``.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (FloatType, LongType, StringType, StructField, StructType,
@@ -38,12 +36,6 @@ def _us(ts) -> int:
     return int(pd.Timestamp(ts).value // 1000)
 
 
-def _us_series(ts: pd.Series) -> list[int]:
-    """Epoch microseconds of a timestamp column (naive or UTC-aware, any unit)."""
-    t = pd.to_datetime(ts, utc=True)
-    return ((t - pd.Timestamp(0, tz="UTC")) // pd.Timedelta(1, "us")).tolist()
-
-
 def _ts(us: int | None):
     return None if us is None else pd.Timestamp(int(us) * 1000)
 
@@ -125,91 +117,3 @@ class ExpiringPairProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-ASOF_OUTPUT = StructType([
-    StructField("customer_id", LongType()),
-    StructField("trade_ts", TimestampType()),
-    StructField("trade_info", StringType()),
-    StructField("customer_ts", TimestampType()),
-    StructField("customer_info", StringType()),
-])
-
-_RECORD = StructType([StructField("t_us", LongType()), StructField("info", StringType())])
-OUTPUT_CHUNK_ROWS = 10_000
-
-
-class AsofProcessor(StatefulProcessor):
-    """Latest customer record at or before each trade, per customer id.
-
-    Trades wait in list state until the watermark passes their time (then no
-    earlier customer record can still arrive); customer records older than
-    the newest one at or below the watermark are dropped, so state stays small.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.customers = handle.getListState("customers", _RECORD)
-        self.pending = handle.getListState("pending", _RECORD)
-
-    def handleInputRows(self, key, rows, timerValues):
-        # one Arrow chunk at a time: a hot customer's rows are never all in memory
-        earliest = None
-        for chunk in rows:
-            t_us = _us_series(chunk["ts"])
-            sides, infos = chunk["side"].tolist(), chunk["info"].tolist()
-            custs = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 0]
-            trades = [(t, i) for t, s, i in zip(t_us, sides, infos) if s == 1]
-            if custs:
-                self.customers.appendList(custs)
-            if trades:
-                self.pending.appendList(trades)
-            if t_us:
-                earliest = min(t_us) if earliest is None else min(earliest, min(t_us))
-        # One timer at the earliest new time (re-armed when it fires) releases
-        # trades and prunes superseded customer records once the watermark
-        # passes them -- also for keys that only ever get customer records --
-        # without one timer per distinct instant of a hot key.
-        if earliest is not None:
-            self.handle.registerTimer(_ceil_ms(earliest))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (cid,) = key
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        # every trade the watermark has passed is ready (several timers may fire
-        # in one batch; releasing them all first keeps the pruning below safe)
-        due_us = max(expiredTimerInfo.getExpiryTimeInMs() * 1000, wm_us)
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        custs = sorted(self.customers.get()) if self.customers.exists() else []
-        ready = [p for p in pending if p[0] <= due_us]
-        waiting = [p for p in pending if p[0] > due_us]
-        times = [c[0] for c in custs]
-        out = []
-        for t_us, info in ready:
-            i = bisect_right(times, t_us)      # customers at or before the trade
-            best = custs[i - 1] if i else None
-            out.append({"customer_id": cid, "trade_ts": _ts(t_us), "trade_info": info,
-                        "customer_ts": _ts(best[0]) if best else None,
-                        "customer_info": best[1] if best else None})
-            if len(out) == OUTPUT_CHUNK_ROWS:  # a hot customer's output leaves in pieces
-                yield _frame(out, ASOF_OUTPUT.names)
-                out = []
-        if waiting:
-            self.pending.put(waiting)
-        else:
-            self.pending.clear()
-        older = [c for c in custs if c[0] <= wm_us]
-        keep = older[-1:] + [c for c in custs if c[0] > wm_us]
-        if keep:
-            self.customers.put(keep)
-        else:
-            self.customers.clear()
-        later = [t for t, _ in waiting] + [c[0] for c in keep if c[0] > wm_us]
-        if later:
-            self.handle.registerTimer(_ceil_ms(min(later)))
-        if out:
-            yield _frame(out, ASOF_OUTPUT.names)
-
-    def close(self) -> None:
-        pass

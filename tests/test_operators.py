@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from cabline.operators import asof, enrich, rides as R, segments, tips, traveltime
