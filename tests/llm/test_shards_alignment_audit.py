@@ -124,7 +124,7 @@ def sides():
 @given(st.sets(st.integers(1, 120)), st.sets(st.integers(1, 120)), st.integers(121, 140))
 def test_group_ends_are_the_common_ends(a, b, last):
     a, b = sorted(a | {last}), sorted(b | {last})
-    ends_a, ends_b = alignment.group_ends(a, b)
+    ends_a, ends_b = (x.tolist() for x in alignment.group_ends(np.array(a), np.array(b)))
     common = sorted(set(a) & set(b))
     assert [a[i - 1] for i in ends_a] == common == [b[j - 1] for j in ends_b]
 
@@ -139,29 +139,22 @@ def test_long_one_to_one_stretches_are_skipped():
 
     ends = list(range(3, 300_003, 3))
     a, b = Counted(ends), Counted([1, *ends])
-    ends_a, ends_b = alignment.group_ends(a, b)
-    assert ends_a == list(range(1, 100_001)) and ends_b == list(range(2, 100_002))
+    assert alignment.runs(a, b) == [(0, 100_000, 1)]
     assert Counted.read < 200
 
 
-def test_parts_equal_the_whole_tokenizers(sides, texts):
+def test_fast_and_slow_encodings_agree(sides, texts):
     a, b = sides
+    assert a.fast is not None
     latin = "".join(map(chr, [*range(0xA1, 0xAD), *range(0xAE, 0x180)]))
     rng = random.Random(3)
     signs = " \n\t" + "".join(map(chr, range(0x20, 0x7F))) * 2 + latin + " " * 60
-    odd = ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(1500)]
+    odd = ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(3000)]
     odd += ["<|endoftext|> a</s><s><unk>", "a  b   c\n\n  d ", "it's I'LL don't 's", "x" * 3000,
             "1234 ½²³ ªº", "tail  \t\n", "\n\nlead"]
-    for text in [*odd, *list(texts.values())[:60]]:
-        if not text:
-            continue
-        spaced = " " + text
-        for side in sides:
-            parts = side.split(spaced) if alignment._PLAIN.fullmatch(spaced) else None
-            found = side.encode(spaced, parts)
-            ids = side.whole(spaced)
-            right = b"".join(side.pieces[i] for i in ids) == spaced.encode()
-            assert (found.tolist() == ids) if right else found is None
+    for text in [*odd, *list(texts.values())[:100]]:
+        if text:
+            assert a.encode(" " + text).tolist() == a.slow(" " + text).tolist()
 
 
 def brute_alignment(sides, texts: dict) -> dict:
@@ -169,7 +162,7 @@ def brute_alignment(sides, texts: dict) -> dict:
     out, linked, counts = {}, {}, Counter()
     for doc_id, text in texts.items():
         raw = (" " + (text or "")).encode()
-        ids_a, ids_b = (([], []) if not text else (a.whole(" " + text), b.whole(" " + text)))
+        ids_a, ids_b = (([], []) if not text else (a.slow(" " + text).tolist(), b.encode(" " + text).tolist()))
         by = [b"".join(s.pieces[i] for i in ids) for s, ids in ((a, ids_a), (b, ids_b))]
         if not text or by != [raw, raw]:
             out[doc_id] = (0, 0, 0, 0, "")
