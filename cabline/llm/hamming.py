@@ -16,17 +16,22 @@ is over the threshold at most once in 12,000 (``shape_of``: 23 of 72 lanes at
 Links are wanted up to connectivity, so buckets needn't be expanded into pairs:
 1. every member of a bucket has the bucket's smallest one as its leader (a
    combinable minimum, joined back: a hot bucket is split by the skew join);
-   each document is compared with the leader it shares most buckets with;
+   each document is compared with the leader it shares most buckets with.  Candidates
+   over the signature distance or whose set sizes rule the similarity out are
+   dropped, the others confirmed on the full sets;
 2. the confirmed links are a forest (a leader is smaller), whose roots are found
-   by pointer doubling; then members are compared with those of their other
-   leaders that are in another tree, and in buckets of three or more that hold
-   several trees, members outside the bucket's most frequent tree with every
-   member of another tree, each pair in the first bucket it shares and only
-   under the signature distance.  Afterwards no two members of a bucket under
-   the threshold are untested unless they are connected already;
-3. the links found join the trees to components.
-Candidates over the signature distance or whose set sizes rule the similarity
-out are dropped; the others are confirmed on the full sets.
+   by pointer doubling.  Trees that meet in a bucket, through its leader, form a
+   *cluster*; a cluster of one tree is done;
+3. members outside a cluster's largest tree are compared with ``REPRESENTATIVES`` members
+   of it, which joins nearly all that belong together with a number of comparisons
+   in proportion to the members;
+4. only what is still outside is compared with all members of its cluster: in blocks of
+   bounded size, as products of the blocks' set matrices inside a task.  These
+   tests are exact on the full sets, in particular for all pairs under the signature
+   distance.  Pairs are never rows: a task returns the trees it found linked.
+Step 4 takes (members outside) x (members) products: for a large family whose members
+are all similar but under the threshold there is no cheaper proof; its tasks are small.
+The links found join the trees to components.
 
 Cases: null or empty texts have empty sets, are linked with nothing and are
 kept; a text of fewer words is one shingle; rows of a null doc_id have no
@@ -46,15 +51,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, release, setting, word_hashes
+from cabline.llm._common import cut, id_and_text, mix64, release, word_hashes
 from cabline.llm.graph import components, joined, roots
 
 SHINGLE = 5
 PERCENT = 80            # of five-word shingles; op8's contract has 85
 ERRORS = 1
 MISS = 1 / 12_000       # of the pairs that are just similar enough, at most
-MAX_LANES, MAX_KEYS = 6, 80     # of a chunk, which is packed in two longs; a representative's
+MAX_LANES, MAX_KEYS = 6, 80     # of a chunk; of a representative
 _ONE_PASS = 2048        # shingles whose minima are computed at once
+REPRESENTATIVES = 8
+#: of a block of step 4: members outside the largest tree, members, shingles of either
+BLOCK_OUT, BLOCK_ALL, BLOCK_SHINGLES = 256, 1024, 400_000
+_COLUMNS = 1 << 14      # shingles of a matrix at once
 
 
 class Shape(NamedTuple):
@@ -172,78 +181,6 @@ def _bucket_rows(reps: DataFrame, shape: Shape) -> DataFrame:
     return reps.select("id", "signature").mapInArrow(rows, "key long, id long")
 
 
-def _words_of(members: DataFrame, shape: Shape) -> DataFrame:
-    """``members(key, id, signature, ...)`` with the signature as longs of three lanes
-    (``s``, two a chunk; lanes that the shape doesn't have are 0), and the place of the key: its chunk (the longs ``own``) and the
-    lane left out."""
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lanes = np.frombuffer(b"".join(b.column("signature").to_pylist()), "<u2")
-            lanes = lanes.reshape(-1, *shape)
-            place = (bucket_keys(lanes, shape) == b.column("key").to_numpy()[:, None]).argmax(1)
-            three = np.zeros((len(lanes), shape.chunks, MAX_LANES), np.int64)
-            three[:, :, :shape.lanes] = lanes
-            three = three.reshape(len(lanes), -1, 3)
-            packed = three[:, :, 0] | three[:, :, 1] << 16 | three[:, :, 2] << 32
-            width = packed.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("key", "id", "part", "main")),
-                 pa.array(place // shape.lanes, pa.int32()),
-                 pa.array(place % shape.lanes, pa.int32()),
-                 *(pa.array(packed[np.arange(len(place)), place // shape.lanes * 2 + i])
-                   for i in (0, 1)),
-                 *(pa.array(packed[:, i]) for i in range(width))],
-                ["key", "id", "part", "main", "chunk", "left_out", "own0", "own1",
-                 *(f"s{i}" for i in range(width))])
-
-    longs = ", ".join(f"s{i} long" for i in range(2 * shape.chunks))
-    return members.select("key", "id", "signature", "part", "main").mapInArrow(
-        words, f"key long, id long, part long, main long, chunk int, left_out int, "
-               f"own0 long, own1 long, {longs}")
-
-
-def _differing(i: int):
-    """Lanes of chunk ``i`` that differ between ``s*`` and ``x_s*`` (bit arithmetic)."""
-    low, high = F.lit(0x7FFF7FFF7FFF), F.lit(0x800080008000)
-
-    def of(n: int):
-        x = F.col(f"s{n}").bitwiseXOR(F.col(f"x_s{n}"))
-        return F.bit_count(((x.bitwiseAND(low) + low).bitwiseOR(x)).bitwiseAND(high))
-
-    return of(2 * i) + of(2 * i + 1)
-
-
-def _untested(buckets: DataFrame, part: DataFrame, reps: DataFrame, shape: Shape) -> DataFrame:
-    """Pairs (a, b) under the signature distance that share a bucket of three or more and
-    aren't connected, each once; pairs with a bucket's leader are among them."""
-    members = (buckets.where("size > 2").join(part, "id", "left")
-               .select("key", "id", F.coalesce("component", "id").alias("part")))
-    by_part = members.groupBy("key", "part").count()
-    mixed = (by_part.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"),
-                                        F.count("*").alias("parts")).where("parts > 1"))
-    members = members.join(mixed.select("key", "main"), "key").join(
-        reps.select("id", "signature"), "id")
-    members = cut(_words_of(members, shape), "mixed-buckets")
-    x = members.where("part <> main")
-    x = x.select("key", *[F.col(c).alias(f"x_{c}") for c in x.columns
-                          if c not in ("key", "main", "chunk", "left_out")])
-    chunks = [_differing(i) for i in range(shape.chunks)]
-    # the first key that a pair shares: an equal chunk is met under all its lanes, and any
-    # earlier chunk with few errors too; cheap tests come first, most pairs end there
-    first = ((F.col("left_out") == 0) | (F.col("own0") != F.col("x_own0"))
-             | (F.col("own1") != F.col("x_own1")))
-    for i in range(shape.chunks - 1):
-        first = first & ((F.col("chunk") <= i) | (chunks[i] > ERRORS))
-    # a pair of two members outside the main component meets both ways round
-    once = (F.col("part") == F.col("main")) | (F.col("id") < F.col("x_id"))
-    return (members.join(x, "key")
-            .where((F.col("part") != F.col("x_part")) & once & first
-                   & (sum(chunks[1:], chunks[0]) <= shape.distance))
-            .select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")))
-
-
 def _close(pairs: DataFrame, reps: DataFrame, percent: int, shape: Shape) -> DataFrame:
     """The ``pairs(a, b)`` under the signature distance whose set sizes allow a link."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +198,8 @@ def _close(pairs: DataFrame, reps: DataFrame, percent: int, shape: Shape) -> Dat
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(near, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The ``pairs(a, b)`` of doc_ids whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct()
-
+def _sets(ids: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(id, found): the full sets of the documents ``ids(id)``."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
@@ -274,9 +208,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) ->
                 ["id", "found"])
 
     # ids grow with the documents: one plan at every size
-    of = docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "id long, found binary")
-    of = cut(of, "shingle-sets")
+    ids = ids.withColumnRenamed("id", "doc_id").hint("merge")
+    of = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "id long, found binary")
+    return cut(of, "shingle-sets")
+
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` of ids whose full sets are similar enough."""
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -286,11 +224,114 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) ->
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return (pairs.join(of.select(F.col("id").alias("a"), F.col("found").alias("set_a")), "a")
-            .join(of.select(F.col("id").alias("b"), F.col("found").alias("set_b")), "b")
+    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("found").alias("set_a")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("found").alias("set_b")), "b")
             .select("a", "b", "set_a", "set_b").mapInArrow(linked, "a long, b long"))
 
 
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """(len(x), len(y)) sizes of the intersections of sorted sets, exactly (below 2 ** 24)."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    shared = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)),
+                            assume_unique=True)
+    for i in range(0, len(shared), _COLUMNS):
+        columns = shared[i:i + _COLUMNS]
+        sides = []
+        for side in (x, y):
+            m = np.zeros((len(side), len(columns)), np.float32)
+            for row, found in zip(m, side):
+                part = found[np.searchsorted(found, columns[0]):
+                             np.searchsorted(found, columns[-1], "right")]
+                at = np.searchsorted(columns, part)
+                row[at[columns[at] == part]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _dealt(out: DataFrame, every: DataFrame) -> DataFrame:
+    """(cluster, id, tree, outside, i, j): block ``i`` of the members outside meets block ``j`` of
+    all members; a row goes to as many tasks as the other side has blocks."""
+    def blocks(side: DataFrame, name: str, rows: int) -> DataFrame:
+        need = F.greatest(F.ceil(F.count("*") / rows), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        return side.groupBy("cluster").agg(need.cast("int").alias(name))
+
+    size = blocks(out, "rows", BLOCK_OUT).join(blocks(every, "columns", BLOCK_ALL), "cluster")
+    counts = {"i": "rows", "j": "columns"}
+
+    def side(members: DataFrame, own: str, other: str, outside: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(counts[own])).cast("int").alias(own)
+        return members.join(size, "cluster").select(
+            "cluster", "id", "tree", F.lit(outside).alias("outside"), block,
+            F.explode(F.sequence(F.lit(0), F.col(counts[other]) - 1)).alias(other))
+
+    return side(out, "i", "j", True).unionByName(side(every, "j", "i", False))
+
+
+def _block_links(out: DataFrame, every: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of trees that a member of ``out`` and one of ``every`` link, both
+    ``(cluster, id, tree, n)``; all pairs of one cluster are tested."""
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        outside = table["outside"].to_numpy()
+        tree = table["tree"].to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in table["found"].to_pylist()]
+        x, y = np.flatnonzero(outside), np.flatnonzero(~outside)
+        links = np.zeros((0, 2), np.int64)
+        if len(x) and len(y):
+            n = np.array([len(s) for s in found])
+            both = common_counts([found[i] for i in x], [found[i] for i in y])
+            either = n[x][:, None] + n[y][None, :] - both
+            i, j = np.nonzero((100 * both >= percent * either)
+                              & (tree[x][:, None] != tree[y][None, :]))
+            pairs = np.sort(np.stack([tree[x[i]], tree[y[j]]], 1), 1)
+            links = np.unique(pairs, axis=0) if len(pairs) else links
+        yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+    return (_dealt(out, every).join(sets, "id").groupBy("cluster", "i", "j")
+            .applyInArrow(test, "a long, b long").distinct())
+
+
+def _joined_clusters(star: DataFrame, part: DataFrame, reps: DataFrame, sets: DataFrame,
+                     percent: int) -> DataFrame:
+    """``part(id, component)`` after steps 3 and 4."""
+    a, b = (part.select(F.col("id").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
+    meeting = cut(star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+                  .join(a, "a", "left").join(b, "b", "left")
+                  .select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
+                  .where("a <> b").distinct(), "meeting-trees")
+    cluster = components(meeting).select(F.col("id").alias("tree"), F.col("component").alias("cluster"))
+    ids = star.select("id").unionByName(star.select(F.col("leader").alias("id"))).distinct()
+    members = cut(ids.join(part, "id", "left").withColumn("tree", F.coalesce("component", "id"))
+                  .join(cluster, "tree").join(reps.select("id", "n"), "id")
+                  .select("cluster", "id", "tree", "n"), "cluster-members")
+
+    def outside(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(members outside their cluster's largest tree, (cluster, main))."""
+        trees = members.groupBy("cluster", "tree").count()
+        main = trees.groupBy("cluster").agg(
+            F.max_by("tree", F.struct("count", "tree")).alias("main"), F.count("*").alias("trees"))
+        main = main.where("trees > 1").select("cluster", "main")
+        return members.join(main, "cluster").where("tree <> main").drop("main"), main
+
+    out, main = outside(members)
+    of_main = members.join(main, "cluster").where("tree = main")
+    chosen = of_main.groupBy("cluster", "tree").agg(*[
+        F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"r{k}") for k in range(REPRESENTATIVES)])
+    chosen = (chosen.select("cluster", "tree", F.explode(F.array_distinct(F.array(*[
+        f"r{k}" for k in range(REPRESENTATIVES)]))).alias("id"))
+        .join(reps.select("id", "n"), "id").select("cluster", "id", "tree", "n"))
+    found = cut(_block_links(out, chosen, sets, percent), "links-of-representatives")
+    joined_trees = components(found)
+    top = joined_trees.select(F.col("id").alias("tree"), F.col("component").alias("top"))
+    members = cut(members.join(top, "tree", "left").select(
+        "cluster", "id", F.coalesce("top", "tree").alias("tree"), "n"), "cluster-members")
+    part = joined(part, joined_trees)
+    out, main = outside(members)
+    every = members.join(main.select("cluster"), "cluster")
+    return joined(part, components(cut(_block_links(out, every, sets, percent), "links-of-blocks")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept.
@@ -305,36 +346,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
                .where("id is not null"), "representatives")
 
     rows = _bucket_rows(reps, shape)
-    least = (rows.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("size"))
-             .where("size > 1"))
-    buckets = cut(rows.join(least, "key"), "buckets")
+    least = (rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+             .where("last > leader").select("key", "leader"))
+    star = cut(rows.join(least, "key").where("id <> leader").groupBy("leader", "id").count(),
+               "stars")
     release(docs.sparkSession)
-    star = cut(buckets.where("id <> leader").groupBy("leader", "id").count(), "stars")
     best = star.groupBy("id").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        near = cut(_close(pairs, reps, percent, shape), "pairs")
-        out = cut(_confirmed(near, docs, percent, shingle), "links")
-        release(docs.sparkSession)
-        return out
-
+    near = cut(_close(best.select("a", F.col("id").alias("b")), reps, percent, shape), "pairs")
+    ids = star.select("id").unionByName(star.select(F.col("leader").alias("id"))).distinct()
+    sets = _sets(ids, docs, shingle)
+    release(docs.sparkSession)
     # each links to one smaller id at most: a forest, whose roots are its components
-    part = roots(confirmed(best.select("a", F.col("id").alias("b")))
-                 .select(F.col("b").alias("id"), F.col("a").alias("component")))
-    a, b = (part.select(F.col("id").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
-    rest = (star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
-            .unionByName(_untested(buckets, part, reps, shape))
-            .join(best.select("a", F.col("id").alias("b")), ["a", "b"], "left_anti")
-            .join(a, "a", "left").join(b, "b", "left")
-            .where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
-            .groupBy("a", "b").agg(F.first(F.coalesce("part_a", "a")).alias("root_a"),
-                                   F.first(F.coalesce("part_b", "b")).alias("root_b")))
-    # the pairs' test is longer than the JVM compiles as one method: not fused with the join
-    with setting(docs.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
-        rest = cut(rest, "untested")
-    more = confirmed(rest.select("a", "b")).join(rest, ["a", "b"])
-    part = joined(part, components(more.select(F.col("root_a").alias("a"),
-                                               F.col("root_b").alias("b"))))
+    links = cut(_confirmed(near, sets, percent), "links")
+    part = roots(links.select(F.col("b").alias("id"), F.col("a").alias("component")))
+    part = _joined_clusters(star, part, reps, sets, percent)
+    release(docs.sparkSession)
 
     of_set = reps.join(part, "id", "left").select(
         "set_hash", F.coalesce("component", "id").alias("component_id"))

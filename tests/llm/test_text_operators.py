@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from cabline.llm import bwt_dedup, decontam, hamming, lbl, quality, queries
@@ -276,6 +277,82 @@ def test_near_duplicates_odd_and_empty(odd, none):
     assert hamming.near_duplicates(none).count() == 0
 
 
+def family(n: int, edits, seed: int = 5) -> list[str]:
+    """Texts that change ``edits(rng)`` words of one text of 200 words."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(200)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.choice(200, int(edits(rng)), replace=False):
+            words[at] = f"x{k}y{at}"
+        out.append(" ".join(words))
+    return out
+
+
+def brute_components(texts: list[str], percent: int) -> list[int]:
+    sets = [set(hamming.shingle_set(t.encode()).tolist()) for t in texts]
+    at = list(range(len(texts)))
+
+    def root(i):
+        while at[i] != i:
+            at[i] = at[at[i]]
+            i = at[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(x & sets[j])
+            if 100 * both >= percent * (len(x) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                at[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_families_around_the_threshold_match_brute_force(spark, percent):
+    texts = family(250, lambda rng: rng.integers(1, 7)) + family(150, lambda rng: 4, seed=6)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in hamming.near_duplicates(df, percent).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_components(texts, percent)
+
+
+def test_a_family_under_the_threshold_makes_rows_in_proportion(spark):
+    """2,000 texts of similarity 0.80 to 0.84: the rows dealt to blocks grow with the members
+    (times the blocks of the other side, thousands of members each), not with their pairs."""
+    n = 2000
+    texts = family(n, lambda rng: 2)
+    sets = [hamming.shingle_set(t.encode()) for t in texts]
+    size = np.array([len(x) for x in sets])
+    both = hamming.common_counts(sets, sets)
+    either = size[:, None] + size[None, :] - both
+    assert 0.80 < np.median(both / either) < 0.84
+    rows = [(0, i, i, int(size[i])) for i in range(n)]
+    members = spark.createDataFrame(rows, "cluster long, id long, tree long, n long")
+    assert hamming._dealt(members.where("id > 0"), members).count() < 12 * n
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for percent in (80, 85):
+        linked = 100 * both >= percent * either
+        label = np.arange(n)
+        while True:
+            least = np.where(linked, label[None, :], n).min(1)
+            if (least == label).all():
+                break
+            label = least
+        found = {r.doc_id: r.component_id for r in hamming.near_duplicates(df, percent).collect()}
+        assert [found[i] for i in range(n)] == label.tolist()
+
+
+def test_common_counts_are_exact():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60_000, int(rng.integers(0, 40_000))).astype(np.uint64))
+            for _ in range(12)]
+    found = hamming.common_counts(sets[:5], sets[5:])
+    for i in range(5):
+        for j in range(7):
+            assert found[i, j] == len(np.intersect1d(sets[i], sets[5 + j]))
+
+
 def test_components_by_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 202), (50, 50)]
     got = {r.id: r.component for r in
