@@ -21,6 +21,7 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cabline import sinks
 from cabline.operators import enrich, rides as R, tips
@@ -44,35 +45,43 @@ def _need(args, *names):
             raise SystemExit(f"{args.job} needs --{n}")
 
 
-def _batch_outputs(spark, args) -> dict[str, DataFrame]:
-    """Named text outputs (one ``value`` column each) of a batch run."""
+def _batch_output(spark, args) -> DataFrame:
+    """The text output (one ``value`` column) of a batch run."""
     if args.job == "ride-cleansing":
-        return {"": render.rides(R.cleanse(files.read_rides(spark, args.rides)))}
+        return render.rides(R.cleanse(files.read_rides(spark, args.rides)))
     if args.job == "hourly-tips":
         f = files.read_fares(spark, args.fares)
-        best = tips.label_with_window_end(tips.hourly_max(tips.hourly_tips(f)))
-        return {"": tips.render_tuple(best)}
+        return tips.render_tuple(tips.label_with_window_end(tips.hourly_max(tips.hourly_tips(f))))
     r, f = files.read_rides(spark, args.rides), files.read_fares(spark, args.fares)
-    if args.job == "rides-and-fares":
-        return {"": render.ride_fare_pairs(enrich.rides_with_fares(r, f, keep_fare_ids=True))}
-    pairs = enrich.match_with_expiry(R.start_events_with_loss(r, LOSS_MODULUS), f,
-                                     max_wait_seconds=args.max_wait)
-    return {OUTPUT_FOLDERS[enrich.MATCHED]: render.ride_fare_pairs(enrich.matched(pairs)),
-            OUTPUT_FOLDERS[enrich.UNMATCHED_RIDE]: render.rides(enrich.unmatched_rides(pairs)),
-            OUTPUT_FOLDERS[enrich.UNMATCHED_FARE]: render.fares(enrich.unmatched_fares(pairs))}
+    return render.ride_fare_pairs(enrich.rides_with_fares(r, f, keep_fare_ids=True))
+
+
+def _expiring_batch(spark, args) -> DataFrame:
+    """(outcome, value): the three outputs of the expiring-state job as one."""
+    r, f = files.read_rides(spark, args.rides), files.read_fares(spark, args.fares)
+    return render.expiring_lines(enrich.match_with_expiry(
+        R.start_events_with_loss(r, LOSS_MODULUS), f, max_wait_seconds=args.max_wait))
 
 
 def _run_batch(spark, args) -> None:
-    for name, df in _batch_outputs(spark, args).items():
+    # printed by the tasks, like a print sink: no row goes through the driver
+    def print_lines(rows):
+        for row in rows:
+            print(f"{row.outcome}> {row.value}" if "outcome" in row else row.value)
+
+    if args.job == "expiring-state":
+        lines = _expiring_batch(spark, args)        # the join runs once for all outputs
         if args.save:
-            sinks.write_text(df, os.path.join(args.save, name) if name else args.save,
-                             mode="overwrite")
+            sinks.write_outcomes(lines, args.save, OUTPUT_FOLDERS)
         else:
-            # printed by the tasks, like a print sink: no row goes through the driver
-            def print_lines(rows, prefix=f"{name}> " if name else ""):
-                for row in rows:
-                    print(prefix + row.value)
-            df.foreachPartition(print_lines)
+            names = F.create_map(*[F.lit(x) for pair in OUTPUT_FOLDERS.items() for x in pair])
+            lines.withColumn("outcome", names[F.col("outcome")]).foreachPartition(print_lines)
+        return
+    lines = _batch_output(spark, args)
+    if args.save:
+        sinks.write_text(lines, args.save, mode="overwrite")
+    else:
+        lines.foreachPartition(print_lines)
 
 
 def _stream(spark, args) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabline.operators.points import line_protocol
-
-# Fixed value: the measurement sink's default database name.
-DEFAULT_DATABASE = "sineWave"
+from cabline.sinks.measurement import BATCH_POINTS, DEFAULT_DATABASE, MeasurementSource
 
 
 def write_text(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -52,15 +50,79 @@ def route_outcomes(writers: dict[str, Callable[[DataFrame, int], None]],
     return _route
 
 
+def write_outcomes(lines: DataFrame, path: str, folders: dict[str, str],
+                   column: str = "outcome") -> None:
+    """Batch form of :func:`route_outcomes`, in one pass: ``lines(outcome, value)`` are written
+    once, partitioned by outcome, and each partition becomes its folder below ``path``.
+
+    An older folder is replaced; an outcome without rows gets an empty folder."""
+    spark = lines.sparkSession
+    staged = f"{path.rstrip('/')}/_outcomes"
+    lines.select(column, "value").write.mode("overwrite").partitionBy(column).text(staged)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(staged).getFileSystem(conf)
+
+    def at(*parts: str):
+        return jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *parts]))
+
+    for outcome, folder in folders.items():
+        fs.delete(at(folder), True)
+        written = at("_outcomes", f"{column}={outcome}")
+        if fs.exists(written):
+            fs.rename(written, at(folder))
+        else:
+            fs.mkdirs(at(folder))
+    fs.delete(at("_outcomes"), True)
+
+
+def _point_lines(points: DataFrame, measurement: str, field: str, mode: str):
+    """(lines, rejects or None) of the measurement sinks."""
+    found = line_protocol(points, measurement, field=field, mode=mode)
+    lines, rejects = found if mode == "quarantine" else (found, None)
+    return lines.select("line"), rejects
+
+
 def write_points(points: DataFrame, base_path: str, measurement: str,
-                 db: str = DEFAULT_DATABASE, field: str = "value", mode: str = "append") -> None:
-    """Measurement lines into ``<base_path>/<db>/`` (one directory per database)."""
-    lines = line_protocol(points, measurement, field=field)
-    lines.select("line").write.mode(mode).text(f"{base_path.rstrip('/')}/{db}")
+                 db: str = DEFAULT_DATABASE, field: str = "value", mode: str = "append",
+                 invalid: str = "fail") -> DataFrame | None:
+    """Measurement lines into ``<base_path>/<db>/`` (one directory per database).
+
+    ``invalid='quarantine'`` writes the valid points and returns the others."""
+    lines, rejects = _point_lines(points, measurement, field, invalid)
+    lines.write.mode(mode).text(f"{base_path.rstrip('/')}/{db}")
+    return rejects
 
 
 def points_stream(points: DataFrame, base_path: str, measurement: str, checkpoint: str,
-                  db: str = DEFAULT_DATABASE, field: str = "value", trigger: dict | None = None):
-    """Streaming form of :func:`write_points`, exactly-once like :func:`text_stream`."""
-    lines = line_protocol(points, measurement, field=field).select("line")
-    return text_stream(lines, f"{base_path.rstrip('/')}/{db}", checkpoint, trigger)
+                  db: str = DEFAULT_DATABASE, field: str = "value", trigger: dict | None = None,
+                  invalid: str = "fail"):
+    """Streaming form of :func:`write_points`, exactly-once like :func:`text_stream`;
+    ``invalid='quarantine'`` returns ``(query, stream of rejects)``, the latter for a sink of
+    its own."""
+    lines, rejects = _point_lines(points, measurement, field, invalid)
+    query = text_stream(lines, f"{base_path.rstrip('/')}/{db}", checkpoint, trigger)
+    return query if rejects is None else (query, rejects)
+
+
+def commit_points(points: DataFrame, base_path: str, measurement: str,
+                  db: str = DEFAULT_DATABASE, field: str = "value", mode: str = "append",
+                  batch: int = BATCH_POINTS, invalid: str = "fail") -> DataFrame | None:
+    """As :func:`write_points`, through the committed measurement source: objects of at most
+    ``batch`` lines, none of them visible before the whole job has committed."""
+    points.sparkSession.dataSource.register(MeasurementSource)
+    lines, rejects = _point_lines(points, measurement, field, invalid)
+    (lines.write.format(MeasurementSource.name()).option("path", base_path).option("db", db)
+     .option("batch", batch).mode(mode).save())
+    return rejects
+
+
+def commit_points_stream(points: DataFrame, base_path: str, measurement: str, checkpoint: str,
+                         db: str = DEFAULT_DATABASE, field: str = "value",
+                         trigger: dict | None = None, batch: int = BATCH_POINTS):
+    """Streaming form of :func:`commit_points`; a replayed micro-batch replaces its objects."""
+    points.sparkSession.dataSource.register(MeasurementSource)
+    lines, _ = _point_lines(points, measurement, field, "fail")
+    w = (lines.writeStream.format(MeasurementSource.name()).option("path", base_path)
+         .option("db", db).option("batch", batch).option("checkpointLocation", checkpoint)
+         .outputMode("append"))
+    return (w.trigger(**trigger) if trigger else w).start()

@@ -73,6 +73,15 @@ def rides_with_fares(rides: DataFrame, fares: DataFrame, delay: str = RIDES_AND_
                     "tip", "tolls", "total_fare")
 
 
+def rides_with_fares_expiring(rides: DataFrame, fares: DataFrame, max_gap_seconds: int,
+                              delay: str = RIDES_AND_FARES_DELAY) -> DataFrame:
+    """:func:`rides_with_fares` with state that expires: a ride or fare whose partner isn't within
+    ``max_gap_seconds`` leaves the state once the watermark rules the partner out, and comes
+    out unmatched instead of being lost.  Columns as :func:`expiring_pairs_join`."""
+    return expiring_pairs_join(R.start_events(rides), fares, max_gap_seconds, delay,
+                               loss_modulus=None)
+
+
 def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
                         delay: str = "0 seconds", loss_modulus: int | None = 1000,
                         dedupe: str = "first") -> DataFrame:
