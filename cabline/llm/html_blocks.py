@@ -8,16 +8,18 @@ text, place).  A bidirectional LSTM in numpy reads the whole sequence both ways
 and labels every block with the context of the whole document; blocks labelled
 as main text are joined in page order.
 
-The labeller is trained on a bounded sample of pages (``train_pages``, chosen by
-a hash of page_id).  Labels come from the page's own markup (a teacher rule:
+The labeller is trained on a bounded sample: ``train_pages`` pages, chosen by a hash of
+page_id, and of each at most ``TRAIN_BLOCKS`` blocks, from both ends.  Their hashes are
+chosen first, so only the pages themselves reach the driver.  Labels come from the page's own markup (a teacher rule:
 inside an article or main element or one named so, and not inside anything
 named as navigation, notice, advert, form or comments), and every page is also
 shown in other layouts: its blocks are put into varied markup, with and without
 semantic elements, so that the network can't lean on one template.
 
 Cases: a null or empty page gives an empty text; unclosed, crossed or unknown
-tags are tolerated; an unclosed script, style or comment hides the rest; pages
-that repeat are extracted alike; an empty table gives no rows.
+tags are tolerated; an unclosed script, style or comment hides the rest, any other hidden
+element only up to its end, if it has one; of a deeper path the innermost 256 steps
+count; pages that repeat are extracted alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,17 +38,18 @@ from pyspark.sql import functions as F
 from cabline.llm._common import per_process, shared
 
 TRAIN_PAGES = 300
-TRAIN_BLOCKS = 60           # blocks of a training page, from its middle out
+TRAIN_BLOCKS = 60           # of a training page: half from its start, half from its end
 PATH_BUCKETS, WORD_BUCKETS, FIGURES = 64, 32, 6
 HIDDEN, EPOCHS, RATE, BATCH = 16, 4, 0.02, 16
 MAX_CELLS = 1 << 14         # blocks of a batch of pages, when labelling
 
 # Elements by their role, and names of parts.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd "
-                   "label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt "
-                   "u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins "
+                   "kbd label mark nobr picture q rp rt ruby s samp small source span strike strong "
+                   "sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_PARTS = "script|style|noscript|template|title|textarea|select|svg|iframe|object"
+HIDDEN_PARTS = frozenset("script style noscript template title textarea select svg iframe "
+                         "object".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option thead tbody".split())
 CONTENT_NAMES = re.compile(r"(?<![a-z])(article|main|content|post|entry|story|body-text)(?![a-z])")
 OTHER_TAGS = frozenset("nav header footer aside form button fieldset menu dialog".split())
@@ -54,10 +58,15 @@ OTHER_NAMES = re.compile(r"(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comment
                          r"popup|promo|related|respond|search|share|sharing|sidebar|social|sponsor\w*"
                          r"|subscribe|tags|toolbar|widget)(?![a-z])")
 
+#: of the hidden elements, those that hide the rest of a page that doesn't close them
+UNENDING = frozenset("script style".split())
+#: the innermost steps of a block's path that are kept
+PATH_STEPS = 256
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-                  rf"|<({HIDDEN_PARTS})\b[^>]*>.*?(?:</\1\s*>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)
+                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in HIDDEN_PARTS}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -72,31 +81,45 @@ def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order; a path step is ``tag name name ...``."""
     page = page or ""
     open_: list[str] = []           # tags
+    times: Counter = Counter()      # of each tag among them
     steps: list[str] = []
     blocks: list[Block] = []
     text: list[str] = []
     linked, in_link = 0, False
+    never_closed: set[str] = set()  # hidden elements without an end from here on
 
     def close_block() -> None:
         nonlocal text, linked
         words = html.unescape("".join(text)).split()
         if words:
-            blocks.append(Block(tuple(steps), " ".join(words), linked))
+            blocks.append(Block(tuple(steps[-PATH_STEPS:]), " ".join(words), linked))
         text, linked = [], 0
 
+    def close_element() -> str:
+        steps.pop()
+        times[open_[-1]] -= 1
+        return open_.pop()
+
     at = 0
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         if m.start() > at:
             part = page[at:m.start()]
             text.append(part)
             linked += len(part) if in_link else 0
         at = m.end()
-        tag = m[3] or m[6]
+        tag = m[2] or m[5]
         if not tag:
-            if m[1]:
-                text.append(" ")
             continue
-        tag, closing = tag.lower(), bool(m[2] or m[5])
+        tag, closing, attributes = tag.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        if tag in HIDDEN_PARTS and not closing:
+            if tag == "svg" and attributes.endswith("/"):       # empty
+                continue
+            end = None if tag in never_closed else _CLOSING[tag].search(page, at)
+            if end or tag in UNENDING:
+                at = end.end() if end else len(page)
+                text.append(" ")
+                continue
+            never_closed.add(tag)
         if tag in INLINE:
             if tag == "a":
                 in_link = not closing
@@ -105,16 +128,15 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
-            if tag in open_:
-                while open_.pop() != tag:
-                    steps.pop()
-                steps.pop()
+            if times[tag]:
+                while close_element() != tag:
+                    pass
         else:
             if tag in CLOSED_BY_SAME and open_ and open_[-1] == tag:
-                open_.pop()
-                steps.pop()
-            names = " ".join(x for found in _NAMES.findall(m[4] or m[7] or "") for x in found if x)
+                close_element()
+            names = " ".join(x for found in _NAMES.findall(attributes) for x in found if x)
             open_.append(tag)
+            times[tag] += 1
             steps.append(f"{tag} {names.lower()}".strip())
         in_link = False
     text.append(page[at:])
@@ -364,6 +386,18 @@ def train_labeller(pages: list[str], layouts: int = 4, seed: int = 1) -> Labelle
     return model
 
 
+def _sample(pages: DataFrame, n: int) -> list[str]:
+    """The html of ``n`` pages, equal rows once, in the order of their hashes."""
+    hashed = pages.where("length(html) > 0").withColumns(
+        {"h": F.xxhash64("page_id"), "g": F.xxhash64("html")})
+    chosen = hashed.select("h", "g").distinct().orderBy("h", "g").limit(n).collect()
+    keys = [(r["h"], r["g"]) for r in chosen]
+    found = hashed.where(F.col("h").isin([h for h, _ in keys]) & F.col("g").isin([g for _, g in keys]))
+    html_of = {(r["h"], r["g"]): r["html"] for r in
+               found.groupBy("h", "g").agg(F.first("html").alias("html")).collect()}
+    return [html_of[k] for k in keys]
+
+
 def extract_main_text(pages: DataFrame, train_pages: int = TRAIN_PAGES, id_col: str = "page_id",
                       url_col: str = "url", html_col: str = "html",
                       model: Labeller | None = None) -> DataFrame:
@@ -372,9 +406,7 @@ def extract_main_text(pages: DataFrame, train_pages: int = TRAIN_PAGES, id_col:
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("html"))
     if model is None:
-        sample = (pages.where("length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id")
-                  .select("html").limit(train_pages).collect())      # bounded by train_pages
-        model = train_labeller([r["html"] for r in sample])
+        model = train_labeller(_sample(pages, train_pages))
     sent = shared(spark, model)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,15 +1,17 @@
 """PII: keyed, type-consistent surrogates for detected entities, in DataFrame functions only.
 
-Entities: e-mail and IP addresses, phone, card and social-security numbers,
-IBANs, access keys, assigned secrets (password, token, ..., of any length, up to
-white space or a quote) and names after a title or a known given name.  Every entity has a canonical form (lower-cased
+Entities: e-mail, IPv4 and IPv6 addresses, phone, card (also 4-6-5) and social-security
+numbers, IBANs, access keys, assigned secrets (password, token, ..., also under a quoted
+key, of any length, up to white space or a quote) and names: up to four words after a
+title, two after a known given name.  Not found: names with neither (``Wei Zhang``), bare
+surnames, addresses, phone numbers without separators, secrets that nothing assigns.  Every entity has a canonical form (lower-cased
 address, digits of a number, the name without its title); its surrogate is a
 function of key, type, canonical form and an attempt number, so all mentions in
 all documents, in any notation, get the same one (coreference).
 
 Type and format stay: digits become digits, letters letters of their case,
 separators stay; numbers that pass the Luhn check still do; IPs lie in
-240.0.0.0/4 and e-mail domains end in .example, which nobody holds; given names
+240.0.0.0/4 (IPv6: fd00::/8) and e-mail domains end in .example, which nobody holds; given names
 come from the list of the same gender and script, surnames are built of
 syllables of the script, with the feminine ending where the script has one;
 titles stay.
@@ -17,9 +19,10 @@ titles stay.
 Collision check, over all distinct entities of the input: a surrogate that two
 entities share (the smaller canonical form keeps it), or that is itself an
 entity of the input, is drawn again with the next attempt; attempts of
-free-form types are one sign longer each, so that the rounds end.  Entities
-that needed another attempt go to the texts by a join; as a rule there are
-none, and replacing then shuffles nothing.
+free-form types are one sign longer each, and those of fixed formats thin out from round to
+round, so that the rounds end unless a type has more entities than its format has
+values (an error).  Entities that needed another attempt go to the texts by a join on the
+texts' hashes; as a rule there are none, and replacing then shuffles nothing.
 
 Cases: a null text stays null, one without entities is returned as it is; a
 null id and repeated rows are handled alike; an empty table gives no rows;
@@ -33,8 +36,8 @@ from pyspark.sql import functions as F
 
 from cabline.llm._common import cut
 
-MAX_ATTEMPTS = 16
-#: overrides up to this many are broadcast; beyond it the texts are joined by id
+MAX_ATTEMPTS = 64
+#: overrides up to this many are broadcast; beyond it they are joined
 BROADCAST_OVERRIDES = 10_000
 
 # Given names and syllables by script, titles by gender.
@@ -56,36 +59,43 @@ NAMES = {
 }
 TITLES = {"male": ("Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor"),
           "female": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora"),
-          "cyrillic male": ("господин",), "cyrillic female": ("госпожа",)}
+          "cyrillic male": ("господин",), "cyrillic female": ("госпожа",),
+          # of either gender: the given name decides
+          "any": ("Dr", "Prof", "Professor", "Doctor", "Doktor", "Docteur")}
 SYLLABLES = {"latin": ("bar", "cor", "dan", "fer", "gal", "hen", "jor", "kel", "lan", "mar", "nor",
                        "pel", "ros", "sil", "tam", "ver"),
              "cyrillic": ("бар", "кор", "дан", "фер", "гал", "лен", "зор", "кел", "лан", "мар",
                           "нор", "пел", "рос", "сил", "там", "вер")}
 
 _DIGIT_WORDS = {
-    "card": r"(?<![\d+])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?!\d)",
+    "card": r"(?<![\d+])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?!\d)"
+            r"|(?<![\d+])3\d{3}([ -]?)\d{6}\1\d{5}(?!\d)",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+             r"|(?<![\d-])(?<!\d )\d{3} \d{3} \d{4}(?![\d-])(?! \d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
 }
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 _NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
 _ALL_TITLES = "|".join(t for titles in TITLES.values() for t in titles)
 _GIVEN = "|".join(n for names in NAMES.values() for n in names)
 PATTERNS = {
-    "secret": r"(?=[pPtTsSaA])(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}"
-              r"[\"']?[^\s\"']{6,}+",
+    "secret": r"(?=[pPtTsSaA])(?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?"
+              r"\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}+",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}"
              r"[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
             r"(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]{{0,39}}\d)(?:(?:{_HEX}:){{7}}{_HEX}"
+            rf"|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![0-9A-Za-z:])",
     "card": _DIGIT_WORDS["card"].replace(r"([ -]?)", "[ -]?").replace(r"\1", "[ -]?"),
     "ssn": _DIGIT_WORDS["ssn"],
     "phone": _DIGIT_WORDS["phone"],
-    "person": rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:(?:{_ALL_TITLES})\.? (?:{_NAME} )?{_NAME}"
-              rf"|(?:{_GIVEN}) {_NAME})(?!\p{{L}})",
+    "person": rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:(?:{_ALL_TITLES})\.? (?:{_NAME} ){{0,3}}{_NAME}"
+              rf"|(?:{_GIVEN})(?: {_NAME}){{1,2}})(?!\p{{L}})",
 }
 ANY = "|".join(PATTERNS.values())
 _SIGNED = "|".join(p for k, p in PATTERNS.items() if k != "person")
@@ -125,7 +135,8 @@ def entity_type(mention: Column) -> Column:
 
 def _prefix(kind: Column, mention: Column) -> Column:
     """What stands before the entity inside the mention: a secret's name, a title."""
-    secret = r"^((?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
+    secret = (r"^((?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?"
+              r"\s{0,3}[=:]\s{0,3}[\"']?)")
     return (F.when(kind == "secret", F.regexp_extract(mention, secret, 1))
             .when(kind == "person", F.regexp_extract(mention, rf"^((?:{_ALL_TITLES})\.? )", 1))
             .otherwise(F.lit("")))
@@ -133,7 +144,7 @@ def _prefix(kind: Column, mention: Column) -> Column:
 
 def canonical(kind: Column, mention: Column, prefix: Column) -> Column:
     body = F.substr(mention, F.length(prefix) + 1)
-    return (F.when(kind == "email", F.lower(body))
+    return (F.when(kind.isin("email", "ipv6"), F.lower(body))
             .when(kind.isin("phone", "card", "ssn"), _digits(body))
             .when(kind == "iban", F.replace(body, F.lit(" "), F.lit("")))
             .otherwise(body))
@@ -149,12 +160,12 @@ def _shaped(value: Column, digest: Column) -> Column:
 
         part = F.sha2(F.concat(s["d"], (i / 20).cast("int").cast("string")), 256)
         return _let(part, lambda part: F.when(c.rlike("[0-9]"), turned("0123456789", part))
-                    .when(s["h"], turned("abcdef", part))
+                    .when(s["h"] & c.rlike("[a-f]"), turned("abcdef", part))
                     .when(c.rlike("[a-z]"), turned(_LOWER, part))
                     .when(c.rlike("[A-Z]"), turned(_UPPER, part)).otherwise(c))
 
     bound = F.struct(value.alias("v"), digest.alias("d"),
-                     value.rlike("^(?=.*[0-9])[0-9a-f]{8,}$").alias("h"))
+                     value.rlike("^(?=.*[0-9])[0-9a-f]{8,}$|^[0-9a-f:]*:[0-9a-f:]*$").alias("h"))
     return _let(bound, lambda s: F.array_join(F.transform(
         F.split(s["v"], ""), lambda c, i: sign(s, c, i)), ""))
 
@@ -211,7 +222,8 @@ def _listed_given(given: Column, surname: Column, title: Column, digest) -> Colu
     for k in ("female", "male", "cyrillic female", "cyrillic male"):
         fits = given.isin(*NAMES[k])
         group = F.when(fits, F.lit(k)) if group is None else group.when(fits, F.lit(k))
-    for k, titles in TITLES.items():
+    for k in ("male", "female", "cyrillic male", "cyrillic female"):
+        titles = TITLES[k]
         group = group.when(F.replace(title, F.lit("."), F.lit("")).isin(*titles), F.lit(k))
     group = (group.when(surname.rlike(r"^\p{IsCyrillic}.*[ая]$"), F.lit("cyrillic female"))
              .when(surname.rlike(r"^\p{IsCyrillic}"), F.lit("cyrillic male"))
@@ -224,13 +236,16 @@ def _listed_given(given: Column, surname: Column, title: Column, digest) -> Colu
 
 
 def _person(body: Column, title: Column, digest, attempt: Column) -> Column:
-    """``[given ]surname``: the surname is built of syllables, the given name listed."""
+    """``[given [middle ]]surname``: the given name is listed, the others built of syllables."""
     def named(parts: Column) -> Column:
         surname = F.element_at(parts, -1)
-        new = _built_surname(surname, attempt, digest)
+        first = F.when(F.size(parts) > 1, 2).otherwise(1)
+        built = F.transform(F.slice(parts, first, F.size(parts)),
+                            lambda name: _built_surname(name, attempt, digest))
+        built = F.array_join(built, " ")
         return F.when(F.size(parts) > 1, F.concat(
-            _listed_given(F.element_at(parts, 1), surname, title, digest), F.lit(" "), new)
-        ).otherwise(new)
+            _listed_given(F.element_at(parts, 1), surname, title, digest), F.lit(" "), built)
+        ).otherwise(built)
 
     return _let(F.split(body, " "), named)
 
@@ -254,7 +269,12 @@ def surrogate(kind: Column, canon: Column, title: Column, attempt: Column, key:
         head = F.when(kind == "iban", 2).otherwise(4)
         ip = F.concat_ws(".", (240 + _draw(seed, F.lit(0), 15)).cast("string"),
                          *[_draw(seed, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
+        # a first group of four digits starts with fd: addresses for local use
+        ipv6 = _let(_shaped(canon, seed), lambda new: F.when(
+            canon.rlike("^[0-9a-f]{4}:"), F.concat(F.lit("fd"), F.substr(new, F.lit(3))))
+            .otherwise(new))
         return (F.when(kind == "email", email(seed, longer)).when(kind == "ip", ip)
+                .when(kind == "ipv6", ipv6)
                 .when(kind.isin("phone", "card", "ssn"), _number(kind, canon, seed))
                 .when(kind.isin("iban", "key"), F.concat(
                     F.substr(canon, F.lit(1), head), _shaped(F.substr(canon, head + 1), seed)))
@@ -330,7 +350,7 @@ def resolve(entities: DataFrame, key: str) -> DataFrame | None:
     raise RuntimeError("surrogates still collide: a type's format has too few values")
 
 
-def replace_pii(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
+def replace_pii(df: DataFrame, key: str, text_col: str = "text",
                 count_col: str | None = None) -> DataFrame:
     """``df`` with surrogates in ``text_col``; ``count_col``: adds the number of mentions."""
     text = F.col(text_col)
@@ -360,13 +380,15 @@ def replace_pii(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     else:
         few = overrides.count() <= BROADCAST_OVERRIDES
         hold = F.broadcast if few else (lambda x: x)
-        of_doc = (df.select(F.col(id_col).alias("__id"), F.explode(marks).alias("mention"))
-                  .distinct().withColumn("e", _entity(F.col("mention")))
-                  .select("__id", F.col("e.kind").alias("kind"), F.col("e.canon").alias("canon"))
-                  .join(hold(overrides), ["kind", "canon"])
-                  .groupBy("__id").agg(F.map_from_entries(F.collect_set(F.struct(
-                      F.concat_ws("|", "kind", "canon"), "attempt"))).alias("__attempts")))
-        df = df.join(of_doc, df[id_col].eqNullSafe(of_doc["__id"]), "left")
+        # equal texts have equal mentions: keyed by the text, whatever its id
+        df = df.withColumns({"__h": F.xxhash64(text), "__g": F.hash(text)})
+        of_text = (df.where(F.size(marks) > 0).select("__h", "__g", F.explode(marks).alias("mention"))
+                   .distinct().withColumn("e", _entity(F.col("mention")))
+                   .select("__h", "__g", F.col("e.kind").alias("kind"), F.col("e.canon").alias("canon"))
+                   .join(hold(overrides), ["kind", "canon"])
+                   .groupBy("__h", "__g").agg(F.map_from_entries(F.collect_set(F.struct(
+                       F.concat_ws("|", "kind", "canon"), "attempt"))).alias("__attempts")))
+        df = df.join(of_text, ["__h", "__g"], "left")
         out = df.withColumn(text_col, replaced(lambda kind, canon: F.coalesce(
             F.try_element_at(F.col("__attempts"), F.concat_ws("|", kind, canon)), F.lit(0))))
     counted = [F.size(marks).cast("long").alias(count_col)] if count_col else []

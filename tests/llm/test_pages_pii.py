@@ -57,6 +57,26 @@ def test_blocks_of_broken_markup():
     assert texts("a<!-- open <p>b") == ["a"]
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<p>one</p><title-bar><p>two</p><p>three</p>", ["one", "two", "three"]),
+    ("<p>one</p><object-view>two</object-view><p>three", ["one", "two", "three"]),
+    ("<p>a<select-box>b", ["a", "b"]),
+    ("<p>one</p><svg/><p>two</p><svg a='x' /><p>three", ["one", "two", "three"]),
+    ("<p>one</p><svg><p>no</p></svg><p>two<SCRIPT>if (a<b && '</p>') {}</script> still</p>",
+     ["one", "two still"]),
+    ("<p>one <input> two <picture><source><img></picture> three</p>", ["one two three"]),
+    ("<select><p>not closed</p>", ["not closed"]), ("<p>a</p><script>b", ["a"])])
+def test_hidden_elements_go_by_their_exact_name(page, texts):
+    assert [b.text for b in html_blocks.blocks_of(page)] == texts
+
+
+def test_deep_and_unclosed_pages_are_read_in_linear_time():
+    for page in ("<div>x" * 50_000, "<select>x" * 50_000, "<div>" * 50_000 + "x" + "</div>" * 50_000):
+        blocks = html_blocks.blocks_of(page)
+        assert all(len(b.path) <= html_blocks.PATH_STEPS for b in blocks)
+    assert len(html_blocks.blocks_of("<div>x" * 50_000)) == 50_000
+
+
 def test_gradients_match_differences():
     import numpy as np
     net = html_blocks.Labeller(hidden=3)
@@ -157,6 +177,51 @@ def test_planted_entities_are_gone_and_distinct(spark, small):
     assert pairs and len(set(pairs.values())) == len(pairs)
 
 
+def test_further_notations_are_found(spark):
+    texts = ['{"password": "hunter22xx"} and "api_key" : \'k3y-k3y-k3y\'',
+             "hosts 2001:db8:0:0:1:0:0:1, fe80::1ff:fe23:4567:890a and 2001:DB8::A1; std::vector a::b 10:30:45",
+             "card 3782 822463 10005 or 378282246310005", "call 555 123 4567 now",
+             "Dr. Jane Goodall, Prof Noether", "John Fitzgerald Kennedy spoke",
+             "again fe80::1ff:fe23:4567:890a"]
+    out = replaced(spark, texts)
+    for gone in ("hunter22xx", "k3y-k3y", "2001:db8:0", "4567:890a", "2001:DB8::A1", "822463",
+                 "555 123 4567", "Goodall", "Noether", "Fitzgerald", "Kennedy"):
+        assert not any(gone in x for x in out), gone
+    assert re.fullmatch(r"""\{"password": "[a-z]{6}\d\d[a-z]{2}"\} and "api_key" : '[a-z]\d[a-z]-.*'""",
+                        out[0])
+    six = r"[0-9a-f]{1,4}"
+    m = re.fullmatch(rf"hosts (fd(?:..:){six}(?::{six}){{6}}), (fd..::{six}(?::{six}){{3}}) and "
+                     rf"(fd..:{six}::{six}); std::vector a::b 10:30:45", out[1])
+    assert m and out[6] == "again " + m[2]
+    assert re.fullmatch(r"card 3\d{3} \d{6} \d{5} or 3\d{14}", out[2])
+    a, b = re.findall(r"3[\d ]+\d", out[2])
+    assert a.replace(" ", "") == b
+    assert re.fullmatch(r"call 55\d \d{3} \d{4} now", out[3])
+    assert re.fullmatch(r"Dr\. \p{L}+ \w+, Prof \w+".replace(r"\p{L}", r"\w"), out[4])
+    assert re.fullmatch(r"\w+ \w+ \w+ spoke", out[5])
+
+
+def test_overrides_reach_rows_without_an_id(spark, monkeypatch):
+    """Entities that need another attempt are replaced by the text they stand in: thousands of rows
+    without an id don't share one list of them."""
+    real = surrogates.surrogate
+
+    def narrow(kind, canon, title, attempt, key):
+        return F.when(attempt == 0, F.lit("s@same.example")).otherwise(
+            real(kind, canon, title, attempt, key))
+
+    monkeypatch.setattr(surrogates, "surrogate", narrow)
+    monkeypatch.setattr(surrogates, "BROADCAST_OVERRIDES", 3)
+    rows = [(None, f"mail user{i % 40}x@host.org end") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = surrogates.replace_pii(df, KEY)
+    assert out.count() == 2000
+    found = out.groupBy("text").count().collect()
+    assert len(found) == 40 and {r["count"] for r in found} == {50}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "eqNullSafe" not in plan and "<=>" not in plan
+
+
 def test_long_secrets_are_whole_and_distinct(spark):
     """Secrets of several thousand signs that differ only after sign 512."""
     stem = "ey" + "Ab3dE_" * 700
