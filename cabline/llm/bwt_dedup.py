@@ -8,7 +8,8 @@ anchor form a segment.  Equal windows have equal anchors at equal places, so
 they lie in segments of one key (the anchor's hash), aligned at the anchor.
 
 A key that occurs once can't hold a repeat and is dropped by a combinable count.
-Equal segments of a key are one string with a multiplicity.  The other keys'
+Equal texts are one text from there on, with as many copies, and equal segments of a key
+one string with a multiplicity.  The other keys'
 strings are dealt to tasks by key and read in key order from Spark's sorted
 shuffle files, a bounded batch of whole groups at a time.  For a batch the
 construction goes over the aligned columns from the last to the first and
@@ -26,9 +27,9 @@ strings (a passage in very many surroundings) is split by the 128-bit hash of
 each window, under which only equal windows meet.
 
 Cases: a null text is empty; texts under ``length`` bytes lose nothing; matches
-never cross documents; repeated rows repeat each other; a null or repeated
-doc_id is ordinary, as rows are told apart by 80 bits of hashes of id and text;
-an empty table gives no rows.
+never cross documents; repeated rows repeat each other, at a cost in proportion to
+their number; a null or repeated doc_id is ordinary, as spans belong to texts (80 bits of
+hashes), whatever their ids; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ ANCHOR = 32             # bytes, a power of two
 PIECE = 1 << 20         # windows of a text that are hashed at once
 MAX_GROUP = 50_000
 BATCH_STRINGS = 16_384
+SALTS = 16              # parts of a key, where rows meet the keys that occur twice
 
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
 
@@ -252,14 +254,20 @@ def _split_groups(strings: DataFrame, length: int) -> DataFrame:
 
 
 def _strings(docs: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
-    """The ``distinct`` segments with their bytes, read from one of their texts; a text
-    whose row is repeated gives them as often."""
+    """The ``distinct`` segments with their bytes, read from one of their texts.  Copies of a
+    text follow each other after the join: the first gives them (in another plan some of
+    them more than once, which the sorted reading skips)."""
     wanted = distinct.groupBy("row", "more").agg(F.collect_list(F.struct(
         "key", "content", "many", "first", "windows", "before")).alias("of"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for b in batches:
-            for of, text in zip(b.column("of"), b.column("text").to_pylist()):
+            for row, more, of, text in zip(b.column("row").to_pylist(), b.column("more").to_pylist(),
+                                           b.column("of"), b.column("text").to_pylist()):
+                if (row, more) == last:
+                    continue
+                last = row, more
                 part = pa.RecordBatch.from_struct_array(of.values)
                 spans = zip(part.column("first").to_pylist(), part.column("windows").to_pylist())
                 strings = [text[i:i + n + length - 1] for i, n in spans]
@@ -268,7 +276,7 @@ def _strings(docs: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
                      pa.array(strings, pa.binary())],
                     ["key", "content", "many", "before", "string"])
 
-    return docs.join(wanted, ["row", "more"]).select("text", "of").mapInArrow(
+    return docs.join(wanted, ["row", "more"]).select("row", "more", "text", "of").mapInArrow(
         _gathered(extract), "key long, content long, many boolean, before int, string binary")
 
 
@@ -277,12 +285,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
     [from, to, ...] of covered bytes, neither ordered nor merged."""
     spark = docs.sparkSession
     every = cut(_segment_rows(docs, length), "segments")
-    several = every.groupBy("key").count().where("count > 1").select("key")
-    rows = cut(every.join(several, "key"), "shared-segments")
+    several = every.groupBy("key").count().where("count > 1").select(
+        "key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    # a passage in a third of the texts is one key: its rows are dealt by text as well
+    rows = every.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(
+        several, ["key", "salt"])
+    rows = cut(rows.groupBy("key", "content", "row", "place").agg(F.count("*").alias("copies")),
+               "shared-segments")
     discard(every)
     release(spark)
     distinct = (rows.groupBy("key", "content")
-                .agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("at")))
+                .agg(F.sum("copies").alias("n"), F.min(F.struct("row", "place")).alias("at")))
     group = distinct.groupBy("key").agg(F.count("*").alias("strings"))
     distinct = (distinct.join(group, "key")
                 .select("key", "content", (F.col("n") > 1).alias("many"), "at.row",
@@ -322,10 +335,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_G
                    digest: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and ``kept`` (the remaining
     bytes) or, with ``digest``, ``kept_sha256``."""
-    # a row is known by 80 bits of two hashes of its id and text: ids may be null or repeat
+    # a text is known by 80 bits of two hashes: ids may be null or repeat
     docs = id_and_text(docs, id_col, text_col).withColumns({
-        "row": F.xxhash64("doc_id", "text"),
-        "more": F.hash("text", "doc_id").bitwiseAND(0xFFFF)})
+        "row": F.xxhash64("text"), "more": F.hash("text").bitwiseAND(0xFFFF)})
     spans = repeated_spans(docs, length, max_group)
     last, kind = ("kept_sha256", "string") if digest else ("kept", "binary")
 

@@ -389,6 +389,19 @@ def test_repeated_passage_query(spark, texts):
     assert sorted(got, key=str) == repeats(texts.items())
 
 
+def test_thousands_of_equal_rows_without_an_id(spark):
+    """Copies of a text, with and without ids, are one text: whole passages go from each, and a
+    text that shares a passage with them loses it too."""
+    base = " ".join(f"tok{i}" for i in range(300))
+    other = "start of another text " + base[500:900] + " and its own end"
+    rows = [(None, base)] * 3000 + [(i, base) for i in range(200)] + [(9000, other), (None, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    out = bwt_dedup.remove_repeats(df).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, out)) == sorted([
+        (len(base), len(base), 1, 3200), (5, 0, 0, 1),
+        (len(other), 400 + (base[499] == " ") + (base[900] == " "), 1, 1)])
+
+
 @pytest.mark.parametrize("max_group", [bwt_dedup.MAX_GROUP, 2])
 def test_repeated_passages_periodic_shifted_and_repeated_rows(spark, max_group):
     passage = " ".join(f"p{i}" for i in range(90))
