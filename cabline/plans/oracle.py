@@ -285,5 +285,41 @@ WINDOW w AS (PARTITION BY bucket ORDER BY end_time, ride_id
         "SELECT CASE WHEN event_type = 'view' THEN 'Customer(' ELSE 'Trade(' END "
         "|| CAST(epoch_us(ts) // 1000 AS VARCHAR) || ') ' || CAST(event_id AS VARCHAR) AS value "
         "FROM events WHERE event_type IN ('view', 'purchase')")
+    lines = f"""car_lines AS (
+  SELECT event_id AS id, user_id AS car_id, date_trunc('second', ts) AS ts,
+         CASE WHEN event_id % 7 = 0 THEN CAST(0 AS FLOAT) ELSE {_lon('event_id')} END AS longitude,
+         CASE WHEN event_id % 7 = 0 THEN CAST(0 AS FLOAT) ELSE {_lat('user_id')} END AS latitude,
+         CAST(0 AS FLOAT) AS consumption,
+         CASE WHEN event_id % 5 = 0 OR event_type = 'error' THEN CAST(0 AS FLOAT)
+              ELSE CAST(value AS FLOAT) END AS speed,
+         CAST(value AS FLOAT) AS throttle, CAST(0.5 AS FLOAT) AS engineload,
+         event_id % 13 <> 0 AS accepted FROM events)"""
+    columns = ["ts", "longitude", "latitude", "consumption", "speed", "throttle", "engineload"]
+    q["car_event_lines"] = _with(lines) + (
+        "SELECT CAST(id AS VARCHAR) AS id, CASE WHEN accepted THEN CAST(car_id AS VARCHAR) END AS car_id, "
+        + ", ".join(f"CASE WHEN accepted THEN {c} END AS {c}" for c in columns)
+        + ", accepted FROM car_lines")
+    q["car_event_renderings"] = _with(lines) + (
+        "SELECT concat_ws(',', id, epoch_us(ts) // 1000, longitude, latitude, speed, throttle, "
+        "engineload) AS value FROM car_lines WHERE accepted")
+    q["segment_lines"] = (
+        "SELECT concat(epoch_us(start_time) // 1000, ',', length, ' events,', "
+        "coalesce(CAST(max_speed AS VARCHAR), 'null'), ' kph,', coalesce(label, 'null')) AS value "
+        f"FROM ({q['gap_segments']}) s")
+    q["enriched_trade_lines"] = (
+        "SELECT concat('EnrichedTrade(', epoch_us(trade_ts) // 1000, ') ', "
+        f"coalesce(customer_info, 'null')) AS value FROM ({q['trades_asof_customers']}) e")
+    taken = "ride_id % 5 <> 0 AND ride_id % 7 <> 0 AND end_time IS NOT NULL"
+    q["ride_lines"] = base + (
+        f"SELECT ride_id, {taken} AS accepted, CASE WHEN {taken} THEN is_start END AS is_start, "
+        + ", ".join(f"CASE WHEN {taken} THEN date_trunc('second', {c}) END AS {c}"
+                    for c in ("start_time", "end_time"))
+        + f", CASE WHEN {taken} THEN start_lon END AS start_lon, "
+        f"CASE WHEN {taken} THEN end_lat END AS end_lat FROM rides")
+    q["keyed_records"] = (
+        "SELECT CASE WHEN event_type = 'purchase' THEN 'trades' ELSE 'customers' END AS kind, "
+        "user_id AS customer_id, CASE WHEN event_id % 9 <> 0 THEN CAST(event_id AS VARCHAR) END AS info, "
+        "CASE WHEN event_id % 9 <> 0 THEN date_trunc('millisecond', ts) END AS ts "
+        "FROM events WHERE event_type IN ('view', 'purchase')")
     q["point_projections"] = "SELECT ts, upper(event_type) AS key, value * 2 AS value FROM events"
     return q

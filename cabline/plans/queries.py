@@ -15,7 +15,7 @@ from cabline.functions.geo import cells_on_way, direction, distance, distance_to
 from cabline.functions.sql import register_functions
 from cabline.operators import asof, cells, enrich, points, rides, segments, tips, traveltime
 from cabline.sinks import render
-from cabline.sources import codec, fixtures as fx
+from cabline.sources import codec, files, fixtures as fx
 
 ROUND = 6
 CAR_GAP_SECONDS = 6 * 3600
@@ -195,6 +195,68 @@ def q_point_projections(spark, sf_dir):
     return points.with_key_and_value(p, F.upper("key"), F.col("value") * 2)
 
 
+def _car_event_records(spark, sf_dir):
+    return codec.parse_car_events(fx.car_event_lines(_events(spark, sf_dir)), mode="quarantine")
+
+
+def q_car_event_lines(spark, sf_dir):
+    """Car events read from their lines, with both separators, empty floats and rejects."""
+    good, bad = _car_event_records(spark, sf_dir)
+    rejects = bad.select(F.regexp_extract("line", r"^[^,;]*[,;]\s*([^,;]*)", 1).alias("id"))
+    return good.withColumn("ts", F.col("ts").cast("timestamp_ntz")).withColumn(
+        "accepted", F.lit(True)).unionByName(rejects.withColumn("accepted", F.lit(False)),
+                                             allowMissingColumns=True)
+
+
+def q_car_event_renderings(spark, sf_dir):
+    good, _ = _car_event_records(spark, sf_dir)
+    return render.car_events(good)
+
+
+def q_segment_lines(spark, sf_dir):
+    return render.segments(q_gap_segments(spark, sf_dir))
+
+
+def q_enriched_trade_lines(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return render.enriched_trades(asof.asof_enrich(fx.trades(ev), fx.customers(ev)))
+
+
+def q_ride_lines(spark, sf_dir):
+    """Rides read from their lines: every fifth is cut short, every seventh has an unknown tag."""
+    line = F.col("value")
+    ride = F.substring_index("value", ",", 1).cast("long")
+    broken = F.when(ride % 5 == 0, F.substring_index(line, ",", 10)).when(
+        ride % 7 == 0, F.regexp_replace(line, ",(START|END),", ",MIDDLE,")).otherwise(line)
+    lines = render.rides(fx.rides(_events(spark, sf_dir))).select(broken.alias("value"))
+    good, bad = codec.parse_rides(lines, mode="quarantine")
+    good = good.select("ride_id", "is_start", F.col("start_time").cast("timestamp_ntz").alias("start_time"),
+                       F.col("end_time").cast("timestamp_ntz").alias("end_time"), "start_lon",
+                       "end_lat", F.lit(True).alias("accepted"))
+    rejects = bad.select(F.substring_index("line", ",", 1).cast("long").alias("ride_id"),
+                         F.lit(False).alias("accepted"))
+    return good.unionByName(rejects, allowMissingColumns=True)
+
+
+def q_keyed_records(spark, sf_dir):
+    """Trades and customers written as CSV lines and read back; every ninth line has no info."""
+    ev, out = _events(spark, sf_dir), None
+    for kind, records in (("trades", fx.trades(ev)), ("customers", fx.customers(ev))):
+        lines = files.keyed_event_lines(records, kind)
+        info = F.substring_index("value", ",", -1).cast("long")
+        lines = lines.select(F.when(info % 9 == 0, F.substring_index("value", ",", 2))
+                             .otherwise(F.col("value")).alias("value"))
+        good, bad = files.parse_keyed_events(lines, kind, mode="quarantine")
+        good = good.select(F.lit(kind).alias("kind"), "customer_id",
+                           F.col(good.columns[2]).alias("info"),
+                           F.col("ts").cast("timestamp_ntz").alias("ts"))
+        bad = bad.select(F.lit(kind).alias("kind"),
+                         F.element_at(F.split("line", ","), 2).cast("long").alias("customer_id"))
+        both = good.unionByName(bad, allowMissingColumns=True)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 QUERIES = {
     "ride_cleansing": q_ride_cleansing,
     "ride_event_order": q_ride_event_order,
@@ -222,6 +284,12 @@ QUERIES = {
     "ride_cells_on_way": q_ride_cells_on_way,
     "record_lines": q_record_lines,
     "point_projections": q_point_projections,
+    "car_event_lines": q_car_event_lines,
+    "car_event_renderings": q_car_event_renderings,
+    "segment_lines": q_segment_lines,
+    "enriched_trade_lines": q_enriched_trade_lines,
+    "ride_lines": q_ride_lines,
+    "keyed_records": q_keyed_records,
 }
 
 

@@ -41,21 +41,38 @@ def read_keyed_events(spark: SparkSession, path: str, kind: str, fmt: str = "csv
     returns ``(records, bad)`` with the bad CSV lines as ``line`` (other formats:
     the bad rows).  CSV records are one line each; blank lines are no records.
     """
-    schema = {"customers": CUSTOMER, "trades": TRADE}[kind]
     ensure_required_conf(spark)
-    fields = schema.fieldNames()
-    keyed = F.col("timestamp").isNotNull() & F.col("customer_id").isNotNull()
     if fmt == "csv":
-        layout = StructType([*schema.fields, StructField("__bad", StringType())])
-        record = F.from_csv("value", layout.simpleString().removeprefix("struct<")
-                            .removesuffix(">").replace(":", " "),
-                            {"columnNameOfCorruptRecord": "__bad", "mode": "PERMISSIVE"})
-        df = (spark.read.text(path).where(F.length(F.trim("value")) > 0)
-              .select(F.col("value").alias("line"), record.alias("__r")).select("line", "__r.*"))
-        valid, shown = keyed & F.col("__bad").isNull(), ["line"]
-    else:
-        df = spark.read.schema(schema).format(fmt).load(path)
-        valid, shown = keyed, fields
+        return parse_keyed_events(_lines(spark, path), kind, mode)
+    schema = _KEYED[kind]
+    return _keyed_records(spark.read.schema(schema).format(fmt).load(path), F.lit(True),
+                          schema.fieldNames(), schema.fieldNames(), mode)
+
+
+_KEYED = {"customers": CUSTOMER, "trades": TRADE}
+
+
+def parse_keyed_events(lines: DataFrame, kind: str, mode: str = "fail"):
+    """The CSV records of :func:`read_keyed_events` from lines (a ``value`` column)."""
+    schema = _KEYED[kind]
+    layout = StructType([*schema.fields, StructField("__bad", StringType())])
+    record = F.from_csv("value", layout.simpleString().removeprefix("struct<")
+                        .removesuffix(">").replace(":", " "),
+                        {"columnNameOfCorruptRecord": "__bad", "mode": "PERMISSIVE"})
+    df = (lines.where(F.length(F.trim("value")) > 0)
+          .select(F.col("value").alias("line"), record.alias("__r")).select("line", "__r.*"))
+    return _keyed_records(df, F.col("__bad").isNull(), schema.fieldNames(), ["line"], mode)
+
+
+def keyed_event_lines(records: DataFrame, kind: str) -> DataFrame:
+    """CSV lines of ``(ts, customer_id, info)`` records, the layout that is read."""
+    info = _KEYED[kind].fieldNames()[2]
+    stamp = F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp")
+    return records.select(F.to_csv(F.struct(stamp, "customer_id", info)).alias("value"))
+
+
+def _keyed_records(df: DataFrame, valid, fields: list[str], shown: list[str], mode: str):
+    valid = valid & F.col("timestamp").isNotNull() & F.col("customer_id").isNotNull()
 
     def records(rows: DataFrame) -> DataFrame:
         return rows.select(*fields).withColumn("ts", F.timestamp_millis("timestamp"))

@@ -117,3 +117,23 @@ def trades(events: DataFrame) -> DataFrame:
 
 def points(events: DataFrame) -> DataFrame:
     return events.select("ts", F.col("event_type").alias("key"), "value")
+
+
+def car_event_lines(events: DataFrame) -> DataFrame:
+    """Car events as lines of 23 fields: every third with ``; ``, every fifth without a speed,
+    every seventh without coordinates, every thirteenth cut short (a reject)."""
+    e = car_events(events)
+    one = lambda c: F.col(c).cast("float").cast("string")                         # noqa: E731
+    fields = [F.lit("x")] * 23
+    fields[0], fields[1] = F.col("car_id").cast("string"), F.col("id").cast("string")
+    fields[7], fields[19] = F.lit(""), F.lit("0.5")
+    fields[9] = F.when(F.col("id") % 5 == 0, F.lit("")).otherwise(one("speed"))
+    fields[12] = one("throttle")
+    place = F.col("id") % 7 == 0
+    fields[20] = F.when(place, F.lit("")).otherwise(_lon(F.col("id")).cast("string"))
+    fields[21] = F.when(place, F.lit("")).otherwise(_lat(F.col("car_id")).cast("string"))
+    fields[22] = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    line = F.when(F.col("id") % 3 == 0, F.concat_ws("; ", *fields)).otherwise(
+        F.concat_ws(",", *fields))
+    return e.select(F.when(F.col("id") % 13 == 0, F.regexp_replace(line, "[,;][^,;]*$", ""))
+                    .otherwise(line).alias("value"))
