@@ -40,11 +40,12 @@ from pyspark.sql import functions as F
 from cabline.llm._common import cut, id_and_text, per_process, release, shared
 
 FOLDS, HELD_OUT_FOLD = 7, 2
+#: 65,535 outputs at most: they are kept in 16 bits
 HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
 KNOWN_WORDS = 150_000
 ROUNDS, BATCH, NOISE, RATE = 2, 4096, 64, 0.1
 MAX_COUNTER = 250_000
-_BLOCK = 256            # tokens normalised at once
+_BLOCK = 512            # tokens normalised at once
 
 
 def fold(doc_id: int | None) -> int:
@@ -129,10 +130,20 @@ class Vocabulary:
         out[others] = [rare[words[i]] for i in others.tolist()]
         return out
 
-    def contexts(self, outputs: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        """(len(at), n) outputs before each position, the nearest first."""
-        padded = np.concatenate([np.full(n, self.start), outputs])
-        return padded[at[:, None] + n - 1 - np.arange(n)[None, :]]
+    def laid_out(self, texts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(line, places): the texts' outputs one after the other, ``n`` starts before each, and
+        where in the line the tokens are."""
+        lengths = np.array([len(x) for x in texts], np.int64)
+        places = np.arange(lengths.sum()) + np.repeat(n * np.arange(1, len(texts) + 1), lengths)
+        line = np.full(lengths.sum() + n * len(texts), self.start, np.int64)
+        if len(places):
+            line[places] = np.concatenate(texts)
+        return line, places
+
+
+def contexts(line: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """(len(at), n) outputs before each place of the line, the nearest first."""
+    return line[at[:, None] - 1 - np.arange(n)[None, :]]
 
 
 class Model:
@@ -157,21 +168,41 @@ class Model:
             setattr(self, x, values[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return (self.r[contexts] * self.c).sum(1)
+    def predicted(self, contexts: np.ndarray, weighted: np.ndarray | None = None) -> np.ndarray:
+        """The weighted sum of the contexts' vectors; ``weighted``: all of them per position."""
+        weighted = self.weighted() if weighted is None else weighted
+        return sum(table[at] for table, at in zip(weighted, contexts.T))
+
+    def weighted(self) -> np.ndarray:
+        return self.r[None, :, :] * self.c[:, None, :]
 
-    def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural logs, normalised over all outputs."""
-        q = np.concatenate([self.predicted(contexts), np.ones((len(targets), 1), np.float32)], 1)
+    def log_probabilities(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Natural logs of the tokens at ``places``, normalised over all outputs; in blocks that
+        stay in the processor's cache, whatever texts they belong to."""
         outputs = np.concatenate([self.t, self.b[:, None]], 1)      # the bias as one more factor
-        scores = q @ outputs.T
-        of = np.einsum("ij,ij->i", q, outputs[targets]).astype(np.float64)
-        if scores.max() > 60:                   # far from normalised: keep exp in range
-            top = scores.max(1, keepdims=True)
-            scores -= top
-            of -= top[:, 0]
-        np.exp(scores, out=scores)
-        return of - np.log(scores @ np.ones(len(outputs), np.float32)).astype(np.float64)
+        weighted = self.weighted()
+        ones, longest = np.ones(len(outputs), np.float32), np.sqrt((outputs ** 2).sum(1).max())
+        found = np.empty(len(places))
+        for i in range(0, len(places), _BLOCK):
+            at = places[i:i + _BLOCK]
+            q = np.ones((len(at), outputs.shape[1]), np.float32)
+            q[:, :-1] = self.predicted(contexts(line, at, len(self.c)), weighted)
+            scores = q @ outputs.T
+            of = (q * outputs[line[at]]).sum(1, dtype=np.float64)
+            if longest * np.sqrt((q ** 2).sum(1).max()) > 60:       # keep exp in range
+                top = scores.max(1, keepdims=True)
+                scores -= top
+                of -= top[:, 0]
+            np.exp(scores, out=scores)
+            found[i:i + len(at)] = of - np.log(scores @ ones, dtype=np.float64)
+        return found
+
+
+def text_scores(model: Model, words: Vocabulary, texts: list[np.ndarray]) -> np.ndarray:
+    """log10 of the probability of each text's outputs; each has its end at least."""
+    logs = model.log_probabilities(*words.laid_out(texts, len(model.c))) / np.log(10)
+    first = np.cumsum([0, *(len(x) for x in texts)])[:-1]
+    return np.add.reduceat(logs, first) if len(texts) else logs
 
 
 class Trainer:
@@ -184,18 +215,18 @@ class Trainer:
         self.squares = {x: np.full_like(getattr(model, x), 1e-2) for x in Model.NAMES}
         self.examples = 0
 
-    def _step(self, name: str, gradient: np.ndarray, rows: np.ndarray | None = None) -> None:
+    def _step(self, name: str, gradient: np.ndarray) -> None:
         value, squares = getattr(self.m, name), self.squares[name]
-        if rows is None:
-            squares += gradient * gradient
-            value += RATE * gradient / np.sqrt(squares)
-        else:
-            # as few rows as outputs: those without a gradient are added nothing
-            n, columns = len(value), gradient.reshape(len(gradient), -1).T
-            total = np.stack([np.bincount(rows, x, n) for x in columns], 1)
-            total = total.reshape(value.shape).astype(np.float32)
-            squares += total * total
-            value += RATE * total / np.sqrt(squares)
+        gradient = gradient.astype(np.float32)
+        squares += gradient * gradient
+        value += RATE * gradient / np.sqrt(squares)
+
+    @staticmethod
+    def _summed(rows: np.ndarray, gradient: np.ndarray, n: int) -> np.ndarray:
+        """(n, ...) sums of the gradient's rows by row number; as few rows as outputs."""
+        columns = gradient.reshape(len(gradient), -1).T
+        return np.stack([np.bincount(rows, x, n) for x in columns], 1).reshape(
+            n, *gradient.shape[1:])
 
     def train(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         m, n = self.m, len(targets)
@@ -211,41 +242,44 @@ class Trainer:
         d_q = up[:, None] * m.t[targets] + down @ m.t[noise]
         d_t = np.concatenate([up[:, None] * q, down.T @ q])
         d_b = np.concatenate([up, down.sum(0)])
-        r = m.r[contexts]
-        d_c = (r * d_q[:, None, :]).sum(0)
-        d_r = (d_q[:, None, :] * m.c).reshape(-1, q.shape[1])
         outputs = np.concatenate([targets, noise])
-        self._step("t", d_t, outputs)
-        self._step("b", d_b, outputs)
-        self._step("r", d_r, contexts.reshape(-1))
+        # per position the predicted vectors' gradients by context: of them both factors follow
+        by_context = [self._summed(at, d_q, len(m.r)) for at in contexts.T]
+        d_c = np.stack([(m.r * g).sum(0) for g in by_context])
+        d_r = sum(g * c for g, c in zip(by_context, m.c))
+        self._step("t", self._summed(outputs, d_t, len(m.t)))
+        self._step("b", self._summed(outputs, d_b, len(m.b)))
+        self._step("r", d_r)
         self._step("c", d_c)
         self.examples += n
 
 
-def examples(texts: Iterator[bytes | None], words: Vocabulary,
+def _read(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
+
+
+def examples(batches: Iterator[pa.RecordBatch], words: Vocabulary,
              context: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(contexts, targets) of every position of the texts, BATCH at a time."""
-    held: list = []
-    n = 0
-    for text in texts:
-        outputs = words.outputs_of(words_of(text))
-        for i in range(0, len(outputs), BATCH):
-            at = np.arange(i, min(i + BATCH, len(outputs)))
-            held.append((words.contexts(outputs, at, context), outputs[at]))
-            n += len(at)
-            if n >= BATCH:
-                c, t = (np.concatenate(x) for x in zip(*held))
-                yield c[:BATCH], t[:BATCH]
-                held, n = [(c[BATCH:], t[BATCH:])], n - BATCH
-    if n:
-        c, t = (np.concatenate(x) for x in zip(*held))
-        yield c, t
-
-
-def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int,
+    """(contexts, targets) of every position of the texts' outputs, BATCH at a time."""
+    held = (np.zeros((0, context), np.int64), np.zeros(0, np.int64))
+    for b in batches:
+        line, places = words.laid_out(_read(b.column("outputs")), context)
+        for i in range(0, len(places), 1 << 18):
+            at = places[i:i + (1 << 18)]
+            c, t = (np.concatenate(x) for x in zip(held, (contexts(line, at, context), line[at])))
+            whole = len(t) // BATCH * BATCH
+            for j in range(0, whole, BATCH):
+                yield c[j:j + BATCH], t[j:j + BATCH]
+            held = c[whole:], t[whole:]
+    if len(held[1]):
+        yield held
+
+
+def _trained(texts: DataFrame, vocabulary: Vocabulary, model: Model, context: int,
              round_: int) -> Model:
-    """The average of the models that the tasks reach from ``model`` in one pass."""
-    spark = docs.sparkSession
+    """The average of the models that the tasks reach from ``model`` in one pass over the
+    ``texts(outputs)``."""
+    spark = texts.sparkSession
     sent = shared(spark, (vocabulary, model))       # of fixed size
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,11 +288,8 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
         own.set_flat(start.flat())
         task = TaskContext.get().partitionId()
         trainer = Trainer(own, words, 1000 * round_ + task)
-        texts = (text for b in batches for doc_id, text in zip(
-            b.column("doc_id").to_pylist(), b.column("text").to_pylist())
-            if fold(doc_id) != HELD_OUT_FOLD)
-        for contexts, targets in examples(texts, words, context):
-            trainer.train(contexts, targets)
+        for before, targets in examples(batches, words, context):
+            trainer.train(before, targets)
         if trainer.examples:
             values = own.flat().astype(np.float64) * trainer.examples
             yield pa.RecordBatch.from_arrays(
@@ -277,7 +308,7 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
                  pa.array([sums.tobytes()], pa.binary())], ["task", "examples", "sums"])
 
     schema = "task long, examples long, sums binary"
-    added = docs.mapInArrow(train, schema).repartition(16, "task").mapInArrow(add, schema)
+    added = texts.mapInArrow(train, schema).repartition(16, "task").mapInArrow(add, schema)
     rows = added.collect()                      # 16 sums at most
     if rows:
         sums = sum(np.frombuffer(r["sums"], np.float64) for r in rows)
@@ -285,11 +316,65 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary, model: Model, context: int
     return model
 
 
+_SCORED = ["doc_id", "place", "held_out", "n_tokens", "n_known", "base_score"]
+
+
+def _encoded(docs: DataFrame, vocabulary: Vocabulary, known: dict[bytes, int], ends: int,
+             log_all: float, log_class: np.ndarray) -> DataFrame:
+    """A table of the documents as the rounds and the scoring read them: their outputs (16 bits
+    each), and of both scores what the sent counts give (``score``: the rare words' shares of
+    their classes); ``rare`` and ``times``: hashes of the words that weren't sent."""
+    sent = shared(docs.sparkSession, (vocabulary, known))       # known_words words
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, known = sent()
+        place = TaskContext.get().partitionId() << 40
+        # per output: 0, or what a rare word's class subtracts
+        minus = np.concatenate([np.zeros(words.first_rare), log_class])
+        # one look-up a token: the place among the sent words gives output and count
+        index = {w: i for i, w in enumerate(known)}
+        output_of = words.outputs_of(list(known))       # the end comes last, at place -1
+        logs_of = np.log10(np.array([*known.values(), ends], np.float64) + 1)
+        rare_outputs, get = words.rare(), index.get
+        for b in batches:
+            rows = []
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                tokens = words_of(text)
+                at = np.fromiter(map(get, tokens, itertools.repeat(-1)), np.int64, len(tokens))
+                unknown = np.flatnonzero(at < 0)
+                others = [tokens[i] for i in unknown.tolist()]
+                at = np.append(at, -1)
+                outputs, logs = output_of[at], logs_of[at]
+                outputs[unknown] = [rare_outputs[w] for w in others]
+                logs[unknown] = 0
+                rest = Counter(map(word_hash, others))
+                rare = outputs >= words.first_rare
+                rows.append((place, fold(doc_id) == HELD_OUT_FOLD, len(outputs),
+                             len(tokens) - len(others) + (ends > 0),
+                             float(logs.sum()) - log_all * len(outputs),
+                             float(logs[rare].sum() - minus[outputs[rare]].sum()),
+                             outputs.astype("<u2").tobytes(), list(rest), list(rest.values())))
+                place += 1
+            cols = list(zip(*rows)) if rows else [()] * 9
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                     pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                [*_SCORED, "score", "outputs", "rare", "times"])
+
+    return cut(docs.mapInArrow(
+        encode, "doc_id long, place long, held_out boolean, n_tokens long, n_known long, "
+                "base_score double, score double, outputs binary, rare array<bigint>, "
+                "times array<bigint>"), "encoded-texts")
+
+
 def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int = RARE_CLASSES,
                 dimensions: int = DIMENSIONS, context: int = CONTEXT, rounds: int = ROUNDS,
                 known_words: int = KNOWN_WORDS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    if hot_words + 1 + rare_classes > 1 << 16:
+        raise ValueError("more outputs than 16 bits tell apart")
     spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
     counts = cut(word_counts(docs), "word-counts")
@@ -328,69 +413,35 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
         totals[:, r["class"]] = r["n"], r["n"] + r["words"]
     vocabulary = Vocabulary(hot, np.concatenate([[known[w] for w in hot], [ends], totals[0]]),
                             rare_classes)
-    model = Model(vocabulary, dimensions, context)
-    for k in range(rounds):
-        model = _trained(docs, vocabulary, model, context, k)
-
     log_all = float(np.log10(n_all + v_all + 1))
     log_class = np.log10(totals[1] + 1)
-    sent = shared(spark, (vocabulary, model, known))        # known_words words
+    encoded = _encoded(docs, vocabulary, known, int(ends), log_all, log_class)
+    model = Model(vocabulary, dimensions, context)
+    for k in range(rounds):
+        model = _trained(encoded.where("not held_out").select("outputs"), vocabulary, model,
+                         context, k)
+    sent = shared(spark, (vocabulary, model))           # of fixed size
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, m, known = sent()
-        place = TaskContext.get().partitionId() << 40
-        # per output: 0, or what a rare word's class subtracts
-        minus = np.concatenate([np.zeros(words.first_rare), log_class])
-        # one look-up a token: the place among the sent words gives output and count
-        index = {w: i for i, w in enumerate(known)}
-        output_of = words.outputs_of(list(known))       # the end comes last, at place -1
-        logs_of = np.log10(np.array([*known.values(), ends], np.float64) + 1)
-        rare_outputs, get = words.rare(), index.get
+        words, m = sent()
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                tokens = words_of(text)
-                at = np.fromiter(map(get, tokens, itertools.repeat(-1)), np.int64, len(tokens))
-                unknown = np.flatnonzero(at < 0)
-                others = [tokens[i] for i in unknown.tolist()]
-                at = np.append(at, -1)
-                outputs, logs = output_of[at], logs_of[at]
-                outputs[unknown] = [rare_outputs[w] for w in others]
-                logs[unknown] = 0
-                total = 0.0
-                for i in range(0, len(outputs), _BLOCK):
-                    part = np.arange(i, min(i + _BLOCK, len(outputs)))
-                    total += m.log_probabilities(words.contexts(outputs, part, context),
-                                                 outputs[part]).sum()
-                rest = Counter(map(word_hash, others))
-                n_known = len(tokens) - len(others) + (ends > 0)
-                rare = outputs >= words.first_rare
-                rows.append((place, fold(doc_id) == HELD_OUT_FOLD, len(outputs),
-                             n_known, float(logs.sum()) - log_all * len(outputs),
-                             float(total / np.log(10) + logs[rare].sum()
-                                   - minus[outputs[rare]].sum()),
-                             list(rest), list(rest.values())))
-                place += 1
-            cols = list(zip(*rows)) if rows else [()] * 8
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.int64()), pa.list_(pa.int64()))
+            score = text_scores(m, words, _read(b.column("outputs")))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                ["doc_id", "place", "held_out", "n_tokens", "n_known", "base_score", "score",
-                 "rare", "times"])
+                [*(b.column(c) for c in _SCORED), pa.array(b.column("score").to_numpy() + score)],
+                [*_SCORED, "score"])
 
-    scored = cut(docs.mapInArrow(score, "doc_id long, place long, held_out boolean, n_tokens long, "
-                                        "n_known long, base_score double, score double, "
-                                        "rare array<bigint>, times array<bigint>"), "scores")
+    scored = encoded.select(*_SCORED, "score", "outputs").mapInArrow(
+        score, "doc_id long, place long, held_out boolean, n_tokens long, n_known long, "
+               "base_score double, score double")
     # the words that weren't sent: their counts join by hash, then sum per document
     others = hashed.where(level < least).select("hash", "n")
-    met = scored.select("place", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+    met = encoded.select("place", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "place", F.col("x.rare").alias("hash"), F.col("x.times").alias("times"))
     added = (met.join(others, "hash").groupBy("place")
              .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0))
                   .alias("logs")))
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("logs", F.lit(0.0))
-    return scored.drop("rare", "times").join(added, "place", "left").select(
+    return scored.join(added, "place", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + more).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("base_score") + logs).alias("base_score"), (F.col("score") + logs).alias("score"))

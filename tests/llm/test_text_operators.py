@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cabline.llm import bwt_dedup, decontam, hamming, lbl, quality, queries
@@ -109,22 +110,47 @@ def test_probabilities_sum_to_one():
     vocabulary = lbl.Vocabulary([b"a", b"b"], np.array([5, 3, 2, 1, 1]), 2)
     model = lbl.Model(vocabulary, 4, 2)
     model.t += np.random.default_rng(1).normal(0, 1, model.t.shape).astype(np.float32)
-    contexts = np.repeat([[0, 5]], 5, 0)
-    total = np.exp(model.log_probabilities(contexts, np.arange(5))).sum()
+    # every output after the same two
+    total = np.exp([model.log_probabilities(np.array([5, 0, x]), np.array([2]))[0]
+                    for x in range(5)]).sum()
     assert total == pytest.approx(1, abs=1e-5)
 
 
+def test_scores_equal_a_plain_recomputation(monkeypatch):
+    monkeypatch.setattr(lbl, "_BLOCK", 7)
+    rng = np.random.default_rng(4)
+    words = lbl.Vocabulary([b"a", b"b", b"c"], np.array([5, 3, 2, 2, 1, 1]), 2)
+    model = lbl.Model(words, 4, 3)
+    model.t += rng.normal(0, 1, model.t.shape).astype(np.float32)
+    model.c += rng.normal(0, 1, model.c.shape).astype(np.float32)
+    texts = [words.outputs_of(lbl.words_of(t)) for t in
+             (b"a b c", None, b"b zz yy a " * 9, b"", b"c")]
+    expected = []
+    for outputs in texts:
+        total = 0.0
+        for i, output in enumerate(outputs.tolist()):
+            q = sum(model.r[outputs[i - k] if i >= k else words.start].astype(float) * model.c[k - 1]
+                    for k in (1, 2, 3))
+            scores = model.t.astype(float) @ q + model.b
+            total += scores[output] - math.log(sum(math.exp(x) for x in scores))
+        expected.append(total / math.log(10))
+    assert lbl.text_scores(model, words, texts).tolist() == pytest.approx(expected, rel=1e-4)
+
+
 def test_every_position_is_an_example(monkeypatch):
     import numpy as np
     monkeypatch.setattr(lbl, "BATCH", 64)
     words = lbl.Vocabulary([b"a", b"b"], np.array([5, 3, 2, 1, 1]), 2)
     texts = [b"a", None, b"b a c", b"", b"a b c d " * 100, b"a b"]
-    batches = list(lbl.examples(iter(texts), words, 2))
-    assert {len(t) for _, t in batches[:-1]} == {64}
     wanted = [words.outputs_of(lbl.words_of(t)) for t in texts]
+    rows = [pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes() for x in part], pa.binary())],
+                                       ["outputs"]) for part in (wanted[:3], [], wanted[3:])]
+    batches = list(lbl.examples(iter(rows), words, 2))
+    assert {len(t) for _, t in batches[:-1]} == {64}
     assert np.concatenate([t for _, t in batches]).tolist() == np.concatenate(wanted).tolist()
-    before = [words.contexts(x, np.arange(len(x)), 2) for x in wanted]
-    assert np.array_equal(np.concatenate([c for c, _ in batches]), np.concatenate(before))
+    padded = [np.concatenate([[words.start] * 2, x]) for x in wanted]
+    before = [[x[i - 1], x[i - 2]] for x in padded for i in range(2, len(x))]
+    assert np.concatenate([c for c, _ in batches]).tolist() == [[int(v) for v in c] for c in before]
 
 
 def test_lbl_odd_and_empty(odd, none):
