@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cabline.llm import url_reputation as url
-from cabline.llm.queries import URL_RULES
+from cabline.llm.queries import PAGE_NUMBER, URL_RULES
 
 _LOWER = ("translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
@@ -82,8 +82,10 @@ def _url_reputation(max_bad: float = 0.3, z: float = 1.645) -> str:
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 named AS (SELECT *, CASE WHEN {last(2)} IN ({long}) THEN {last(3)} ELSE {last(2)} END AS domain,
                  CASE WHEN {last(2)} IN ({long}) THEN {last(2)} ELSE {last(1)} END AS suffix FROM p),
-bad AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
-        FROM labels GROUP BY doc_id),
+shown AS (SELECT page_id, CAST(nullif(regexp_extract(url, '{PAGE_NUMBER}', 1), '') AS BIGINT) AS doc_id
+          FROM pages),
+bad AS (SELECT page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+        FROM shown JOIN labels USING (doc_id) GROUP BY page_id),
 hosts0 AS (SELECT host, domain, suffix, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS k
            FROM named JOIN bad USING (page_id) GROUP BY ALL),
 domains0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts0 GROUP BY ALL),
