@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cabline.operators import enrich, rides as R, segments, tips, traveltime
 from cabline.operators.scan import exact
+from cabline.schemas import FARE, RIDE
 from cabline.streaming import ordered, processors
 from cabline.streaming.sources import (CAR_EVENT_DELAY, HOURLY_TIPS_DELAY, RIDE_CLEANSING_DELAY,
                                        RIDES_AND_FARES_DELAY, with_watermark)
@@ -114,34 +115,53 @@ def expiring_pairs_join(rides: DataFrame, fares: DataFrame, max_wait_seconds: in
                       else r[c] for c in enrich.RIDE_COLS], *[fs[c] for c in enrich.FARE_SIDE_COLS])
 
 
+_RECORD_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+
+
+def _waiting_side(df: DataFrame, side: str, time: str, delay: str, dedupe: str) -> DataFrame:
+    """(ride_id, side, t, t_us, record): each row with all its columns as one text."""
+    d = with_watermark(df.withColumn("t", F.col(time)), "t", delay)
+    names = enrich.RIDE_COLS if side == "R" else enrich.FARE_COLS
+    columns = [F.col(c).cast("timestamp").alias(c) if c.endswith("_time") else F.col(c) for c in names]
+    rows = d.select("ride_id", F.lit(side).alias("side"), "t",
+                    F.unix_micros("t").alias("t_us"),
+                    F.to_json(F.struct(*columns), _RECORD_OPTIONS).alias("record"))
+    return _dedupe_stream(rows, dedupe)
+
+
 def expiring_pairs_stateful(rides: DataFrame, fares: DataFrame, max_wait_seconds: int = 0,
                             delay: str = "0 seconds", loss_modulus: int | None = 1000,
                             dedupe: str = "first") -> DataFrame:
-    """Variant (b): keyed state + event-time timers (transformWithState).
+    """Variant (b): keyed state + event-time timers (transformWithState); whole ride and
+    fare columns as :func:`expiring_pairs_join`.
 
     With ``dedupe='first'`` a key's group holds at most one ride and one fare
     per micro-batch, whatever the number of copies of an id.
     """
     r = rides if loss_modulus is None else R.start_events_with_loss(rides, loss_modulus)
-    r = R.with_event_time(r)
-    rt = _dedupe_stream(with_watermark(r.select(
-        "ride_id", F.lit("R").alias("side"), F.col("event_time").alias("t"), "driver_id",
-        F.lit(None).cast("float").alias("tip"), F.lit(None).cast("string").alias("payment_type")),
-        "t", delay), dedupe)
-    ft = _dedupe_stream(with_watermark(fares.select(
-        "ride_id", F.lit("F").alias("side"), F.col("start_time").alias("t"), "driver_id", "tip",
-        "payment_type"), "t", delay), dedupe)
-    u = rt.unionByName(ft)
+    u = _waiting_side(R.with_event_time(r), "R", "event_time", delay, dedupe).unionByName(
+        _waiting_side(fares, "F", "start_time", delay, dedupe))
     # rows without an id have no partner: they don't wait
+    is_ride = F.col("side") == "R"
     lone = u.where(F.col("ride_id").isNull()).select(
-        "ride_id", F.when(F.col("side") == "R", F.lit(enrich.UNMATCHED_RIDE))
+        "ride_id", F.when(is_ride, F.lit(enrich.UNMATCHED_RIDE))
         .otherwise(F.lit(enrich.UNMATCHED_FARE)).alias("outcome"),
-        F.when(F.col("side") == "R", F.col("t")).alias("ride_time"),
-        F.when(F.col("side") == "F", F.col("t")).alias("fare_time"), "driver_id", "tip")
-    return u.where(F.col("ride_id").isNotNull()).groupBy("ride_id").transformWithStateInPandas(
+        F.when(is_ride, F.col("t")).alias("ride_time"),
+        F.when(~is_ride, F.col("t")).alias("fare_time"),
+        F.when(is_ride, F.col("record")).alias("ride"),
+        F.when(~is_ride, F.col("record")).alias("fare"))
+    out = u.where(F.col("ride_id").isNotNull()).groupBy("ride_id").transformWithStateInPandas(
         statefulProcessor=processors.ExpiringPairProcessor(max_wait_seconds),
         outputStructType=processors.EXPIRING_OUTPUT, outputMode="Append",
         timeMode="EventTime").unionByName(lone)
+    out = out.withColumns({"r": F.from_json("ride", RIDE, _RECORD_OPTIONS),
+                           "f": F.from_json("fare", FARE, _RECORD_OPTIONS)})
+    fare = {"ride_id": "fare_ride_id", "taxi_id": "fare_taxi_id", "driver_id": "fare_driver_id",
+            "start_time": "fare_start_time"}
+    shared = {"ride_id": F.col("ride_id"), "driver_id": F.coalesce("r.driver_id", "f.driver_id")}
+    return out.select("outcome", "ride_time", "fare_time",
+                      *[shared.get(c, F.col(f"r.{c}")).alias(c) for c in enrich.RIDE_COLS],
+                      *[F.col(f"f.{c}").alias(fare.get(c, c)) for c in enrich.FARE_COLS])
 
 
 def _micros(col: str):

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (FloatType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from cabline._shipping import ship_by_value
 
@@ -18,22 +17,13 @@ from cabline._shipping import ship_by_value
 # executors need no installed copy of the package.
 ship_by_value(__name__)
 
+#: ``ride`` and ``fare`` are whole records as text, as they came in
 EXPIRING_OUTPUT = StructType([
-    StructField("ride_id", LongType()),
-    StructField("outcome", StringType()),
-    StructField("ride_time", TimestampType()),
-    StructField("fare_time", TimestampType()),
-    StructField("driver_id", LongType()),
-    StructField("tip", FloatType()),
-])
+    StructField("ride_id", LongType()), StructField("outcome", StringType()),
+    StructField("ride_time", TimestampType()), StructField("fare_time", TimestampType()),
+    StructField("ride", StringType()), StructField("fare", StringType())])
 
-_RIDE_STATE = StructType([StructField("t_us", LongType()), StructField("driver_id", LongType())])
-_FARE_STATE = StructType([StructField("t_us", LongType()), StructField("driver_id", LongType()),
-                          StructField("tip", FloatType()), StructField("payment_type", StringType())])
-
-
-def _us(ts) -> int:
-    return int(pd.Timestamp(ts).value // 1000)
+_WAITING = StructType([StructField("t_us", LongType()), StructField("record", StringType())])
 
 
 def _ts(us: int | None):
@@ -44,16 +34,13 @@ def _ceil_ms(us: int) -> int:
     return -((-int(us)) // 1000)
 
 
-def _frame(rows: list[dict], columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns)
-
-
 class ExpiringPairProcessor(StatefulProcessor):
     """Pair a ride and a fare with the same id; expire whatever waits too long.
 
     A waiting element registers a timer at its event time + ``max_wait``.
     When that timer fires, the element still waiting (checked by its own time,
-    since timers are never cancelled) goes out as unmatched.
+    since timers are never cancelled) goes out as unmatched.  Rows are
+    ``(side 'R' or 'F', t_us, record)``.
     """
 
     def __init__(self, max_wait_seconds: int = 0):
@@ -61,59 +48,44 @@ class ExpiringPairProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ride = handle.getValueState("ride", _RIDE_STATE)
-        self.fare = handle.getValueState("fare", _FARE_STATE)
+        self.waiting = {side: handle.getValueState(name, _WAITING)
+                        for side, name in (("R", "ride"), ("F", "fare"))}
+
+    def _row(self, key, outcome, ride, fare) -> tuple:
+        return (key[0], outcome, _ts(ride and ride[0]), _ts(fare and fare[0]),
+                ride and ride[1], fare and fare[1])
 
-    def _matched(self, key, ride, fare):
-        return {"ride_id": key, "outcome": "matched", "ride_time": _ts(ride[0]),
-                "fare_time": _ts(fare[0]), "driver_id": ride[1], "tip": fare[2]}
+    @staticmethod
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=EXPIRING_OUTPUT.names)
 
     def handleInputRows(self, key, rows, timerValues):
-        (rid,) = key
         out = []
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["t", "side"], kind="stable")
-        for r in batch.itertuples(index=False):
-            t_us = _us(r.t)
-            if r.side == "R":
-                ride = (t_us, int(r.driver_id))
-                fare = self.fare.get() if self.fare.exists() else None
-                if fare is not None and abs(fare[0] - t_us) <= self.max_wait_us:
-                    out.append(self._matched(rid, ride, fare))
-                    self.fare.clear()
-                else:
-                    self.ride.update(ride)
-                    self.handle.registerTimer(_ceil_ms(t_us + self.max_wait_us))
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["t_us", "side"], kind="stable")
+        for side, t_us, record in zip(batch["side"], batch["t_us"].tolist(), batch["record"]):
+            own, other = (self.waiting[x] for x in (side, "F" if side == "R" else "R"))
+            partner = other.get() if other.exists() else None
+            if partner is not None and abs(partner[0] - t_us) <= self.max_wait_us:
+                pair = ((t_us, record), partner)
+                out.append(self._row(key, "matched", *(pair if side == "R" else pair[::-1])))
+                other.clear()
             else:
-                tip = None if pd.isna(r.tip) else float(r.tip)
-                fare = (t_us, int(r.driver_id), tip, r.payment_type)
-                ride = self.ride.get() if self.ride.exists() else None
-                if ride is not None and abs(ride[0] - t_us) <= self.max_wait_us:
-                    out.append(self._matched(rid, ride, fare))
-                    self.ride.clear()
-                else:
-                    self.fare.update(fare)
-                    self.handle.registerTimer(_ceil_ms(t_us + self.max_wait_us))
+                own.update((t_us, record))
+                self.handle.registerTimer(_ceil_ms(t_us + self.max_wait_us))
         if out:
-            yield _frame(out, EXPIRING_OUTPUT.names)
+            yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (rid,) = key
         deadline_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
         out = []
-        if self.ride.exists():
-            ride = self.ride.get()
-            if ride[0] + self.max_wait_us <= deadline_us:
-                out.append({"ride_id": rid, "outcome": "unmatched_ride", "ride_time": _ts(ride[0]),
-                            "fare_time": None, "driver_id": ride[1], "tip": None})
-                self.ride.clear()
-        if self.fare.exists():
-            fare = self.fare.get()
-            if fare[0] + self.max_wait_us <= deadline_us:
-                out.append({"ride_id": rid, "outcome": "unmatched_fare", "ride_time": None,
-                            "fare_time": _ts(fare[0]), "driver_id": fare[1], "tip": fare[2]})
-                self.fare.clear()
+        for side, outcome in (("R", "unmatched_ride"), ("F", "unmatched_fare")):
+            state = self.waiting[side]
+            if state.exists() and state.get()[0] + self.max_wait_us <= deadline_us:
+                found = state.get()
+                out.append(self._row(key, outcome, *((found, None) if side == "R" else (None, found))))
+                state.clear()
         if out:
-            yield _frame(out, EXPIRING_OUTPUT.names)
+            yield self._frame(out)
 
     def close(self) -> None:
         pass

@@ -215,6 +215,20 @@ def test_expiring_stateful_equals_batch(spark, scratch):
     assert {o for _, o in want} == {"matched", "unmatched_ride", "unmatched_fare"}
 
 
+def test_stateful_pairs_are_whole_rows(spark, scratch):
+    """Every column of ride and fare as in the batch job, rows without an id included."""
+    r, f, rs, fs = _pair_inputs(spark, scratch)
+    hole = lambda df: df.withColumn("ride_id", F.when(F.col("ride_id") != 5, F.col("ride_id")))
+    got = _run(jobs.expiring_pairs_stateful(hole(rs), hole(fs)), "exp_rows", os.path.join(scratch, "ck"))
+    pairs = enrich.match_with_expiry(R.start_events_with_loss(hole(r), 1000), hole(f), 0)
+    cols = ["outcome", "ride_time", *[c for c in enrich.RIDE_COLS if c not in ("ride_id", "driver_id")],
+            *enrich.FARE_SIDE_COLS]
+    rows = [tuple(x[c] for c in cols) for x in got.select(*cols, "ride_id").collect()
+            if x.ride_id != 10 ** 9]
+    assert sorted(rows, key=str) == sorted((tuple(x) for x in pairs.select(*cols).collect()), key=str)
+    assert any(x[0] == "unmatched_ride" and x[1] for x in rows)
+
+
 def test_asof_stream_equals_batch(spark, scratch):
     ev = fx.load_events(spark, SF_SMALL)
     t = fx.trades(ev).withColumn("ts", F.col("ts").cast("timestamp"))
