@@ -200,14 +200,64 @@ def walk_deltas(dx, dy) -> list[np.ndarray]:
     return walk_cells(zero, zero, dx, dy)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _walk_deltas_udf(dx: pd.Series, dy: pd.Series) -> pd.Series:
-    return pd.Series(walk_deltas(dx.to_numpy(), dy.to_numpy()))
+# Bits of a packed run: cells of a walk (at most 651) and the id step between two of them.
+_RUN_CELLS_BITS, _RUN_STRIDE_BITS = 10, 12
+_RUN_OFFSET = 1 << 24               # makes first cells (deltas) positive
+
 
+def walk_runs(walks: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """(walk, first, cells, stride) of runs that together are the walks' cells, each once: a run
+    is ``first, first + stride, ...``, ids ascending.
 
-def walk_deltas_of(dx, dy) -> Column:
-    """Steps of the walk over an offset (array<int>), Arrow-batched."""
-    return _walk_deltas_udf(_c(dx), _c(dy))
+    Neighbouring steps of equal size form a run of the cells they lead to; a lone step's cell
+    (a corner) joins the next run, whose first step starts there, so a staircase has
+    one run a stair.
+    """
+    lengths = np.array([len(w) for w in walks], np.int64)
+    cells = np.concatenate(walks).astype(np.int64) if len(walks) else np.zeros(0, np.int64)
+    walk = np.repeat(np.arange(len(walks)), lengths)
+    step = np.diff(cells, prepend=0)
+    opens = np.zeros(len(cells), bool)
+    opens[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+    step[opens] = 0                                     # no step leads to a walk's first cell
+    starts = np.flatnonzero(opens | (step != np.roll(step, 1)))
+    size = np.diff(np.append(starts, len(cells)))
+    of, lone = walk[starts], size == 1
+    # place within a streak of lone groups of one walk
+    new = np.ones(len(starts), bool)
+    new[1:] = (of[1:] != of[:-1]) | ~lone[1:] | ~lone[:-1]
+    at = np.arange(len(starts))
+    place = at - np.maximum.accumulate(np.where(new, at, 0))
+    joins = lone & (place % 2 == 0) & (np.append(of[1:], -1) == of)
+    more = np.append(False, joins[:-1]).astype(np.int64)
+    kept = ~joins
+    first, count = cells[starts - more], size + more
+    stride = np.where(step[starts] == 0, 1, step[starts])
+    first = np.where(stride < 0, first + (count - 1) * stride, first)
+    return of[kept], first[kept], count[kept], np.abs(stride)[kept]
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _walk_runs_udf(dx: pd.Series, dy: pd.Series) -> pd.Series:
+    if not len(dx):
+        return pd.Series([], dtype=object)
+    walk, first, cells, stride = walk_runs(walk_deltas(dx.to_numpy(), dy.to_numpy()))
+    packed = ((first + _RUN_OFFSET) << (_RUN_CELLS_BITS + _RUN_STRIDE_BITS)
+              | cells << _RUN_STRIDE_BITS | stride)
+    return pd.Series(np.split(packed, np.searchsorted(walk, np.arange(1, len(dx)))))
+
+
+def walk_runs_of(dx, dy) -> Column:
+    """Runs of the walk over an offset (array<long>, see ``unpacked_run``), Arrow-batched."""
+    return _walk_runs_udf(_c(dx), _c(dy))
+
+
+def unpacked_run(run) -> tuple[Column, Column, Column]:
+    """(first cell as a delta, cells, stride) of a packed run."""
+    run = _c(run)
+    return (F.shiftright(run, _RUN_CELLS_BITS + _RUN_STRIDE_BITS) - F.lit(_RUN_OFFSET),
+            F.shiftright(run, _RUN_STRIDE_BITS).bitwiseAND(F.lit((1 << _RUN_CELLS_BITS) - 1)),
+            run.bitwiseAND(F.lit((1 << _RUN_STRIDE_BITS) - 1)))
 
 
 def cells_on_way(lon1, lat1, lon2, lat2) -> Column:

@@ -114,3 +114,21 @@ def test_walk_depends_only_on_the_offset():
     for i in range(3000):
         assert list(absolute[i]) == list(steps[i] + sx[i] + geo.GRID_X * sy[i])
         assert len(steps[i]) <= dx[i] + abs(dy[i]) + 1
+
+
+def test_runs_are_the_cells_of_their_walks():
+    """Every cell of a walk is in one of its runs, once; runs are far fewer than cells."""
+    import numpy as np
+
+    from cabline.functions import geo
+    rng = np.random.default_rng(3)
+    dx = np.concatenate([[0, 0, 1, 3, 3, 249, 0, 249], rng.integers(0, 250, 800)])
+    dy = np.concatenate([[0, 4, 0, 3, -3, 400, -400, 0], rng.integers(-400, 401, 800)])
+    walks = geo.walk_deltas(dx, dy)
+    walk, first, cells, stride = geo.walk_runs(walks)
+    for i, expected in enumerate(walks):
+        mine = np.flatnonzero(walk == i)
+        found = np.concatenate([first[k] + stride[k] * np.arange(cells[k]) for k in mine])
+        assert sorted(found.tolist()) == sorted(expected.tolist())
+    assert (stride > 0).all() and 2.5 * len(walk) < sum(map(len, walks))
+    assert cells.max() < 1 << geo._RUN_CELLS_BITS and stride.max() < 1 << geo._RUN_STRIDE_BITS
