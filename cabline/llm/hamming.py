@@ -51,7 +51,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, release, setting, word_hashes
+from cabline.llm._common import (cut, discard, id_and_text, mix64, release, setting,
+                                 word_hashes)
 from cabline.llm.graph import components, joined, roots
 
 SHINGLE = 5
@@ -368,6 +369,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         links = cut(_confirmed(near, sets, percent), "links")
     part = roots(links.select(F.col("b").alias("id"), F.col("a").alias("component")))
     part = _joined_clusters(star, part, reps, sets, percent)
+    discard(sets)
     release(docs.sparkSession)
 
     of_set = reps.join(part, "id", "left").select(
