@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabline.llm import decontam, hamming, quality, queries, surrogates
-from cabline.llm._common import cut, table
+from cabline.llm._common import cut, release, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # as many groups as documents: one plan at every size
     first = (rows.select("__row", "doc_id").join(linked.hint("merge"), "__row")
              .groupBy("component_id").agg(F.min_by("__row", order).alias("__row")))
-    return (rows.join(first.select("__row").hint("merge"), "__row", "left_semi")
+    # the shuffles so far can go before the texts are shuffled
+    first = cut(first.select("__row"), "kept-rows")
+    release(spark)
+    return (rows.join(first.hint("merge"), "__row", "left_semi")
             .select(*docs.columns))
 
 
