@@ -5,8 +5,11 @@ The model predicts an *output*: one of the most frequent words, the end, or one
 of ``rare_classes`` classes of the other words (by a hash of the last two bytes,
 which tells languages and styles apart).  The context's vectors, weighted per
 position, give a predicted vector; its products with all outputs' vectors plus
-biases are the scores, normalised over all outputs, computed for blocks of
-tokens as one matrix product.  A rare word's share of its class is
+biases are the scores, normalised over all outputs.  A score is a sum over the
+context's positions, so its exponential is a product of one factor a position:
+each position's are computed once, for all contexts and outputs, and looked up for
+blocks of tokens; where products run out of range, or the tables would be too
+large, the scores are computed as one matrix product a block.  A rare word's share of its class is
 (c + 1) / (sum of c + 1 over the class + 1), c its training count, the last 1
 for unseen words; so the probabilities of all known words and one unseen word
 per class sum to 1.
@@ -46,6 +49,8 @@ KNOWN_WORDS = 150_000
 ROUNDS, BATCH, NOISE, RATE = 2, 4096, 64, 0.1
 MAX_COUNTER = 250_000
 _BLOCK = 512            # tokens normalised at once
+_CELLS = 1 << 22        # of the factors' tables, 32 MB with their logs
+_LEAST = 1e-20          # a sum of products as large has lost nothing to underflow
 
 
 def fold(doc_id: int | None) -> int:
@@ -59,7 +64,8 @@ def words_of(text: bytes | None) -> list[bytes]:
 def word_hash(word: bytes) -> int:
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(word)).astype(np.int64))
+    value = xxhash.xxh3_64_intdigest(word)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def rare_class(word: bytes, classes: int) -> int:
@@ -171,24 +177,71 @@ class Model:
     def predicted(self, contexts: np.ndarray, weighted: np.ndarray | None = None) -> np.ndarray:
         """The weighted sum of the contexts' vectors; ``weighted``: all of them per position."""
         weighted = self.weighted() if weighted is None else weighted
-        return sum(table[at] for table, at in zip(weighted, contexts.T))
+        places = np.ascontiguousarray(contexts.T)
+        found = weighted[0].take(places[0], 0)
+        for table, at in zip(weighted[1:], places[1:]):
+            found += table.take(at, 0)
+        return found
 
     def weighted(self) -> np.ndarray:
         return self.r[None, :, :] * self.c[:, None, :]
 
     def log_probabilities(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Natural logs of the tokens at ``places``, normalised over all outputs; in blocks that
-        stay in the processor's cache, whatever texts they belong to."""
+        """Natural logs of the tokens at ``places``, normalised over all outputs."""
+        if len(self.c) * len(self.t) ** 2 > _CELLS:
+            return self._by_scores(line, places)
+        return self._by_factors(line, places)
+
+    def _by_factors(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """As a score is a sum over the positions, its exponential is a product of one factor a
+        position: looked up, so that no token needs exponentials of its own."""
+        shares = np.matmul(self.weighted(), self.t.T)       # (position, context, output)
+        shares[0] += self.b
+        shares -= shares.max(2, keepdims=True)              # factors up to 1; cancels below
+        factors = np.exp(shares)
+        found = np.empty(len(places))
+        rooms = np.empty((2, min(_BLOCK, len(places)), len(self.t)), np.float32)
+        lost = []
+        for i in range(0, len(places), _BLOCK):
+            at = places[i:i + _BLOCK]
+            before, target = np.ascontiguousarray(contexts(line, at, len(self.c)).T), line[at]
+            product, other = rooms[:, :len(at)]
+            # every context is a row of the table: "clip" only spares a copy
+            factors[0].take(before[0], 0, out=product, mode="clip")
+            for factor, c in zip(factors[1:-1], before[1:-1]):
+                product *= factor.take(c, 0, out=other, mode="clip")
+            if len(before) > 1:
+                factors[-1].take(before[-1], 0, out=other, mode="clip")
+            else:
+                other[:] = 1
+            total = np.einsum("ij,ij->i", product, other)
+            cells = before * len(self.t) + target
+            of = sum(share.ravel().take(x).astype(np.float64) for share, x in zip(shares, cells))
+            small = np.flatnonzero(total < _LEAST)
+            if len(small):                                  # the factors' products ran out of range
+                lost.append(i + small)
+                total[small] = 1
+            found[i:i + len(at)] = of - np.log(total, dtype=np.float64)
+        if lost:
+            lost = np.concatenate(lost)
+            found[lost] = self._by_scores(line, places[lost])
+        return found
+
+    def _by_scores(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The same by all outputs' scores, for any number of outputs and any weights; in blocks
+        that stay in the processor's cache, whatever texts they belong to."""
         outputs = np.concatenate([self.t, self.b[:, None]], 1)      # the bias as one more factor
         weighted = self.weighted()
         ones, longest = np.ones(len(outputs), np.float32), np.sqrt((outputs ** 2).sum(1).max())
         found = np.empty(len(places))
+        # one buffer for all blocks, so that its pages are touched once
+        room = np.empty((min(_BLOCK, len(places)), len(outputs)), np.float32)
         for i in range(0, len(places), _BLOCK):
             at = places[i:i + _BLOCK]
             q = np.ones((len(at), outputs.shape[1]), np.float32)
             q[:, :-1] = self.predicted(contexts(line, at, len(self.c)), weighted)
-            scores = q @ outputs.T
-            of = (q * outputs[line[at]]).sum(1, dtype=np.float64)
+            scores = np.matmul(q, outputs.T, out=room[:len(at)])
+            of = (q * outputs.take(line[at], 0)).sum(1, dtype=np.float64)
             if longest * np.sqrt((q ** 2).sum(1).max()) > 60:       # keep exp in range
                 top = scores.max(1, keepdims=True)
                 scores -= top
@@ -224,26 +277,34 @@ class Trainer:
     @staticmethod
     def _summed(rows: np.ndarray, gradient: np.ndarray, n: int) -> np.ndarray:
         """(n, ...) sums of the gradient's rows by row number; as few rows as outputs."""
-        columns = gradient.reshape(len(gradient), -1).T
-        return np.stack([np.bincount(rows, x, n) for x in columns], 1).reshape(
+        width = gradient[0].size
+        cells = (rows * width)[:, None] + np.arange(width)
+        return np.bincount(cells.ravel(), gradient.ravel(), n * width).reshape(
             n, *gradient.shape[1:])
 
     def train(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         m, n = self.m, len(targets)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)),
                            len(self.cumulative) - 1)
-        q = m.predicted(contexts)
-        data = (q * m.t[targets]).sum(1) + m.b[targets] - self.log_noise[targets]
-        other = q @ m.t[noise].T + m.b[noise] - self.log_noise[noise]
+        q, t = m.predicted(contexts), m.t.take(targets, 0)
+        data = (q * t).sum(1) + m.b[targets] - self.log_noise[targets]
         up = 1 / (1 + np.exp(np.clip(data, -30, 30)))               # 1 - sigmoid
-        down = -1 / (1 + np.exp(np.clip(-other, -30, 30)))          # - sigmoid
+        down = q @ m.t[noise].T                                     # in place from here on
+        down += m.b[noise]
+        down -= self.log_noise[noise]
+        np.negative(down, out=down)
+        np.exp(np.clip(down, -30, 30, out=down), out=down)
+        down += 1
+        np.divide(-1, down, out=down)                               # - sigmoid
         scale = np.float32(1 / np.sqrt(n))
-        up, down = (up * scale).astype(np.float32), (down * scale).astype(np.float32)
-        d_q = up[:, None] * m.t[targets] + down @ m.t[noise]
+        up = (up * scale).astype(np.float32)
+        down *= scale
+        d_q = up[:, None] * t + down @ m.t[noise]
         d_t = np.concatenate([up[:, None] * q, down.T @ q])
         d_b = np.concatenate([up, down.sum(0)])
         outputs = np.concatenate([targets, noise])
         # per position the predicted vectors' gradients by context: of them both factors follow
+        d_q = d_q.astype(np.float64)
         by_context = [self._summed(at, d_q, len(m.r)) for at in contexts.T]
         d_c = np.stack([(m.r * g).sum(0) for g in by_context])
         d_r = sum(g * c for g, c in zip(by_context, m.c))

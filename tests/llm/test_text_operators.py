@@ -153,6 +153,39 @@ def test_every_position_is_an_example(monkeypatch):
     assert np.concatenate([c for c, _ in batches]).tolist() == [[int(v) for v in c] for c in before]
 
 
+@pytest.mark.parametrize("context", [1, 2, 4])
+@pytest.mark.parametrize("size", [0.5, 40.0])
+def test_lbl_factors_against_scores(context, size):
+    """Factors a position give what all outputs' scores give; of large weights some products
+    run out of range."""
+    rng = np.random.default_rng(3)
+    words = lbl.Vocabulary([b"a", b"b", b"c"], np.array([5, 3, 2, 2, 1, 1]), 2)
+    model = lbl.Model(words, 4, context)
+    model.t = rng.normal(0, size, model.t.shape).astype(np.float32)
+    model.r = rng.normal(0, 2, model.r.shape).astype(np.float32)
+    texts = [rng.integers(0, words.outputs, n) for n in (1, 700, 3, 1500)]
+    line, places = words.laid_out(texts, context)
+    wanted = model._by_scores(line, places)
+    assert np.allclose(model._by_factors(line, places), wanted, rtol=1e-4, atol=1e-4)
+    outputs = np.arange(words.outputs)                  # after one context: sums to 1
+    after = np.concatenate([np.append(line[:context], x) for x in outputs])
+    logs = model._by_factors(after, context + (context + 1) * outputs)
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
+    assert len(model._by_factors(line, places[:0])) == 0
+
+
+def test_lbl_exponentials_do_not_grow_with_the_texts(monkeypatch):
+    words = lbl.Vocabulary([b"a", b"b"], np.array([5, 3, 2, 1, 1]), 2)
+    model, n, exp = lbl.Model(words, 4, 2), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **b: (n.append(np.size(x)), exp(x, *a, **b))[1])
+    texts = [np.arange(2000) % words.outputs]
+    small = lbl.text_scores(model, words, texts)
+    assert sum(n) < 2000
+    monkeypatch.setattr(lbl, "_CELLS", 0)               # as of a large vocabulary
+    assert lbl.text_scores(model, words, texts) == pytest.approx(small, rel=1e-5)
+    assert sum(n) >= 2000 * words.outputs
+
+
 def test_lbl_odd_and_empty(odd, none):
     rows = lbl.score_texts(odd).collect()
     assert len(rows) == odd.count()
