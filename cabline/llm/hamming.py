@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import (cut, discard, id_and_text, mix64, release, setting,
+from cabline.llm._common import (TEXT_BATCH, cut, discard, id_and_text, mix64, release, setting,
                                  word_hashes)
 from cabline.llm.graph import components, joined, roots
 
@@ -65,8 +65,6 @@ REPRESENTATIVES = 8
 #: of a block of step 4: members outside the largest tree, members, shingles of either
 BLOCK_OUT, BLOCK_ALL, BLOCK_SHINGLES = 256, 512, 400_000
 _COLUMNS = 1 << 12      # shingles of a matrix at once
-#: rows of a batch where rows are whole texts or sets: a worker holds few of them
-_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 class Shape(NamedTuple):
@@ -213,7 +211,7 @@ def _sets(ids: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     # ids grow with the documents: one plan at every size
     ids = ids.withColumnRenamed("id", "doc_id").hint("merge")
     of = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "id long, found binary")
-    with setting(docs.sparkSession, *_BATCH):
+    with setting(docs.sparkSession, *TEXT_BATCH):
         return cut(of, "shingle-sets")
 
 
@@ -325,7 +323,7 @@ def _joined_clusters(star: DataFrame, part: DataFrame, reps: DataFrame, sets: Da
     chosen = (chosen.select("cluster", "tree", F.explode(F.array_distinct(F.array(*[
         f"r{k}" for k in range(REPRESENTATIVES)]))).alias("id"))
         .join(reps.select("id", "n"), "id").select("cluster", "id", "tree", "n"))
-    with setting(star.sparkSession, *_BATCH):
+    with setting(star.sparkSession, *TEXT_BATCH):
         found = cut(_block_links(out, chosen, sets, percent), "links-of-representatives")
     joined_trees = components(found)
     top = joined_trees.select(F.col("id").alias("tree"), F.col("component").alias("top"))
@@ -334,7 +332,7 @@ def _joined_clusters(star: DataFrame, part: DataFrame, reps: DataFrame, sets: Da
     part = joined(part, joined_trees)
     out, main = outside(members)
     every = members.join(main.select("cluster"), "cluster")
-    with setting(star.sparkSession, *_BATCH):
+    with setting(star.sparkSession, *TEXT_BATCH):
         found = cut(_block_links(out, every, sets, percent), "links-of-blocks")
     return joined(part, components(found))
 
@@ -346,7 +344,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     Linked: ``100 * |A & B| >= percent * |A | B|``; component_id is the smallest
     doc_id reachable; kept where that is the document itself."""
     docs, shape = id_and_text(docs, id_col, text_col), shape_of(percent)
-    with setting(docs.sparkSession, *_BATCH):
+    with setting(docs.sparkSession, *TEXT_BATCH):
         found = cut(_summaries(docs, shingle, shape), "signatures")
     # one representative a set; equal sets are linked without comparison
     reps = cut(found.where("set_hash is not null").groupBy("set_hash", "signature")
@@ -365,7 +363,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     sets = _sets(ids, docs, shingle)
     release(docs.sparkSession)
     # each links to one smaller id at most: a forest, whose roots are its components
-    with setting(docs.sparkSession, *_BATCH):
+    with setting(docs.sparkSession, *TEXT_BATCH):
         links = cut(_confirmed(near, sets, percent), "links")
     part = roots(links.select(F.col("b").alias("id"), F.col("a").alias("component")))
     part = _joined_clusters(star, part, reps, sets, percent)

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabline.llm._common import cut, id_and_text, mix64, word_hashes
+from cabline.llm._common import (TEXT_BATCH, TEXT_COMPRESSION, cut, id_and_text, mix64, setting,
+                                 word_hashes)
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -154,7 +155,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     counts = feature_counts(
         marked.select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("trusted")),
         buckets)
-    ratio = spark.sparkContext.broadcast(log_ratio(counts, buckets, smoothing))
+    with setting(spark, *TEXT_BATCH):
+        ratio = spark.sparkContext.broadcast(log_ratio(counts, buckets, smoothing))
 
     carried = [carry] if carry else []
 
@@ -183,7 +185,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     scored = (judged if carry else docs).mapInArrow(judge, kinds)
     cell = F.least(F.lit(CELLS - 1), F.greatest(F.lit(0), F.floor(
         (F.col("score") + SCORE_RANGE) / (2 * SCORE_RANGE) * CELLS))).cast("int")
-    scored = cut(scored, "quality-scores")
+    with setting(spark, *TEXT_BATCH):
+        scored = cut(scored, "quality-scores", TEXT_COMPRESSION if carry else "snappy")
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     cells = (scored.where(~failed).join(trust, "doc_id")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabline.llm import decontam, hamming, quality, queries, surrogates
-from cabline.llm._common import cut, release, table
+from cabline.llm._common import TEXT_COMPRESSION, cut, release, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     with the smallest id, a row without an id only if all are.  Rows without words are in
     no group and stay."""
     # numbered in a table of their own: no later reading can number them otherwise
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows",
+               TEXT_COMPRESSION)
     linked = hamming.near_duplicates(rows, id_col="__row").select(
         F.col("doc_id").alias("__row"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from cabline.llm import hamming, queries
+from cabline.llm import hamming, quality, queries
 from cabline.llm._common import cut
 from tests.conftest import SF_SMALL
 from tests.llm.test_text_operators import near_duplicates
@@ -73,3 +73,23 @@ def test_rows_without_an_id_and_repeated_rows(spark, small):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
         [(3, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (5, texts[4]),
          (None, None), (8, "")], key=str)
+
+
+def test_tables_of_whole_rows_are_compressed_well(spark, small, monkeypatch):
+    """Those that stay on disk until a stage is written; their Python batches are small."""
+    files, batches = {}, {}
+
+    def seen(df, name, *rest):
+        batches[name] = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        out = cut(df, name, *rest)
+        files[name] = out.inputFiles()
+        return out
+
+    for module in (corpus_pipeline, quality):
+        monkeypatch.setattr(module, "cut", seen)
+    docs = small("documents").limit(60)
+    corpus_pipeline.quality_rules(spark, docs, SF_SMALL)
+    corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)
+    for name in ("quality-scores", "numbered-rows"):
+        assert files[name] and all(x.endswith(".zstd.parquet") for x in files[name])
+    assert int(batches["quality-scores"]) == 1000
