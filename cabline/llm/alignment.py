@@ -20,7 +20,10 @@ rows as B's vocabulary.
 Texts of tabs, line ends, ASCII and Latin letters alone are encoded with the byte-level
 file's own vocabulary and merges by tiktoken, which is four times as fast (checked when
 loaded: ids follow the order of the merges); others by tokenizers, since their libraries' tables of
-Unicode differ.  Either way the tokens' bytes are compared with the text's.
+Unicode differ.  The same texts get B's ids by tiktoken too, with the model's pieces ranked by
+their scores (checked when loaded: a BPE model that leaves texts as they are, whose pieces have
+blanks only in front); others by sentencepiece.  Either way the tokens' bytes are compared with
+the text's.
 
 Cases: null and empty texts and those whose tokens don't give their bytes have no
 tokens, zeros and no groups; a null doc_id and repeated rows are rows like any other;
@@ -51,6 +54,8 @@ _PLAIN = re.compile("[\t\n\x20-\x7e¡-¬®-ſ]*")
 _PRE_TOKENS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                r"|\s+(?!\S)|\s+")
 _BLANK_SIGN = "▁"
+#: the ends of these are reached across by no piece that has blanks only in front
+_BLANK_AND_WORD, _BLANKS_AND_WORD = " [^ ]*", re.compile("(  +[^ ]*)")
 
 
 class ByteLevel:
@@ -106,11 +111,60 @@ class Pieces:
                        else self.model.id_to_piece(i).replace(_BLANK_SIGN, " ").encode()
                        for i in ids]
         self.bytes = _Bytes(self.pieces)
+        self.fast, self.id_of_rank = self._by_scores() or (None, None)
 
-    def encode(self, text: str) -> np.ndarray:
+    def _by_scores(self) -> tuple | None:
+        """The same BPE by tiktoken and the ids of its ranks, None where the model is another kind."""
+        try:
+            from sentencepiece.sentencepiece_model_pb2 import ModelProto
+        except ImportError:             # needs protobuf
+            return None
+        file, kind = ModelProto.FromString(self.model.serialized_model_proto()), ModelProto.SentencePiece
+        trainer, normalizer = file.trainer_spec, file.normalizer_spec
+        listed = {x.piece.replace(_BLANK_SIGN, " "): (-x.score, i)
+                  for i, x in enumerate(file.pieces) if x.type == kind.NORMAL}
+        plain = {x: at for x, at in listed.items() if _PLAIN.fullmatch(x)}
+        merged = sorted((x for x in plain if len(x) > 1 and x[:2] != "  "), key=plain.__getitem__)
+        if trainer.model_type != trainer.BPE or not trainer.byte_fallback or \
+                trainer.treat_whitespace_as_suffix or normalizer.precompiled_charsmap or \
+                not normalizer.add_dummy_prefix or normalizer.remove_extra_whitespaces or \
+                not normalizer.escape_whitespaces or \
+                any(x.type in (kind.USER_DEFINED, kind.UNUSED) for x in file.pieces) or \
+                any(" " in x.lstrip(" ") for x in listed) or \
+                len({plain[x][0] for x in merged}) < len(merged) or \
+                any(c not in plain for x in merged for c in x):
+            return None
+        import tiktoken
+
+        # signs come first: they are the symbols that the model starts from, or else their bytes
+        ids = {bytes([int(x.piece[3:5], 16)]): i
+               for i, x in enumerate(file.pieces) if x.type == kind.BYTE}
+        ids |= {x.encode(): i for x, (_, i) in plain.items() if len(x) == 1}
+        # tiktoken takes a listed word as it is: none that the merges don't reach
+        reached = self.model.encode([x[1:] for x in merged], num_threads=1)
+        ids |= {x.encode(): plain[x][1] for x, found in zip(merged, reached)
+                if x[0] != " " or found == [plain[x][1]]}
+        fast = tiktoken.Encoding("scored", pat_str=_BLANK_AND_WORD, special_tokens={},
+                                 mergeable_ranks={x: rank for rank, x in enumerate(ids)})
+        return fast, np.array(list(ids.values()), np.int32)
+
+    def slow(self, text: str) -> np.ndarray:
         # the model adds the blank that the text starts with
         return np.array(self.model.encode(text[1:], num_threads=1), np.int32)
 
+    def ranked(self, text: str) -> np.ndarray:
+        return self.id_of_rank[self.fast.encode_ordinary(text)]
+
+    def encode(self, text: str) -> np.ndarray:
+        wide = text.count("  ")
+        if self.fast is None or 64 * wide > len(text) or _PLAIN.fullmatch(text) is None:
+            return self.slow(text)
+        if not wide:
+            return self.ranked(text)
+        # blanks in a row, all of one score, and the word behind them are the model's
+        parts = enumerate(_BLANKS_AND_WORD.split(text))
+        return np.concatenate([self.slow(x) if i % 2 else self.ranked(x) for i, x in parts if x])
+
 
 class _Bytes:
     """The bytes of token sequences, by numpy look-up."""

@@ -157,6 +157,35 @@ def test_fast_and_slow_encodings_agree(sides, texts):
             assert a.encode(" " + text).tolist() == a.slow(" " + text).tolist()
 
 
+def test_plain_texts_get_the_model_s_ids_by_its_scores(sides, texts):
+    _, b = sides
+    assert b.fast is not None
+    rng = random.Random(4)
+    words = [p.decode().lstrip(" ") for i, p in enumerate(b.pieces) if not b.model.is_byte(i)]
+    signs = "\n\t" + "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x180)]))
+    odd = [w for w in words if w]
+    odd += ["".join(rng.choices(words, k=3)) + " " + "".join(rng.choices(signs, k=9))
+            for _ in range(3000)]
+    odd += [" ", "a ", " a", "a" * 500 + "  b", "x" * 3000, "1 22 333 " * 50 + "    4" + " y" * 99 + "   ",
+            "\n \n" + "the cat " * 40 + "\n    the  cat", "<s> </s><unk><0x41>", "a ▁ b", "漢字 \x00"]
+    for text in [*odd, *list(texts.values())[:100]]:
+        if text:
+            assert b.encode(" " + text).tolist() == b.model.encode(text)
+
+    # a plain text never reaches the model, one of other letters does
+    class Model:
+        def encode(self, *args, **options):
+            raise LookupError
+
+    model, b.model = b.model, Model()
+    try:
+        assert len(b.encode(" the cat\tsaß,\n 12 naïve")) > 5
+        with pytest.raises(LookupError):
+            b.encode(" the Ω")
+    finally:
+        b.model = model
+
+
 def brute_alignment(sides, texts: dict) -> dict:
     a, b = sides
     out, linked, counts = {}, {}, Counter()
