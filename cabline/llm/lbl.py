@@ -7,9 +7,11 @@ which tells languages and styles apart).  The context's vectors, weighted per
 position, give a predicted vector; its products with all outputs' vectors plus
 biases are the scores, normalised over all outputs.  A score is a sum over the
 context's positions, so its exponential is a product of one factor a position:
-each position's are computed once, for all contexts and outputs, and looked up for
-blocks of tokens; where products run out of range, or the tables would be too
-large, the scores are computed as one matrix product a block.  A rare word's share of its class is
+each position's are computed once, for all contexts and outputs.  Of contexts in order the
+nearer halves' products are computed once a half and looked up; the sums of the most frequent
+halves with each other are one matrix product.  Where products run out of range, or the tables
+would be too large, the scores are computed as one matrix product a block.  Words are split,
+counted and looked up by Arrow, many texts at a time.  A rare word's share of its class is
 (c + 1) / (sum of c + 1 over the class + 1), c its training count, the last 1
 for unseen words; so the probabilities of all known words and one unseen word
 per class sum to 1.
@@ -30,12 +32,13 @@ table gives no rows.
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +51,10 @@ HOT_WORDS, RARE_CLASSES, DIMENSIONS, CONTEXT = 447, 64, 16, 4
 KNOWN_WORDS = 150_000
 ROUNDS, BATCH, NOISE, RATE = 2, 4096, 64, 0.1
 MAX_COUNTER = 250_000
-_BLOCK = 512            # tokens normalised at once
+_BLOCK = 256            # tokens normalised at once
+_TOKENS = 1 << 20       # sorted and scored at once
+_BYTES = 4 << 20        # of texts split at once
+_HALVES = 2048          # most frequent halves of contexts whose sums are one matrix product
 _CELLS = 1 << 22        # of the factors' tables, 32 MB with their logs
 _LEAST = 1e-20          # a sum of products as large has lost nothing to underflow
 
@@ -73,38 +79,82 @@ def rare_class(word: bytes, classes: int) -> int:
 
 
 class _RareOutputs(dict):
-    """word -> output of its rare class; emptied when large."""
+    """a word's last two bytes -> output of its rare class."""
 
     def __init__(self, first: int, classes: int) -> None:
         super().__init__()
         self.first, self.classes = first, classes
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = self.first + rare_class(word, self.classes)
+    def __missing__(self, ending: bytes) -> int:
+        value = self[ending] = self.first + rare_class(ending, self.classes)
         return value
 
+    def of(self, words: list[bytes]) -> list[int]:
+        return [self[w[-2:]] for w in words]
+
+
+def pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of rows in order whose sizes sum to ``most`` at most; one row at least."""
+    sums, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while first < len(sizes):
+        end = max(first + 1, int(np.searchsorted(sums, sums[first] + most, "right")) - 1)
+        yield first, end
+        first = end
+
+
+def text_pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch's rows with at most _BYTES of text at a time."""
+    sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+    for first, end in pieces(sizes.astype(np.int64), _BYTES):
+        yield b.slice(first, end - first)
+
+
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(:func:`words_of` all texts one after the other, how many each text has)."""
+    raw = texts.cast(pa.binary())
+    # these functions look at single bytes: they don't need valid UTF-8
+    raw = pa.Array.from_buffers(pa.string(), len(raw), raw.buffers(), offset=raw.offset)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(raw))
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    words = lists.flatten()
+    words = pa.Array.from_buffers(pa.binary(), len(words), words.buffers(), offset=words.offset)
+    some = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if not some.all():                          # white space at a text's start or end
+        text = np.repeat(np.arange(len(n)), n)
+        n, words = np.bincount(text[some], minlength=len(n)), words.filter(pa.array(some))
+    return words, n.astype(np.int64)
+
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over the training documents; the end is the empty word."""
+    names = ["word", "n"]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        found, ends = [], 0
 
-        def rows() -> pa.RecordBatch:
+        def summed() -> pa.RecordBatch:
+            sums = pa.Table.from_batches(found).group_by("word", use_threads=False).aggregate(
+                [("n", "sum")]).combine_chunks()
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())],
-                ["word", "n"])
+                [pa.concat_arrays(sums.column(x).chunks) for x in ("word", "n_sum")], names)
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                if fold(doc_id) != HELD_OUT_FOLD:
-                    total.update(words_of(text))
-                    total[b""] += 1
-                if len(total) >= MAX_COUNTER:
-                    yield rows()
-                    total = Counter()
-        yield rows()
+            train = [fold(x) != HELD_OUT_FOLD for x in b.column("doc_id").to_pylist()]
+            ends += sum(train)
+            for piece in text_pieces(b.filter(pa.array(train, pa.bool_()))):
+                n = split_texts(piece.column("text"))[0].value_counts()
+                if len(n):
+                    found.append(pa.RecordBatch.from_arrays(n.flatten(), names))
+                if sum(map(len, found)) >= 2 * MAX_COUNTER:
+                    found = [summed()]
+                    if len(found[0]) >= MAX_COUNTER:
+                        yield from found
+                        found = []
+        if found:
+            yield summed()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([b""] * (ends > 0), pa.binary()),
+             pa.array([ends] * (ends > 0), pa.int64())], names)
 
     return (docs.mapInArrow(count, "word binary, n long").groupBy("word")
             .agg(F.sum("n").alias("n")))
@@ -133,7 +183,7 @@ class Vocabulary:
         out[:-1] = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64,
                                len(words))
         others, rare = np.flatnonzero(out == -1), self.rare()
-        out[others] = [rare[words[i]] for i in others.tolist()]
+        out[others] = rare.of([words[i] for i in others.tolist()])
         return out
 
     def laid_out(self, texts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,35 +238,35 @@ class Model:
 
     def log_probabilities(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Natural logs of the tokens at ``places``, normalised over all outputs."""
-        if len(self.c) * len(self.t) ** 2 > _CELLS:
+        half = len(self.r) ** ((len(self.c) + 1) // 2)          # halves that a context can have
+        if len(self.c) * len(self.t) ** 2 > _CELLS or half > _CELLS:
             return self._by_scores(line, places)
         return self._by_factors(line, places)
 
     def _by_factors(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
         """As a score is a sum over the positions, its exponential is a product of one factor a
-        position: looked up, so that no token needs exponentials of its own."""
+        position: looked up, so that no token needs exponentials of its own.  ``places`` rise."""
         shares = np.matmul(self.weighted(), self.t.T)       # (position, context, output)
         shares[0] += self.b
         shares -= shares.max(2, keepdims=True)              # factors up to 1; cancels below
         factors = np.exp(shares)
         found = np.empty(len(places))
-        rooms = np.empty((2, min(_BLOCK, len(places)), len(self.t)), np.float32)
-        lost = []
-        for i in range(0, len(places), _BLOCK):
-            at = places[i:i + _BLOCK]
-            before, target = np.ascontiguousarray(contexts(line, at, len(self.c)).T), line[at]
-            product, other = rooms[:, :len(at)]
-            # every context is a row of the table: "clip" only spares a copy
-            factors[0].take(before[0], 0, out=product, mode="clip")
-            for factor, c in zip(factors[1:-1], before[1:-1]):
-                product *= factor.take(c, 0, out=other, mode="clip")
-            if len(before) > 1:
-                factors[-1].take(before[-1], 0, out=other, mode="clip")
-            else:
-                other[:] = 1
-            total = np.einsum("ij,ij->i", product, other)
-            cells = before * len(self.t) + target
-            of = sum(share.ravel().take(x).astype(np.float64) for share, x in zip(shares, cells))
+        lost, n, middle = [], len(self.c), (len(self.c) + 1) // 2
+        for i in range(0, len(places), _TOKENS):
+            at = places[i:i + _TOKENS]
+            first = at[0] - n
+            part, at = line[first:at[-1] + 1], at - first
+            # of all places behind the n first, texts' starts too
+            of = np.zeros(len(part) - n)
+            near, far = (np.zeros(len(of), np.int64) for _ in range(2))
+            for k, share in enumerate(shares):
+                before = part[n - 1 - k:len(part) - 1 - k]
+                of += share.ravel().take(before * len(self.t) + part[n:], mode="clip")
+                half = near if k < middle else far
+                half *= len(self.r)
+                half += before
+            of, near, far = (x.take(at - n) for x in (of, near, far))
+            total = _sums(factors, near, far)
             small = np.flatnonzero(total < _LEAST)
             if len(small):                                  # the factors' products ran out of range
                 lost.append(i + small)
@@ -251,6 +301,75 @@ class Model:
         return found
 
 
+def _products(factors: np.ndarray, halves: np.ndarray) -> np.ndarray:
+    """(halves, outputs): the products of the factors of the contexts that each half holds."""
+    found = np.ones((len(halves), factors.shape[2]), np.float32)
+    for factor in factors[::-1]:
+        halves, c = np.divmod(halves, factors.shape[1])
+        found *= factor.take(c, 0)
+    return found
+
+
+class _Halves:
+    """The nearer or farther halves of some tokens' contexts, each as one number."""
+
+    def __init__(self, factors: np.ndarray, halves: np.ndarray, most: int) -> None:
+        self.factors, self.halves = factors, halves
+        times = np.bincount(halves)
+        top = np.flatnonzero(times)
+        top = top[np.argsort(-times[top], kind="stable")[:most]]
+        self.products = _products(factors, top)         # of the most frequent, falling
+        place = np.full(len(times), -1, np.int32)
+        place[top] = np.arange(len(top))
+        self.place = place.take(halves)                 # of each among these, or -1
+
+
+def _sums_of(near: _Halves, far: _Halves, tokens: np.ndarray, found: np.ndarray) -> None:
+    """The ``tokens``' sums: in the order of one half, so that a block has few of them, and with
+    the frequent ones' products of the other."""
+    tokens = tokens[np.argsort(near.halves[tokens])]
+    half, place = near.halves[tokens], far.place[tokens]
+    new = np.concatenate([[True], half[1:] != half[:-1]])[:len(half)]
+    half, of = half[new], np.cumsum(new) - 1
+    sums = np.empty(len(tokens), np.float32)
+    rooms = np.empty((2, min(_BLOCK, len(tokens)), near.products.shape[1]), np.float32)
+    first = end = 0
+    for i in range(0, len(tokens), _BLOCK):
+        j = min(i + _BLOCK, len(tokens))
+        one, other = rooms[:, :j - i]
+        if of[j - 1] >= end:
+            first, end = of[i], of[i] + _BLOCK
+            products = _products(near.factors, half[first:end])
+        # every place is a row of the table: "clip" only spares a copy (-1 is done below)
+        products.take(of[i:j] - first, 0, out=one, mode="clip")
+        far.products.take(place[i:j], 0, out=other, mode="clip")
+        seldom = np.flatnonzero(place[i:j] < 0)
+        if len(seldom):
+            other[seldom] = _products(far.factors, far.halves[tokens[i + seldom]])
+        np.vecdot(one, other, out=sums[i:j])
+    found[tokens] = sums
+
+
+def _sums(factors: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Of each token the sum over all outputs of its contexts' factors' product; ``near``, ``far``:
+    the halves of its context."""
+    middle = (len(factors) + 1) // 2
+    most = min(_HALVES, 2 * math.isqrt(len(near)))
+    one, other = (_Halves(f, x, 4 * most) for f, x in ((factors[:middle], near),
+                                                       (factors[middle:], far)))
+    found = np.empty(len(near), np.float32)
+    # halves that are frequent on both sides: all their sums with each other
+    table = one.products[:most] @ other.products[:most].T
+    both = ((one.place.view(np.uint32) < len(table)) &          # -1 is a large number
+            (other.place.view(np.uint32) < table.shape[1]))
+    found[both] = table[one.place[both], other.place[both]]
+    rest = np.flatnonzero(~both)
+    frequent = other.place[rest] >= 0
+    _sums_of(one, other, rest[frequent], found)
+    _sums_of(other, one, rest[~frequent], found)
+    return found
+
+
 def text_scores(model: Model, words: Vocabulary, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the probability of each text's outputs; each has its end at least."""
     logs = model.log_probabilities(*words.laid_out(texts, len(model.c))) / np.log(10)
@@ -266,6 +385,8 @@ class Trainer:
         self.cumulative = np.cumsum(vocabulary.share)
         self.log_noise = np.log(NOISE * vocabulary.share).astype(np.float32)
         self.squares = {x: np.full_like(getattr(model, x), 1e-2) for x in Model.NAMES}
+        # of each row of a table its cells
+        self.cells = np.arange(model.r.size).reshape(model.r.shape)
         self.examples = 0
 
     def _step(self, name: str, gradient: np.ndarray) -> None:
@@ -274,47 +395,56 @@ class Trainer:
         squares += gradient * gradient
         value += RATE * gradient / np.sqrt(squares)
 
-    @staticmethod
-    def _summed(rows: np.ndarray, gradient: np.ndarray, n: int) -> np.ndarray:
+    def _summed(self, rows: np.ndarray, gradient: np.ndarray, n: int) -> np.ndarray:
         """(n, ...) sums of the gradient's rows by row number; as few rows as outputs."""
-        width = gradient[0].size
-        cells = (rows * width)[:, None] + np.arange(width)
-        return np.bincount(cells.ravel(), gradient.ravel(), n * width).reshape(
-            n, *gradient.shape[1:])
+        width = gradient.shape[1]
+        cells = self.cells.take(rows, 0)
+        return np.bincount(cells.ravel(), gradient.ravel(), n * width).reshape(n, width)
 
     def train(self, contexts: np.ndarray, targets: np.ndarray) -> None:
         m, n = self.m, len(targets)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)),
                            len(self.cumulative) - 1)
-        q, t = m.predicted(contexts), m.t.take(targets, 0)
-        data = (q * t).sum(1) + m.b[targets] - self.log_noise[targets]
+        contexts = np.ascontiguousarray(contexts.T)
+        of_noise = m.t[noise]
+        q, t = m.predicted(contexts.T), m.t.take(targets, 0)
+        bias = m.b - self.log_noise
+        data = np.vecdot(q, t) + bias.take(targets)
         up = 1 / (1 + np.exp(np.clip(data, -30, 30)))               # 1 - sigmoid
-        down = q @ m.t[noise].T                                     # in place from here on
-        down += m.b[noise]
-        down -= self.log_noise[noise]
-        np.negative(down, out=down)
+        # by noise word, so that each row has one bias; in place from here on
+        down = -of_noise @ q.T
+        down -= bias[noise][:, None]
         np.exp(np.clip(down, -30, 30, out=down), out=down)
         down += 1
-        np.divide(-1, down, out=down)                               # - sigmoid
         scale = np.float32(1 / np.sqrt(n))
-        up = (up * scale).astype(np.float32)
-        down *= scale
-        d_q = up[:, None] * t + down @ m.t[noise]
-        d_t = np.concatenate([up[:, None] * q, down.T @ q])
-        d_b = np.concatenate([up, down.sum(0)])
-        outputs = np.concatenate([targets, noise])
+        np.divide(-scale, down, out=down)                           # - sigmoid
+        up = (up * scale).astype(np.float32)[:, None]
+        d_q = down.T @ of_noise
+        d_q += up * t
         # per position the predicted vectors' gradients by context: of them both factors follow
         d_q = d_q.astype(np.float64)
-        by_context = [self._summed(at, d_q, len(m.r)) for at in contexts.T]
-        d_c = np.stack([(m.r * g).sum(0) for g in by_context])
-        d_r = sum(g * c for g, c in zip(by_context, m.c))
-        self._step("t", self._summed(outputs, d_t, len(m.t)))
-        self._step("b", self._summed(outputs, d_b, len(m.b)))
+        by_context = [self._summed(at, d_q, len(m.r)) for at in contexts]
+        r = m.r.astype(np.float64)
+        d_c = np.stack([np.einsum("ij,ij->j", r, g) for g in by_context])
+        d_r = sum(g * c for g, c in zip(by_context, m.c.astype(np.float64)))
+        d_t = self._summed(targets, up * q, len(m.t))
+        np.add.at(d_t, noise, down @ q)
+        d_b = np.bincount(targets, up[:, 0], len(m.b))
+        np.add.at(d_b, noise, down.sum(1))
+        self._step("t", d_t)
+        self._step("b", d_b)
         self._step("r", d_r)
         self._step("c", d_c)
         self.examples += n
 
 
+def _binaries(values: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """The bytes of the values up to each stop, in order."""
+    offsets = np.concatenate([[0], stops * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(stops),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def _read(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
 
@@ -393,35 +523,48 @@ def _encoded(docs: DataFrame, vocabulary: Vocabulary, known: dict[bytes, int], e
         # per output: 0, or what a rare word's class subtracts
         minus = np.concatenate([np.zeros(words.first_rare), log_class])
         # one look-up a token: the place among the sent words gives output and count
-        index = {w: i for i, w in enumerate(known)}
+        index = pc.SetLookupOptions(pa.array(list(known), pa.binary()))
         output_of = words.outputs_of(list(known))       # the end comes last, at place -1
         logs_of = np.log10(np.array([*known.values(), ends], np.float64) + 1)
-        rare_outputs, get = words.rare(), index.get
-        for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                tokens = words_of(text)
-                at = np.fromiter(map(get, tokens, itertools.repeat(-1)), np.int64, len(tokens))
-                unknown = np.flatnonzero(at < 0)
-                others = [tokens[i] for i in unknown.tolist()]
-                at = np.append(at, -1)
-                outputs, logs = output_of[at], logs_of[at]
-                outputs[unknown] = [rare_outputs[w] for w in others]
-                logs[unknown] = 0
-                rest = Counter(map(word_hash, others))
-                rare = outputs >= words.first_rare
-                rows.append((place, fold(doc_id) == HELD_OUT_FOLD, len(outputs),
-                             len(tokens) - len(others) + (ends > 0),
-                             float(logs.sum()) - log_all * len(outputs),
-                             float(logs[rare].sum() - minus[outputs[rare]].sum()),
-                             outputs.astype("<u2").tobytes(), list(rest), list(rest.values())))
-                place += 1
-            cols = list(zip(*rows)) if rows else [()] * 9
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        rare_outputs = words.rare()
+        for b in itertools.chain.from_iterable(map(text_pieces, batches)):
+            tokens, n = split_texts(b.column("text"))
+            met = pc.index_in(tokens, options=index)
+            others = tokens.filter(met.is_null()).to_pylist()
+            met = met.fill_null(-1).to_numpy()
+            # each text's end behind its words
+            stops = np.cumsum(n + 1)
+            text = np.repeat(np.arange(len(n)), n + 1)
+            at = np.full(len(text), -1, np.int64)
+            is_word = np.ones(len(text), bool)
+            is_word[stops - 1] = False
+            at[is_word] = met
+            outputs, logs = output_of[at], logs_of[at]
+            unknown = np.flatnonzero(is_word)[met < 0]
+            outputs[unknown] = rare_outputs.of(others)
+            logs[unknown] = 0
+            rare = np.flatnonzero(outputs >= words.first_rare)
+            shares = np.bincount(text[rare], logs[rare] - minus[outputs[rare]], len(n))
+            # of the words that weren't sent: each text's hashes, and how often it has them
+            hashes = np.fromiter(map(word_hash, others), np.int64, len(others))
+            of = text[unknown]
+            order = np.lexsort((hashes, of))
+            hashes, of = hashes[order], of[order]
+            first = np.ones(len(of), bool)
+            first[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+            rest = np.searchsorted(of[first], np.arange(len(n) + 1))
+            times = np.diff(np.append(np.flatnonzero(first), len(of)))
+            known_tokens = n - np.bincount(of, minlength=len(n)) + (ends > 0)
+            held = [fold(x) == HELD_OUT_FOLD for x in b.column("doc_id").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                [b.column("doc_id"), pa.array(place + np.arange(len(n))), pa.array(held, pa.bool_()),
+                 pa.array(n + 1), pa.array(known_tokens),
+                 pa.array(np.bincount(text, logs, len(n)) - log_all * (n + 1)), pa.array(shares),
+                 _binaries(outputs.astype("<u2"), stops),
+                 *(pa.ListArray.from_arrays(pa.array(rest, pa.int32()), pa.array(x, pa.int64()))
+                   for x in (hashes[first], times))],
                 [*_SCORED, "score", "outputs", "rare", "times"])
+            place += len(n)
 
     return cut(docs.mapInArrow(
         encode, "doc_id long, place long, held_out boolean, n_tokens long, n_known long, "
@@ -485,7 +628,8 @@ def score_texts(docs: DataFrame, hot_words: int = HOT_WORDS, rare_classes: int =
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, m = sent()
-        for b in batches:
+        for b in (b.slice(i, j - i) for b in batches
+                  for i, j in pieces(b.column("n_tokens").to_numpy(), _TOKENS)):
             score = text_scores(m, words, _read(b.column("outputs")))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in _SCORED), pa.array(b.column("score").to_numpy() + score)],

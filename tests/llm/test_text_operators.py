@@ -186,6 +186,92 @@ def test_lbl_exponentials_do_not_grow_with_the_texts(monkeypatch):
     assert sum(n) >= 2000 * words.outputs
 
 
+@pytest.mark.parametrize("context", [1, 2, 3, 4])
+@pytest.mark.parametrize("size", [0.5, 40.0])
+def test_lbl_sums_of_seldom_halves(monkeypatch, context, size):
+    """Contexts whose halves are in no table, in one table and in both, in several blocks."""
+    for name, value in (("_HALVES", 3), ("_BLOCK", 7), ("_TOKENS", 500)):
+        monkeypatch.setattr(lbl, name, value)
+    rng = np.random.default_rng(6)
+    words = lbl.Vocabulary([b"a", b"b", b"c"], np.array([5, 3, 2, 2, 1, 1]), 2)
+    model = lbl.Model(words, 4, context)
+    model.t = rng.normal(0, size, model.t.shape).astype(np.float32)
+    texts = [rng.integers(0, words.outputs, n) ** 2 % words.outputs for n in (1, 700, 3, 1500)]
+    line, places = words.laid_out(texts, context)
+    wanted = model._by_scores(line, places)
+    assert np.allclose(model._by_factors(line, places), wanted, rtol=1e-4, atol=1e-4)
+
+
+def test_lbl_products_do_not_grow_with_the_texts(monkeypatch):
+    """Every half's product is computed once, not once a token."""
+    words = lbl.Vocabulary([b"a", b"b"], np.array([5, 3, 2, 1, 1]), 2)
+    model, rows, products = lbl.Model(words, 4, 4), [], lbl._products
+    monkeypatch.setattr(lbl, "_products", lambda f, x: (rows.append(len(x)), products(f, x))[1])
+    lbl.text_scores(model, words, [np.random.default_rng(2).integers(0, words.outputs, 9000)])
+    assert 0 < sum(rows) <= 2 * (words.outputs + 1) ** 2
+
+
+def test_lbl_texts_are_split_many_at_a_time():
+    texts = [b" A b\x0b\x1cC ", None, b"", b"  ", b"x\xc2\x85y\xff\x00 z", "Ä ß\u00a0É".encode(),
+             b"\t\n", b"one", b"A\xff\x80 \xe2", b"q " * 50]
+    wanted = [lbl.words_of(x) for x in texts]
+    whole = pa.array([b"before it", *texts, b"behind"], pa.binary())
+    for some, expected in ((whole.slice(1, len(texts)), wanted), (whole.slice(2, 3), wanted[1:4]),
+                           (whole.slice(0, 0), []), (whole.slice(8, 1), [[b"one"]])):
+        words, n = lbl.split_texts(some)
+        assert words.to_pylist() == [w for x in expected for w in x]
+        assert n.tolist() == [len(x) for x in expected]
+    assert list(lbl.pieces(np.array([5, 0, 9, 1, 1, 30, 2]), 6)) == [
+        (0, 2), (2, 3), (3, 5), (5, 6), (6, 7)]
+    assert list(lbl.pieces(np.zeros(4, np.int64), 6)) == [(0, 4)]
+
+
+def test_lbl_small_pieces_give_the_same(spark, odd, monkeypatch):
+    """Pieces of a few texts, counts summed again and again, against plain ones."""
+    texts = [r.text for r in odd.collect()] + ["a b a", " b  c ", "ü \x0b É"] * 20
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = sorted(lbl.score_texts(docs, known_words=3, hot_words=2).collect())
+    monkeypatch.setattr(lbl, "_BYTES", 40)
+    monkeypatch.setattr(lbl, "MAX_COUNTER", 3)
+    again = sorted(lbl.score_texts(docs, known_words=3, hot_words=2).collect())
+    counts = Counter(w for d, t in enumerate(texts) if lbl.fold(d) != lbl.HELD_OUT_FOLD
+                     for w in [*lbl.words_of((t or "").encode()), b""])
+    binary = docs.selectExpr("doc_id", "cast(text as binary) as text")
+    assert {bytes(r.word): r.n for r in lbl.word_counts(binary).collect()} == counts
+    for a, b in zip(rows, again, strict=True):
+        tokens = [*lbl.words_of((texts[a.doc_id] or "").encode()), b""]
+        assert a[:5] == b[:5] and (a.n_tokens, a.n_known) == (
+            len(tokens), sum(counts[w] > 0 for w in tokens))
+        assert (a.base_score, a.score) == pytest.approx((b.base_score, b.score), rel=1e-9)
+
+
+def test_lbl_step_equals_a_plain_one():
+    rng = np.random.default_rng(8)
+    words = lbl.Vocabulary([b"a", b"b", b"c"], np.array([5, 3, 2, 2, 1, 1]), 2)
+    model, plain = (lbl.Model(words, 4, 3) for _ in range(2))
+    for name in lbl.Model.NAMES:
+        value = rng.normal(0, 0.5, getattr(model, name).shape)
+        setattr(model, name, value.astype(np.float32))
+        setattr(plain, name, getattr(model, name).astype(float))
+    before, targets = rng.integers(0, words.outputs + 1, (50, 3)), rng.integers(0, words.outputs, 50)
+    noise = np.searchsorted(np.cumsum(words.share), np.random.default_rng(5).random(lbl.NOISE))
+    slopes = {x: np.zeros_like(getattr(plain, x)) for x in lbl.Model.NAMES}
+    for context, target in zip(before, targets):
+        q = sum(plain.r[c] * plain.c[k] for k, c in enumerate(context))
+        for x, real in [(target, 1), *((x, 0) for x in noise)]:
+            delta = plain.t[x] @ q + plain.b[x] - math.log(lbl.NOISE * words.share[x])
+            up = (real - 1 / (1 + math.exp(-delta))) / math.sqrt(50)
+            slopes["t"][x] += up * q
+            slopes["b"][x] += up
+            for k, c in enumerate(context):
+                slopes["r"][c] += up * plain.t[x] * plain.c[k]
+                slopes["c"][k] += up * plain.t[x] * plain.r[c]
+    lbl.Trainer(model, words, 5).train(before, targets)
+    for x, slope in slopes.items():
+        wanted = getattr(plain, x) + lbl.RATE * slope / np.sqrt(1e-2 + slope ** 2)
+        assert np.allclose(getattr(model, x), wanted, rtol=1e-4, atol=1e-4)
+
+
 def test_lbl_odd_and_empty(odd, none):
     rows = lbl.score_texts(odd).collect()
     assert len(rows) == odd.count()
