@@ -16,7 +16,8 @@ the rows are dealt once.  Only counts leave the joins.  An order's step looks it
 
 ``duplicates`` (E) compares 128-bit hashes of whole texts with the smallest doc_id that has the
 text; the smallest is a combinable minimum, and both it and the labels are joined with
-salted keys, so that one text or id with a third of the rows is split.
+salted keys, so that one text or id with a third of the rows is split.  No join of rows is
+by broadcast at any size.
 
 Cases: a null text is empty; a null doc_id is no smaller or larger id (such rows are
 neither copies nor originals) and has no labels; rows that repeat an id are rows of
@@ -84,10 +85,13 @@ def judge(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFra
 
 
 def salted_join(rows: DataFrame, few: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Inner join on ``key``, whose rows are dealt by ``pmod(id, salts)`` too."""
+    """Inner join on ``key``, whose rows are dealt by ``pmod(id, salts)`` too.
+
+    Both sides grow with the input, and Spark's estimate of the copies counts neither the
+    salts nor what a compressed table grows to: they never travel by the driver."""
     copies = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("__salt", F.pmod("id", F.lit(salts)).cast("int")).join(
-        copies, [key, "__salt"]).drop("__salt")
+        copies.hint("merge"), [key, "__salt"]).drop("__salt")
 
 
 def failing_ids(judged: DataFrame, letter: str) -> DataFrame:

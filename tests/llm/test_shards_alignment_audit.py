@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cabline.llm import alignment, feistel, filter_audit, queries, tokens
-from cabline.llm._common import mix64, scratch
+from cabline.llm._common import cut, mix64, scratch, setting
 from tests.conftest import SF_SMALL
 
 # ---- op11: Feistel shards ----
@@ -336,3 +336,21 @@ def test_audit_splits_a_text_with_a_third_of_the_rows(spark):
     parts = filter_audit.salted_join(judged.withColumn("n", F.lit(1)), first, "hash")
     assert parts.groupBy("hash", F.spark_partition_id().alias("p")).count().where(
         "count > 2000").count() == 0
+
+
+def test_audit_sends_no_rows_by_the_driver(spark):
+    rows = [(i, "en", f"t {i % 40}") for i in range(60)]
+    df = spark.createDataFrame([(i, t, p) for i, p, t in rows], "doc_id long, text string, lang string")
+    # as a stored table: Spark takes its size from the compressed files
+    labels = cut(spark.createDataFrame([(i, i % 2, i % 3 % 2) for i in range(0, 60, 5)],
+                                       "doc_id long, quality int, toxic int"), "test-labels")
+    judged = filter_audit.judge(df, "doc_id", "text", "lang")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "1g"):
+        copies, marked = (filter_audit.failing_ids(judged, "E"),
+                          filter_audit.label_ids(judged, labels, "doc_id"))
+        assert copies.count() == 20
+        assert len(marked.collect()) == sum(bool(i % 2 or i % 3 % 2) for i in range(0, 60, 5))
+        for found in (copies, marked):
+            found.collect()
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
